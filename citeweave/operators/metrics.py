@@ -1,0 +1,24 @@
+"""Stage rollup of task metrics: tasks, run time and CPU time per stage,
+heaviest stages first (a top-1000 report)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Fixed value: the report keeps the 1000 heaviest stages.
+ROLLUP_LIMIT = 1000
+
+
+def stage_rollup(task_metrics: DataFrame, limit: int = ROLLUP_LIMIT) -> DataFrame:
+    """(stageId, count, sum_run_time_ms, sum_cpu_time_ns)."""
+    return (
+        task_metrics.groupBy("stageId")
+        .agg(
+            F.count("*").alias("count"),
+            F.sum("executorRunTime").alias("sum_run_time_ms"),
+            F.sum("executorCpuTime").alias("sum_cpu_time_ns"),
+        )
+        .orderBy(F.col("sum_run_time_ms").desc(), F.col("sum_cpu_time_ns").desc())
+        .limit(limit)
+    )

@@ -1,0 +1,113 @@
+"""Per-task metrics from a Spark event log (JSON lines).
+
+The event log is Spark's own record of a run: enable it with
+``spark.eventLog.enabled=true`` and ``spark.eventLog.dir=<folder>`` (keep
+``spark.eventLog.compress=false`` so the JSON reader can scan it). Only
+``SparkListenerTaskEnd`` events are kept; the scan prunes every other field.
+Executor run time is in milliseconds, executor CPU time in nanoseconds.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+L, S, I = T.LongType(), T.StringType(), T.IntegerType()
+
+# Event-log field names of a task-end event.
+TASK_END_SCHEMA = T.StructType([
+    T.StructField("Event", S),
+    T.StructField("Stage ID", I),
+    T.StructField("Stage Attempt ID", I),
+    T.StructField("Task Type", S),
+    T.StructField("Task Info", T.StructType([
+        T.StructField("Task ID", L),
+        T.StructField("Index", I),
+        T.StructField("Attempt", I),
+        T.StructField("Launch Time", L),
+        T.StructField("Finish Time", L),
+        T.StructField("Executor ID", S),
+        T.StructField("Host", S),
+        T.StructField("Locality", S),
+        T.StructField("Speculative", T.BooleanType()),
+        T.StructField("Failed", T.BooleanType()),
+    ])),
+    T.StructField("Task Metrics", T.StructType([
+        T.StructField("Executor Deserialize Time", L),
+        T.StructField("Executor Deserialize CPU Time", L),
+        T.StructField("Executor Run Time", L),
+        T.StructField("Executor CPU Time", L),
+        T.StructField("Result Size", L),
+        T.StructField("JVM GC Time", L),
+        T.StructField("Result Serialization Time", L),
+        T.StructField("Memory Bytes Spilled", L),
+        T.StructField("Disk Bytes Spilled", L),
+        T.StructField("Peak Execution Memory", L),
+        T.StructField("Shuffle Read Metrics", T.StructType([
+            T.StructField("Remote Bytes Read", L),
+            T.StructField("Local Bytes Read", L),
+            T.StructField("Fetch Wait Time", L),
+            T.StructField("Total Records Read", L),
+        ])),
+        T.StructField("Shuffle Write Metrics", T.StructType([
+            T.StructField("Shuffle Bytes Written", L),
+            T.StructField("Shuffle Write Time", L),
+            T.StructField("Shuffle Records Written", L),
+        ])),
+        T.StructField("Input Metrics", T.StructType([
+            T.StructField("Bytes Read", L),
+            T.StructField("Records Read", L),
+        ])),
+        T.StructField("Output Metrics", T.StructType([
+            T.StructField("Bytes Written", L),
+            T.StructField("Records Written", L),
+        ])),
+    ])),
+])
+
+
+def event_log_path(spark: SparkSession) -> str | None:
+    """The running application's event log, if event logging is on."""
+    conf = spark.sparkContext.getConf()
+    if conf.get("spark.eventLog.enabled", "false").lower() != "true":
+        return None
+    base = conf.get("spark.eventLog.dir", "/tmp/spark-events").rstrip("/")
+    return f"{base}/*{spark.sparkContext.applicationId}*"
+
+
+def task_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """One row per finished task: stage, task, timings and I/O counters."""
+    raw = spark.read.schema(TASK_END_SCHEMA).json(path).where(F.col("Event") == "SparkListenerTaskEnd")
+    tm, ti = F.col("Task Metrics"), F.col("Task Info")
+    return raw.select(
+        F.col("Stage ID").alias("stageId"),
+        F.col("Stage Attempt ID").alias("stageAttemptId"),
+        ti["Task ID"].alias("taskId"),
+        ti["Index"].alias("index"),
+        ti["Executor ID"].alias("executorId"),
+        ti["Host"].alias("host"),
+        ti["Locality"].alias("taskLocality"),
+        ti["Speculative"].alias("speculative"),
+        (~F.coalesce(ti["Failed"], F.lit(False))).alias("successful"),
+        ti["Launch Time"].alias("launchTime"),
+        ti["Finish Time"].alias("finishTime"),
+        (ti["Finish Time"] - ti["Launch Time"]).alias("duration"),
+        tm["Executor Run Time"].alias("executorRunTime"),
+        tm["Executor CPU Time"].alias("executorCpuTime"),
+        tm["Executor Deserialize Time"].alias("executorDeserializeTime"),
+        tm["JVM GC Time"].alias("jvmGCTime"),
+        tm["Result Size"].alias("resultSize"),
+        tm["Memory Bytes Spilled"].alias("memoryBytesSpilled"),
+        tm["Disk Bytes Spilled"].alias("diskBytesSpilled"),
+        tm["Peak Execution Memory"].alias("peakExecutionMemory"),
+        tm["Input Metrics"]["Bytes Read"].alias("bytesRead"),
+        tm["Input Metrics"]["Records Read"].alias("recordsRead"),
+        tm["Output Metrics"]["Bytes Written"].alias("bytesWritten"),
+        tm["Output Metrics"]["Records Written"].alias("recordsWritten"),
+        (tm["Shuffle Read Metrics"]["Remote Bytes Read"] + tm["Shuffle Read Metrics"]["Local Bytes Read"])
+        .alias("shuffleTotalBytesRead"),
+        tm["Shuffle Read Metrics"]["Total Records Read"].alias("shuffleRecordsRead"),
+        tm["Shuffle Write Metrics"]["Shuffle Bytes Written"].alias("shuffleBytesWritten"),
+        tm["Shuffle Write Metrics"]["Shuffle Records Written"].alias("shuffleRecordsWritten"),
+    )

@@ -38,12 +38,21 @@ def scan_with_quarantine(spark: SparkSession, path: str) -> tuple[DataFrame, Dat
     The quarantine has ``reason`` ('malformed' for lines that do not parse
     against the schema, 'missing_id' for parsed records without an id), the
     id recovered from the raw text where it is visible, and the raw line.
+
+    The reader only converts the fields a query needs, so a bad value in an
+    unselected field would go unnoticed. Every line is therefore parsed once
+    against the full schema and the result is checkpointed; both outputs
+    read that one parse (one pass over the input, as an ingest job would).
     """
+    from citeweave.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
     raw = (
         spark.read.schema(with_corrupt_column())
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .json(path)
+        .checkpoint(eager=True)
     )
     bad = F.col(CORRUPT_COLUMN).isNotNull()
     good = raw.where(~bad & F.col("id").isNotNull()).select(*GRAPH_COLUMNS)

@@ -1,0 +1,49 @@
+"""Event-log task metrics, stage rollup, and physical-plan checks."""
+
+import time
+
+from citeweave.operators.metrics import stage_rollup
+from citeweave.sources.eventlog import event_log_path, task_metrics
+
+import __spark_entry__ as entry
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_task_metrics_and_rollup(spark):
+    entry.queries()["publication_summary"](spark, SF).collect()
+    time.sleep(1)
+    path = event_log_path(spark)
+    assert path is not None
+    tm = task_metrics(spark, path)
+    assert tm.count() > 0
+    roll = stage_rollup(tm).collect()
+    assert roll and all(r["count"] >= 1 for r in roll)
+    assert roll == sorted(roll, key=lambda r: (-r.sum_run_time_ms, -r.sum_cpu_time_ns))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_python_in_plans(spark):
+    q = entry.queries()
+    for key in ["publication_edges", "journal_edges", "influence_report_publications", "graph_links",
+                "hex_to_decimal", "dense_publication_index", "publication_summary"]:
+        plan = _plan(q[key](spark, SF))
+        for marker in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+            assert marker not in plan, (key, marker)
+
+
+def test_scan_prunes_columns(spark):
+    from citeweave.operators.edges import publication_edges, publication_vertices
+    from citeweave.sources.corpus import derived_corpus
+
+    pubs = derived_corpus(spark, SF)
+    plan = _plan(publication_vertices(pubs))
+    # vertices need no reference lists: the lineitem side is removed entirely
+    assert "lineitem" not in plan
+    assert "ReadSchema: struct<p_partkey:bigint,p_name:string,p_size:int>" in plan
+    assert "LessThanOrEqual(p_size,45)" in plan
+    plan = _plan(publication_edges(pubs))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int>" in plan
