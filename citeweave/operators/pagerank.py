@@ -14,29 +14,42 @@ The tolerance test is strict and applies to the sender. Sinks absorb mass
 and only the final rescale corrects for it.
 
 Execution plan
-  * Parallel edges are folded into one weighted edge w = m / k(src) once.
-  * Weighted edges are laid out once, hash-partitioned on (src, sub) and
-    checkpointed, so no round shuffles the edge table. ``sub`` salts hot
-    sources: a vertex with more than ``edges_per_bucket`` distinct targets
-    is spread over ceil(targets / edges_per_bucket) buckets, and its delta
-    is replicated to each bucket, so no single task holds a hub's edges.
-  * A round touches only active vertices: their deltas are joined to the
-    edge table and messages are summed per target with map-side partial
+  * Non-integer vertex keys (paper ids are 40-character strings) are mapped
+    to unique bigint surrogates first: the edge table every round scans
+    shrinks to fixed-width rows, and joins hash a long instead of a string.
+  * Parallel edges are folded into one weighted edge w = m / k(src).
+  * The weighted edges are laid out once: hash-partitioned on the source
+    into P partitions and checkpointed. Each round's deltas come out of the
+    message aggregation hash-partitioned on the vertex into the same P
+    partitions, so the next round joins them to the edges partition by
+    partition with no exchange on either side; the edge table never moves.
+    The one shuffle per round is the message sum, with map-side partial
     aggregation (a heavily cited vertex costs one row per map task).
+  * Hot sources are split: a vertex with more than ``edges_per_bucket``
+    distinct targets spreads its edges over ceil(targets / edges_per_bucket)
+    buckets, the layout is partitioned on (source, bucket), and each sender's
+    delta is replicated to its buckets (only this small side is shuffled).
+    No single task then holds a hub's edges.
+  * The loop runs with adaptive execution off and the shuffle partition
+    count pinned to P: AQE would re-plan every round and a checkpoint taken
+    under AQE does not report its partitioning, which would put an exchange
+    of the whole edge table into every round. Skew in the loop is handled by
+    the salting and partial aggregation above. Settings are restored after.
   * Each round's deltas are checkpointed to the reliable checkpoint folder,
     which cuts the lineage and survives executor loss. The same job
-    observes the number of vertices still above the tolerance and the
-    delta mass, so the driver receives two numbers per round and nothing
-    else.
+    observes the number of vertices still above the tolerance and the delta
+    mass, so the driver receives two numbers per round and nothing else.
   * Ranks are the union of all rounds' deltas summed per vertex.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citeweave.session import ensure_checkpoint_dir
 
@@ -50,10 +63,22 @@ class PageRankResult:
     ranks: DataFrame  # (id, pr) for every vertex
     rounds: int  # rounds in which messages were sent
     vertices: int
+    partitions: int = 0
+    salted: bool = False
+
+
+def layout_partitions(n_edges: int, cores: int, min_edges_per_task: int = 50_000,
+                      edges_per_partition: int = 2_000_000) -> int:
+    """Partitions of the edge layout: use every core once each task gets at
+    least ``min_edges_per_task`` edges, and beyond that keep partitions near
+    ``edges_per_partition`` edges (about 50 MB of fixed-width rows)."""
+    by_cores = min(cores, -(-n_edges // min_edges_per_task))
+    by_size = -(-n_edges // edges_per_partition)
+    return max(1, by_cores, by_size)
 
 
 def weighted_edges(edges: DataFrame, edges_per_bucket: int = 1_000_000) -> DataFrame:
-    """(src, sub, dst, w, dst_buckets) from citation rows (src, dst).
+    """(src, sub, dst, w, dst_buckets) from edge rows (src, dst).
 
     ``w`` = multiplicity / out-degree of src. ``sub`` is the source's bucket
     for this target; ``dst_buckets`` is how many buckets the target vertex
@@ -78,75 +103,125 @@ def weighted_edges(edges: DataFrame, edges_per_bucket: int = 1_000_000) -> DataF
     )
 
 
+@contextmanager
+def _loop_settings(spark: SparkSession, partitions: int):
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(partitions)}
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def _messages(delta: DataFrame, wedges: DataFrame, salted: bool, tol: float, damp: float) -> DataFrame:
+    """One round: (id, delta, buckets) of every vertex receiving a message."""
+    senders = delta.where(F.col("delta") > F.lit(tol))
+    if salted:
+        senders = senders.select(F.col("id").alias("src"), "delta",
+                                 F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)).alias("sub"))
+        keys = ["src", "sub"]
+    else:
+        senders = senders.select(F.col("id").alias("src"), "delta")
+        keys = ["src"]
+    return (
+        senders.hint("shuffle_hash").join(wedges, keys)
+        .groupBy("dst")
+        .agg(
+            (F.sum(F.col("delta") * F.col("w")) * F.lit(damp)).alias("delta"),
+            F.max("dst_buckets").alias("buckets"),
+        )
+        .withColumnRenamed("dst", "id")
+    )
+
+
 def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, reset: float = DEFAULT_RESET,
              max_rounds: int = 10_000, edges_per_bucket: int = 1_000_000,
-             edges_per_partition: int = 250_000, partitions: int | None = None) -> PageRankResult:
+             partitions: int | None = None, dense_ids: bool | None = None) -> PageRankResult:
     """Rank every vertex of ``vertices`` (column ``id``) over ``edges``
     (``src``, ``dst``; one row per edge, parallel rows allowed).
 
-    The edge layout gets ``partitions`` partitions, by default one per
-    ``edges_per_partition`` weighted edges (a round's cost at small scale is
-    per-task latency, at large scale the edge scan). Raises if the
-    propagation has not stopped after ``max_rounds`` rounds.
+    ``partitions`` for the edge layout defaults to ``layout_partitions``.
+    ``dense_ids`` maps keys to bigint surrogates first (default: when the key
+    is not an integer type). Raises if the propagation has not stopped after
+    ``max_rounds`` rounds.
     """
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
-
+    if dense_ids is None:
+        dense_ids = not isinstance(vertices.schema["id"].dataType, T.IntegralType)
+    if dense_ids:
+        # Unique, not ordered: a surrogate join key only. Checkpointed, so a
+        # recomputation can never hand out different numbers.
+        index = vertices.select("id").distinct().withColumn("vid", F.monotonically_increasing_id()) \
+            .checkpoint(eager=True)
+        src = index.select(F.col("id").alias("src"), F.col("vid").alias("s"))
+        dst = index.select(F.col("id").alias("dst"), F.col("vid").alias("d"))
+        long_edges = edges.join(src, "src").join(dst, "dst").select(F.col("s").alias("src"), F.col("d").alias("dst"))
+        res = pagerank(index.select(F.col("vid").alias("id")), long_edges, tol, reset, max_rounds,
+                       edges_per_bucket, partitions, dense_ids=False)
+        back = index.select(F.col("vid").alias("id"), F.col("id").alias("key"))
+        ranks = res.ranks.join(back, "id").select(F.col("key").alias("id"), "pr")
+        return PageRankResult(ranks, res.rounds, res.vertices, res.partitions, res.salted)
+
+    vertices = vertices.select(F.col("id").cast("bigint").alias("id"))
+    edges = edges.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"))
     obs_e = Observation("pagerank-edges")
-    folded = weighted_edges(edges, edges_per_bucket).observe(obs_e, F.count("*").alias("n")).checkpoint(eager=True)
-    n_edges = int(obs_e.get["n"] or 0)
-    n_parts = partitions or max(1, -(-n_edges // edges_per_partition))
-    wedges = folded.repartition(n_parts, "src", "sub").checkpoint(eager=True)
-    send_buckets = wedges.groupBy("src").agg(F.max("sub").alias("top")).select(
-        F.col("src").alias("id"), (F.col("top") + 1).alias("buckets")
-    )
-
-    obs0 = Observation("pagerank-0")
-    delta = (
-        vertices.select("id").distinct()
-        .join(send_buckets, "id", "left")
-        .select("id", F.lit(reset).alias("delta"), F.coalesce("buckets", F.lit(1)).alias("buckets"))
-        .observe(obs0, F.count("*").alias("n"), F.sum("delta").alias("mass"))
-        .checkpoint(eager=True)
-    )
-    stats = obs0.get
-    n_vertices = int(stats["n"])
-    total = float(stats["mass"] or 0.0)
-    active = n_vertices if reset > tol else 0
-    history = [delta.select("id", "delta")]
-    rounds = 0
-    damp = 1.0 - reset
-
-    while active > 0:
-        if rounds >= max_rounds:
-            raise RuntimeError(f"PageRank did not converge within {max_rounds} rounds")
-        rounds += 1
-        senders = delta.where(F.col("delta") > F.lit(tol)).select(
-            F.col("id").alias("src"),
-            "delta",
-            F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)).alias("sub"),
-        )
-        obs = Observation(f"pagerank-{rounds}")
+    folded = weighted_edges(edges, edges_per_bucket).observe(
+        obs_e, F.count("*").alias("n"), F.max("dst_buckets").alias("hot")
+    ).checkpoint(eager=True)
+    stats = obs_e.get
+    n_edges, salted = int(stats["n"] or 0), int(stats["hot"] or 1) > 1
+    n_parts = partitions or layout_partitions(n_edges, spark.sparkContext.defaultParallelism)
+    keys = ["src", "sub"] if salted else ["src"]
+
+    with _loop_settings(spark, n_parts):
+        wedges = folded.select(*keys, "dst", "w", "dst_buckets").repartition(n_parts, *keys).checkpoint(eager=True)
+        buckets = wedges.groupBy("src").agg((F.max("sub") + 1).alias("buckets")) if salted else None
+
+        obs0 = Observation("pagerank-0")
+        start = vertices.distinct()
+        if salted:
+            start = start.join(buckets.withColumnRenamed("src", "id"), "id", "left")
         delta = (
-            senders.join(wedges, ["src", "sub"])
-            .groupBy("dst")
-            .agg(
-                (F.sum(F.col("delta") * F.col("w")) * F.lit(damp)).alias("delta"),
-                F.max("dst_buckets").alias("buckets"),
-            )
-            .withColumnRenamed("dst", "id")
-            .observe(obs, F.count(F.when(F.col("delta") > F.lit(tol), 1)).alias("active"),
-                     F.sum("delta").alias("mass"))
+            start.select("id", F.lit(reset).alias("delta"),
+                         F.coalesce(F.col("buckets"), F.lit(1)).alias("buckets") if salted else F.lit(1).alias("buckets"))
+            .repartition(n_parts, "id")
+            .observe(obs0, F.count("*").alias("n"), F.sum("delta").alias("mass"))
             .checkpoint(eager=True)
         )
-        stats = obs.get
-        active = int(stats["active"] or 0)
-        total += float(stats["mass"] or 0.0)
-        history.append(delta.select("id", "delta"))
+        stats = obs0.get
+        n_vertices = int(stats["n"])
+        total = float(stats["mass"] or 0.0)
+        active = n_vertices if reset > tol else 0
+        history = [delta.select("id", "delta")]
+        rounds = 0
+        damp = 1.0 - reset
+
+        while active > 0:
+            if rounds >= max_rounds:
+                raise RuntimeError(f"PageRank did not converge within {max_rounds} rounds")
+            rounds += 1
+            obs = Observation(f"pagerank-{rounds}")
+            delta = (
+                _messages(delta, wedges, salted, tol, damp)
+                .observe(obs, F.count(F.when(F.col("delta") > F.lit(tol), 1)).alias("active"),
+                         F.sum("delta").alias("mass"))
+                .checkpoint(eager=True)
+            )
+            stats = obs.get
+            active = int(stats["active"] or 0)
+            total += float(stats["mass"] or 0.0)
+            history.append(delta.select("id", "delta"))
 
     stacked = history[0]
     for frame in history[1:]:
         stacked = stacked.unionByName(frame)
     scale = n_vertices / total if total else 0.0
     ranks = stacked.groupBy("id").agg((F.sum("delta") * F.lit(scale)).alias("pr"))
-    return PageRankResult(ranks=ranks, rounds=rounds, vertices=n_vertices)
+    return PageRankResult(ranks=ranks, rounds=rounds, vertices=n_vertices, partitions=n_parts, salted=salted)

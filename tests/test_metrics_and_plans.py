@@ -47,3 +47,26 @@ def test_scan_prunes_columns(spark):
     assert "LessThanOrEqual(p_size,45)" in plan
     plan = _plan(publication_edges(pubs))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int>" in plan
+
+
+def test_pagerank_round_moves_only_messages(spark):
+    """A round joins deltas to the edge layout without an exchange; the only
+    shuffle is the message sum. With hot sources, the small delta side is
+    shuffled to (src, sub) but the edge table still stays in place."""
+    from pyspark.sql import functions as F
+
+    from citeweave.operators.pagerank import _loop_settings, _messages, weighted_edges
+
+    edges = spark.createDataFrame([(i % 97, (i * 31) % 101) for i in range(3000)], "src bigint, dst bigint")
+    for salted, per_bucket in [(False, 1_000_000), (True, 5)]:
+        keys = ["src", "sub"] if salted else ["src"]
+        with _loop_settings(spark, 4):
+            w = weighted_edges(edges, per_bucket).select(*keys, "dst", "w", "dst_buckets") \
+                .repartition(4, *keys).checkpoint()
+            d = spark.range(0, 101).select(F.col("id"), F.lit(0.15).alias("delta"), F.lit(2).alias("buckets")) \
+                .repartition(4, "id").checkpoint()
+            plan = _plan(_messages(d, w, salted, 1e-4, 0.85))
+        exchanges = plan.count("Exchange hashpartitioning")
+        assert exchanges == (2 if salted else 1), plan
+        assert "hashpartitioning(dst" in plan
+        assert "BroadcastExchange" not in plan
