@@ -30,6 +30,87 @@ class CitationGraph:
     rounds: int = 0
     info: dict = field(default_factory=dict)
 
+    # -- questions a user asks of a graph ------------------------------------
+
+    def top(self, k: int) -> DataFrame:
+        """The k highest-ranked vertices, with their 1-based position."""
+        from citeweave.operators.neighbors import top_k
+
+        return top_k(self.vertices, k)
+
+    def influential(self, names, direction: str = "in") -> DataFrame:
+        """Neighbours of the vertices carrying ``names`` (a string, a list of
+        strings or a DataFrame with a ``name`` column), ranked by PageRank.
+        ``in``: vertices citing them, ``out``: vertices they cite,
+        ``either``: both."""
+        from citeweave.operators.neighbors import influential_by_name
+
+        spark = self.vertices.sparkSession
+        bound = None
+        if isinstance(names, str):
+            names = [names]
+        if isinstance(names, (list, tuple)):
+            bound = len(names)
+            names = spark.createDataFrame([(n,) for n in names], "name string")
+        return influential_by_name(self.vertices, self.edges, names, direction, names_bound=bound)
+
+    def neighbors(self, seeds: DataFrame, direction: str = "in", seeds_bound: int | None = None) -> DataFrame:
+        """(seed_id, neighbor_id, via) for a DataFrame of ``seed_id``."""
+        from citeweave.operators.neighbors import neighbors
+
+        return neighbors(self.edges, seeds, direction, seeds_bound)
+
+    def influence_report(self, k: int, direction: str = "in") -> DataFrame:
+        """Ranked neighbours of each of the k highest-ranked vertices, in one job."""
+        from citeweave.operators.neighbors import influence_report
+
+        return influence_report(self.vertices, self.edges, k, direction)
+
+    def summary(self) -> DataFrame:
+        from citeweave.operators.summary import graph_summary
+
+        return graph_summary(self.vertices)
+
+    def rank_values(self) -> DataFrame:
+        from citeweave.operators.summary import rank_values
+
+        return rank_values(self.vertices)
+
+    def max_degree(self) -> DataFrame:
+        from citeweave.operators.summary import max_degree_vertices
+
+        return max_degree_vertices(self.vertices)
+
+    def in_degrees(self) -> DataFrame:
+        return degrees.in_degrees(self.edges)
+
+    def out_degrees(self) -> DataFrame:
+        return degrees.out_degrees(self.edges)
+
+    def with_default(self, default: str = "nocitation") -> DataFrame:
+        return degrees.with_default_vertices(self.vertices, self.edges, default)
+
+    def node_link(self) -> tuple[DataFrame, DataFrame]:
+        """(nodes(idx, id, name), links(source, target)): vertices numbered
+        0.. in id order and edges as pairs of node numbers."""
+        from citeweave.operators.indexing import dense_index
+
+        nodes = dense_index(self.vertices.select("id", "name"), ["id"], name="idx").checkpoint(eager=True)
+        src = nodes.select(F.col("id").alias("src"), F.col("idx").alias("source"))
+        dst = nodes.select(F.col("id").alias("dst"), F.col("idx").alias("target"))
+        links = self.edges.join(src, "src").join(dst, "dst").select("source", "target")
+        return nodes.select("idx", "id", "name"), links
+
+    def write_node_link(self, path: str) -> str:
+        """Distributed JSON write of ``node_link`` to path/nodes and path/links."""
+        nodes, links = self.node_link()
+        nodes.write.mode("overwrite").json(f"{path.rstrip('/')}/nodes")
+        links.write.mode("overwrite").json(f"{path.rstrip('/')}/links")
+        return path
+
+    def unpersist(self) -> None:
+        """Kept frames are checkpoint files; nothing is held in memory."""
+
 
 def _finish(kind: str, vertices: DataFrame, edge_rows: DataFrame, edges_out: DataFrame,
             tol: float, reset: float, edges_per_bucket: int) -> CitationGraph:
@@ -59,6 +140,28 @@ def build_journal_graph(pubs: DataFrame, tol: float = DEFAULT_TOL, reset: float
     return _finish("journal", vertices, jedges.select("src", "dst"), jedges, tol, reset, edges_per_bucket)
 
 
+def load_corpus(spark: SparkSession, path: str, mode: str = "FAILFAST", sample: float | None = None,
+                sample_seed: int = 2, by_hash: bool = True, partitions: int | None = None) -> DataFrame:
+    """Publication records from JSON lines, ready for the graph builders.
+
+    ``sample`` keeps a fraction of records: by key hash (the same records on
+    every run and layout) or, with ``by_hash=False``, Bernoulli with the
+    seed. ``partitions`` repartitions the records (the reference run used a
+    fixed count; by default the scan's own splits and AQE decide). The
+    result is checkpointed once: every later job reads the parsed records.
+    """
+    from citeweave.sources import jsonl, sampling
+
+    pubs = jsonl.read_publications(spark, path, mode=mode)
+    if sample is not None:
+        pubs = sampling.sample_by_hash(pubs, sample, "id", sample_seed) if by_hash \
+            else sampling.sample_bernoulli(pubs, sample, sample_seed)
+    if partitions:
+        pubs = pubs.repartition(partitions)
+    ensure_checkpoint_dir(spark)
+    return pubs.checkpoint(eager=True)
+
+
 _BUILT: dict = {}
 
 

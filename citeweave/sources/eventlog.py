@@ -111,3 +111,10 @@ def task_metrics(spark: SparkSession, path: str) -> DataFrame:
         tm["Shuffle Write Metrics"]["Shuffle Bytes Written"].alias("shuffleBytesWritten"),
         tm["Shuffle Write Metrics"]["Shuffle Records Written"].alias("shuffleRecordsWritten"),
     )
+
+
+def register_task_metrics(spark: SparkSession, path: str, name: str = "PerfTaskMetrics") -> DataFrame:
+    """Expose the task metrics as a temporary view for SQL."""
+    df = task_metrics(spark, path)
+    df.createOrReplaceTempView(name)
+    return df
