@@ -58,6 +58,22 @@ def publication_edges(pubs: DataFrame, vertices: DataFrame | None = None) -> Dat
     return citations_exploded(pubs).join(ids, F.col("cited") == F.col("dst"), "inner").select("src", "dst")
 
 
+def publication_edges_keyed(pubs: DataFrame, keyed_vertices: DataFrame) -> DataFrame:
+    """(src, dst, src_vid, dst_vid): resolved citations carrying both the
+    natural ids and the vertices' bigint surrogates (column ``vid`` of
+    ``keyed_vertices``). The source surrogate is attached per reference
+    list, before the expansion, so the only join over the expanded rows is
+    the resolution join itself."""
+    src_keys = keyed_vertices.select("id", F.col("vid").alias("src_vid"))
+    dst_keys = keyed_vertices.select(F.col("id").alias("dst"), F.col("vid").alias("dst_vid"))
+    lists = distinct_citation_lists(pubs).join(src_keys, "id")
+    return (
+        lists.select(F.col("id").alias("src"), "src_vid", F.explode("outCitations").alias("cited"))
+        .join(dst_keys, F.col("cited") == F.col("dst"), "inner")
+        .select("src", "dst", "src_vid", "dst_vid")
+    )
+
+
 def unresolved_citations(pubs: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
     """(src, pos, cited) whose cited id is not in the corpus."""
     vertices = vertices if vertices is not None else publication_vertices(pubs)

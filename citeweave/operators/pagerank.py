@@ -17,19 +17,21 @@ Execution plan
   * Non-integer vertex keys (paper ids are 40-character strings) are mapped
     to unique bigint surrogates first: the edge table every round scans
     shrinks to fixed-width rows, and joins hash a long instead of a string.
-  * Parallel edges are folded into one weighted edge w = m / k(src).
-  * The weighted edges are laid out once: hash-partitioned on the source
-    into P partitions and checkpointed. Each round's deltas come out of the
+  * The edges are laid out once: one shuffle hash-partitions them on the
+    source into P partitions, parallel edges are folded inside each
+    partition into one weighted edge w = m / k(src), and the layout is
+    checkpointed. Each round's deltas come out of the
     message aggregation hash-partitioned on the vertex into the same P
     partitions, so the next round joins them to the edges partition by
     partition with no exchange on either side; the edge table never moves.
     The one shuffle per round is the message sum, with map-side partial
     aggregation (a heavily cited vertex costs one row per map task).
   * Hot sources are split: a vertex with more than ``edges_per_bucket``
-    distinct targets spreads its edges over ceil(targets / edges_per_bucket)
-    buckets, the layout is partitioned on (source, bucket), and each sender's
-    delta is replicated to its buckets (only this small side is shuffled).
-    No single task then holds a hub's edges.
+    out-edges spreads them over ceil(k / edges_per_bucket) buckets, the
+    layout is partitioned on (source, bucket), and each hot sender's delta is
+    replicated to its buckets (only this small side is shuffled). The hot
+    list has at most edges / edges_per_bucket rows, so it is broadcast. No
+    single task then holds a hub's edges.
   * The loop runs with adaptive execution off and the shuffle partition
     count pinned to P: AQE would re-plan every round and a checkpoint taken
     under AQE does not report its partitioning, which would put an exchange
@@ -77,30 +79,37 @@ def layout_partitions(n_edges: int, cores: int, min_edges_per_task: int = 50_000
     return max(1, by_cores, by_size)
 
 
-def weighted_edges(edges: DataFrame, edges_per_bucket: int = 1_000_000) -> DataFrame:
-    """(src, sub, dst, w, dst_buckets) from edge rows (src, dst).
+def out_degrees_by_source(edges: DataFrame) -> DataFrame:
+    """(src, k): out-edges per source, parallel edges included (partial
+    aggregation before the shuffle)."""
+    return edges.groupBy("src").agg(F.count("*").alias("k"))
 
-    ``w`` = multiplicity / out-degree of src. ``sub`` is the source's bucket
-    for this target; ``dst_buckets`` is how many buckets the target vertex
-    uses when it sends.
+
+def hot_sources(per_src: DataFrame, edges_per_bucket: int) -> DataFrame:
+    """(src, buckets) for sources with more than ``edges_per_bucket`` edges.
+    At most (edges / edges_per_bucket) rows: a proven bound, so it may be
+    broadcast."""
+    return per_src.where(F.col("k") > F.lit(edges_per_bucket)).select(
+        "src", F.ceil(F.col("k") / F.lit(edges_per_bucket)).cast("int").alias("buckets"))
+
+
+def edge_layout(edges: DataFrame, per_src: DataFrame, hot: DataFrame | None, partitions: int) -> DataFrame:
+    """(src[, sub], dst, w) hash-partitioned on the join keys.
+
+    One shuffle of the edge rows: they are partitioned on the source (and
+    bucket), then parallel edges are folded inside each partition (grouping
+    on keys + dst needs no further exchange) and weighted w = m / k.
     """
-    folded = edges.groupBy("src", "dst").agg(F.count("*").alias("m"))
-    per_src = folded.groupBy("src").agg(
-        F.sum("m").alias("k"),
-        F.count("*").alias("targets"),
-    ).withColumn("buckets", F.ceil(F.col("targets") / F.lit(edges_per_bucket)).cast("int"))
-    dst_buckets = per_src.select(F.col("src").alias("dst"), F.col("buckets").alias("dst_buckets"))
-    return (
-        folded.join(per_src, "src")
-        .join(dst_buckets, "dst", "left")
-        .select(
-            "src",
-            F.pmod(F.xxhash64("dst"), F.col("buckets")).cast("int").alias("sub"),
-            "dst",
-            (F.col("m") / F.col("k")).alias("w"),
-            F.coalesce("dst_buckets", F.lit(1)).alias("dst_buckets"),
-        )
-    )
+    if hot is None:
+        folded = edges.repartition(partitions, "src").groupBy("src", "dst").agg(F.count("*").alias("m"))
+        return folded.join(per_src, "src").select("src", "dst", (F.col("m") / F.col("k")).alias("w"))
+    with_sub = edges.join(F.broadcast(hot), "src", "left").select(
+        "src", "dst", F.pmod(F.xxhash64("dst"), F.coalesce("buckets", F.lit(1))).cast("int").alias("sub"))
+    folded = with_sub.repartition(partitions, "src", "sub").groupBy("src", "sub", "dst").agg(F.count("*").alias("m"))
+    # k replicated to each bucket of a hot source, so the join keys match the layout.
+    per_bucket = per_src.join(F.broadcast(hot), "src", "left").select(
+        "src", "k", F.explode(F.sequence(F.lit(0), F.coalesce("buckets", F.lit(1)) - 1)).alias("sub"))
+    return folded.join(per_bucket, ["src", "sub"]).select("src", "sub", "dst", (F.col("m") / F.col("k")).alias("w"))
 
 
 @contextmanager
@@ -119,23 +128,18 @@ def _loop_settings(spark: SparkSession, partitions: int):
                 spark.conf.set(k, v)
 
 
-def _messages(delta: DataFrame, wedges: DataFrame, salted: bool, tol: float, damp: float) -> DataFrame:
-    """One round: (id, delta, buckets) of every vertex receiving a message."""
-    senders = delta.where(F.col("delta") > F.lit(tol))
-    if salted:
-        senders = senders.select(F.col("id").alias("src"), "delta",
-                                 F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)).alias("sub"))
+def _messages(delta: DataFrame, wedges: DataFrame, hot: DataFrame | None, tol: float, damp: float) -> DataFrame:
+    """One round: (id, delta) of every vertex receiving a message."""
+    senders = delta.where(F.col("delta") > F.lit(tol)).select(F.col("id").alias("src"), "delta")
+    keys = ["src"]
+    if hot is not None:
+        senders = senders.join(F.broadcast(hot), "src", "left").select(
+            "src", "delta", F.explode(F.sequence(F.lit(0), F.coalesce("buckets", F.lit(1)) - 1)).alias("sub"))
         keys = ["src", "sub"]
-    else:
-        senders = senders.select(F.col("id").alias("src"), "delta")
-        keys = ["src"]
     return (
         senders.hint("shuffle_hash").join(wedges, keys)
         .groupBy("dst")
-        .agg(
-            (F.sum(F.col("delta") * F.col("w")) * F.lit(damp)).alias("delta"),
-            F.max("dst_buckets").alias("buckets"),
-        )
+        .agg((F.sum(F.col("delta") * F.col("w")) * F.lit(damp)).alias("delta"))
         .withColumnRenamed("dst", "id")
     )
 
@@ -172,25 +176,20 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
     vertices = vertices.select(F.col("id").cast("bigint").alias("id"))
     edges = edges.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"))
     obs_e = Observation("pagerank-edges")
-    folded = weighted_edges(edges, edges_per_bucket).observe(
-        obs_e, F.count("*").alias("n"), F.max("dst_buckets").alias("hot")
-    ).checkpoint(eager=True)
+    per_src = out_degrees_by_source(edges).observe(
+        obs_e, F.sum("k").alias("n"), F.max("k").alias("top")).checkpoint(eager=True)
     stats = obs_e.get
-    n_edges, salted = int(stats["n"] or 0), int(stats["hot"] or 1) > 1
+    n_edges, top = int(stats["n"] or 0), int(stats["top"] or 0)
+    salted = top > edges_per_bucket
     n_parts = partitions or layout_partitions(n_edges, spark.sparkContext.defaultParallelism)
-    keys = ["src", "sub"] if salted else ["src"]
+    hot = hot_sources(per_src, edges_per_bucket).checkpoint(eager=True) if salted else None
 
     with _loop_settings(spark, n_parts):
-        wedges = folded.select(*keys, "dst", "w", "dst_buckets").repartition(n_parts, *keys).checkpoint(eager=True)
-        buckets = wedges.groupBy("src").agg((F.max("sub") + 1).alias("buckets")) if salted else None
+        wedges = edge_layout(edges, per_src, hot, n_parts).checkpoint(eager=True)
 
         obs0 = Observation("pagerank-0")
-        start = vertices.distinct()
-        if salted:
-            start = start.join(buckets.withColumnRenamed("src", "id"), "id", "left")
         delta = (
-            start.select("id", F.lit(reset).alias("delta"),
-                         F.coalesce(F.col("buckets"), F.lit(1)).alias("buckets") if salted else F.lit(1).alias("buckets"))
+            vertices.distinct().select("id", F.lit(reset).alias("delta"))
             .repartition(n_parts, "id")
             .observe(obs0, F.count("*").alias("n"), F.sum("delta").alias("mass"))
             .checkpoint(eager=True)
@@ -199,7 +198,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
         n_vertices = int(stats["n"])
         total = float(stats["mass"] or 0.0)
         active = n_vertices if reset > tol else 0
-        history = [delta.select("id", "delta")]
+        history = [delta]
         rounds = 0
         damp = 1.0 - reset
 
@@ -209,7 +208,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
             rounds += 1
             obs = Observation(f"pagerank-{rounds}")
             delta = (
-                _messages(delta, wedges, salted, tol, damp)
+                _messages(delta, wedges, hot, tol, damp)
                 .observe(obs, F.count(F.when(F.col("delta") > F.lit(tol), 1)).alias("active"),
                          F.sum("delta").alias("mass"))
                 .checkpoint(eager=True)
@@ -217,7 +216,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
             stats = obs.get
             active = int(stats["active"] or 0)
             total += float(stats["mass"] or 0.0)
-            history.append(delta.select("id", "delta"))
+            history.append(delta)
 
     stacked = history[0]
     for frame in history[1:]:

@@ -112,23 +112,29 @@ class CitationGraph:
         """Kept frames are checkpoint files; nothing is held in memory."""
 
 
-def _finish(kind: str, vertices: DataFrame, edge_rows: DataFrame, edges_out: DataFrame,
-            tol: float, reset: float, edges_per_bucket: int) -> CitationGraph:
-    spark = vertices.sparkSession
-    ensure_checkpoint_dir(spark)
-    result = pagerank(vertices, edge_rows, tol=tol, reset=reset, edges_per_bucket=edges_per_bucket)
-    attributed = degrees.attach_attributes(vertices, edge_rows, result.ranks).checkpoint(eager=True)
+def _finish(kind: str, vertices: DataFrame, edge_rows: DataFrame, edges_out: DataFrame, ranks: DataFrame,
+            result) -> CitationGraph:
+    attributed = degrees.attach_attributes(vertices, edge_rows, ranks).checkpoint(eager=True)
     return CitationGraph(kind=kind, vertices=attributed, edges=edges_out, rounds=result.rounds,
-                         info={"vertices": result.vertices})
+                         info={"vertices": result.vertices, "partitions": result.partitions,
+                               "salted": result.salted})
 
 
 def build_publication_graph(pubs: DataFrame, tol: float = DEFAULT_TOL, reset: float = DEFAULT_RESET,
                             edges_per_bucket: int = 1_000_000) -> CitationGraph:
+    """Vertices get bigint surrogates once; citations resolve straight to
+    them, so PageRank runs on fixed-width keys without re-mapping edges."""
     ensure_checkpoint_dir(pubs.sparkSession)
-    vertices = E.publication_vertices(pubs).checkpoint(eager=True)
-    edge_rows = E.publication_edges(pubs, vertices).checkpoint(eager=True)
-    return _finish("publication", vertices, edge_rows, edge_rows.withColumn("n", F.lit(1).cast("bigint")),
-                   tol, reset, edges_per_bucket)
+    vertices = E.publication_vertices(pubs).withColumn("vid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    keyed = E.publication_edges_keyed(pubs, vertices).checkpoint(eager=True)
+    result = pagerank(vertices.select(F.col("vid").alias("id")),
+                      keyed.select(F.col("src_vid").alias("src"), F.col("dst_vid").alias("dst")),
+                      tol=tol, reset=reset, edges_per_bucket=edges_per_bucket, dense_ids=False)
+    ranks = result.ranks.join(vertices.select(F.col("vid").alias("id"), F.col("id").alias("key")), "id") \
+        .select(F.col("key").alias("id"), "pr")
+    edge_rows = keyed.select("src", "dst")
+    return _finish("publication", vertices.select("id", "name"), edge_rows,
+                   edge_rows.withColumn("n", F.lit(1).cast("bigint")), ranks, result)
 
 
 def build_journal_graph(pubs: DataFrame, tol: float = DEFAULT_TOL, reset: float = DEFAULT_RESET,
@@ -137,7 +143,9 @@ def build_journal_graph(pubs: DataFrame, tol: float = DEFAULT_TOL, reset: float
     vertices = E.journal_vertices(pubs).checkpoint(eager=True)
     jedges = E.journal_edges(pubs).checkpoint(eager=True)
     # Rank and degrees count each journal pair once; n does not weight them.
-    return _finish("journal", vertices, jedges.select("src", "dst"), jedges, tol, reset, edges_per_bucket)
+    pairs = jedges.select("src", "dst")
+    result = pagerank(vertices, pairs, tol=tol, reset=reset, edges_per_bucket=edges_per_bucket)
+    return _finish("journal", vertices, pairs, jedges, result.ranks, result)
 
 
 def load_corpus(spark: SparkSession, path: str, mode: str = "FAILFAST", sample: float | None = None,
@@ -166,7 +174,8 @@ _BUILT: dict = {}
 
 
 def _key(spark: SparkSession, corpus_key: str, kind: str):
-    return (spark.sparkContext.applicationId, corpus_key, kind)
+    # Kept frames belong to the session that built them.
+    return (spark.sparkContext.applicationId, id(spark), corpus_key, kind)
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,18 +55,19 @@ def test_pagerank_round_moves_only_messages(spark):
     shuffled to (src, sub) but the edge table still stays in place."""
     from pyspark.sql import functions as F
 
-    from citeweave.operators.pagerank import _loop_settings, _messages, weighted_edges
+    from citeweave.operators.pagerank import (_loop_settings, _messages, edge_layout, hot_sources,
+                                              out_degrees_by_source)
 
     edges = spark.createDataFrame([(i % 97, (i * 31) % 101) for i in range(3000)], "src bigint, dst bigint")
-    for salted, per_bucket in [(False, 1_000_000), (True, 5)]:
-        keys = ["src", "sub"] if salted else ["src"]
+    per_src = out_degrees_by_source(edges).checkpoint()
+    for per_bucket in [1_000_000, 5]:
+        hot = hot_sources(per_src, per_bucket).checkpoint() if per_bucket < 100 else None
         with _loop_settings(spark, 4):
-            w = weighted_edges(edges, per_bucket).select(*keys, "dst", "w", "dst_buckets") \
-                .repartition(4, *keys).checkpoint()
-            d = spark.range(0, 101).select(F.col("id"), F.lit(0.15).alias("delta"), F.lit(2).alias("buckets")) \
-                .repartition(4, "id").checkpoint()
-            plan = _plan(_messages(d, w, salted, 1e-4, 0.85))
+            layout = edge_layout(edges, per_src, hot, 4)
+            assert _plan(layout).count("Exchange hashpartitioning(src") == 2  # edges once, degrees once
+            w = layout.checkpoint()
+            d = spark.range(0, 101).select(F.col("id"), F.lit(0.15).alias("delta")).repartition(4, "id").checkpoint()
+            plan = _plan(_messages(d, w, hot, 1e-4, 0.85))
         exchanges = plan.count("Exchange hashpartitioning")
-        assert exchanges == (2 if salted else 1), plan
+        assert exchanges == (2 if hot is not None else 1), plan
         assert "hashpartitioning(dst" in plan
-        assert "BroadcastExchange" not in plan
