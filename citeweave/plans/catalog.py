@@ -317,6 +317,32 @@ def q_graph_links(spark, sf_dir):
     return g.edges.join(src, "src").join(dst, "dst").select("source", "target")
 
 
+# -- task metrics (only when the session writes an event log) -----------------
+
+def _metrics_after_run(spark, sf_dir):
+    from citeweave.sources.eventlog import event_log_path, task_metrics
+
+    path = event_log_path(spark)
+    if path is None:
+        raise RuntimeError("task metrics need spark.eventLog.enabled=true (uncompressed) in this session")
+    # The measured work: the publication graph over the given tables.
+    S.graph_summary(publication_graph(spark, sf_dir).vertices).write.format("noop").mode("overwrite").save()
+    return task_metrics(spark, path)
+
+
+def q_task_metrics(spark, sf_dir):
+    return _metrics_after_run(spark, sf_dir).select("stageId", "taskId", "executorRunTime", "executorCpuTime")
+
+
+def q_stage_rollup(spark, sf_dir):
+    from citeweave.operators.metrics import stage_rollup
+
+    return stage_rollup(_metrics_after_run(spark, sf_dir))
+
+
+EVENT_LOG_QUERIES = {"task_metrics": q_task_metrics, "stage_rollup": q_stage_rollup}
+
+
 # -- scalar functions ----------------------------------------------------------
 
 @query("hex_to_decimal")

@@ -71,3 +71,15 @@ def test_pagerank_round_moves_only_messages(spark):
         exchanges = plan.count("Exchange hashpartitioning")
         assert exchanges == (2 if hot is not None else 1), plan
         assert "hashpartitioning(dst" in plan
+
+
+def test_dense_index_has_no_data_sized_single_partition(spark):
+    """The only single-partition step of the dense index runs over one row
+    per partition (the per-partition counts), never over the data."""
+    from citeweave.operators.indexing import dense_index
+
+    df = spark.range(0, 5000).selectExpr("cast(id as string) id")
+    plan = _plan(dense_index(df, ["id"], partitions=4))
+    assert plan.count("SinglePartition") == 1
+    single = plan[plan.index("SinglePartition"):]
+    assert "_part" in single.split("\n")[0] or "count" in single[:2000]

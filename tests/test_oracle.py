@@ -15,8 +15,16 @@ def results(spark):
 
 def test_every_query_has_sql_or_is_rows_only(results):
     sql = entry.oracle_sql()
-    rows_only = [k for k in entry.queries() if k not in sql]
-    assert rows_only == ["sample_bernoulli"]
+    rows_only = sorted(k for k in entry.queries() if k not in sql)
+    # the test session writes an event log, so the task-metrics keys are offered
+    assert rows_only == ["sample_bernoulli", "stage_rollup", "task_metrics"]
+
+
+def test_event_log_queries(spark):
+    q = entry.queries()
+    assert q["task_metrics"](spark, SF).count() > 0
+    roll = q["stage_rollup"](spark, SF).collect()
+    assert roll and sum(r["count"] for r in roll) > 0
 
 
 @pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
