@@ -91,7 +91,8 @@ def top_k(graph_vertices: DataFrame, k: int) -> DataFrame:
 
     best = graph_vertices.select("id", "name", "in_deg", "out_deg", rounded_pr().alias("pr")) \
         .orderBy(F.col("pr").desc(), F.col("id").asc()).limit(k)
-    return best.withColumn("position", F.row_number().over(Window.orderBy(F.col("pr").desc(), F.col("id").asc())))
+    position = F.row_number().over(Window.orderBy(F.col("pr").desc(), F.col("id").asc())).cast("bigint")
+    return best.withColumn("position", position)
 
 
 def influence_report(graph_vertices: DataFrame, edges: DataFrame, k: int, direction: str = "in") -> DataFrame:

@@ -3,7 +3,6 @@ and partition sizing."""
 
 from __future__ import annotations
 
-import math
 import os
 import tempfile
 
@@ -66,13 +65,3 @@ _serial = [0]
 def _next_serial() -> int:
     _serial[0] += 1
     return _serial[0]
-
-
-def partitions_for(spark: SparkSession, approx_rows: int, rows_per_partition: int = 2_000_000) -> int:
-    """Shuffle partitions for a frame of ``approx_rows`` rows.
-
-    At least the session's default parallelism (so every core has work) and
-    enough that each partition stays around ``rows_per_partition`` rows.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    return max(cores, int(math.ceil(approx_rows / rows_per_partition)))

@@ -55,3 +55,19 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["seed_position", "seed_id", "seed_name", "rank", "neighbor_id", "name",
                           "in_deg", "out_deg", "pr", "via"]
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def test_column_types_match_oracle(spark):
+    con = duck(SF)
+    sql = entry.oracle_sql()
+    for key, fn in entry.queries().items():
+        if key not in sql:
+            continue
+        df = fn(spark, SF)
+        ours = {n: SPARK_TO_DUCK.get(t, t) for n, t in df.dtypes}
+        rel = con.sql(sql[key])
+        theirs = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+        assert ours == theirs, key
