@@ -84,3 +84,14 @@ def test_streaming_ingest(spark, toy):
     assert bad == [("malformed", "x9"), ("missing_id", None)]
     g = build_journal_graph(table.drop("batch"))
     assert sorted((r.src, r.dst, r.n) for r in g.edges.collect()) == [("J1", "J2", 3), ("J3", "J1", 1)]
+
+
+def test_command_line_search(spark, toy_path, capsys, monkeypatch):
+    from citeweave import __main__ as cli
+
+    out = tempfile.mkdtemp(prefix="citeweave-cli-")
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    assert cli.main(["search", "--input", toy_path, "--name", "C", "--direction", "in",
+                     "--output", os.path.join(out, "r")]) == 0
+    rows = spark.read.json(os.path.join(out, "r")).collect()
+    assert sorted(r.neighbor_id for r in rows) == ["1", "2", "2"]
