@@ -1,10 +1,15 @@
 """Per-task metrics from a Spark event log (JSON lines).
 
 The event log is Spark's own record of a run: enable it with
-``spark.eventLog.enabled=true`` and ``spark.eventLog.dir=<folder>`` (keep
-``spark.eventLog.compress=false`` so the JSON reader can scan it). Only
-``SparkListenerTaskEnd`` events are kept; the scan prunes every other field.
-Executor run time is in milliseconds, executor CPU time in nanoseconds.
+``spark.eventLog.enabled=true`` and ``spark.eventLog.dir=<folder>``. Both
+layouts are read: a single file per application, and the rolling layout
+(a folder of ``events_N_<app>`` files). Files may be plain or
+zstd-compressed (the default codec). Spark lists the files as binary rows;
+each task decompresses its files (Arrow batches, one file per row) and keeps
+only ``SparkListenerTaskEnd`` lines, which are then parsed JVM-side with a
+schema that prunes every other field. A log still being written is read up
+to its last complete line. Executor run time is in milliseconds, executor
+CPU time in nanoseconds.
 """
 
 from __future__ import annotations
@@ -67,8 +72,23 @@ TASK_END_SCHEMA = T.StructType([
 ])
 
 
+READABLE_CODECS = ("zstd",)
+_TASK_END_PREFIX = b'{"Event":"SparkListenerTaskEnd"'
+
+
+def event_log_readable(spark: SparkSession) -> bool:
+    """Event logging is on and its files are plain or zstd."""
+    conf = spark.sparkContext.getConf()
+    if conf.get("spark.eventLog.enabled", "false").lower() != "true":
+        return False
+    if conf.get("spark.eventLog.compress", "true").lower() != "true":
+        return True
+    return conf.get("spark.eventLog.compression.codec", "zstd").lower() in READABLE_CODECS
+
+
 def event_log_path(spark: SparkSession) -> str | None:
-    """The running application's event log, if event logging is on."""
+    """The running application's event log (file or rolling folder), if
+    event logging is on."""
     conf = spark.sparkContext.getConf()
     if conf.get("spark.eventLog.enabled", "false").lower() != "true":
         return None
@@ -76,9 +96,40 @@ def event_log_path(spark: SparkSession) -> str | None:
     return f"{base}/*{spark.sparkContext.applicationId}*"
 
 
+def _task_end_lines(batches):
+    import io
+
+    import pandas as pd
+
+    for pdf in batches:
+        lines = []
+        for path, blob in zip(pdf["path"], pdf["content"]):
+            name = path.rsplit("/", 1)[-1]
+            if ".zstd" in name:
+                import zstandard
+
+                data = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(blob), read_across_frames=True).read()
+            elif any(f".{c}" in name for c in ("lz4", "lzf", "snappy")):
+                raise ValueError(f"unsupported event log codec: {name}")
+            else:
+                data = bytes(blob)
+            complete = data[: data.rfind(b"\n") + 1]
+            lines.extend(line.decode("utf-8") for line in complete.split(b"\n") if line.startswith(_TASK_END_PREFIX))
+        yield pd.DataFrame({"value": pd.Series(lines, dtype=object)})
+
+
+def task_end_events(spark: SparkSession, path: str) -> DataFrame:
+    """Task-end events of the log(s) under ``path`` (a file, folder or glob)."""
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    )
+    lines = files.mapInPandas(_task_end_lines, "value string")
+    return lines.select(F.from_json("value", TASK_END_SCHEMA).alias("e")).select("e.*")
+
+
 def task_metrics(spark: SparkSession, path: str) -> DataFrame:
     """One row per finished task: stage, task, timings and I/O counters."""
-    raw = spark.read.schema(TASK_END_SCHEMA).json(path).where(F.col("Event") == "SparkListenerTaskEnd")
+    raw = task_end_events(spark, path).where(F.col("Event") == "SparkListenerTaskEnd")
     tm, ti = F.col("Task Metrics"), F.col("Task Info")
     return raw.select(
         F.col("Stage ID").alias("stageId"),

@@ -25,8 +25,6 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.eventLog.enabled", "true")
         .config("spark.eventLog.dir", EVENT_DIR)
-        .config("spark.eventLog.compress", "false")
-        .config("spark.eventLog.rolling.enabled", "false")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

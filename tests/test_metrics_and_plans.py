@@ -83,3 +83,27 @@ def test_dense_index_has_no_data_sized_single_partition(spark):
     assert plan.count("SinglePartition") == 1
     single = plan[plan.index("SinglePartition"):]
     assert "_part" in single.split("\n")[0] or "count" in single[:2000]
+
+
+def test_plain_single_file_event_log(spark):
+    """The reader takes the single-file, uncompressed layout as well."""
+    import glob
+    import io
+    import os
+    import tempfile
+
+    import zstandard
+
+    from conftest import EVENT_DIR
+
+    app = spark.sparkContext.applicationId
+    files = sorted(glob.glob(f"{EVENT_DIR}/*{app}*/events_*"))
+    assert files, "expected the rolling, compressed default layout"
+    data = b"".join(zstandard.ZstdDecompressor().stream_reader(io.BytesIO(open(f, "rb").read()),
+                                                               read_across_frames=True).read() for f in files)
+    data = data[: data.rfind(b"\n") + 1]
+    out = os.path.join(tempfile.mkdtemp(prefix="citeweave-plainlog-"), app)
+    with open(out, "wb") as fh:
+        fh.write(data)
+    plain = task_metrics(spark, out).count()
+    assert plain == data.count(b'{"Event":"SparkListenerTaskEnd"') > 0
