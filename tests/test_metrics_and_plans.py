@@ -96,12 +96,20 @@ def test_plain_single_file_event_log(spark):
 
     from conftest import EVENT_DIR
 
+    import time
+
     app = spark.sparkContext.applicationId
-    files = sorted(glob.glob(f"{EVENT_DIR}/*{app}*/events_*"))
-    assert files, "expected the rolling, compressed default layout"
-    data = b"".join(zstandard.ZstdDecompressor().stream_reader(io.BytesIO(open(f, "rb").read()),
-                                                               read_across_frames=True).read() for f in files)
-    data = data[: data.rfind(b"\n") + 1]
+    spark.range(0, 1000, numPartitions=4).selectExpr("id % 7 k").groupBy("k").count().collect()
+    data = b""
+    for _ in range(20):
+        files = sorted(glob.glob(f"{EVENT_DIR}/*{app}*/events_*"))
+        assert files, "expected the rolling, compressed default layout"
+        data = b"".join(zstandard.ZstdDecompressor().stream_reader(io.BytesIO(open(f, "rb").read()),
+                                                                   read_across_frames=True).read() for f in files)
+        data = data[: data.rfind(b"\n") + 1]
+        if b'{"Event":"SparkListenerTaskEnd"' in data:
+            break
+        time.sleep(0.5)
     out = os.path.join(tempfile.mkdtemp(prefix="citeweave-plainlog-"), app)
     with open(out, "wb") as fh:
         fh.write(data)
