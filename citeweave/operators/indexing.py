@@ -78,3 +78,18 @@ def rank_within(df: DataFrame, group: str, order: list, name: str = "rank",
         .withColumn(name, (F.col("_gpos") - F.col("_start") + 1).cast("bigint"))
         .drop("_gpos", "_start")
     )
+
+
+def lead_in_order(df: DataFrame, group: str, order: list, value: str, name: str) -> DataFrame:
+    """``lead(value) over (partition by group order by order)`` without a
+    window partitioned by ``group``: rows get global positions on
+    (group, order) and each row is joined to the row one position later,
+    kept only when it belongs to the same group. An equi-join on a unique
+    position has no hot key, however large one group is."""
+    indexed = dense_index(df, [group] + list(order), name="_pos")
+    following = indexed.select((F.col("_pos") - 1).alias("_pos"), F.col(group).alias("_next_group"),
+                               F.col(value).alias("_next_value"))
+    return indexed.join(following, "_pos", "left").select(
+        *df.columns,
+        F.when(F.col("_next_group").eqNullSafe(F.col(group)), F.col("_next_value")).alias(name),
+    )

@@ -9,9 +9,11 @@ them to full publication records for the JSON round trip.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeweave.operators.indexing import lead_in_order
+
 from citeweave.sources.schema import PUBLICATION
 
 
@@ -24,14 +26,10 @@ def derived_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
 
-    # Orders are short (a handful of lines), so a window per order is bounded.
-    by_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")
-    cites = lineitem.select(
-        F.col("l_partkey").alias("pk"),
-        F.lead("l_partkey").over(by_order).alias("nxt"),
-        "l_orderkey",
-        "l_linenumber",
-    )
+    # The next line of the same order, without gathering an order into one
+    # task (an order may be arbitrarily long).
+    cites = lead_in_order(lineitem, "l_orderkey", ["l_linenumber", "l_partkey"], "l_partkey", "nxt") \
+        .select(F.col("l_partkey").alias("pk"), "nxt", "l_orderkey", "l_linenumber")
     lists = (
         cites.where(F.col("nxt").isNotNull() & (F.col("nxt") % 11 != 0))
         .groupBy("pk")
