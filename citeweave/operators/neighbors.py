@@ -13,7 +13,7 @@ unknown name gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeweave.operators.indexing import rank_within
@@ -87,8 +87,6 @@ def top_k(graph_vertices: DataFrame, k: int) -> DataFrame:
     best and the driver merges k rows per task. The position window then runs
     over at most k rows.
     """
-    from pyspark.sql import Window
-
     best = graph_vertices.select("id", "name", "in_deg", "out_deg", rounded_pr().alias("pr")) \
         .orderBy(F.col("pr").desc(), F.col("id").asc()).limit(k)
     position = F.row_number().over(Window.orderBy(F.col("pr").desc(), F.col("id").asc())).cast("bigint")

@@ -310,11 +310,8 @@ def q_influence_report_journals(spark, sf_dir):
 
 @query("graph_links")
 def q_graph_links(spark, sf_dir):
-    g = publication_graph(spark, sf_dir)
-    nodes = dense_index(g.vertices.select("id"), ["id"], name="idx")
-    src = nodes.select(F.col("id").alias("src"), F.col("idx").alias("source"))
-    dst = nodes.select(F.col("id").alias("dst"), F.col("idx").alias("target"))
-    return g.edges.join(src, "src").join(dst, "dst").select("source", "target")
+    _, links = publication_graph(spark, sf_dir).node_link()
+    return links
 
 
 # -- task metrics (only when the session writes an event log) -----------------

@@ -206,5 +206,5 @@ def journal_graph(spark: SparkSession, sf_dir: str) -> CitationGraph:
 def forget(spark: SparkSession | None = None) -> None:
     """Drop kept graphs (all, or those of one session)."""
     for k in list(_BUILT):
-        if spark is None or k[0] == spark.sparkContext.applicationId:
+        if spark is None or k[:2] == (spark.sparkContext.applicationId, id(spark)):
             del _BUILT[k]
