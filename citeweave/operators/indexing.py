@@ -50,10 +50,11 @@ def dense_index(df: DataFrame, order: list, name: str = "idx", partitions: int |
     counts = tagged.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     # One row per partition: a single-partition window here is bounded by the
     # partition count, not by the data.
+    # Materialised once, so every consumer of the positions reuses it.
     offsets = counts.select(
         "_part",
         (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-    ).select("_part", F.coalesce("_off", F.lit(0)).alias("_off"))
+    ).select("_part", F.coalesce("_off", F.lit(0)).alias("_off")).checkpoint(eager=True)
     return (
         tagged.join(F.broadcast(offsets), part == F.col("_part"))
         .withColumn(name, (F.col("_off") + F.col("_mono").bitwiseAND(F.lit(_LOW_MASK))).cast("bigint"))

@@ -102,14 +102,17 @@ def edge_layout(edges: DataFrame, per_src: DataFrame, hot: DataFrame | None, par
     """
     if hot is None:
         folded = edges.repartition(partitions, "src").groupBy("src", "dst").agg(F.count("*").alias("m"))
-        return folded.join(per_src, "src").select("src", "dst", (F.col("m") / F.col("k")).alias("w"))
+        # Hash join built on the degree side: the edge rows are not sorted.
+        return folded.join(per_src.hint("shuffle_hash"), "src").select(
+            "src", "dst", (F.col("m") / F.col("k")).alias("w"))
     with_sub = edges.join(F.broadcast(hot), "src", "left").select(
         "src", "dst", F.pmod(F.xxhash64("dst"), F.coalesce("buckets", F.lit(1))).cast("int").alias("sub"))
     folded = with_sub.repartition(partitions, "src", "sub").groupBy("src", "sub", "dst").agg(F.count("*").alias("m"))
     # k replicated to each bucket of a hot source, so the join keys match the layout.
     per_bucket = per_src.join(F.broadcast(hot), "src", "left").select(
         "src", "k", F.explode(F.sequence(F.lit(0), F.coalesce("buckets", F.lit(1)) - 1)).alias("sub"))
-    return folded.join(per_bucket, ["src", "sub"]).select("src", "sub", "dst", (F.col("m") / F.col("k")).alias("w"))
+    return folded.join(per_bucket.hint("shuffle_hash"), ["src", "sub"]).select(
+        "src", "sub", "dst", (F.col("m") / F.col("k")).alias("w"))
 
 
 @contextmanager
