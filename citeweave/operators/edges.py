@@ -16,7 +16,11 @@ Journal graph
     are not de-duplicated on this path, so a repeated record counts again.
 
 All resolution steps are equi-joins; with AQE on, Spark picks a broadcast or
-a shuffle join from the runtime sizes and splits skewed join keys.
+a shuffle join from the runtime sizes and splits skewed join keys. A paper
+cited by a large share of the corpus is such a key. AQE can only split a
+join whose inputs are both plain shuffles, so the key tables probed by the
+citations (vertex ids, publication -> journal) are materialised first
+rather than fed to the join straight out of their own aggregation.
 """
 
 from __future__ import annotations
@@ -29,6 +33,15 @@ def has_journal(col: str = "journalName"):
     return F.coalesce(F.col(col), F.lit("")) != ""
 
 
+def _key_table(df: DataFrame) -> DataFrame:
+    """Materialise a per-key table (reliable checkpoint) before it is probed
+    by citation rows, so the join gets its own, splittable exchange."""
+    from citeweave.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def publication_vertices(pubs: DataFrame) -> DataFrame:
     """(id, name): one vertex per distinct id."""
     return pubs.where(F.col("id").isNotNull()).groupBy("id").agg(F.min("title").alias("name"))
@@ -53,7 +66,7 @@ def citations_exploded(pubs: DataFrame) -> DataFrame:
 
 def publication_edges(pubs: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
     """(src, dst): resolved citations, parallel edges and self-loops kept."""
-    vertices = vertices if vertices is not None else publication_vertices(pubs)
+    vertices = vertices if vertices is not None else _key_table(publication_vertices(pubs))
     ids = vertices.select(F.col("id").alias("dst"))
     return citations_exploded(pubs).join(ids, F.col("cited") == F.col("dst"), "inner").select("src", "dst")
 
@@ -76,7 +89,7 @@ def publication_edges_keyed(pubs: DataFrame, keyed_vertices: DataFrame) -> DataF
 
 def unresolved_citations(pubs: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
     """(src, pos, cited) whose cited id is not in the corpus."""
-    vertices = vertices if vertices is not None else publication_vertices(pubs)
+    vertices = vertices if vertices is not None else _key_table(publication_vertices(pubs))
     ids = vertices.select(F.col("id").alias("cited"))
     return citations_exploded(pubs).join(ids, "cited", "left_anti").select("src", "pos", "cited")
 
@@ -111,7 +124,8 @@ def journals(pubs: DataFrame) -> DataFrame:
 
 def journal_citations(pubs: DataFrame) -> DataFrame:
     """(src, dst): one row per citation between two different journals."""
-    targets = publication_journal(pubs).select(F.col("id").alias("cited"), F.col("journalName").alias("dst"))
+    targets = _key_table(publication_journal(pubs)).select(F.col("id").alias("cited"),
+                                                            F.col("journalName").alias("dst"))
     return (
         pubs.where(has_journal())
         .select(F.col("journalName").alias("src"), F.explode("outCitations").alias("cited"))
