@@ -2,8 +2,9 @@
 
 ``dense_index`` is the DataFrame form of sort-then-zipWithIndex:
 
-  1. range-partition on the sort key and sort inside each partition
-     (a sampled RangePartitioner spreads even a repeated key prefix);
+  1. range-partition on the sort key plus a unique tie-breaker and sort
+     inside each partition (the sampled RangePartitioner then spreads even
+     a third of the rows sharing one key);
   2. tag rows with ``monotonically_increasing_id`` (partition index in the
      upper bits, row number inside the partition in the lower 33 bits) and
      checkpoint, so both passes see the same rows in the same places;
@@ -39,11 +40,15 @@ def dense_index(df: DataFrame, order: list, name: str = "idx", partitions: int |
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort_cols = [_as_sort(c) for c in order]
+    # A unique last key: rows equal on ``order`` (copies, parallel edges) can
+    # still be spread over several range partitions.
+    sort_cols = [_as_sort(c) for c in order] + [F.col("_tie").asc()]
     tagged = (
-        df.repartitionByRange(n_parts, *sort_cols)
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(n_parts, *sort_cols)
         .sortWithinPartitions(*sort_cols)
         .withColumn("_mono", F.monotonically_increasing_id())
+        .drop("_tie")
         .checkpoint(eager=True)
     )
     part = F.shiftright(F.col("_mono"), _LOW_BITS)

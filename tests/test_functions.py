@@ -82,3 +82,14 @@ def test_lead_in_order_with_hot_group(spark):
     a = sorted(((r.g, r.o, r.v, r.nxt) for r in got.collect()), key=key)
     b = sorted(((r.g, r.o, r.v, r.want) for r in want.collect()), key=key)
     assert a == b
+
+
+def test_dense_index_spreads_identical_rows(spark):
+    # a third of the rows are identical: they must not all land in one range
+    rows = [("same",)] * 3000 + [(f"k{i:05d}",) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id string")
+    idx = dense_index(df, ["id"], name="idx", partitions=6)
+    got = sorted(r.idx for r in idx.collect())
+    assert got == list(range(9000))
+    per_part = idx.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in per_part) < 3000
