@@ -32,11 +32,13 @@ Execution plan
     replicated to its buckets (only this small side is shuffled). The hot
     list has at most edges / edges_per_bucket rows, so it is broadcast. No
     single task then holds a hub's edges.
-  * The loop runs with adaptive execution off and the shuffle partition
-    count pinned to P: AQE would re-plan every round and a checkpoint taken
-    under AQE does not report its partitioning, which would put an exchange
-    of the whole edge table into every round. Skew in the loop is handled by
-    the salting and partial aggregation above. Settings are restored after.
+  * The loop runs in its own session of the same application (``newSession``)
+    with adaptive execution off and the shuffle partition count pinned to P:
+    AQE would re-plan every round and a checkpoint taken under AQE does not
+    report its partitioning, which would put an exchange of the whole edge
+    table into every round. Skew in the loop is handled by the salting and
+    partial aggregation above. The caller's session is never reconfigured;
+    frames cross between the sessions as global temporary views.
   * Each round's deltas are checkpointed to the reliable checkpoint folder,
     which cuts the lineage and survives executor loss. The same job
     observes the number of vertices still above the tolerance and the delta
@@ -46,7 +48,7 @@ Execution plan
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -115,20 +117,24 @@ def edge_layout(edges: DataFrame, per_src: DataFrame, hot: DataFrame | None, par
         "src", "sub", "dst", (F.col("m") / F.col("k")).alias("w"))
 
 
-@contextmanager
-def _loop_settings(spark: SparkSession, partitions: int):
-    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(partitions)}
-    saved = {k: spark.conf.get(k, None) for k in keys}
-    try:
-        for k, v in keys.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in saved.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+def loop_session(spark: SparkSession, partitions: int) -> SparkSession:
+    """A session of the same application for the PageRank loop, with
+    adaptive execution off and ``partitions`` shuffle partitions. The
+    caller's session configuration is never changed, so concurrent work in
+    it (or a second graph built at the same time) is unaffected."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return session
+
+
+def hand_over(df: DataFrame, session: SparkSession, views: list[str]) -> DataFrame:
+    """The same data as a frame of ``session`` (through a global temporary
+    view, whose name is appended to ``views`` for clean-up)."""
+    name = f"citeweave_{uuid.uuid4().hex}"
+    df.createOrReplaceGlobalTempView(name)
+    views.append(name)
+    return session.table(f"global_temp.{name}")
 
 
 def _messages(delta: DataFrame, wedges: DataFrame, hot: DataFrame | None, tol: float, damp: float) -> DataFrame:
@@ -187,12 +193,16 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
     n_parts = partitions or layout_partitions(n_edges, spark.sparkContext.defaultParallelism)
     hot = hot_sources(per_src, edges_per_bucket).checkpoint(eager=True) if salted else None
 
-    with _loop_settings(spark, n_parts):
-        wedges = edge_layout(edges, per_src, hot, n_parts).checkpoint(eager=True)
+    loop = loop_session(spark, n_parts)
+    views: list[str] = []
+    try:
+        wedges = edge_layout(hand_over(edges, loop, views), hand_over(per_src, loop, views),
+                             hand_over(hot, loop, views) if salted else None, n_parts).checkpoint(eager=True)
+        hot_l = hand_over(hot, loop, views) if salted else None
 
         obs0 = Observation("pagerank-0")
         delta = (
-            vertices.distinct().select("id", F.lit(reset).alias("delta"))
+            hand_over(vertices, loop, views).distinct().select("id", F.lit(reset).alias("delta"))
             .repartition(n_parts, "id")
             .observe(obs0, F.count("*").alias("n"), F.sum("delta").alias("mass"))
             .checkpoint(eager=True)
@@ -211,7 +221,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
             rounds += 1
             obs = Observation(f"pagerank-{rounds}")
             delta = (
-                _messages(delta, wedges, hot, tol, damp)
+                _messages(delta, wedges, hot_l, tol, damp)
                 .observe(obs, F.count(F.when(F.col("delta") > F.lit(tol), 1)).alias("active"),
                          F.sum("delta").alias("mass"))
                 .checkpoint(eager=True)
@@ -221,9 +231,15 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
             total += float(stats["mass"] or 0.0)
             history.append(delta)
 
-    stacked = history[0]
-    for frame in history[1:]:
-        stacked = stacked.unionByName(frame)
+        stacked = history[0]
+        for frame in history[1:]:
+            stacked = stacked.unionByName(frame)
+        # Back in the caller's session. Every round shares one hash
+        # partitioning, so summing per vertex needs no shuffle.
+        stacked = hand_over(stacked, spark, views)
+    finally:
+        for name in views:
+            spark.catalog.dropGlobalTempView(name)
     scale = n_vertices / total if total else 0.0
     ranks = stacked.groupBy("id").agg((F.sum("delta") * F.lit(scale)).alias("pr"))
     return PageRankResult(ranks=ranks, rounds=rounds, vertices=n_vertices, partitions=n_parts, salted=salted)

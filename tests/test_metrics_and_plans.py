@@ -55,25 +55,33 @@ def test_scan_prunes_columns(spark):
 def test_pagerank_round_moves_only_messages(spark):
     """A round joins deltas to the edge layout without an exchange; the only
     shuffle is the message sum. With hot sources, the small delta side is
-    shuffled to (src, sub) but the edge table still stays in place."""
+    shuffled to (src, sub) but the edge table still stays in place. The
+    loop's session settings never leak into the caller's session."""
     from pyspark.sql import functions as F
 
-    from citeweave.operators.pagerank import (_loop_settings, _messages, edge_layout, hot_sources,
+    from citeweave.operators.pagerank import (_messages, edge_layout, hand_over, hot_sources, loop_session,
                                               out_degrees_by_source)
 
+    aqe = spark.conf.get("spark.sql.adaptive.enabled")
     edges = spark.createDataFrame([(i % 97, (i * 31) % 101) for i in range(3000)], "src bigint, dst bigint")
     per_src = out_degrees_by_source(edges).checkpoint()
     for per_bucket in [1_000_000, 5]:
         hot = hot_sources(per_src, per_bucket).checkpoint() if per_bucket < 100 else None
-        with _loop_settings(spark, 4):
-            layout = edge_layout(edges, per_src, hot, 4)
-            assert _plan(layout).count("Exchange hashpartitioning(src") == 2  # edges once, degrees once
-            w = layout.checkpoint()
-            d = spark.range(0, 101).select(F.col("id"), F.lit(0.15).alias("delta")).repartition(4, "id").checkpoint()
-            plan = _plan(_messages(d, w, hot, 1e-4, 0.85))
+        loop, views = loop_session(spark, 4), []
+        e_l, d_l = hand_over(edges, loop, views), hand_over(per_src, loop, views)
+        h_l = hand_over(hot, loop, views) if hot is not None else None
+        layout = edge_layout(e_l, d_l, h_l, 4)
+        assert _plan(layout).count("Exchange hashpartitioning(src") == 2  # edges once, degrees once
+        assert "SortMergeJoin" not in _plan(layout)
+        w = layout.checkpoint()
+        d = loop.range(0, 101).select(F.col("id"), F.lit(0.15).alias("delta")).repartition(4, "id").checkpoint()
+        plan = _plan(_messages(d, w, h_l, 1e-4, 0.85))
         exchanges = plan.count("Exchange hashpartitioning")
         assert exchanges == (2 if hot is not None else 1), plan
         assert "hashpartitioning(dst" in plan
+        for name in views:
+            spark.catalog.dropGlobalTempView(name)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == aqe
 
 
 def test_dense_index_has_no_data_sized_single_partition(spark):

@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from citeweave.operators import edges as E  # noqa: E402
-from citeweave.operators.pagerank import (_loop_settings, _messages, edge_layout,  # noqa: E402
+from citeweave.operators.pagerank import (_messages, edge_layout, hand_over, loop_session,  # noqa: E402
                                           out_degrees_by_source)
 from citeweave.plans import graph as G  # noqa: E402
 from citeweave.session import local_session  # noqa: E402
@@ -57,17 +57,19 @@ def main():
             E.journal_edges(pubs))
     edges = pg.edges.select(F.xxhash64("src").alias("src"), F.xxhash64("dst").alias("dst"))
     per_src = out_degrees_by_source(edges).checkpoint()
-    with _loop_settings(spark, 5):
-        section("PageRank edge layout", "One shuffle of the edge rows on the source; parallel edges are folded "
-                "inside each partition (no second exchange); out-degrees are joined on the same key with a hash "
-                "join built on the degree side, so the edge rows are never sorted.",
-                edge_layout(edges, per_src, None, 5))
-        layout = edge_layout(edges, per_src, None, 5).checkpoint()
-        delta = edges.select(F.col("src").alias("id")).distinct().select("id", F.lit(0.15).alias("delta")) \
-            .repartition(5, "id").checkpoint()
-        section("One PageRank round", "Deltas and edge layout share the hash partitioning on the source: the "
-                "join has no exchange on either side. The only shuffle is the message sum, after partial "
-                "aggregation.", _messages(delta, layout, None, 1e-4, 0.85))
+    loop, views = loop_session(spark, 5), []
+    edges_l, per_src_l = hand_over(edges, loop, views), hand_over(per_src, loop, views)
+    section("PageRank edge layout", "Runs in the loop's own session (AQE off, P shuffle partitions). One "
+            "shuffle of the edge rows on the source; parallel edges are folded inside each partition (no "
+            "second exchange); out-degrees are joined on the same key with a hash join built on the degree "
+            "side, so the edge rows are never sorted.",
+            edge_layout(edges_l, per_src_l, None, 5))
+    layout = edge_layout(edges_l, per_src_l, None, 5).checkpoint()
+    delta = edges_l.select(F.col("src").alias("id")).distinct().select("id", F.lit(0.15).alias("delta")) \
+        .repartition(5, "id").checkpoint()
+    section("One PageRank round", "Deltas and edge layout share the hash partitioning on the source: the "
+            "join has no exchange on either side. The only shuffle is the message sum, after partial "
+            "aggregation.", _messages(delta, layout, None, 1e-4, 0.85))
     section("Batch influence report (k = 500)", "Seeds (k rows) are broadcast; ranking inside a seed uses global "
             "positions from a range partitioning, so a hub seed is spread over many tasks.",
             pg.influence_report(500))
