@@ -148,6 +148,20 @@ def build_journal_graph(pubs: DataFrame, tol: float = DEFAULT_TOL, reset: float
     return _finish("journal", vertices, pairs, jedges, result.ranks, result)
 
 
+def build_graphs(pubs: DataFrame, tol: float = DEFAULT_TOL, reset: float = DEFAULT_RESET,
+                 edges_per_bucket: int = 1_000_000) -> tuple[CitationGraph, CitationGraph]:
+    """Both graphs of a corpus, built concurrently: jobs submitted from two
+    threads run side by side in the same application (each PageRank loop has
+    its own session, so they do not interfere). Returns (publications,
+    journals)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=2, thread_name_prefix="citeweave-graph") as pool:
+        pub = pool.submit(build_publication_graph, pubs, tol, reset, edges_per_bucket)
+        jour = pool.submit(build_journal_graph, pubs, tol, reset, edges_per_bucket)
+        return pub.result(), jour.result()
+
+
 def load_corpus(spark: SparkSession, path: str, mode: str = "FAILFAST", sample: float | None = None,
                 sample_seed: int = 2, by_hash: bool = True, partitions: int | None = None) -> DataFrame:
     """Publication records from JSON lines, ready for the graph builders.
@@ -203,6 +217,14 @@ def journal_graph(spark: SparkSession, sf_dir: str) -> CitationGraph:
     return _BUILT[k]
 
 
+def graphs(spark: SparkSession, sf_dir: str) -> tuple[CitationGraph, CitationGraph]:
+    """Both kept graphs of a test-table folder, built concurrently if needed."""
+    kp, kj = _key(spark, sf_dir, "publication"), _key(spark, sf_dir, "journal")
+    if kp not in _BUILT and kj not in _BUILT:
+        _BUILT[kp], _BUILT[kj] = build_graphs(corpus(spark, sf_dir))
+    return publication_graph(spark, sf_dir), journal_graph(spark, sf_dir)
+
+
 def forget(spark: SparkSession | None = None) -> None:
     """Drop kept graphs (all, or those of one session)."""
     for k in list(_BUILT):

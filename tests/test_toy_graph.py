@@ -101,3 +101,14 @@ def test_max_rounds_raises(spark):
     e = spark.createDataFrame([("1", "2"), ("2", "1")], "src string, dst string")
     with pytest.raises(RuntimeError):
         pagerank(v, e, max_rounds=2)
+
+
+def test_concurrent_builds_match(toy, pub):
+    from citeweave.plans.graph import build_graphs
+
+    p, j = build_graphs(toy)
+    a = as_dict(p.vertices, "id", "pr")
+    for k, want in PR.items():
+        assert a[k] == pytest.approx(want, abs=1e-9)
+    assert sorted((r.src, r.dst, r.n) for r in j.edges.collect()) == [("J1", "J2", 3), ("J3", "J1", 1)]
+    assert as_dict(j.vertices, "id", "pr")["J2"] == pytest.approx(1.423237, abs=1e-6)
