@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.functions.hexdec import hex_to_decimal_string
+from citeweave.functions.hexdec import hex_to_decimal, hex_to_decimal_string
 from citeweave.operators import degrees, edges as E, summary as S
 from citeweave.operators.indexing import dense_index
 from citeweave.operators.neighbors import influence_report, influential_by_name, neighbors, top_k, vertices_by_name
@@ -104,6 +104,23 @@ def q_corpus_count(spark, sf_dir):
     return corpus(spark, sf_dir).agg(F.count("*").alias("n_records"))
 
 
+@query("stream_ingest_publications")
+def q_stream_ingest_publications(spark, sf_dir):
+    """The damaged JSON lines ingested by the streaming query (one run over
+    what has landed); the good records it wrote."""
+    from citeweave.streaming.ingest import start_ingest
+
+    k = _key(spark, sf_dir, "stream-table")
+    if k not in _BUILT:
+        base = scratch_path(spark, "stream")
+        start_ingest(spark, _damaged_json(spark, sf_dir), f"{base}/table", f"{base}/quarantine",
+                     f"{base}/state").awaitTermination()
+        _BUILT[k] = f"{base}/table"
+    table = spark.read.parquet(_BUILT[k])
+    return table.select("id", "title", "journalName",
+                        F.size("outCitations").cast("bigint").alias("n_cited"), _list_text("outCitations").alias("cited"))
+
+
 # -- projections, filters, flattening ------------------------------------------
 
 @query("publication_vertices")
@@ -345,8 +362,10 @@ EVENT_LOG_QUERIES = {"task_metrics": q_task_metrics, "stage_rollup": q_stage_rol
 @query("hex_to_decimal")
 def q_hex_to_decimal(spark, sf_dir):
     pubs = corpus(spark, sf_dir)
+    key = F.substring(F.md5(F.col("id")), 1, 30)
     return pubs.select(
         "id",
         hex_to_decimal_string(F.col("id")).alias("id_dec"),
-        hex_to_decimal_string(F.substring(F.md5(F.col("id")), 1, 30)).alias("key_dec"),
+        hex_to_decimal_string(key).alias("key_dec"),
+        hex_to_decimal(key).cast("string").alias("key_fold"),
     )

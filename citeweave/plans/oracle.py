@@ -181,5 +181,9 @@ from (select src id from pe union select dst from pe) x left join pv on pv.id =
         "influence_report_journals": j.rstrip("\n") + _report("jg", "je"),
         "graph_links": pb + """, idx as (select id, (row_number() over (order by id) - 1)::bigint idx from pv)
 select a.idx source, b.idx target from pe join idx a on a.id = pe.src join idx b on b.id = pe.dst""",
-        "hex_to_decimal": c + f"select id, {_hex('id')} id_dec, {_hex('substr(md5(id), 1, 30)')} key_dec from pubs",
+        "hex_to_decimal": c + f"select id, {_hex('id')} id_dec, {_hex('substr(md5(id), 1, 30)')} key_dec, "
+                              f"{_hex('substr(md5(id), 1, 30)')} key_fold from pubs",
+        "stream_ingest_publications": c + f"""select id, title, journalName, len(outCitations)::bigint n_cited,
+       array_to_string(outCitations, ' ') cited from pubs
+where cast(id as bigint) % {TRUNCATE_EVERY} <> 0 and cast(id as bigint) % {EMPTY_EVERY} <> 0""",
     }
