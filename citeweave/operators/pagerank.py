@@ -48,6 +48,7 @@ Execution plan
 
 from __future__ import annotations
 
+import threading
 import uuid
 from dataclasses import dataclass
 
@@ -117,14 +118,25 @@ def edge_layout(edges: DataFrame, per_src: DataFrame, hot: DataFrame | None, par
         "src", "sub", "dst", (F.col("m") / F.col("k")).alias("w"))
 
 
+# One loop session per (caller session, partition count); its settings never
+# change after creation, so concurrent loops may share it.
+_LOOP_SESSIONS: dict = {}
+_LOOP_LOCK = threading.Lock()
+
+
 def loop_session(spark: SparkSession, partitions: int) -> SparkSession:
     """A session of the same application for the PageRank loop, with
     adaptive execution off and ``partitions`` shuffle partitions. The
     caller's session configuration is never changed, so concurrent work in
     it (or a second graph built at the same time) is unaffected."""
-    session = spark.newSession()
-    session.conf.set("spark.sql.adaptive.enabled", "false")
-    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    key = (id(spark), partitions)
+    with _LOOP_LOCK:
+        session = _LOOP_SESSIONS.get(key)
+        if session is None:
+            session = spark.newSession()
+            session.conf.set("spark.sql.adaptive.enabled", "false")
+            session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+            _LOOP_SESSIONS[key] = session
     return session
 
 
