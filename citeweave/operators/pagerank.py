@@ -129,7 +129,7 @@ def loop_session(spark: SparkSession, partitions: int) -> SparkSession:
     adaptive execution off and ``partitions`` shuffle partitions. The
     caller's session configuration is never changed, so concurrent work in
     it (or a second graph built at the same time) is unaffected."""
-    key = (id(spark), partitions)
+    key = (spark.sparkContext.applicationId, id(spark), partitions)
     with _LOOP_LOCK:
         session = _LOOP_SESSIONS.get(key)
         if session is None:
