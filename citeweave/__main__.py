@@ -1,14 +1,16 @@
 """Command line: the timing report and the neighbourhood search.
 
-    python -m citeweave report --input 'corpus/*.json' [--sample 0.33] \
-        [--publications 5] [--journals 5] [--output out/]
+    python -m citeweave report --input 'corpus/*.json' [--sample 0.33] [--partitions 4] \
+        [--publications 5] [--journals 5] [--print] [--output out/] [--stages-csv out/stages]
+    python -m citeweave report --properties application.properties
     python -m citeweave search --input 'corpus/*.json' --graph publication \
         --direction in --name "Exact title" [--name ...] [--output out/]
 
 Reads JSON-lines publication records. Results are written to ``--output``
-(JSON folders) or, without it, a preview of at most ``--show`` rows is
-printed. Use spark-submit to run it on a cluster; the session's
-``spark.checkpoint.dir`` must name a shared folder there.
+(JSON folders) or, with ``--print``/for search without ``--output``, at most
+``--show`` rows are printed. ``--properties`` takes a run configuration in
+Java properties form (keys below). Use spark-submit to run it on a cluster;
+the session's ``spark.checkpoint.dir`` must name a shared folder there.
 """
 
 from __future__ import annotations
@@ -19,6 +21,54 @@ import sys
 
 from pyspark.sql import SparkSession
 
+# Run-configuration keys understood by --properties, and the
+# report option each one sets.
+PROPERTY_KEYS = {
+    "file.path": "input",
+    "sample.size": "sample",
+    "repartition.size": "partitions",
+    "test.entity.publication": "with_publications",
+    "test.entity.journal": "with_journals",
+    "test.publication.size": "publications",
+    "test.journal.size": "journals",
+    "test.print.results": "print",
+    "test.task.metrics": "stages_csv",
+}
+
+
+def read_properties(path: str) -> dict[str, str]:
+    """key = value lines; '#' and '!' start comments."""
+    out = {}
+    with open(path, encoding="utf-8") as fh:
+        for raw in fh:
+            line = raw.strip()
+            if not line or line[0] in "#!":
+                continue
+            sep = min((i for i in (line.find("="), line.find(":")) if i >= 0), default=-1)
+            if sep < 0:
+                continue
+            out[line[:sep].strip()] = line[sep + 1:].strip()
+    return out
+
+
+def _apply_properties(args: argparse.Namespace, props: dict[str, str]) -> None:
+    for key, option in PROPERTY_KEYS.items():
+        if key not in props:
+            continue
+        value = props[key]
+        if option in ("sample",):
+            setattr(args, option, float(value))
+        elif option in ("partitions", "publications", "journals"):
+            setattr(args, option, int(value))
+        elif option in ("with_publications", "with_journals", "print"):
+            setattr(args, option, value.lower() == "true")
+        else:
+            setattr(args, option, value)
+    if getattr(args, "with_publications", True) is False:
+        args.publications = 0
+    if getattr(args, "with_journals", True) is False:
+        args.journals = 0
+
 
 def _session() -> SparkSession:
     spark = SparkSession.builder.appName("citeweave").getOrCreate()
@@ -31,31 +81,46 @@ def main(argv: list[str] | None = None) -> int:
     sub = p.add_subparsers(dest="cmd", required=True)
     for name in ("report", "search"):
         s = sub.add_parser(name)
-        s.add_argument("--input", required=True, help="JSON-lines records (path or glob)")
+        s.add_argument("--input", help="JSON-lines records (path or glob)")
         s.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE", "DROPMALFORMED"])
         s.add_argument("--sample", type=float, default=None, help="fraction of records to keep (by key hash)")
+        s.add_argument("--partitions", type=int, default=None, help="repartition the records after loading")
         s.add_argument("--output", default=None)
         s.add_argument("--show", type=int, default=50)
     r = sub.choices["report"]
+    r.add_argument("--properties", default=None, help="run configuration (Java properties)")
     r.add_argument("--publications", type=int, default=5)
     r.add_argument("--journals", type=int, default=5)
     r.add_argument("--direction", default="in", choices=["in", "out", "either"])
+    r.add_argument("--print", action="store_true", help="print the report rows")
+    r.add_argument("--stages-csv", dest="stages_csv", default=None, help="write the stage rollup as CSV")
     q = sub.choices["search"]
     q.add_argument("--graph", default="publication", choices=["publication", "journal"])
     q.add_argument("--direction", default="in", choices=["in", "out", "either"])
     q.add_argument("--name", action="append", required=True)
     args = p.parse_args(argv)
+    if args.cmd == "report" and args.properties:
+        _apply_properties(args, read_properties(args.properties))
+    if not args.input:
+        p.error("--input (or file.path in --properties) is required")
 
     from citeweave.plans.graph import build_journal_graph, build_publication_graph, load_corpus
 
     spark = _session()
-    pubs = load_corpus(spark, args.input, mode=args.mode, sample=args.sample)
+    pubs = load_corpus(spark, args.input, mode=args.mode, sample=args.sample, partitions=args.partitions)
     if args.cmd == "report":
         from citeweave.plans.testmode import run_test_mode
+        from citeweave.sources.jsonl import write_csv
 
         res = run_test_mode(pubs, args.publications, args.journals, args.direction, output=args.output)
         print(json.dumps({"seconds": res["seconds"], "rounds": res["rounds"]}))
+        if args.print:
+            for kind, report in res["reports"].items():
+                print(f"{kind}: most influential citing vertices of the top seeds")
+                report.orderBy("seed_position", "rank").show(args.show, truncate=False)
         if res["stages"] is not None:
+            if args.stages_csv:
+                write_csv(res["stages"], args.stages_csv, single_file=True)
             res["stages"].show(args.show, truncate=False)
     else:
         build = build_publication_graph if args.graph == "publication" else build_journal_graph

@@ -95,3 +95,31 @@ def test_command_line_search(spark, toy_path, capsys, monkeypatch):
                      "--output", os.path.join(out, "r")]) == 0
     rows = spark.read.json(os.path.join(out, "r")).collect()
     assert sorted(r.neighbor_id for r in rows) == ["1", "2", "2"]
+
+
+def test_command_line_report_from_properties(spark, toy_path, capsys, monkeypatch):
+    from citeweave import __main__ as cli
+
+    out = tempfile.mkdtemp(prefix="citeweave-props-")
+    props = os.path.join(out, "run.properties")
+    with open(props, "w") as fh:
+        fh.write(f"""# a run configuration
+env = local
+file.path = {toy_path}
+sample.size = 1.0
+repartition.size = 4
+test.mode = true
+test.entity.publication = true
+test.entity.journal = false
+test.publication.size = 2
+test.journal.size = 5
+test.print.results = true
+""")
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    assert cli.main(["report", "--properties", props, "--output", os.path.join(out, "r")]) == 0
+    printed = capsys.readouterr().out
+    summary = json.loads(printed.splitlines()[0])
+    assert set(summary["rounds"]) == {"publications"}
+    rows = spark.read.json(os.path.join(out, "r", "publications_report")).collect()
+    assert {r.seed_position for r in rows} == {1, 2}
+    assert "most influential citing vertices" in printed
