@@ -20,7 +20,7 @@ Execution plan
   * The edges are laid out once: one shuffle hash-partitions them on the
     source into P partitions, parallel edges are folded inside each
     partition into one weighted edge w = m / k(src), and the layout is
-    checkpointed. Each round's deltas come out of the
+    checkpointed, then kept on the executors for the rounds. Each round's deltas come out of the
     message aggregation hash-partitioned on the vertex into the same P
     partitions, so the next round joins them to the edges partition by
     partition with no exchange on either side; the edge table never moves.
@@ -55,6 +55,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 from citeweave.session import ensure_checkpoint_dir
 
@@ -207,9 +208,14 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
 
     loop = loop_session(spark, n_parts)
     views: list[str] = []
+    wedges = None
     try:
+        # Reliable copy first (survives executor loss), then kept on the
+        # executors: every round scans the whole layout, so it is read from
+        # memory / local disk rather than from the shared folder each time.
         wedges = edge_layout(hand_over(edges, loop, views), hand_over(per_src, loop, views),
                              hand_over(hot, loop, views) if salted else None, n_parts).checkpoint(eager=True)
+        wedges = wedges.persist(StorageLevel.MEMORY_AND_DISK)
         hot_l = hand_over(hot, loop, views) if salted else None
 
         obs0 = Observation("pagerank-0")
@@ -250,6 +256,8 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
         # partitioning, so summing per vertex needs no shuffle.
         stacked = hand_over(stacked, spark, views)
     finally:
+        if wedges is not None:
+            wedges.unpersist()
         for name in views:
             spark.catalog.dropGlobalTempView(name)
     scale = n_vertices / total if total else 0.0

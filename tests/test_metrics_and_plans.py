@@ -58,6 +58,7 @@ def test_pagerank_round_moves_only_messages(spark):
     shuffled to (src, sub) but the edge table still stays in place. The
     loop's session settings never leak into the caller's session."""
     from pyspark.sql import functions as F
+    from pyspark.storagelevel import StorageLevel
 
     from citeweave.operators.pagerank import (_messages, edge_layout, hand_over, hot_sources, loop_session,
                                               out_degrees_by_source)
@@ -73,12 +74,13 @@ def test_pagerank_round_moves_only_messages(spark):
         layout = edge_layout(e_l, d_l, h_l, 4)
         assert _plan(layout).count("Exchange hashpartitioning(src") == 2  # edges once, degrees once
         assert "SortMergeJoin" not in _plan(layout)
-        w = layout.checkpoint()
+        w = layout.checkpoint().persist(StorageLevel.MEMORY_AND_DISK)  # as the loop keeps it
         d = loop.range(0, 101).select(F.col("id"), F.lit(0.15).alias("delta")).repartition(4, "id").checkpoint()
         plan = _plan(_messages(d, w, h_l, 1e-4, 0.85))
         exchanges = plan.count("Exchange hashpartitioning")
         assert exchanges == (2 if hot is not None else 1), plan
         assert "hashpartitioning(dst" in plan
+        w.unpersist()
         for name in views:
             spark.catalog.dropGlobalTempView(name)
     assert spark.conf.get("spark.sql.adaptive.enabled") == aqe
