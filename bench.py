@@ -15,7 +15,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -37,12 +36,8 @@ def run(df):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    scratch = tempfile.mkdtemp(prefix="citeweave-bench-")
     spark = local_session(cpus, shuffle_partitions=cpus, app="citeweave-bench", extra={
         "spark.ui.showConsoleProgress": "false",
-        "spark.eventLog.enabled": "true",
-        "spark.eventLog.dir": scratch,
-        "spark.eventLog.compress": "false",
     })
     warm = os.path.join(os.path.dirname(sf_dir), "sf0.001")
     if os.path.isdir(warm) and warm != sf_dir:
