@@ -62,6 +62,8 @@ from citeweave.session import ensure_checkpoint_dir
 # The default tolerance and reset probability of the reference call.
 DEFAULT_TOL = 1e-4
 DEFAULT_RESET = 0.15
+# Upper bound on the broadcast list of hot sources.
+MAX_HOT_SOURCES = 1_000_000
 
 
 @dataclass
@@ -202,6 +204,9 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
         obs_e, F.sum("k").alias("n"), F.max("k").alias("top")).checkpoint(eager=True)
     stats = obs_e.get
     n_edges, top = int(stats["n"] or 0), int(stats["top"] or 0)
+    # The hot list has at most n_edges / edges_per_bucket rows; keep that
+    # bound under MAX_HOT_SOURCES so broadcasting it is always safe.
+    edges_per_bucket = max(edges_per_bucket, -(-n_edges // MAX_HOT_SOURCES))
     salted = top > edges_per_bucket
     n_parts = partitions or layout_partitions(n_edges, spark.sparkContext.defaultParallelism)
     hot = hot_sources(per_src, edges_per_bucket).checkpoint(eager=True) if salted else None
