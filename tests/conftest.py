@@ -23,6 +23,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.eventLog.enabled", "true")
         .config("spark.eventLog.dir", EVENT_DIR)
         .getOrCreate()
