@@ -108,6 +108,25 @@ class CitationGraph:
         links.write.mode("overwrite").json(f"{path.rstrip('/')}/links")
         return path
 
+    def write(self, path: str) -> str:
+        """Save the graph as parquet (path/vertices, path/edges, path/_meta)
+        so later applications query it without rebuilding."""
+        spark = self.vertices.sparkSession
+        base = path.rstrip("/")
+        self.vertices.write.mode("overwrite").parquet(f"{base}/vertices")
+        self.edges.write.mode("overwrite").parquet(f"{base}/edges")
+        meta = spark.createDataFrame([(self.kind, self.rounds)], "kind string, rounds int")
+        meta.coalesce(1).write.mode("overwrite").json(f"{base}/_meta")
+        return path
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> "CitationGraph":
+        """A graph saved with ``write``."""
+        base = path.rstrip("/")
+        meta = spark.read.json(f"{base}/_meta").first()
+        return cls(kind=meta["kind"], vertices=spark.read.parquet(f"{base}/vertices"),
+                   edges=spark.read.parquet(f"{base}/edges"), rounds=int(meta["rounds"]))
+
     def unpersist(self) -> None:
         """Kept frames are checkpoint files; nothing is held in memory."""
 

@@ -123,3 +123,15 @@ test.print.results = true
     rows = spark.read.json(os.path.join(out, "r", "publications_report")).collect()
     assert {r.seed_position for r in rows} == {1, 2}
     assert "most influential citing vertices" in printed
+
+
+def test_graph_write_and_read(spark, toy):
+    from citeweave.plans.graph import CitationGraph
+
+    g = build_publication_graph(toy)
+    out = os.path.join(tempfile.mkdtemp(prefix="citeweave-save-"), "g")
+    g.write(out)
+    back = CitationGraph.read(spark, out)
+    assert back.kind == "publication" and back.rounds == g.rounds
+    assert sorted(map(tuple, back.vertices.collect())) == sorted(map(tuple, g.vertices.collect()))
+    assert [r.neighbor_id for r in back.influential("C", "in").orderBy("rank").collect()] == ["1", "2", "2"]
