@@ -82,7 +82,9 @@ def layout_partitions(n_edges: int, cores: int, min_edges_per_task: int = 50_000
     ``edges_per_partition`` edges (about 50 MB of fixed-width rows)."""
     by_cores = min(cores, -(-n_edges // min_edges_per_task))
     by_size = -(-n_edges // edges_per_partition)
-    return max(1, by_cores, by_size)
+    # At least two: with one partition Spark plans the layout as a single
+    # partition, and every other round's deltas no longer line up with it.
+    return max(min(2, cores), by_cores, by_size)
 
 
 def out_degrees_by_source(edges: DataFrame) -> DataFrame:
@@ -225,8 +227,9 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
 
         obs0 = Observation("pagerank-0")
         delta = (
+            # distinct() shuffles on id into the loop's P partitions: the same
+            # hash partitioning as the edge layout.
             hand_over(vertices, loop, views).distinct().select("id", F.lit(reset).alias("delta"))
-            .repartition(n_parts, "id")
             .observe(obs0, F.count("*").alias("n"), F.sum("delta").alias("mass"))
             .checkpoint(eager=True)
         )

@@ -129,3 +129,23 @@ def test_plain_single_file_event_log(spark):
         fh.write(data)
     plain = task_metrics(spark, out).count()
     assert plain == data.count(b'{"Event":"SparkListenerTaskEnd"') > 0
+
+
+def test_every_round_of_a_real_build_has_one_exchange(spark, monkeypatch):
+    """Across all rounds of an actual build, deltas stay aligned with the
+    edge layout: one exchange (the message sum) per round, never more."""
+    import citeweave.operators.pagerank as pm
+    from citeweave.plans.graph import build_publication_graph, corpus
+
+    plans = []
+    original = pm._messages
+
+    def watched(*args, **kwargs):
+        df = original(*args, **kwargs)
+        plans.append(_plan(df))
+        return df
+
+    monkeypatch.setattr(pm, "_messages", watched)
+    g = build_publication_graph(corpus(spark, SF))
+    assert len(plans) == g.rounds > 10
+    assert all(p.count("Exchange") == 1 for p in plans), [p.count("Exchange") for p in plans]
