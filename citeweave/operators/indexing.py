@@ -86,12 +86,23 @@ def rank_within(df: DataFrame, group: str, order: list, name: str = "rank",
     )
 
 
-def lead_in_order(df: DataFrame, group: str, order: list, value: str, name: str) -> DataFrame:
-    """``lead(value) over (partition by group order by order)`` without a
-    window partitioned by ``group``: rows get global positions on
-    (group, order) and each row is joined to the row one position later,
-    kept only when it belongs to the same group. An equi-join on a unique
-    position has no hot key, however large one group is."""
+def lead_in_order(df: DataFrame, group: str, order: list, value: str, name: str,
+                  max_group_rows: int = 1_000_000) -> DataFrame:
+    """``lead(value) over (partition by group order by order)`` that no large
+    group can stall.
+
+    The largest group is measured first (a count per group with map-side
+    partial aggregation; one number reaches the driver). If every group has
+    at most ``max_group_rows`` rows, the plain window runs: each group is
+    sorted by one task, which is bounded by that check. Otherwise rows get
+    global positions on (group, order) and each row is joined to the row one
+    position later, kept only when it belongs to the same group; an equi-join
+    on a unique position has no hot key, however large one group is.
+    """
+    largest = df.groupBy(group).count().agg(F.max("count").alias("m")).first()["m"] or 0
+    if largest <= max_group_rows:
+        w = Window.partitionBy(group).orderBy(*[_as_sort(c) for c in order])
+        return df.withColumn(name, F.lead(value).over(w))
     indexed = dense_index(df, [group] + list(order), name="_pos")
     following = indexed.select((F.col("_pos") - 1).alias("_pos"), F.col(group).alias("_next_group"),
                                F.col(value).alias("_next_value"))

@@ -26,8 +26,8 @@ def derived_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
 
-    # The next line of the same order, without gathering an order into one
-    # task (an order may be arbitrarily long).
+    # The next line of the same order. A window per order when every order is
+    # small (measured first); global positions when one order is huge.
     cites = lead_in_order(lineitem, "l_orderkey", ["l_linenumber", "l_partkey"], "l_partkey", "nxt") \
         .select(F.col("l_partkey").alias("pk"), "nxt", "l_orderkey", "l_linenumber")
     lists = (

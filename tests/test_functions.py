@@ -74,14 +74,18 @@ def test_lead_in_order_with_hot_group(spark):
     rnd = random.Random(3)
     rows = [(0 if i % 3 == 0 else rnd.randint(1, 300), rnd.randint(1, 9), rnd.randint(1, 50)) for i in range(5000)]
     df = spark.createDataFrame(rows, "g bigint, o int, v bigint")
-    got = lead_in_order(df, "g", ["o", "v"], "v", "nxt")
     want = df.withColumn("want", F.lead("v").over(Window.partitionBy("g").orderBy("o", "v")))
+
     def key(t):
         return tuple((x is None, x if x is not None else 0) for x in t)
 
-    a = sorted(((r.g, r.o, r.v, r.nxt) for r in got.collect()), key=key)
     b = sorted(((r.g, r.o, r.v, r.want) for r in want.collect()), key=key)
-    assert a == b
+    # the hot group exceeds the bound: positional path; a generous bound: window path
+    for bound in (1000, 10_000_000):
+        got = lead_in_order(df, "g", ["o", "v"], "v", "nxt", max_group_rows=bound)
+        assert ("Window" in got._jdf.queryExecution().executedPlan().toString()) == (bound > 5000)
+        a = sorted(((r.g, r.o, r.v, r.nxt) for r in got.collect()), key=key)
+        assert a == b
 
 
 def test_dense_index_spreads_identical_rows(spark):
