@@ -27,24 +27,36 @@ def _digits(col: Column) -> Column:
     return F.transform(chars, lambda c: (F.instr(F.lit(HEX_DIGITS), c) - 1).cast("int"))
 
 
+def _chunks(c: Column) -> Column:
+    """Valid hex split into 7-digit chunks (left-padded), as bigints."""
+    width = F.ceil(F.length(c) / _CHUNK) * _CHUNK
+    padded = F.lpad(c, width.cast("int"), "0")
+    parts = F.regexp_extract_all(padded, F.lit(f"[0-9a-fA-F]{{{_CHUNK}}}"), F.lit(0))
+    return F.transform(parts, lambda h: F.conv(h, 16, 10).cast("bigint"))
+
+
 def hex_to_decimal(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     zero = F.lit(0).cast("decimal(38,0)")
-    folded = F.aggregate(
+    valid = c.rlike("^[0-9a-fA-F]+$")
+    # Valid hex: 7 digits per step. Otherwise the digit-by-digit fold, where a
+    # non-hex character counts as -1.
+    by_chunk = F.aggregate(
+        _chunks(c), zero,
+        lambda acc, x: F.try_add(F.try_multiply(acc, F.lit(_CHUNK_BASE)), x).cast("decimal(38,0)"),
+    )
+    by_digit = F.aggregate(
         _digits(c), zero,
         lambda acc, d: F.try_add(F.try_multiply(acc, F.lit(16)), d).cast("decimal(38,0)"),
     )
-    return F.when(F.length(c) > 0, folded)
+    return F.when(F.length(c) > 0, F.when(valid, by_chunk).otherwise(by_digit))
 
 
 def hex_to_decimal_string(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     # Seven hex digits (28 bits) per step: a limb times 2^28 plus a chunk
     # stays below 2^63, and a 40-digit id takes 6 steps instead of 40.
-    width = F.ceil(F.length(c) / _CHUNK) * _CHUNK
-    padded = F.lpad(c, width.cast("int"), "0")
-    chunks = F.regexp_extract_all(padded, F.lit(f"[0-9a-fA-F]{{{_CHUNK}}}"), F.lit(0))
-    values = F.transform(chunks, lambda h: F.conv(h, 16, 10).cast("bigint"))
+    values = _chunks(c)
     start = F.array(F.lit(0).cast("bigint"))
 
     def shift_add(limbs, chunk):
@@ -63,4 +75,7 @@ def hex_to_decimal_string(col: Column | str) -> Column:
         F.transform(F.reverse(limbs), lambda x, i: F.when(i == 0, x.cast("string")).otherwise(F.lpad(x.cast("string"), 9, "0"))),
         "",
     )
-    return F.when(c.rlike("^[0-9a-fA-F]+$"), text)
+    valid = c.rlike("^[0-9a-fA-F]+$")
+    # Up to 15 digits the value fits 64 bits: the built-in conversion.
+    short = F.conv(c, 16, 10)
+    return F.when(valid, F.when(F.length(c) <= 15, short).otherwise(text))
