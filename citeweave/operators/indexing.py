@@ -12,10 +12,12 @@
      the partition count -- and turn the counts into start offsets;
   4. position = offset of the partition + row number inside it.
 
-``rank_within`` ranks rows inside groups with the same machinery: the global
-position minus the position of the group's first row. A group holding a
-third of all rows is spread across many range partitions instead of being
-sorted by one task, which a window partitioned by the group would do.
+``rank_within`` ranks rows inside groups with the same machinery when a group
+is large: the global position minus the position of the group's first row.
+A group holding a third of all rows is then spread across many range
+partitions instead of being sorted by one task, which a window partitioned
+by the group would do. ``rank_within`` and ``lead_in_order`` measure the
+largest group first and use the plain window when every group is bounded.
 """
 
 from __future__ import annotations
@@ -68,13 +70,23 @@ def dense_index(df: DataFrame, order: list, name: str = "idx", partitions: int |
 
 
 def rank_within(df: DataFrame, group: str, order: list, name: str = "rank",
-                groups_bound: int | None = None) -> DataFrame:
+                groups_bound: int | None = None, max_group_rows: int = 1_000_000) -> DataFrame:
     """Add a 1-based ``name`` ranking rows inside each ``group`` by ``order``.
 
+    The largest group is measured first (a count per group with map-side
+    partial aggregation; one number reaches the driver). If every group has
+    at most ``max_group_rows`` rows, a window ranks them (one task per group,
+    bounded by that check). Otherwise ranks come from global positions, so a
+    group holding a third of all rows is spread over many tasks.
+
     ``groups_bound``: a proven upper bound on the number of groups (for
     example k seeds); the group-start table is broadcast only then, else the
     join is left to the planner and AQE's runtime size check.
     """
+    largest = df.groupBy(group).count().agg(F.max("count").alias("m")).first()["m"] or 0
+    if largest <= max_group_rows:
+        w = Window.partitionBy(group).orderBy(*[_as_sort(c) for c in order])
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     indexed = dense_index(df, [group] + list(order), name="_gpos")
     starts = indexed.groupBy(group).agg(F.min("_gpos").alias("_start"))
     if groups_bound is not None and groups_bound <= 100_000:

@@ -58,7 +58,7 @@ def vertices_by_name(graph_vertices: DataFrame, names: DataFrame, names_bound: i
 
 
 def ranked_neighbors(graph_vertices: DataFrame, edges: DataFrame, seeds: DataFrame, direction: str = "in",
-                     seeds_bound: int | None = None) -> DataFrame:
+                     seeds_bound: int | None = None, max_group_rows: int = 1_000_000) -> DataFrame:
     """(seed_id, rank, neighbor_id, name, in_deg, out_deg, pr, via) with
     ``rank`` 1 for the most influential neighbour of each seed."""
     nb = neighbors(edges, seeds, direction, seeds_bound)
@@ -67,7 +67,7 @@ def ranked_neighbors(graph_vertices: DataFrame, edges: DataFrame, seeds: DataFra
     )
     joined = nb.join(attrs, "neighbor_id")
     ranked = rank_within(joined, "seed_id", [F.col("pr").desc(), F.col("neighbor_id").asc(), F.col("via").asc()],
-                         groups_bound=seeds_bound)
+                         groups_bound=seeds_bound, max_group_rows=max_group_rows)
     return ranked.select("seed_id", "rank", "neighbor_id", "name", "in_deg", "out_deg", "pr", "via")
 
 

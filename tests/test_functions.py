@@ -52,12 +52,16 @@ def test_rank_within_hot_group(spark):
     # one group holds a third of all rows
     rows = [("hot" if i % 3 == 0 else f"g{i % 50}", i, float((i * 7919) % 101)) for i in range(6000)]
     df = spark.createDataFrame(rows, "grp string, item int, score double")
-    ranked = rank_within(df, "grp", [F.col("score").desc(), F.col("item").asc()])
     want = df.withColumn("want", F.row_number().over(
         Window.partitionBy("grp").orderBy(F.col("score").desc(), F.col("item").asc())))
-    joined = ranked.join(want, ["grp", "item"])
-    assert joined.count() == 6000
-    assert joined.where(F.col("rank") != F.col("want")).count() == 0
+    # the hot group (2000 rows) over the bound: positional ranks; under it: the window
+    for bound in (500, 1_000_000):
+        ranked = rank_within(df, "grp", [F.col("score").desc(), F.col("item").asc()], max_group_rows=bound)
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+        assert ("Window" in plan) == (bound > 2000)
+        joined = ranked.join(want, ["grp", "item"])
+        assert joined.count() == 6000
+        assert joined.where(F.col("rank") != F.col("want")).count() == 0
 
 
 def test_sample_by_hash_is_layout_independent(spark):

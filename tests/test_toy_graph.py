@@ -60,12 +60,16 @@ def test_neighbors(spark, pub, direction, want):
     assert {k: sorted(v) for k, v in got.items()} == want
 
 
-def test_ranked_neighbors_order(spark, pub):
-    seeds = spark.createDataFrame([("1",)], "seed_id string")
-    rows = sorted(ranked_neighbors(pub.vertices, pub.edges, seeds, "either").collect(), key=lambda r: r.rank)
+@pytest.mark.parametrize("max_group_rows", [1_000_000, 1])  # window path, positional path
+def test_ranked_neighbors_order(spark, pub, max_group_rows):
+    seeds = spark.createDataFrame([("1",), ("3",)], "seed_id string")
+    rows = ranked_neighbors(pub.vertices, pub.edges, seeds, "either", max_group_rows=max_group_rows).collect()
+    one = sorted((r for r in rows if r.seed_id == "1"), key=lambda r: r.rank)
     # by rank: 3 (1.893), 2 (1.023), 4 (0.847), 6 (0.487)
-    assert [r.neighbor_id for r in rows] == ["3", "2", "4", "6"]
-    assert [r.rank for r in rows] == [1, 2, 3, 4]
+    assert [r.neighbor_id for r in one] == ["3", "2", "4", "6"]
+    assert [r.rank for r in one] == [1, 2, 3, 4]
+    three = sorted((r for r in rows if r.seed_id == "3"), key=lambda r: r.rank)
+    assert [(r.neighbor_id, r.rank) for r in three] == [("1", 1), ("2", 2), ("2", 3)]
 
 
 def test_journal_graph(toy):
