@@ -44,8 +44,9 @@ def main():
         out.append(f"## {title}\n\n{note}\n\n```\n{plan(df)}\n```\n")
 
     section("Derived corpus", "Scans read three `lineitem` and four `part` columns with the size filter pushed "
-            "down; the next line of an order comes from global positions (range partitioning, one "
-            "partition-count window over one row per partition) and an equi-join on position.",
+            "down. The largest order is measured first; orders here are short, so the next line of an "
+            "order comes from a window per order (beyond the bound it would come from global positions "
+            "and an equi-join on position).",
             derived_corpus(spark, sf))
     vertices = E.publication_vertices(pubs).withColumn("vid", F.monotonically_increasing_id()).checkpoint()
     section("Citations resolved to surrogate ids", "The source id is attached per reference list before the "
