@@ -19,7 +19,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from citeweave.operators.neighbors import influence_report  # noqa: E402
 from citeweave.plans import graph as G  # noqa: E402

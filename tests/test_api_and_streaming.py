@@ -5,7 +5,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from citeweave.plans.graph import build_journal_graph, build_publication_graph, load_corpus
 from citeweave.plans.testmode import run_test_mode

@@ -1,7 +1,6 @@
 """Golden values on the toy corpus and the cycle graph."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from citeweave.operators import degrees, edges as E
 from citeweave.operators.neighbors import neighbors, ranked_neighbors
