@@ -17,20 +17,23 @@ Execution plan
   * Non-integer vertex keys (paper ids are 40-character strings) are mapped
     to unique bigint surrogates first: the edge table every round scans
     shrinks to fixed-width rows, and joins hash a long instead of a string.
-  * The edges are laid out once: one shuffle hash-partitions them on the
-    source into P partitions, parallel edges are folded inside each
-    partition into one weighted edge w = m / k(src), and the layout is
-    checkpointed, then kept on the executors for the rounds. Each round's deltas come out of the
-    message aggregation hash-partitioned on the vertex into the same P
-    partitions, so the next round joins them to the edges partition by
-    partition with no exchange on either side; the edge table never moves.
+  * The edges are laid out once: parallel edges are folded into one weighted
+    edge w = m / k(src) (map-side partial aggregation first, so copies of a
+    pair collapse before they are shuffled), the folded pairs are
+    hash-partitioned on the source into P partitions, and the layout is
+    checkpointed, then kept on the executors for the rounds. Each round's
+    deltas come out of the message aggregation hash-partitioned on the
+    vertex into the same P partitions, so the next round joins them to the
+    edges partition by partition with no exchange on either side; the edge
+    table never moves.
     The one shuffle per round is the message sum, with map-side partial
     aggregation (a heavily cited vertex costs one row per map task).
   * Hot sources are split: a vertex with more than ``edges_per_bucket``
     out-edges spreads them over ceil(k / edges_per_bucket) buckets, the
     layout is partitioned on (source, bucket), and each hot sender's delta is
     replicated to its buckets (only this small side is shuffled). The hot
-    list has at most edges / edges_per_bucket rows, so it is broadcast. No
+    list has at most edges / edges_per_bucket rows (the bucket size is raised
+    if needed to keep that under MAX_HOT_SOURCES), so it is broadcast. No
     single task then holds a hub's edges.
   * The loop runs in its own session of the same application (``newSession``)
     with adaptive execution off and the shuffle partition count pinned to P:
@@ -104,22 +107,24 @@ def hot_sources(per_src: DataFrame, edges_per_bucket: int) -> DataFrame:
 def edge_layout(edges: DataFrame, per_src: DataFrame, hot: DataFrame | None, partitions: int) -> DataFrame:
     """(src[, sub], dst, w) hash-partitioned on the join keys.
 
-    One shuffle of the edge rows: they are partitioned on the source (and
-    bucket), then parallel edges are folded inside each partition (grouping
-    on keys + dst needs no further exchange) and weighted w = m / k.
+    Parallel edges are folded first, with map-side partial aggregation, so
+    copies of one (src, dst) pair collapse before any shuffle; the folded
+    pairs are then partitioned on the source (and bucket) and weighted
+    w = m / k, with k joined on the same keys.
     """
+    folded = edges.groupBy("src", "dst").agg(F.count("*").alias("m"))
     if hot is None:
-        folded = edges.repartition(partitions, "src").groupBy("src", "dst").agg(F.count("*").alias("m"))
+        laid = folded.repartition(partitions, "src")
         # Hash join built on the degree side: the edge rows are not sorted.
-        return folded.join(per_src.hint("shuffle_hash"), "src").select(
+        return laid.join(per_src.hint("shuffle_hash"), "src").select(
             "src", "dst", (F.col("m") / F.col("k")).alias("w"))
-    with_sub = edges.join(F.broadcast(hot), "src", "left").select(
-        "src", "dst", F.pmod(F.xxhash64("dst"), F.coalesce("buckets", F.lit(1))).cast("int").alias("sub"))
-    folded = with_sub.repartition(partitions, "src", "sub").groupBy("src", "sub", "dst").agg(F.count("*").alias("m"))
+    with_sub = folded.join(F.broadcast(hot), "src", "left").select(
+        "src", "dst", "m", F.pmod(F.xxhash64("dst"), F.coalesce("buckets", F.lit(1))).cast("int").alias("sub"))
+    laid = with_sub.repartition(partitions, "src", "sub")
     # k replicated to each bucket of a hot source, so the join keys match the layout.
     per_bucket = per_src.join(F.broadcast(hot), "src", "left").select(
         "src", "k", F.explode(F.sequence(F.lit(0), F.coalesce("buckets", F.lit(1)) - 1)).alias("sub"))
-    return folded.join(per_bucket.hint("shuffle_hash"), ["src", "sub"]).select(
+    return laid.join(per_bucket.hint("shuffle_hash"), ["src", "sub"]).select(
         "src", "sub", "dst", (F.col("m") / F.col("k")).alias("w"))
 
 

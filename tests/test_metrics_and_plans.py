@@ -69,8 +69,10 @@ def test_pagerank_round_moves_only_messages(spark):
         e_l, d_l = hand_over(edges, loop, views), hand_over(per_src, loop, views)
         h_l = hand_over(hot, loop, views) if hot is not None else None
         layout = edge_layout(e_l, d_l, h_l, 4)
-        assert _plan(layout).count("Exchange hashpartitioning(src") == 2  # edges once, degrees once
-        assert "SortMergeJoin" not in _plan(layout)
+        lp = _plan(layout)
+        # fold (after partial aggregation), layout, degrees; no sort of the edge rows
+        assert lp.count("Exchange hashpartitioning") == 3, lp
+        assert "partial_count" in lp and "SortMergeJoin" not in lp
         w = layout.checkpoint().persist(StorageLevel.MEMORY_AND_DISK)  # as the loop keeps it
         d = loop.range(0, 101).select(F.col("id"), F.lit(0.15).alias("delta")).repartition(4, "id").checkpoint()
         plan = _plan(_messages(d, w, h_l, 1e-4, 0.85))

@@ -61,10 +61,10 @@ def main():
     per_src = out_degrees_by_source(edges).checkpoint()
     loop, views = loop_session(spark, 5), []
     edges_l, per_src_l = hand_over(edges, loop, views), hand_over(per_src, loop, views)
-    section("PageRank edge layout", "Runs in the loop's own session (AQE off, P shuffle partitions). One "
-            "shuffle of the edge rows on the source; parallel edges are folded inside each partition (no "
-            "second exchange); out-degrees are joined on the same key with a hash join built on the degree "
-            "side, so the edge rows are never sorted.",
+    section("PageRank edge layout", "Runs in the loop's own session (AQE off, P shuffle partitions). Parallel "
+            "edges are folded with map-side partial aggregation before their shuffle (copies of a pair "
+            "collapse first); the folded pairs are then partitioned on the source; out-degrees are joined "
+            "on the same key with a hash join built on the degree side, so the edge rows are never sorted.",
             edge_layout(edges_l, per_src_l, None, 5))
     layout = edge_layout(edges_l, per_src_l, None, 5).checkpoint().persist(StorageLevel.MEMORY_AND_DISK)
     delta = edges_l.select(F.col("src").alias("id")).distinct().select("id", F.lit(0.15).alias("delta")) \
