@@ -29,6 +29,8 @@ from citeweave.sources.corpus import as_records
 TOP_K = 5
 SAMPLE_FRACTION = 0.33
 SAMPLE_SEED = 2
+# An available-now ingest stops by itself; this only bounds a stalled run.
+STREAM_TIMEOUT_S = 900
 # Rules that corrupt lines of the JSON round trip for the quarantine check.
 TRUNCATE_EVERY = 13
 EMPTY_EVERY = 17
@@ -113,8 +115,11 @@ def q_stream_ingest_publications(spark, sf_dir):
     k = _key(spark, sf_dir, "stream-table")
     if k not in _BUILT:
         base = scratch_path(spark, "stream")
-        start_ingest(spark, _damaged_json(spark, sf_dir), f"{base}/table", f"{base}/quarantine",
-                     f"{base}/state").awaitTermination()
+        q = start_ingest(spark, _damaged_json(spark, sf_dir), f"{base}/table", f"{base}/quarantine",
+                         f"{base}/state")
+        if not q.awaitTermination(STREAM_TIMEOUT_S):
+            q.stop()
+            raise TimeoutError(f"ingest did not finish within {STREAM_TIMEOUT_S} s")
         _BUILT[k] = f"{base}/table"
     table = spark.read.parquet(_BUILT[k])
     return table.select("id", "title", "journalName",
