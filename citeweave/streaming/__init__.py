@@ -1,0 +1 @@
+"""Structured Streaming ingest of publication records."""
