@@ -54,3 +54,21 @@ def test_duplicate_records(pubs, pub):
     assert n3 == n1
     j1 = build_journal_graph(pubs)
     assert j1.vertices.count() == 159
+
+
+def test_journal_graph_invariants(pubs):
+    g = build_journal_graph(pubs)
+    row = g.vertices.agg(F.sum("pr").alias("p"), F.count("*").alias("n"),
+                         F.sum("in_deg").alias("i"), F.sum("out_deg").alias("o")).first()
+    assert row.p == pytest.approx(row.n, rel=1e-9)
+    assert row.i == row.o == g.edges.count()
+
+
+def test_graph_methods(pubs, pub):
+    assert pub.max_degree().count() == 3
+    assert pub.rank_values().count() == pub.summary().first().n_distinct_pr
+    assert pub.in_degrees().count() == pub.summary().first().n_with_in
+    assert pub.out_degrees().count() == pub.summary().first().n_with_out
+    ends = pub.with_default()
+    assert ends.where(F.col("name") == "nocitation").count() == 0
+    assert ends.count() == pub.edges.select("src").union(pub.edges.select("dst")).distinct().count()
