@@ -156,7 +156,8 @@ def hand_over(df: DataFrame, session: SparkSession, views: list[str]) -> DataFra
     name = f"citeweave_{uuid.uuid4().hex}"
     df.createOrReplaceGlobalTempView(name)
     views.append(name)
-    return session.table(f"global_temp.{name}")
+    database = session.conf.get("spark.sql.globalTempDatabase", "global_temp")
+    return session.table(f"{database}.{name}")
 
 
 def _messages(delta: DataFrame, wedges: DataFrame, hot: DataFrame | None, tol: float, damp: float) -> DataFrame:
