@@ -207,7 +207,8 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
 
     vertices = vertices.select(F.col("id").cast("bigint").alias("id"))
     edges = edges.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"))
-    obs_e = Observation("pagerank-edges")
+    run = uuid.uuid4().hex[:12]  # observation names stay unique across concurrent loops
+    obs_e = Observation(f"pagerank-{run}-edges")
     per_src = out_degrees_by_source(edges).observe(
         obs_e, F.sum("k").alias("n"), F.max("k").alias("top")).checkpoint(eager=True)
     stats = obs_e.get
@@ -231,7 +232,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
         wedges = wedges.persist(StorageLevel.MEMORY_AND_DISK)
         hot_l = hand_over(hot, loop, views) if salted else None
 
-        obs0 = Observation("pagerank-0")
+        obs0 = Observation(f"pagerank-{run}-0")
         delta = (
             # distinct() shuffles on id into the loop's P partitions: the same
             # hash partitioning as the edge layout.
@@ -251,7 +252,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
             if rounds >= max_rounds:
                 raise RuntimeError(f"PageRank did not converge within {max_rounds} rounds")
             rounds += 1
-            obs = Observation(f"pagerank-{rounds}")
+            obs = Observation(f"pagerank-{run}-{rounds}")
             delta = (
                 _messages(delta, wedges, hot_l, tol, damp)
                 .observe(obs, F.count(F.when(F.col("delta") > F.lit(tol), 1)).alias("active"),
