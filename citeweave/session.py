@@ -3,8 +3,8 @@ and partition sizing."""
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -59,12 +59,4 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/tables/{name}-{os.getpid()}-{_next_serial()}"
-
-
-_serial = [0]
-
-
-def _next_serial() -> int:
-    _serial[0] += 1
-    return _serial[0]
+    return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
