@@ -72,3 +72,19 @@ def test_graph_methods(pubs, pub):
     ends = pub.with_default()
     assert ends.where(F.col("name") == "nocitation").count() == 0
     assert ends.count() == pub.edges.select("src").union(pub.edges.select("dst")).distinct().count()
+
+
+def test_concurrent_builds_equal_sequential(pubs, pub):
+    """Both loops may share one loop session; their per-round observations
+    must not mix."""
+    from citeweave.plans.graph import build_graphs
+
+    p, j = build_graphs(pubs)
+    seq_j = build_journal_graph(pubs)
+    assert p.rounds == pub.rounds and j.rounds == seq_j.rounds
+    a = {r.id: r.pr for r in pub.vertices.collect()}
+    b = {r.id: r.pr for r in p.vertices.collect()}
+    assert max(abs(a[k] - b[k]) for k in a) < 1e-12
+    c = {r.id: r.pr for r in seq_j.vertices.collect()}
+    d = {r.id: r.pr for r in j.vertices.collect()}
+    assert max(abs(c[k] - d[k]) for k in c) < 1e-12
