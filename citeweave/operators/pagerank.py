@@ -256,10 +256,14 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
             delta = (
                 _messages(delta, wedges, hot_l, tol, damp)
                 .observe(obs, F.count(F.when(F.col("delta") > F.lit(tol), 1)).alias("active"),
-                         F.sum("delta").alias("mass"))
+                         F.sum("delta").alias("mass"), F.count("*").alias("received"))
                 .checkpoint(eager=True)
             )
             stats = obs.get
+            if int(stats["received"] or 0) == 0:
+                # Only sinks were above the tolerance: nothing was sent.
+                rounds -= 1
+                break
             active = int(stats["active"] or 0)
             total += float(stats["mass"] or 0.0)
             history.append(delta)

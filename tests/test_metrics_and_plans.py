@@ -146,5 +146,5 @@ def test_every_round_of_a_real_build_has_one_exchange(spark, monkeypatch):
 
     monkeypatch.setattr(pm, "_messages", watched)
     g = build_publication_graph(corpus(spark, SF))
-    assert len(plans) == g.rounds > 10
+    assert g.rounds > 10 and len(plans) in (g.rounds, g.rounds + 1)  # + a round that sent nothing
     assert all(p.count("Exchange") == 1 for p in plans), [p.count("Exchange") for p in plans]

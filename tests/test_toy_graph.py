@@ -115,3 +115,8 @@ def test_concurrent_builds_match(toy, pub):
         assert a[k] == pytest.approx(want, abs=1e-9)
     assert sorted((r.src, r.dst, r.n) for r in j.edges.collect()) == [("J1", "J2", 3), ("J3", "J1", 1)]
     assert as_dict(j.vertices, "id", "pr")["J2"] == pytest.approx(1.423237, abs=1e-6)
+
+
+def test_rounds_count_only_rounds_with_messages(pub):
+    # the last message round of the toy graph is 9 (the SQL recursion's last step)
+    assert pub.rounds == 9
