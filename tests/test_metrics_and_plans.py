@@ -12,10 +12,13 @@ SF = "/root/testdata/sf0.001"
 
 def test_task_metrics_and_rollup(spark):
     entry.queries()["publication_summary"](spark, SF).collect()
-    time.sleep(1)
     path = event_log_path(spark)
     assert path is not None
     tm = task_metrics(spark, path)
+    for _ in range(20):  # the log is flushed by Spark's listener thread
+        if tm.count() > 0:
+            break
+        time.sleep(0.5)
     assert tm.count() > 0
     roll = stage_rollup(tm).collect()
     assert roll and all(r["count"] >= 1 for r in roll)
