@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeweave.llm.byte_bpe import byte_bpe
 from citeweave.llm.common import table
 from citeweave.llm.exact_dedup import exact_dedup
 from citeweave.llm.line_dedup import line_dedup
+from citeweave.llm.rans import coded_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -20,6 +23,12 @@ def query(fn):
     return fn
 
 
+@query
+def op2_rans_ids(spark, sf_dir):
+    ids = coded_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return ids.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op5_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents")).drop("n_points")
@@ -57,3 +66,11 @@ select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
 from m group by doc_id
 """
+
+
+@query
+def op9_byte_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    coded = docs.select("doc_id", byte_bpe(docs["text"], public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).alias("r"))
+    return coded.select("doc_id", (F.octet_length("r.ids") / 4).cast("bigint").alias("n_tokens"),
+                        F.sha2("r.ids", 256).alias("ids_sha256"), F.sha2("r.decoded", 256).alias("decoded_sha256"))
