@@ -138,12 +138,17 @@ class Bpe:
 _BPES: dict[str, Bpe] = {}
 
 
+def worker_bpe(path: str) -> Bpe:
+    """The worker's tables and pieces; they outlive the task."""
+    if path not in _BPES:
+        _BPES[path] = Bpe(read_ranks(path))
+    return _BPES[path]
+
+
 def bpe_udf(path: str):
     """text -> struct<ids binary, decoded binary>: its ids as little-endian uint32 and their bytes."""
     def both(texts: pa.Array) -> pa.Array:
-        if path not in _BPES:
-            _BPES[path] = Bpe(read_ranks(path))
-        bpe = _BPES[path]
+        bpe = worker_bpe(path)
         coded, back = [], []
         for raw, offsets in slices(texts):
             ids, counts = bpe.encode(raw, offsets)

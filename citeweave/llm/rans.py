@@ -20,6 +20,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Callable
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -212,13 +213,13 @@ def write_ids(docs: DataFrame, encoder: Callable[[], Callable], end_id: int, pat
 
     key = F.xxhash64("text")
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", key).sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(groups, "file int, seq int, before bigint, n_ids bigint, data binary") \
+    ordered.mapInArrow(groups, "file bigint, seq bigint, before bigint, n_ids bigint, data binary") \
         .write.option("compression", "uncompressed").parquet(path)
 
 
 def read_ids(spark, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids (little-endian uint32) of the files below ``path``."""
-    files = spark.read.schema("file int, seq int, before bigint, n_ids bigint, data binary").parquet(path)
+    files = spark.read.schema("file bigint, seq bigint, before bigint, n_ids bigint, data binary").parquet(path)
     # One row for each file, so neither the window nor the broadcast grows with the documents.
     totals = files.groupBy("file").agg(F.sum("n_ids").alias("n"))
     starts = totals.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("file_start"))
@@ -283,15 +284,14 @@ class JsonEncoder:
 _ENCODERS: dict[str, JsonEncoder] = {}
 
 
-def json_encoder(path: str) -> Callable[[], JsonEncoder]:
-    def of() -> JsonEncoder:
-        import os
+def json_encoder(path: str) -> JsonEncoder:
+    """The worker's encoder; it outlives the task."""
+    import os
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        if path not in _ENCODERS:
-            _ENCODERS[path] = JsonEncoder(path)
-        return _ENCODERS[path]
-    return of
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+    if path not in _ENCODERS:
+        _ENCODERS[path] = JsonEncoder(path)
+    return _ENCODERS[path]
 
 
 def coded_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
@@ -301,5 +301,5 @@ def coded_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     doc_id are documents of their own, one after the other; a null doc_id
     comes first. Other columns of the table are not read."""
     path = scratch_path(docs.sparkSession, "token-ids")
-    write_ids(docs, json_encoder(tokenizer_path), end_id, path)
+    write_ids(docs, partial(json_encoder, tokenizer_path), end_id, path)
     return read_ids(docs.sparkSession, path)
