@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeweave.llm import language, quality
 from citeweave.llm.byte_bpe import byte_bpe
-from citeweave.llm.common import table
+from citeweave.llm.common import id_bucket, table
 from citeweave.llm.exact_dedup import exact_dedup
 from citeweave.llm.line_dedup import line_dedup
 from citeweave.llm.rans import coded_ids
@@ -23,12 +24,34 @@ def query(fn):
     return fn
 
 
+def _held_out(n: int, k: int):
+    return F.coalesce(id_bucket(F.col("doc_id"), n) == k, F.lit(False))
+
+
+@query
+def op1_bradley_terry(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = _held_out(4, 2)
+    model = quality.train(docs, table(spark, sf_dir, "labels").where(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), quality.score(docs["text"], model).alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= quality.CUT, 1).otherwise(0))
+
+
 @query
 def op2_rans_ids(spark, sf_dir):
     ids = coded_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return ids.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op4_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = _held_out(3, 1)
+    model = language.train(docs.where(~held_out))
+    found = docs.select("doc_id", held_out.alias("held_out"), language.predict(docs["text"], model).alias("r"))
+    return found.select("doc_id", "held_out", F.col("r.lang").alias("lang_pred"), "r.score", "r.accepted")
+
+
 @query
 def op5_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents")).drop("n_points")
