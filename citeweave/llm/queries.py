@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import language, quality
+from citeweave.llm import language, licenses, quality
 from citeweave.llm.byte_bpe import byte_bpe
 from citeweave.llm.common import id_bucket, table
 from citeweave.llm.exact_dedup import exact_dedup
@@ -43,6 +43,14 @@ def op2_rans_ids(spark, sf_dir):
     return ids.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op3_license_scan(spark, sf_dir):
+    return licenses.license_scan(table(spark, sf_dir, "documents"), licenses.known_licences(spark))
+
+
+SQL["op3_license_scan"] = licenses.oracle_sql()
+
+
 @query
 def op4_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
