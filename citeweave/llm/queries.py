@@ -13,6 +13,7 @@ from citeweave.llm.byte_bpe import byte_bpe
 from citeweave.llm.common import id_bucket, table
 from citeweave.llm.exact_dedup import exact_dedup
 from citeweave.llm.line_dedup import line_dedup
+from citeweave.llm.near_dedup import near_dedup
 from citeweave.llm.rans import coded_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +80,11 @@ from d window w as (partition by text_sha256 order by n_points desc, doc_id)
 """
 
 
+@query
+def op6_minhash(spark, sf_dir):
+    return near_dedup(table(spark, sf_dir, "documents"), width=2, similarity=80)
+
+
 @query
 def op8_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
