@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from citeweave.llm import language, licenses, quality
 from citeweave.llm.byte_bpe import byte_bpe
 from citeweave.llm.common import id_bucket, table
+from citeweave.llm.decontaminate import find_leaks
 from citeweave.llm.exact_dedup import exact_dedup
 from citeweave.llm.line_dedup import line_dedup
 from citeweave.llm.near_dedup import near_dedup
@@ -85,6 +86,11 @@ def op6_minhash(spark, sf_dir):
     return near_dedup(table(spark, sf_dir, "documents"), width=2, similarity=80)
 
 
+@query
+def op7_bm25_leaks(spark, sf_dir):
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op8_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
