@@ -14,7 +14,7 @@ from citeweave.session import scratch_path
 #: The characters that ``[\x20\x09-\x0D]`` names.
 BLANKS = " \t\n\x0b\f\r"
 #: Text handled at once inside a Python task, in bytes. A longer text is handled alone.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,3 +57,13 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[np.ndarr
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1)
         yield raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
         a = b
+
+
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system, where the C library can."""
+    import ctypes
+
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+    pa.default_memory_pool().release_unused()

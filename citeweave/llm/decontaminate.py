@@ -33,7 +33,7 @@ from bisect import bisect_left
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.llm.common import slices
@@ -206,6 +206,23 @@ def shards(benchmark: DataFrame) -> list[Index]:
             for k in range(n)]
 
 
+def leaked_items(text: Column, benchmark: DataFrame) -> Column:
+    """array<bigint>: ids of the items found in the text, in order, one for each item row."""
+    def of(index: Index):
+        def scan(texts: pa.Array) -> pa.Array:
+            out: list[list] = [[] for _ in range(len(texts))]
+            done = 0
+            for raw, offsets in slices(lower(texts)):
+                for t, item, *_ in index.leaks(raw, offsets):
+                    out[done + t].append(index.ids[item])
+                done += len(offsets) - 1
+            return pa.array(out, pa.list_(pa.int64()))
+        return F.arrow_udf(scan, "array<bigint>")(text)
+
+    found = [of(index) for index in shards(benchmark)]
+    return F.sort_array(F.concat(F.array().cast("array<bigint>"), *found))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, score, overlap, answer_overlap), a row for each item found in a document."""
     schema = "doc_id bigint, item_id bigint, score double, overlap double, answer_overlap double"

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import slices
+from citeweave.llm.common import give_back, slices
 from citeweave.session import scratch_path
 
 LANES, BLOCK_STEPS, CHECKPOINT_STEPS = 32, 1024, 256
@@ -194,6 +194,7 @@ def write_ids(docs: DataFrame, encoder: Callable[[], Callable], end_id: int, pat
                                               "data": pa.array([pack(doc_ids, np.concatenate(counts), ids)], pa.binary())})
             seq, before = seq + 1, before + len(ids)
             doc_ids, counts, parts, held = [], [], [], 0
+            give_back()
             return row
 
         for batch in batches:

@@ -47,7 +47,7 @@ def hashes(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     if not len(starts):
         return np.zeros(0, np.uint64)
     lens = np.diff(starts, append=len(values))
-    place = np.arange(len(values)) - np.repeat(starts, lens)
+    place = np.arange(len(values), dtype=np.int32) - np.repeat(starts.astype(np.int32), lens)
     most = 1 << max(10, int(lens.max()).bit_length())
     h = np.add.reduceat(values * _places(most)[place], starts)
     h ^= lens.astype(np.uint64)

@@ -1,37 +1,80 @@
-"""Corpus preparation: the document operators in a row.
+"""Corpus preparation: five of the document operators in a row.
 
-STAGES are applied in order; each gets what its predecessor kept.
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
+kept; all but the last return the columns of ``docs``, whatever else these
+are. ``run`` writes every stage's result before the next one reads it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import keep, table
+from citeweave.llm import quality
+from citeweave.llm.byte_bpe import byte_bpe
+from citeweave.llm.common import id_bucket, keep, table
+from citeweave.llm.decontaminate import leaked_items
 from citeweave.llm.line_dedup import line_dedup
+from citeweave.llm.near_dedup import near_dedup
 
-#: Not every stage can be put into SQL; tests compare with a brute-force version.
+#: Models and merges by rank can't be put into SQL; tests compare with a brute-force version.
 ORACLE_SQL = None
 
 
+def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the classifier's cut go. It learns from the labels
+    of documents whose crc32(doc_id as text) mod 4 is not 2."""
+    labels = table(spark, sf_dir, "labels").where(id_bucket(F.col("doc_id"), 4) != 2)
+    model = quality.train(docs, labels)
+    return docs.where(quality.score(docs["text"], model) >= quality.CUT)
+
+
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that a document with a smaller id already has are taken out of the texts."""
+    """Lines that a document with a smaller id has too are taken out of the texts;
+    n_chars follows. A document stays even if nothing is left of it."""
     out = line_dedup(docs, out="__lines")
-    text = F.when(F.col("__lines.n_dropped") > 0, F.col("__lines.kept_text")).otherwise(docs["text"])
-    changed = {"text": text}
+    lost = F.col("__lines.n_dropped") > 0
+    changed = {"text": F.when(lost, F.col("__lines.kept_text")).otherwise(docs["text"])}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("__lines.n_dropped") > 0, F.char_length("__lines.kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(docs["n_chars"])
+        changed["n_chars"] = F.when(lost, F.char_length("__lines.kept_text")).otherwise(docs["n_chars"]).cast(docs.schema["n_chars"].dataType)
     return out.select(*[changed.get(c, docs[c]).alias(c) for c in docs.columns])
 
 
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of the documents linked by five-word shingles the one with the smallest id
+    stays; of rows that repeat its id, the one with the least text. Rows without an id stay."""
+    kept = near_dedup(docs, width=5).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept_id")).distinct()
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    one = docs.join(kept, docs["doc_id"] == kept["__kept_id"], "left_semi").withColumn("__row", first).where("__row = 1").drop("__row")
+    return one.unionByName(docs.where("doc_id is null"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a test item is found go."""
+    found = leaked_items(docs["text"], table(spark, sf_dir, "benchmark"))
+    return docs.where(F.size(found) == 0)
+
+
+def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, and the sha256 of the ids (little-endian uint32) and of the bytes they decode to."""
+    coded = docs.select("doc_id", byte_bpe(docs["text"], public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).alias("r"))
+    return coded.select("doc_id", (F.octet_length("r.ids") / 4).cast("bigint").alias("n_tokens"),
+                        F.sha2("r.ids", 256).alias("ids_sha256"), F.sha2("r.decoded", 256).alias("decoded_sha256"))
+
+
 STAGES = [
+    ("quality classifier", reject_low_quality),
     ("line dedup", drop_repeated_lines),
+    ("MinHash near-dedup", keep_one_of_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("byte-level BPE encoding and decoding", encode_and_decode),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = keep(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        docs = keep(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-').lower()}")
     return docs
