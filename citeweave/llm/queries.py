@@ -16,6 +16,7 @@ from citeweave.llm.exact_dedup import exact_dedup
 from citeweave.llm.line_dedup import line_dedup
 from citeweave.llm.near_dedup import near_dedup
 from citeweave.llm.rans import coded_ids
+from citeweave.llm.suffix_dedup import suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -117,3 +118,9 @@ def op9_byte_bpe(spark, sf_dir):
     coded = docs.select("doc_id", byte_bpe(docs["text"], public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).alias("r"))
     return coded.select("doc_id", (F.octet_length("r.ids") / 4).cast("bigint").alias("n_tokens"),
                         F.sha2("r.ids", 256).alias("ids_sha256"), F.sha2("r.decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op10_suffix_array(spark, sf_dir):
+    cut = suffix_dedup(table(spark, sf_dir, "documents"), out="r")
+    return cut.select("doc_id", "r.n_bytes", "r.n_removed", "r.n_spans", F.sha2("r.kept", 256).alias("kept_sha256"))
