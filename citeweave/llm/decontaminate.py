@@ -11,7 +11,7 @@ impacts of its terms can reach a threshold; pivoting then skips blocks that
 cannot.
 
 A retrieved item is verified on the text around its passage: SIMILARITY of its
-five-word shingles must be there, and of the words of its answer, which is its
+five-word shingles must be there (an item of fewer words is one shingle), and of the words of its answer, which is its
 last sentence if it has several.
 
 The test items are dealt to shards of SHARD_BYTES of text at most, by hash.
@@ -69,11 +69,10 @@ def lower(texts: pa.Array) -> pa.Array:
     return pc.utf8_lower(texts)
 
 
-def shingles(word: np.ndarray) -> np.ndarray:
-    """Distinct hashes of the runs of SHINGLE words, of all words if they are fewer."""
-    if not len(word):
+def shingles(word: np.ndarray, n: int) -> np.ndarray:
+    """Distinct hashes of the runs of n words."""
+    if len(word) < n:
         return np.zeros(0, np.uint64)
-    n = min(SHINGLE, len(word))
     out = np.zeros(len(word) - n + 1, np.uint64)
     for k in range(n):
         out = (out ^ (out >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + word[k:k + len(out)]
@@ -94,7 +93,7 @@ class Index:
                 self.ids.append(i)
                 self.words.append(word)
                 self.answers.append(np.unique(word[first[1]:]))
-        self.shingles = [shingles(w) for w in self.words]
+        self.shingles = [shingles(w, min(SHINGLE, len(w))) for w in self.words]
         n = len(self.ids)
         size = np.array([len(w) for w in self.words], float)
         counts = [np.unique(w, return_counts=True) for w in self.words]
@@ -190,7 +189,7 @@ class Index:
             for item, score in self.search(np.unique(key_term[a:b]).tolist()):
                 start, more = int(first[t]) + (r - int(run_first[t])) * STRIDE, len(self.words[item])
                 near = word[max(int(first[t]), start - more):min(int(first[t + 1]), start + 2 * STRIDE + more)]
-                overlap = float(np.isin(self.shingles[item], shingles(near)).mean())
+                overlap = float(np.isin(self.shingles[item], shingles(near, min(SHINGLE, more))).mean())
                 answer = float(np.isin(self.answers[item], near).mean()) if len(self.answers[item]) else 1.0
                 if overlap >= SIMILARITY and answer >= SIMILARITY:
                     out[t, item] = max(out.get((t, item), (0.0, 0.0, 0.0)), (score * THRESHOLD, overlap, answer))
