@@ -31,9 +31,9 @@ SPELLINGS = [
     ("https://", "http://"), ("&", " and "),
 ]
 #: A line that is only a copyright statement.
-COPYRIGHT_LINE = r"^[^a-z0-9]*(copyright|\(c\)|©)"
-#: Everything between words.
-BETWEEN = r"[^\p{L}\p{N}]+"
+COPYRIGHT_LINE = r"^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*"
+#: Everything between words, but for the end of a line.
+BETWEEN = r"[^\p{L}\p{N}\n]+"
 
 # Names of licences, and the notices that name them.
 NAMES = {
@@ -78,23 +78,30 @@ def known_texts() -> list[tuple[str, str]]:
     return out
 
 
-def canonical_line(line: Column) -> Column:
-    line = F.lower(line)
+def canonical_text(text: Column) -> Column:
+    """The text with every line in canonical form. It works on whole texts, not on
+    arrays of lines: such expressions are compiled, and common parts run once."""
+    text = F.lower(F.coalesce(text, F.lit("")))
     for spelling, same in SPELLINGS:
-        line = F.replace(line, F.lit(spelling), F.lit(same))
-    return F.when(line.rlike(COPYRIGHT_LINE), "").otherwise(F.trim(F.regexp_replace(line, BETWEEN, " ")))
+        text = F.replace(text, F.lit(spelling), F.lit(same))
+    text = F.regexp_replace(text, "(?dm)" + COPYRIGHT_LINE, "")
+    return F.regexp_replace(text, BETWEEN, " ")
 
 
-def canonical_lines(text: Column) -> Column:
-    """The canonical lines of a text that are not empty, in order."""
-    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), canonical_line)
-    return F.filter(lines, lambda x: x != "")
+def line_digests(canonical: Column) -> Column:
+    """sha256 of each line that is not empty, and of all of them together."""
+    lines = F.filter(F.transform(F.split(canonical, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
+    return F.struct(F.transform(lines, lambda x: F.sha2(x, 256)).alias("lines"), F.sha2(F.array_join(lines, " "), 256).alias("whole"))
+
+
+EMPTY = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"  # sha256 of nothing
 
 
 def digests(texts: DataFrame) -> DataFrame:
     """(digest, license) of known texts (license, text); one licence a digest."""
-    return texts.select("license", F.array_join(canonical_lines(F.col("text")), " ").alias("whole")).where("whole <> ''") \
-        .groupBy(F.sha2("whole", 256).alias("digest")).agg(F.min("license").alias("license"))
+    return texts.select("license", canonical_text(F.col("text")).alias("c")).select("license", line_digests(F.col("c")).alias("d")) \
+        .select("license", F.col("d.whole").alias("digest")).where(F.col("digest") != EMPTY) \
+        .groupBy("digest").agg(F.min("license").alias("license"))
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
@@ -106,14 +113,14 @@ def license_scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     """doc_id, text_sha256 (of the canonical text), text_license, line_licenses
     (ids in order, joined by commas) and n_license_lines for each row of ``docs``."""
     known = keep(digests(known), "licence-digests")
-    forms = docs.select("doc_id", canonical_lines(F.col("text")).alias("lines"))
+    forms = keep(docs.select("doc_id", canonical_text(F.col("text")).alias("c")).select("doc_id", line_digests(F.col("c")).alias("d"))
+                 .select("doc_id", "d.*"), "text-digests")
     found = (
-        forms.where("doc_id is not null").select("doc_id", F.explode("lines").alias("line"))
-        .select("doc_id", F.sha2("line", 256).alias("digest")).join(known, "digest")
+        forms.where("doc_id is not null").select("doc_id", F.explode("lines").alias("digest")).join(known, "digest")
         .groupBy("doc_id").agg(F.array_join(F.sort_array(F.collect_set("license")), ",").alias("line_licenses"),
                                F.count("*").alias("n_license_lines"))
     )
-    whole = forms.select("doc_id", F.sha2(F.array_join("lines", " "), 256).alias("text_sha256"))
+    whole = forms.select("doc_id", F.col("whole").alias("text_sha256"))
     looked = whole.join(known.withColumnRenamed("license", "text_license"), F.col("digest") == F.col("text_sha256"), "left")
     return looked.join(found, "doc_id", "left").select(
         "doc_id", "text_sha256", "text_license", F.coalesce("line_licenses", F.lit("")).alias("line_licenses"),
