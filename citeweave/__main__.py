@@ -1,14 +1,15 @@
 """Command line: the timing report and the neighbourhood search.
 
     python -m citeweave report --input 'corpus/*.json' [--sample 0.33] [--partitions 4] \
-        [--publications 5] [--journals 5] [--print] [--output out/] [--stages-csv out/stages]
+        [--publications 5] [--journals 5] [--print] [--output out/] [--csv out/csv]
     python -m citeweave report --properties application.properties
     python -m citeweave search --input 'corpus/*.json' --graph publication \
         --direction in --name "Exact title" [--name ...] [--output out/]
 
 Reads JSON-lines publication records. Results are written to ``--output``
-(JSON folders) or, with ``--print``/for search without ``--output``, at most
-``--show`` rows are printed. ``--properties`` takes a run configuration in
+(JSON folders), reports also to ``--csv``. A search without ``--output`` prints
+every neighbour, as does ``--print`` for reports; rows arrive one partition at
+a time. ``--show`` prints fewer and says how many there are. ``--properties`` takes a run configuration in
 Java properties form (keys below). Use spark-submit to run it on a cluster;
 the session's ``spark.checkpoint.dir`` must name a shared folder there.
 """
@@ -32,7 +33,6 @@ PROPERTY_KEYS = {
     "test.publication.size": "publications",
     "test.journal.size": "journals",
     "test.print.results": "print",
-    "test.task.metrics": "stages_csv",
 }
 
 
@@ -71,11 +71,21 @@ def _apply_properties(args: argparse.Namespace, props: dict[str, str]) -> None:
 
 
 def _session() -> SparkSession:
-    spark = SparkSession.builder.appName("citeweave").getOrCreate()
+    spark = SparkSession.builder.appName("citeweave") \
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
     return spark
 
 
+def print_rows(df, most: int | None = None) -> None:
+    """All rows, tab-separated below their names; with ``most``, so many and the full count."""
+    print("\t".join(df.columns))
+    for row in (df if most is None else df.limit(most)).toLocalIterator():
+        print("\t".join("" if x is None else str(x) for x in row))
+    if most is not None:
+        print(f"of {df.count()} rows")
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="citeweave")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -86,14 +96,14 @@ def main(argv: list[str] | None = None) -> int:
         s.add_argument("--sample", type=float, default=None, help="fraction of records to keep (by key hash)")
         s.add_argument("--partitions", type=int, default=None, help="repartition the records after loading")
         s.add_argument("--output", default=None)
-        s.add_argument("--show", type=int, default=50)
+        s.add_argument("--show", type=int, default=None, help="print at most so many rows")
     r = sub.choices["report"]
     r.add_argument("--properties", default=None, help="run configuration (Java properties)")
     r.add_argument("--publications", type=int, default=5)
     r.add_argument("--journals", type=int, default=5)
     r.add_argument("--direction", default="in", choices=["in", "out", "either"])
     r.add_argument("--print", action="store_true", help="print the report rows")
-    r.add_argument("--stages-csv", dest="stages_csv", default=None, help="write the stage rollup as CSV")
+    r.add_argument("--csv", default=None, help="write each report as CSV below this folder")
     q = sub.choices["search"]
     q.add_argument("--graph", default="publication", choices=["publication", "journal"])
     q.add_argument("--direction", default="in", choices=["in", "out", "either"])
@@ -117,18 +127,17 @@ def main(argv: list[str] | None = None) -> int:
         if args.print:
             for kind, report in res["reports"].items():
                 print(f"{kind}: most influential citing vertices of the top seeds")
-                report.orderBy("seed_position", "rank").show(args.show, truncate=False)
-        if res["stages"] is not None:
-            if args.stages_csv:
-                write_csv(res["stages"], args.stages_csv, single_file=True)
-            res["stages"].show(args.show, truncate=False)
+                print_rows(report.orderBy("seed_position", "rank"), args.show)
+        if args.csv:
+            for kind, report in res["reports"].items():
+                write_csv(report, f"{args.csv.rstrip('/')}/{kind}_report")
     else:
         build = build_publication_graph if args.graph == "publication" else build_journal_graph
         result = build(pubs).influential(args.name, args.direction)
         if args.output:
             result.write.mode("overwrite").json(args.output)
         else:
-            result.orderBy("seed_id", "rank").show(args.show, truncate=False)
+            print_rows(result.orderBy("seed_id", "rank"), args.show)
     spark.stop()
     return 0
 

@@ -1,13 +1,16 @@
-"""Hexadecimal id strings to decimal, as column expressions (JVM side).
+"""Hexadecimal id strings to decimal digits of any length, as column
+expressions (JVM side).
 
-``hex_to_decimal``: lower-case, then a positional base-16 fold in
-decimal(38,0). A character outside 0-9a-f counts as digit -1 (the fold does
-not reject it); empty or null input gives null. Exact while the value has
-at most 31 hex digits; a value beyond decimal(38,0) gives null.
+``hex_to_decimal``: lower-case, then a positional base-16 fold. A character
+outside 0-9a-f counts as digit -1 (the fold does not reject it), so the result
+can be negative; empty or null input gives null.
 
-``hex_to_decimal_string``: the exact decimal digit string for any length
-(a 40-digit SHA-1 id included), folded into little-endian base-1e9 limbs
-with higher-order functions; null for empty input or any non-hex character.
+``hex_to_decimal_string``: the same for hexadecimal input only; null for
+empty input or any other character.
+
+Up to 40 digits (a SHA-1 id) the value is one arithmetic expression in
+decimals; beyond, 7 digits at a time are folded into little-endian base-1e9
+limbs with integer arithmetic. All are exact.
 """
 
 from __future__ import annotations
@@ -15,67 +18,92 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the digit alphabet of the fold.
-HEX_DIGITS = "0123456789abcdef"
 _LIMB = 1_000_000_000
 _CHUNK = 7
 _CHUNK_BASE = 16 ** _CHUNK
 
 
-def _digits(col: Column) -> Column:
-    chars = F.split(F.lower(col), "")
-    return F.transform(chars, lambda c: (F.instr(F.lit(HEX_DIGITS), c) - 1).cast("int"))
+def _div(a: Column, b: int) -> Column:
+    return F.call_function("div", a, F.lit(b).cast("bigint"))
 
 
-def _chunks(c: Column) -> Column:
-    """Valid hex split into 7-digit chunks (left-padded), as bigints."""
-    width = F.ceil(F.length(c) / _CHUNK) * _CHUNK
-    padded = F.lpad(c, width.cast("int"), "0")
-    parts = F.regexp_extract_all(padded, F.lit(f"[0-9a-fA-F]{{{_CHUNK}}}"), F.lit(0))
-    return F.transform(parts, lambda h: F.conv(h, 16, 10).cast("bigint"))
+def _limbs(hexadecimal: Column) -> Column:
+    """Base-1e9 limbs, least first, of a valid hexadecimal string."""
+    width = F.ceil(F.length(hexadecimal) / _CHUNK) * _CHUNK
+    padded = F.lpad(hexadecimal, width.cast("int"), "0")
+    chunks = F.transform(F.regexp_extract_all(padded, F.lit(f".{{{_CHUNK}}}"), F.lit(0)), lambda h: F.conv(h, 16, 10).cast("bigint"))
 
+    def add_chunk(limbs, chunk):
+        # A limb times 2^28 plus a carry below 2^30 stays below 2^63.
+        start = F.struct(F.array().cast("array<bigint>").alias("out"), chunk.alias("carry"))
+        step = F.aggregate(limbs, start, lambda st, limb: F.struct(
+            F.concat(st["out"], F.array((limb * _CHUNK_BASE + st["carry"]) % _LIMB)).alias("out"),
+            _div(limb * _CHUNK_BASE + st["carry"], _LIMB).alias("carry")))
+        return F.when(step["carry"] > 0, F.concat(step["out"], F.array(step["carry"]))).otherwise(step["out"])
 
-def hex_to_decimal(col: Column | str) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    zero = F.lit(0).cast("decimal(38,0)")
-    valid = c.rlike("^[0-9a-fA-F]+$")
-    # Valid hex: 7 digits per step. Otherwise the digit-by-digit fold, where a
-    # non-hex character counts as -1.
-    by_chunk = F.aggregate(
-        _chunks(c), zero,
-        lambda acc, x: F.try_add(F.try_multiply(acc, F.lit(_CHUNK_BASE)), x).cast("decimal(38,0)"),
-    )
-    by_digit = F.aggregate(
-        _digits(c), zero,
-        lambda acc, d: F.try_add(F.try_multiply(acc, F.lit(16)), d).cast("decimal(38,0)"),
-    )
-    return F.when(F.length(c) > 0, F.when(valid, by_chunk).otherwise(by_digit))
+    return F.aggregate(chunks, F.array(F.lit(0).cast("bigint")), add_chunk)
+
+
+def _difference(more: Column, less: Column) -> Column:
+    """Limbs of the difference; ``more`` is at least ``less``."""
+    start = F.struct(F.array().cast("array<bigint>").alias("out"), F.lit(0).cast("bigint").alias("borrow"))
+    pairs = F.zip_with(more, less, lambda x, y: F.coalesce(x, F.lit(0)) - F.coalesce(y, F.lit(0)))
+    step = F.aggregate(pairs, start, lambda st, d: F.struct(
+        F.concat(st["out"], F.array(F.pmod(d - st["borrow"], F.lit(_LIMB).cast("bigint")))).alias("out"),
+        F.when(d < st["borrow"], 1).otherwise(0).cast("bigint").alias("borrow")))
+    return step["out"]
+
+
+def _text(limbs: Column) -> Column:
+    digits = F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(x.cast("string"), 9, "0")), "")
+    return F.regexp_replace(digits, "^0+(?=[0-9])", "")
+
+
+def _ten(padded: Column, start: int) -> Column:
+    """The value of ten hexadecimal digits."""
+    return F.conv(F.substring(padded, start, 10), 16, 10).cast("decimal(38,0)")
+
+
+def _whole(x: int) -> Column:
+    return F.lit(str(x)).cast("decimal(38,0)")
+
+
+def _number(c: Column) -> Column:
+    """Up to 30 digits as a decimal."""
+    p = F.lpad(c, 30, "0")
+    high = (_ten(p, 1) * _whole(16 ** 10) + _ten(p, 11)).cast("decimal(38,0)")
+    return (high * _whole(16 ** 10) + _ten(p, 21)).cast("decimal(38,0)")
+
+
+def _forty(c: Column) -> Column:
+    """Up to 40 digits as text, without a loop: the upper 20 digits are a * 10^12 + b,
+    and a * 16^20, b * 16^20 plus the lower 20 digits each fit 38 decimal digits."""
+    p = F.lpad(c, 40, "0")
+    upper = (_ten(p, 1) * _whole(16 ** 10) + _ten(p, 11)).cast("decimal(38,0)")
+    lower = (_ten(p, 21) * _whole(16 ** 10) + _ten(p, 31)).cast("decimal(38,0)")
+    unit, step = _whole(10 ** 12), _whole(16 ** 20)
+    a, b = F.call_function("div", upper, unit).cast("decimal(38,0)"), (upper % unit).cast("decimal(38,0)")
+    x = ((b * step).cast("decimal(38,0)") + lower).cast("decimal(38,0)")
+    last = (x % unit).cast("decimal(38,0)")
+    first = ((a * step).cast("decimal(38,0)") + ((x - last) / unit).cast("decimal(38,0)")).cast("decimal(38,0)")
+    text = F.concat(first.cast("string"), F.lpad(last.cast("string"), 12, "0"))
+    return F.regexp_replace(text, "^0+(?=[0-9])", "")
 
 
 def hex_to_decimal_string(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    # Seven hex digits (28 bits) per step: a limb times 2^28 plus a chunk
-    # stays below 2^63, and a 40-digit id takes 6 steps instead of 40.
-    values = _chunks(c)
-    start = F.array(F.lit(0).cast("bigint"))
-
-    def shift_add(limbs, chunk):
-        init = F.struct(F.array().cast("array<bigint>").alias("out"), chunk.alias("carry"))
-        step = F.aggregate(
-            limbs, init,
-            lambda st, limb: F.struct(
-                F.concat(st["out"], F.array((limb * _CHUNK_BASE + st["carry"]) % _LIMB)).alias("out"),
-                ((limb * _CHUNK_BASE + st["carry"]) / _LIMB).cast("bigint").alias("carry"),
-            ),
-        )
-        return F.when(step["carry"] > 0, F.concat(step["out"], F.array(step["carry"]))).otherwise(step["out"])
+    n = F.length(c)
+    value = F.when(n <= 15, F.conv(c, 16, 10)).when(n <= 40, _forty(c)).otherwise(_text(_limbs(c)))
+    return F.when(c.rlike("^[0-9a-fA-F]+$"), value)
 
-    limbs = F.aggregate(values, start, shift_add)
-    text = F.array_join(
-        F.transform(F.reverse(limbs), lambda x, i: F.when(i == 0, x.cast("string")).otherwise(F.lpad(x.cast("string"), 9, "0"))),
-        "",
-    )
-    valid = c.rlike("^[0-9a-fA-F]+$")
-    # Up to 15 digits the value fits 64 bits: the built-in conversion.
-    short = F.conv(c, 16, 10)
-    return F.when(valid, F.when(F.length(c) <= 15, short).otherwise(text))
+
+def hex_to_decimal(col: Column | str) -> Column:
+    c = F.lower(F.col(col) if isinstance(col, str) else col)
+    # The fold is (digits, others as 0) minus (others as 1, digits as 0): two
+    # hexadecimal strings of one length, so they compare as their values do.
+    plus = F.regexp_replace(c, "(?s)[^0-9a-f]", "0")
+    minus = F.regexp_replace(F.regexp_replace(c, "[0-9a-f]", "0"), "(?s)[^0]", "1")
+    a, b = _limbs(plus), _limbs(minus)
+    long = F.when(plus >= minus, _text(_difference(a, b))).otherwise(F.concat(F.lit("-"), _text(_difference(b, a))))
+    mixed = F.when(F.length(c) <= 30, (_number(plus) - _number(minus)).cast("decimal(38,0)").cast("string")).otherwise(long)
+    return F.when(F.length(c) > 0, F.coalesce(hex_to_decimal_string(c), mixed))

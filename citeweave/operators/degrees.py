@@ -17,14 +17,15 @@ def out_degrees(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("out_deg"))
 
 
-def attach_attributes(vertices: DataFrame, edges: DataFrame, ranks: DataFrame) -> DataFrame:
-    """(id, name, in_deg, out_deg, pr); missing degrees and ranks become 0.
+def attach_attributes(vertices: DataFrame, edges: DataFrame, ranks: DataFrame, also: list[str] | None = None) -> DataFrame:
+    """(id, name, in_deg, out_deg, pr) and the columns ``also`` of the vertices;
+    missing degrees and ranks become 0.
 
     All three joins are on ``id``; Spark shuffles each input once on that key
     and chains the joins without re-partitioning.
     """
     return (
-        vertices.select("id", "name")
+        vertices.select("id", "name", *(also or []))
         .join(in_degrees(edges), "id", "left")
         .join(out_degrees(edges), "id", "left")
         .join(ranks.select("id", "pr"), "id", "left")
@@ -34,6 +35,7 @@ def attach_attributes(vertices: DataFrame, edges: DataFrame, ranks: DataFrame) -
             F.coalesce("in_deg", F.lit(0)).cast("bigint").alias("in_deg"),
             F.coalesce("out_deg", F.lit(0)).cast("bigint").alias("out_deg"),
             F.coalesce("pr", F.lit(0.0)).alias("pr"),
+            *(also or []),
         )
     )
 

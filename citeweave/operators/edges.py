@@ -34,12 +34,11 @@ def has_journal(col: str = "journalName"):
 
 
 def _key_table(df: DataFrame) -> DataFrame:
-    """Materialise a per-key table (reliable checkpoint) before it is probed
-    by citation rows, so the join gets its own, splittable exchange."""
-    from citeweave.session import ensure_checkpoint_dir
+    """Write a per-key table before it is probed by citation rows, so the join
+    gets its own, splittable exchange."""
+    from citeweave.session import keep
 
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return keep(df, "keys")
 
 
 def publication_vertices(pubs: DataFrame) -> DataFrame:
@@ -48,8 +47,9 @@ def publication_vertices(pubs: DataFrame) -> DataFrame:
 
 
 def distinct_citation_lists(pubs: DataFrame) -> DataFrame:
-    """(id, outCitations) with identical records collapsed."""
-    return pubs.select("id", F.coalesce("outCitations", F.array().cast("array<string>")).alias("outCitations")).distinct()
+    """(id, outCitations) with identical records collapsed; a record without an
+    id is no publication."""
+    return pubs.where(F.col("id").isNotNull()).select("id", F.coalesce("outCitations", F.array().cast("array<string>")).alias("outCitations")).distinct()
 
 
 def citing_publications(pubs: DataFrame) -> DataFrame:

@@ -7,17 +7,14 @@
      a third of the rows sharing one key);
   2. tag rows with ``monotonically_increasing_id`` (partition index in the
      upper bits, row number inside the partition in the lower 33 bits) and
-     checkpoint, so both passes see the same rows in the same places;
+     write them, so both passes see the same rows in the same places;
   3. count rows per partition -- one row per partition, a size bounded by
      the partition count -- and turn the counts into start offsets;
   4. position = offset of the partition + row number inside it.
 
-``rank_within`` ranks rows inside groups with the same machinery when a group
-is large: the global position minus the position of the group's first row.
-A group holding a third of all rows is then spread across many range
-partitions instead of being sorted by one task, which a window partitioned
-by the group would do. ``rank_within`` and ``lead_in_order`` measure the
-largest group first and use the plain window when every group is bounded.
+``rank_within`` ranks rows inside groups that may each hold a third of all
+rows, and ``lead_in_order`` looks at the next row of such groups; neither sorts
+a group in one task.
 """
 
 from __future__ import annotations
@@ -25,10 +22,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeweave.session import ensure_checkpoint_dir
+from citeweave.session import keep
 
 _LOW_BITS = 33
 _LOW_MASK = (1 << _LOW_BITS) - 1
+# Positions of one slot in ``rank_within``.
+SLOT = 100_000
+# Rows that a range partition of ``dense_index`` holds on average, at most.
+ROWS_PER_PARTITION = 5_000_000
 
 
 def _as_sort(c) -> Column:
@@ -40,28 +41,28 @@ def dense_index(df: DataFrame, order: list, name: str = "idx", partitions: int |
     column names or sort expressions; make it a total order for a
     deterministic result)."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # One count sizes the range partitions: the session's number, more if rows ask for it.
+    n_parts = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_PER_PARTITION))
     # A unique last key: rows equal on ``order`` (copies, parallel edges) can
     # still be spread over several range partitions.
     sort_cols = [_as_sort(c) for c in order] + [F.col("_tie").asc()]
-    tagged = (
+    tagged = keep(
         df.withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(n_parts, *sort_cols)
         .sortWithinPartitions(*sort_cols)
         .withColumn("_mono", F.monotonically_increasing_id())
-        .drop("_tie")
-        .checkpoint(eager=True)
+        .drop("_tie"),
+        "positions",
     )
     part = F.shiftright(F.col("_mono"), _LOW_BITS)
     counts = tagged.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     # One row per partition: a single-partition window here is bounded by the
     # partition count, not by the data.
     # Materialised once, so every consumer of the positions reuses it.
-    offsets = counts.select(
+    offsets = keep(counts.select(
         "_part",
         (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-    ).select("_part", F.coalesce("_off", F.lit(0)).alias("_off")).checkpoint(eager=True)
+    ).select("_part", F.coalesce("_off", F.lit(0)).alias("_off")), "offsets")
     return (
         tagged.join(F.broadcast(offsets), part == F.col("_part"))
         .withColumn(name, (F.col("_off") + F.col("_mono").bitwiseAND(F.lit(_LOW_MASK))).cast("bigint"))
@@ -69,52 +70,39 @@ def dense_index(df: DataFrame, order: list, name: str = "idx", partitions: int |
     )
 
 
-def rank_within(df: DataFrame, group: str, order: list, name: str = "rank",
-                groups_bound: int | None = None, max_group_rows: int = 1_000_000) -> DataFrame:
+def rank_within(df: DataFrame, group: str, position: str, order: list, name: str = "rank") -> DataFrame:
     """Add a 1-based ``name`` ranking rows inside each ``group`` by ``order``.
 
-    The largest group is measured first (a count per group with map-side
-    partial aggregation; one number reaches the driver). If every group has
-    at most ``max_group_rows`` rows, a window ranks them (one task per group,
-    bounded by that check). Otherwise ranks come from global positions, so a
-    group holding a third of all rows is spread over many tasks.
-
-    ``groups_bound``: a proven upper bound on the number of groups (for
-    example k seeds); the group-start table is broadcast only then, else the
-    join is left to the planner and AQE's runtime size check.
+    ``position`` is a bigint column that never falls along ``order`` (the
+    place of a row's vertex in the graph's ranking, for example). Rows are
+    ranked inside (group, slot), a slot being SLOT positions, and the rows of
+    the group's earlier slots are added. So a group of any size is spread over
+    as many tasks as it has slots, every size takes this one plan, a null
+    group is a group like others, and nothing runs before the result is asked
+    for. The slot sizes come from the ranked rows themselves, whose exchange
+    is reused.
     """
-    largest = df.groupBy(group).count().agg(F.max("count").alias("m")).first()["m"] or 0
-    if largest <= max_group_rows:
-        w = Window.partitionBy(group).orderBy(*[_as_sort(c) for c in order])
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    indexed = dense_index(df, [group] + list(order), name="_gpos")
-    starts = indexed.groupBy(group).agg(F.min("_gpos").alias("_start"))
-    if groups_bound is not None and groups_bound <= 100_000:
-        starts = F.broadcast(starts)
+    slot = F.call_function("div", F.col(position), F.lit(SLOT))
+    inside = Window.partitionBy(group, "_slot").orderBy(*[_as_sort(c) for c in order])
+    ranked = df.withColumn("_slot", slot).withColumn("_row", F.row_number().over(inside))
+    sizes = ranked.groupBy(F.col(group).alias("_of"), F.col("_slot").alias("_at")).agg(F.max("_row").alias("_n"))
+    earlier = Window.partitionBy("_of").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_of", "_at", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     return (
-        indexed.join(starts, group)
-        .withColumn(name, (F.col("_gpos") - F.col("_start") + 1).cast("bigint"))
-        .drop("_gpos", "_start")
+        ranked.join(before, F.col(group).eqNullSafe(F.col("_of")) & F.col("_slot").eqNullSafe(F.col("_at")))
+        .withColumn(name, (F.col("_before") + F.col("_row")).cast("bigint"))
+        .drop("_slot", "_row", "_of", "_at", "_before")
     )
 
 
-def lead_in_order(df: DataFrame, group: str, order: list, value: str, name: str,
-                  max_group_rows: int = 1_000_000) -> DataFrame:
+def lead_in_order(df: DataFrame, group: str, order: list, value: str, name: str) -> DataFrame:
     """``lead(value) over (partition by group order by order)`` that no large
     group can stall.
 
-    The largest group is measured first (a count per group with map-side
-    partial aggregation; one number reaches the driver). If every group has
-    at most ``max_group_rows`` rows, the plain window runs: each group is
-    sorted by one task, which is bounded by that check. Otherwise rows get
-    global positions on (group, order) and each row is joined to the row one
-    position later, kept only when it belongs to the same group; an equi-join
-    on a unique position has no hot key, however large one group is.
+    Rows get global positions on (group, order) and each row is joined to the
+    row one position later, kept only when it belongs to the same group; an
+    equi-join on a unique position has no hot key, however large one group is.
     """
-    largest = df.groupBy(group).count().agg(F.max("count").alias("m")).first()["m"] or 0
-    if largest <= max_group_rows:
-        w = Window.partitionBy(group).orderBy(*[_as_sort(c) for c in order])
-        return df.withColumn(name, F.lead(value).over(w))
     indexed = dense_index(df, [group] + list(order), name="_pos")
     following = indexed.select((F.col("_pos") - 1).alias("_pos"), F.col(group).alias("_next_group"),
                                F.col(value).alias("_next_value"))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeweave.operators.indexing import rank_within
+from citeweave.operators.indexing import dense_index, rank_within
 from citeweave.operators.summary import rounded_pr
 
 DIRECTIONS = ("in", "out", "either")
@@ -29,6 +29,15 @@ def _seed_side(seeds: DataFrame, bound: int | None) -> DataFrame:
     return F.broadcast(s) if bound is not None and bound <= BROADCAST_SEEDS else s
 
 
+def with_position(graph_vertices: DataFrame) -> DataFrame:
+    """The vertices with ``position``, their place (from 0) in the order of
+    rounded rank and id. Built graphs have it; other tables get it by a
+    sort over all vertices."""
+    if "position" in graph_vertices.columns:
+        return graph_vertices
+    return dense_index(graph_vertices, [rounded_pr().desc(), F.col("id").asc()], name="position")
+
+
 def neighbors(edges: DataFrame, seeds: DataFrame, direction: str = "in", seeds_bound: int | None = None) -> DataFrame:
     """(seed_id, neighbor_id, via): one row per edge touching a seed."""
     direction = direction.lower()
@@ -58,16 +67,14 @@ def vertices_by_name(graph_vertices: DataFrame, names: DataFrame, names_bound: i
 
 
 def ranked_neighbors(graph_vertices: DataFrame, edges: DataFrame, seeds: DataFrame, direction: str = "in",
-                     seeds_bound: int | None = None, max_group_rows: int = 1_000_000) -> DataFrame:
+                     seeds_bound: int | None = None) -> DataFrame:
     """(seed_id, rank, neighbor_id, name, in_deg, out_deg, pr, via) with
     ``rank`` 1 for the most influential neighbour of each seed."""
     nb = neighbors(edges, seeds, direction, seeds_bound)
-    attrs = graph_vertices.select(
-        F.col("id").alias("neighbor_id"), "name", "in_deg", "out_deg", rounded_pr().alias("pr")
+    attrs = with_position(graph_vertices).select(
+        F.col("id").alias("neighbor_id"), "name", "in_deg", "out_deg", rounded_pr().alias("pr"), "position"
     )
-    joined = nb.join(attrs, "neighbor_id")
-    ranked = rank_within(joined, "seed_id", [F.col("pr").desc(), F.col("neighbor_id").asc(), F.col("via").asc()],
-                         groups_bound=seeds_bound, max_group_rows=max_group_rows)
+    ranked = rank_within(nb.join(attrs, "neighbor_id"), "seed_id", "position", ["position", "via"])
     return ranked.select("seed_id", "rank", "neighbor_id", "name", "in_deg", "out_deg", "pr", "via")
 
 
@@ -83,10 +90,14 @@ def influential_by_name(graph_vertices: DataFrame, edges: DataFrame, names: Data
 def top_k(graph_vertices: DataFrame, k: int) -> DataFrame:
     """The k highest-ranked vertices with their position (1-based).
 
-    orderBy + limit plans as TakeOrderedAndProject: each task keeps its own k
-    best and the driver merges k rows per task. The position window then runs
-    over at most k rows.
+    A built graph knows every vertex's position, so this is a filter. For
+    other tables orderBy + limit plans as TakeOrderedAndProject: each task keeps
+    its own k best and the driver merges k rows per task. The position window
+    then runs over at most k rows.
     """
+    if "position" in graph_vertices.columns:
+        return graph_vertices.where(F.col("position") < k).select(
+            "id", "name", "in_deg", "out_deg", rounded_pr().alias("pr"), (F.col("position") + 1).alias("position"))
     best = graph_vertices.select("id", "name", "in_deg", "out_deg", rounded_pr().alias("pr")) \
         .orderBy(F.col("pr").desc(), F.col("id").asc()).limit(k)
     position = F.row_number().over(Window.orderBy(F.col("pr").desc(), F.col("id").asc())).cast("bigint")
@@ -102,6 +113,7 @@ def influence_report(graph_vertices: DataFrame, edges: DataFrame, k: int, direct
         F.col("position").alias("seed_position"), F.col("id").alias("seed_id"), F.col("name").alias("seed_name")
     )
     ranked = ranked_neighbors(graph_vertices, edges, seeds, direction, seeds_bound=k)
-    return F.broadcast(seeds).join(ranked, "seed_id").select(
+    known = F.broadcast(seeds) if k <= BROADCAST_SEEDS else seeds
+    return known.join(ranked, "seed_id").select(
         "seed_position", "seed_id", "seed_name", "rank", "neighbor_id", "name", "in_deg", "out_deg", "pr", "via"
     )

@@ -54,6 +54,7 @@ from __future__ import annotations
 import threading
 import uuid
 from dataclasses import dataclass
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -78,13 +79,15 @@ class PageRankResult:
     salted: bool = False
 
 
-def layout_partitions(n_edges: int, cores: int, min_edges_per_task: int = 50_000,
-                      edges_per_partition: int = 2_000_000) -> int:
+def layout_partitions(n_edges: int, cores: int, n_vertices: int = 0, min_rows_per_task: int = 50_000,
+                      rows_per_partition: int = 2_000_000) -> int:
     """Partitions of the edge layout: use every core once each task gets at
-    least ``min_edges_per_task`` edges, and beyond that keep partitions near
-    ``edges_per_partition`` edges (about 50 MB of fixed-width rows)."""
-    by_cores = min(cores, -(-n_edges // min_edges_per_task))
-    by_size = -(-n_edges // edges_per_partition)
+    least ``min_rows_per_task`` rows, and beyond that keep partitions near
+    ``rows_per_partition`` (about 50 MB of fixed-width rows). The rows are
+    edges or vertices, whichever are more: a sparse graph's deltas must fit too."""
+    rows = max(n_edges, n_vertices)
+    by_cores = min(cores, -(-rows // min_rows_per_task))
+    by_size = -(-rows // rows_per_partition)
     # At least two: with one partition Spark plans the layout as a single
     # partition, and every other round's deltas no longer line up with it.
     return max(min(2, cores), by_cores, by_size)
@@ -130,7 +133,7 @@ def edge_layout(edges: DataFrame, per_src: DataFrame, hot: DataFrame | None, par
 
 # One loop session per (caller session, partition count); its settings never
 # change after creation, so concurrent loops may share it.
-_LOOP_SESSIONS: dict = {}
+_LOOP_SESSIONS = WeakKeyDictionary()
 _LOOP_LOCK = threading.Lock()
 
 
@@ -139,14 +142,15 @@ def loop_session(spark: SparkSession, partitions: int) -> SparkSession:
     adaptive execution off and ``partitions`` shuffle partitions. The
     caller's session configuration is never changed, so concurrent work in
     it (or a second graph built at the same time) is unaffected."""
-    key = (spark.sparkContext.applicationId, id(spark), partitions)
     with _LOOP_LOCK:
-        session = _LOOP_SESSIONS.get(key)
+        of_session = _LOOP_SESSIONS.setdefault(spark, {})
+        key = (spark.sparkContext.applicationId, partitions)
+        session = of_session.get(key)
         if session is None:
             session = spark.newSession()
             session.conf.set("spark.sql.adaptive.enabled", "false")
             session.conf.set("spark.sql.shuffle.partitions", str(partitions))
-            _LOOP_SESSIONS[key] = session
+            of_session[key] = session
     return session
 
 
@@ -177,15 +181,15 @@ def _messages(delta: DataFrame, wedges: DataFrame, hot: DataFrame | None, tol: f
 
 
 def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, reset: float = DEFAULT_RESET,
-             max_rounds: int = 10_000, edges_per_bucket: int = 1_000_000,
+             max_rounds: int | None = None, edges_per_bucket: int = 1_000_000,
              partitions: int | None = None, dense_ids: bool | None = None) -> PageRankResult:
     """Rank every vertex of ``vertices`` (column ``id``) over ``edges``
     (``src``, ``dst``; one row per edge, parallel rows allowed).
 
     ``partitions`` for the edge layout defaults to ``layout_partitions``.
     ``dense_ids`` maps keys to bigint surrogates first (default: when the key
-    is not an integer type). Raises if the propagation has not stopped after
-    ``max_rounds`` rounds.
+    is not an integer type). With ``max_rounds``, raises if the propagation has
+    not stopped by then; without it the tolerance alone ends the loop.
     """
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
@@ -217,7 +221,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
     # bound under MAX_HOT_SOURCES so broadcasting it is always safe.
     edges_per_bucket = max(edges_per_bucket, -(-n_edges // MAX_HOT_SOURCES))
     salted = top > edges_per_bucket
-    n_parts = partitions or layout_partitions(n_edges, spark.sparkContext.defaultParallelism)
+    n_parts = partitions or layout_partitions(n_edges, spark.sparkContext.defaultParallelism, vertices.count())
     hot = hot_sources(per_src, edges_per_bucket).checkpoint(eager=True) if salted else None
 
     loop = loop_session(spark, n_parts)
@@ -249,7 +253,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
         damp = 1.0 - reset
 
         while active > 0:
-            if rounds >= max_rounds:
+            if max_rounds is not None and rounds >= max_rounds:
                 raise RuntimeError(f"PageRank did not converge within {max_rounds} rounds")
             rounds += 1
             obs = Observation(f"pagerank-{run}-{rounds}")
@@ -271,8 +275,8 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
         stacked = history[0]
         for frame in history[1:]:
             stacked = stacked.unionByName(frame)
-        # Back in the caller's session. Every round shares one hash
-        # partitioning, so summing per vertex needs no shuffle.
+        # Back in the caller's session. A union of the rounds has no known
+        # partitioning, so the sum per vertex is one shuffle, of partial sums.
         stacked = hand_over(stacked, spark, views)
     finally:
         if wedges is not None:

@@ -6,26 +6,30 @@ once against ``CitationGraph``.
 
 Building a graph runs PageRank (a loop of jobs), so built graphs are kept
 per (session, corpus, kind) and reused by every query on the same corpus.
-Kept frames are reliable checkpoints, not cached blocks: losing an executor
-re-reads them from the shared checkpoint folder.
+Kept frames are Parquet tables in the shared checkpoint folder, not cached
+blocks: losing an executor loses nothing, and a question reads only the
+columns it needs.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import count
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.operators import degrees, edges as E
+from citeweave.operators.neighbors import with_position
 from citeweave.operators.pagerank import DEFAULT_RESET, DEFAULT_TOL, pagerank
-from citeweave.session import ensure_checkpoint_dir
+from citeweave.session import drop_kept, keep
 
 
 @dataclass
 class CitationGraph:
     kind: str  # "publication" | "journal"
-    vertices: DataFrame  # (id, name, in_deg, out_deg, pr)
+    vertices: DataFrame  # (id, name, in_deg, out_deg, pr, position); position: place by rank, from 0
     edges: DataFrame  # (src, dst, n); publication edges have n = 1 per parallel edge
     rounds: int = 0
     info: dict = field(default_factory=dict)
@@ -95,7 +99,7 @@ class CitationGraph:
         0.. in id order and edges as pairs of node numbers."""
         from citeweave.operators.indexing import dense_index
 
-        nodes = dense_index(self.vertices.select("id", "name"), ["id"], name="idx").checkpoint(eager=True)
+        nodes = keep(dense_index(self.vertices.select("id", "name"), ["id"], name="idx"), "nodes")
         src = nodes.select(F.col("id").alias("src"), F.col("idx").alias("source"))
         dst = nodes.select(F.col("id").alias("dst"), F.col("idx").alias("target"))
         links = self.edges.join(src, "src").join(dst, "dst").select("source", "target")
@@ -128,13 +132,19 @@ class CitationGraph:
                    edges=spark.read.parquet(f"{base}/edges"), rounds=int(meta["rounds"]))
 
     def unpersist(self) -> None:
-        """Kept frames are checkpoint files; nothing is held in memory."""
-
-
-def _finish(kind: str, vertices: DataFrame, edge_rows: DataFrame, edges_out: DataFrame, ranks: DataFrame,
-            result) -> CitationGraph:
-    attributed = degrees.attach_attributes(vertices, edge_rows, ranks).checkpoint(eager=True)
-    return CitationGraph(kind=kind, vertices=attributed, edges=edges_out, rounds=result.rounds,
+        """Delete the files of a built graph; it can't be asked any more."""
+        drop_kept(self.vertices, self.edges)
+
+
+def _finish(kind: str, vertices: DataFrame, edges: DataFrame, ranks: DataFrame, result) -> CitationGraph:
+    """vertices (vid, id, name), edges (src, dst, n, src_vid, dst_vid), ranks
+    (id = vid, pr). Degrees and ranks are joined on the bigint vid; ids and
+    names are attached last."""
+    by_vid = edges.select(F.col("src_vid").alias("src"), F.col("dst_vid").alias("dst"))
+    attributed = degrees.attach_attributes(vertices.select(F.col("vid").alias("id"), "name", F.col("id").alias("key")), by_vid, ranks, ["key"]) \
+        .select(F.col("key").alias("id"), "name", "in_deg", "out_deg", "pr")
+    placed = with_position(keep(attributed, f"{kind}-attributes"))
+    return CitationGraph(kind=kind, vertices=keep(placed, f"{kind}-vertices"), edges=edges.select("src", "dst", "n"), rounds=result.rounds,
                          info={"vertices": result.vertices, "partitions": result.partitions,
                                "salted": result.salted})
 
@@ -142,29 +152,26 @@ def _finish(kind: str, vertices: DataFrame, edge_rows: DataFrame, edges_out: Dat
 def build_publication_graph(pubs: DataFrame, tol: float = DEFAULT_TOL, reset: float = DEFAULT_RESET,
                             edges_per_bucket: int = 1_000_000) -> CitationGraph:
     """Vertices get bigint surrogates once; citations resolve straight to
-    them, so PageRank runs on fixed-width keys without re-mapping edges."""
-    ensure_checkpoint_dir(pubs.sparkSession)
-    vertices = E.publication_vertices(pubs).withColumn("vid", F.monotonically_increasing_id()).checkpoint(eager=True)
-    keyed = E.publication_edges_keyed(pubs, vertices).checkpoint(eager=True)
-    result = pagerank(vertices.select(F.col("vid").alias("id")),
-                      keyed.select(F.col("src_vid").alias("src"), F.col("dst_vid").alias("dst")),
-                      tol=tol, reset=reset, edges_per_bucket=edges_per_bucket, dense_ids=False)
-    ranks = result.ranks.join(vertices.select(F.col("vid").alias("id"), F.col("id").alias("key")), "id") \
-        .select(F.col("key").alias("id"), "pr")
-    edge_rows = keyed.select("src", "dst")
-    return _finish("publication", vertices.select("id", "name"), edge_rows,
-                   edge_rows.withColumn("n", F.lit(1).cast("bigint")), ranks, result)
+    them, so PageRank and degrees run on fixed-width keys."""
+    vertices = keep(E.publication_vertices(pubs).withColumn("vid", F.monotonically_increasing_id()), "publication-keys")
+    edges = keep(E.publication_edges_keyed(pubs, vertices).withColumn("n", F.lit(1).cast("bigint")), "publication-edges")
+    return _ranked("publication", vertices, edges, tol, reset, edges_per_bucket)
 
 
 def build_journal_graph(pubs: DataFrame, tol: float = DEFAULT_TOL, reset: float = DEFAULT_RESET,
                         edges_per_bucket: int = 1_000_000) -> CitationGraph:
-    ensure_checkpoint_dir(pubs.sparkSession)
-    vertices = E.journal_vertices(pubs).checkpoint(eager=True)
-    jedges = E.journal_edges(pubs).checkpoint(eager=True)
-    # Rank and degrees count each journal pair once; n does not weight them.
-    pairs = jedges.select("src", "dst")
-    result = pagerank(vertices, pairs, tol=tol, reset=reset, edges_per_bucket=edges_per_bucket)
-    return _finish("journal", vertices, pairs, jedges, result.ranks, result)
+    """Rank and degrees count each journal pair once; n does not weight them."""
+    vertices = keep(E.journal_vertices(pubs).withColumn("vid", F.monotonically_increasing_id()), "journal-keys")
+    src = vertices.select(F.col("id").alias("src"), F.col("vid").alias("src_vid"))
+    dst = vertices.select(F.col("id").alias("dst"), F.col("vid").alias("dst_vid"))
+    edges = keep(E.journal_edges(pubs).join(src, "src").join(dst, "dst").select("src", "dst", "n", "src_vid", "dst_vid"), "journal-edges")
+    return _ranked("journal", vertices, edges, tol, reset, edges_per_bucket)
+
+
+def _ranked(kind: str, vertices: DataFrame, edges: DataFrame, tol: float, reset: float, edges_per_bucket: int) -> CitationGraph:
+    result = pagerank(vertices.select(F.col("vid").alias("id")), edges.select(F.col("src_vid").alias("src"), F.col("dst_vid").alias("dst")),
+                      tol=tol, reset=reset, edges_per_bucket=edges_per_bucket, dense_ids=False)
+    return _finish(kind, vertices, edges, result.ranks, result)
 
 
 def build_graphs(pubs: DataFrame, tol: float = DEFAULT_TOL, reset: float = DEFAULT_RESET,
@@ -189,7 +196,7 @@ def load_corpus(spark: SparkSession, path: str, mode: str = "FAILFAST", sample:
     every run and layout) or, with ``by_hash=False``, Bernoulli with the
     seed. ``partitions`` repartitions the records (the reference run used a
     fixed count; by default the scan's own splits and AQE decide). The
-    result is checkpointed once: every later job reads the parsed records.
+    result is written once: every later job reads the parsed records.
     """
     from citeweave.sources import jsonl, sampling
 
@@ -199,16 +206,23 @@ def load_corpus(spark: SparkSession, path: str, mode: str = "FAILFAST", sample:
             else sampling.sample_bernoulli(pubs, sample, sample_seed)
     if partitions:
         pubs = pubs.repartition(partitions)
-    ensure_checkpoint_dir(spark)
-    return pubs.checkpoint(eager=True)
+    return keep(pubs, "records")
 
 
 _BUILT: dict = {}
+_SESSIONS = WeakKeyDictionary()  # a number for each live session; numbers are not used again
+_NUMBERS = count()
+
+
+def _session_number(spark: SparkSession) -> int:
+    if spark not in _SESSIONS:
+        _SESSIONS[spark] = next(_NUMBERS)
+    return _SESSIONS[spark]
 
 
 def _key(spark: SparkSession, corpus_key: str, kind: str):
-    # Kept frames belong to the session that built them.
-    return (spark.sparkContext.applicationId, id(spark), corpus_key, kind)
+    # Kept frames belong to the application and session that built them.
+    return (spark.sparkContext.applicationId, _session_number(spark), corpus_key, kind)
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,8 +231,7 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     k = _key(spark, sf_dir, "corpus")
     if k not in _BUILT:
-        ensure_checkpoint_dir(spark)
-        _BUILT[k] = derived_corpus(spark, sf_dir).checkpoint(eager=True)
+        _BUILT[k] = keep(derived_corpus(spark, sf_dir), "corpus")
     return _BUILT[k]
 
 
@@ -245,7 +258,12 @@ def graphs(spark: SparkSession, sf_dir: str) -> tuple[CitationGraph, CitationGra
 
 
 def forget(spark: SparkSession | None = None) -> None:
-    """Drop kept graphs (all, or those of one session)."""
+    """Drop kept graphs and tables (all, or those of one session) and their
+    files. Call it when tables that were read have changed."""
     for k in list(_BUILT):
-        if spark is None or k[:2] == (spark.sparkContext.applicationId, id(spark)):
-            del _BUILT[k]
+        if spark is None or k[:2] == (spark.sparkContext.applicationId, _session_number(spark)):
+            kept = _BUILT.pop(k)
+            if isinstance(kept, CitationGraph):
+                kept.unpersist()
+            elif isinstance(kept, DataFrame):
+                drop_kept(kept)

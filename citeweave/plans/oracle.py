@@ -12,19 +12,32 @@ from citeweave.plans.catalog import EMPTY_EVERY, SAMPLE_FRACTION, TOP_K, TRUNCAT
 
 CORPUS = """
 cites as (
-  select l_partkey pk,
-         lead(l_partkey) over (partition by l_orderkey order by l_linenumber, l_partkey) nxt,
-         l_orderkey, l_linenumber
+  select l_partkey pk, l_orderkey, l_linenumber, l_suppkey,
+         lead(l_partkey) over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) nxt
   from lineitem),
+cited as (
+  select *, concat(case when nxt % 11 = 0 then 'x' else '' end, cast(nxt as varchar)) c,
+         concat('s', cast(l_suppkey as varchar)) s
+  from cites),
 oc as (
-  select pk, list(cast(nxt as varchar) order by l_orderkey, l_linenumber, nxt) oc
-  from cites where nxt is not null and nxt % 11 <> 0 group by pk),
-pubs as (
+  select pk, l_orderkey,
+         list_concat(coalesce(list(c order by l_linenumber, c) filter (where nxt is not null), cast([] as varchar[])),
+                     list(s order by l_linenumber, s)) oc
+  from cited group by pk, l_orderkey),
+records as (
   select cast(p_partkey as varchar) id,
-         concat(p_name, ' ', cast(p_partkey % 997 as varchar)) title,
+         concat(p_name, ' ', cast(p_partkey % 97 as varchar)) title,
          case when p_size % 10 = 0 then '' else concat(p_brand, '/', cast(p_size as varchar)) end journalName,
-         case when p_size % 7 = 0 or oc is null then cast([] as varchar[]) else oc end outCitations
-  from part left join oc on pk = p_partkey where p_size <= 45)"""
+         coalesce(oc, cast([] as varchar[])) outCitations, p_partkey
+  from part left join oc on pk = p_partkey),
+pubs as (
+  select id, title, journalName, outCitations from records
+  union all select id, title, journalName, outCitations from records where p_partkey % 100 = 3
+  union all select concat('s', cast(s_suppkey as varchar)), concat('Supplier in nation ', cast(s_nationkey as varchar)),
+                   case when s_nationkey % 5 <> 0 then concat('Nation/', cast(s_nationkey as varchar)) end,
+                   case when s_suppkey % 2 = 0 then [cast(s_suppkey as varchar)]
+                        else cast([] as varchar[]) end
+  from supplier)"""
 
 PUB_GRAPH_BASE = """
 pv as (select id, min(title) name from pubs group by id),
@@ -118,11 +131,15 @@ def _max_degree(g: str) -> str:
     return " union all ".join([one("in", "in_deg"), one("out", "out_deg"), one("total", "in_deg + out_deg")])
 
 
-def _hex(expr: str) -> str:
-    digits = f"list_transform(string_split(lower({expr}), ''), lambda c: (instr('0123456789abcdef', c) - 1)::hugeint)"
+def _hex(expr: str, kind: str = "hugeint") -> str:
+    digits = f"list_transform(string_split(lower({expr}), ''), lambda c: (instr('0123456789abcdef', c) - 1)::{kind})"
     return f"cast(list_reduce({digits}, lambda a, b: a * 16 + b) as varchar)"
 
 
+def _damage(modulus: int) -> str:
+    return f"cast('0x' || substr(md5(id), 1, 4) as bigint) % {modulus}"
+
+
 def statements() -> dict[str, str]:
     c = _with(CORPUS)
     p = _with(*PUB, recursive=True)
@@ -134,9 +151,9 @@ def statements() -> dict[str, str]:
     return {
         "scan_publications": c + "select id, title, journalName, len(outCitations)::bigint n_cited, "
                                  "array_to_string(outCitations, ' ') cited from pubs",
-        "scan_quarantine": c + f"""select case when cast(id as bigint) % {TRUNCATE_EVERY} = 0 then 'malformed' else 'missing_id' end reason,
-       case when cast(id as bigint) % {TRUNCATE_EVERY} = 0 then id end recovered_id
-from pubs where cast(id as bigint) % {TRUNCATE_EVERY} = 0 or cast(id as bigint) % {EMPTY_EVERY} = 0""",
+        "scan_quarantine": c + f"""select case when {_damage(TRUNCATE_EVERY)} = 0 then 'malformed' else 'missing_id' end reason,
+       case when {_damage(TRUNCATE_EVERY)} = 0 then id end recovered_id
+from pubs where {_damage(TRUNCATE_EVERY)} = 0 or {_damage(EMPTY_EVERY)} = 0""",
         "sample_by_hash": c + f"select id, title from pubs where cast('0x' || substr(md5(id || '|2'), 1, 8) as bigint) < {threshold!r}",
         "corpus_count": c + "select count(*) n_records from pubs",
         "publication_vertices": pb + "select id, name from pv",
@@ -181,9 +198,9 @@ from (select src id from pe union select dst from pe) x left join pv on pv.id =
         "influence_report_journals": j.rstrip("\n") + _report("jg", "je"),
         "graph_links": pb + """, idx as (select id, (row_number() over (order by id) - 1)::bigint idx from pv)
 select a.idx source, b.idx target from pe join idx a on a.id = pe.src join idx b on b.id = pe.dst""",
-        "hex_to_decimal": c + f"select id, {_hex('id')} id_dec, {_hex('substr(md5(id), 1, 30)')} key_dec, "
-                              f"{_hex('substr(md5(id), 1, 30)')} key_fold from pubs",
+        "hex_to_decimal": c + f"select id, {_hex('id')} id_dec, {_hex('md5(id)', 'uhugeint')} key_dec, "
+                              f"{_hex('md5(id)', 'uhugeint')} key_fold from pubs",
         "stream_ingest_publications": c + f"""select id, title, journalName, len(outCitations)::bigint n_cited,
        array_to_string(outCitations, ' ') cited from pubs
-where cast(id as bigint) % {TRUNCATE_EVERY} <> 0 and cast(id as bigint) % {EMPTY_EVERY} <> 0""",
+where {_damage(TRUNCATE_EVERY)} <> 0 and {_damage(EMPTY_EVERY)} <> 0""",
     }

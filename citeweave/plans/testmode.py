@@ -1,7 +1,6 @@
 """The timing run over a corpus: build both graphs (concurrently), take each
 graph's k highest-ranked vertices and rank the vertices citing each of them,
-reporting seconds per step and the per-stage task metrics of the run when
-the event log is on.
+reporting seconds per step.
 
 Instead of one lookup job per seed, each report is one distributed job over
 all k seeds.
@@ -13,20 +12,17 @@ import time
 
 from pyspark.sql import DataFrame
 
-from citeweave.operators.metrics import stage_rollup
 from citeweave.plans.graph import build_graphs, build_journal_graph, build_publication_graph
-from citeweave.sources.eventlog import event_log_path, task_metrics
 
 
 def run_test_mode(pubs: DataFrame, publications_k: int = 5, journals_k: int = 5, direction: str = "in",
                   output: str | None = None) -> dict:
-    """Returns {"seconds": {...}, "rounds": {...}, "reports": {...}, "stages": DataFrame | None}.
+    """Returns {"seconds": {...}, "rounds": {...}, "reports": {...}}.
 
     Both graphs are built concurrently when both are asked for. With
     ``output``, each report is written as JSON under output/<name>;
     otherwise it is computed with a no-op write, never collected.
     """
-    spark = pubs.sparkSession
     seconds, rounds, reports = {}, {}, {}
 
     def sink(name: str, df: DataFrame) -> None:
@@ -57,6 +53,4 @@ def run_test_mode(pubs: DataFrame, publications_k: int = 5, journals_k: int = 5,
         seconds[f"{kind}_report"] = time.perf_counter() - t
         reports[kind] = report
 
-    path = event_log_path(spark)
-    stages = stage_rollup(task_metrics(spark, path)) if path else None
-    return {"seconds": seconds, "rounds": rounds, "reports": reports, "stages": stages}
+    return {"seconds": seconds, "rounds": rounds, "reports": reports}

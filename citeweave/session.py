@@ -6,7 +6,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "citeweave",
@@ -56,6 +56,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the checkpoint folder and read it back.
+
+    The lineage is cut, a lost executor costs nothing that was written, and
+    later scans read only the columns they need. ``drop_kept`` removes the
+    files.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._kept_path = path
+    return out
+
+
+def drop_kept(*frames: DataFrame) -> None:
+    """Delete the files of frames that ``keep`` gave; others are left alone."""
+    for df in frames:
+        path = getattr(df, "_kept_path", None)
+        if path is not None:
+            target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)

@@ -1,7 +1,8 @@
 """Publication records derived from the TPC-H style test tables.
 
-The test tables carry no citation data, so a part plays a publication and
-"cites" the part on the next line of the same order. The derivation is
+The test tables carry no citation data, so parts and suppliers play
+publications, and a part "cites" the part on the next line of the same order
+and the supplier of its line. The derivation is
 fixed (see FIXTURES.md section 3) so that Spark and the SQL oracle build the
 same corpus. Only the four graph columns are produced; ``as_records`` pads
 them to full publication records for the JSON round trip.
@@ -22,33 +23,46 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def derived_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, title, journalName, outCitations) for every part with p_size <= 45."""
-    lineitem = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    """(id, title, journalName, outCitations) from every part, supplier and
+    line item.
+
+    A part's record of one order cites the part on the next line of the order
+    and the line's supplier; a next part whose key is divisible by 11 is cited
+    by an id that the corpus lacks. A part without orders has one record with
+    an empty list. A supplier with an even key cites the part of that
+    key, the others cite nothing; suppliers of a nation share a title. Parts whose key leaves 3 modulo
+    100 have all their records twice.
+    """
+    lineitem = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
 
-    # The next line of the same order. A window per order when every order is
-    # small (measured first); global positions when one order is huge.
-    cites = lead_in_order(lineitem, "l_orderkey", ["l_linenumber", "l_partkey"], "l_partkey", "nxt") \
-        .select(F.col("l_partkey").alias("pk"), "nxt", "l_orderkey", "l_linenumber")
-    lists = (
-        cites.where(F.col("nxt").isNotNull() & (F.col("nxt") % 11 != 0))
-        .groupBy("pk")
-        .agg(F.sort_array(F.collect_list(F.struct("l_orderkey", "l_linenumber", "nxt"))).alias("cl"))
-        .select("pk", F.transform("cl", lambda x: x["nxt"].cast("string")).alias("oc"))
-    )
+    cites = lead_in_order(lineitem, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], "l_partkey", "nxt")
+    cited = F.when(F.col("nxt") % 11 == 0, F.concat(F.lit("x"), F.col("nxt").cast("string"))).otherwise(F.col("nxt").cast("string"))
+    supplied = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
+    # One record for each part and order: no list grows with a part's orders.
+    lists = cites.groupBy(F.col("l_partkey").alias("pk"), "l_orderkey").agg(
+        F.sort_array(F.collect_list(F.when(F.col("nxt").isNotNull(), F.struct("l_linenumber", cited.alias("c"))))).alias("next"),
+        F.sort_array(F.collect_list(F.struct("l_linenumber", supplied.alias("c")))).alias("supp"),
+    ).select("pk", F.concat(F.transform("next", lambda x: x["c"]), F.transform("supp", lambda x: x["c"])).alias("oc"))
     empty: Column = F.array().cast("array<string>")
-    return (
-        part.where(F.col("p_size") <= 45)
-        .join(lists, F.col("pk") == F.col("p_partkey"), "left")
-        .select(
-            F.col("p_partkey").cast("string").alias("id"),
-            F.concat(F.col("p_name"), F.lit(" "), (F.col("p_partkey") % 997).cast("string")).alias("title"),
-            F.when(F.col("p_size") % 10 == 0, F.lit(""))
-            .otherwise(F.concat(F.col("p_brand"), F.lit("/"), F.col("p_size").cast("string")))
-            .alias("journalName"),
-            F.when((F.col("p_size") % 7 == 0) | F.col("oc").isNull(), empty).otherwise(F.col("oc")).alias("outCitations"),
-        )
+    records = part.join(lists, F.col("pk") == F.col("p_partkey"), "left").select(
+        F.col("p_partkey").cast("string").alias("id"),
+        F.concat(F.col("p_name"), F.lit(" "), (F.col("p_partkey") % 97).cast("string")).alias("title"),
+        F.when(F.col("p_size") % 10 == 0, F.lit(""))
+        .otherwise(F.concat(F.col("p_brand"), F.lit("/"), F.col("p_size").cast("string")))
+        .alias("journalName"),
+        F.coalesce("oc", empty).alias("outCitations"),
+        F.explode(F.when(F.col("p_partkey") % 100 == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    ).drop("copy")
+    suppliers = supplier.select(
+        F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("id"),
+        F.concat(F.lit("Supplier in nation "), F.col("s_nationkey").cast("string")).alias("title"),
+        F.when(F.col("s_nationkey") % 5 != 0, F.concat(F.lit("Nation/"), F.col("s_nationkey").cast("string"))).alias("journalName"),
+        F.when(F.col("s_suppkey") % 2 == 0, F.array(F.col("s_suppkey").cast("string")))
+        .otherwise(empty).alias("outCitations"),
     )
+    return records.unionByName(suppliers)
 
 
 def as_records(df: DataFrame) -> DataFrame:

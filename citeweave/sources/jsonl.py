@@ -5,63 +5,67 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeweave.session import keep
 from citeweave.sources.schema import CORRUPT_COLUMN, GRAPH_COLUMNS, PUBLICATION, with_corrupt_column
 
 MODES = ("FAILFAST", "PERMISSIVE", "DROPMALFORMED")
 
 
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """(record, reason, recovered_id, line) for text lines (column ``value``).
+
+    Every line is parsed against the full schema, so a bad value in any field
+    shows, also in one that nobody selects. ``reason`` is null for a good
+    record, 'malformed' for a line that does not parse, 'missing_id' for a
+    record without an id. The line itself is kept whatever the reason. Blank
+    lines are no records.
+    """
+    parsed = F.from_json("value", with_corrupt_column(), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
+    rows = lines.where(F.trim("value") != "").select(parsed.alias("record"), F.col("value").alias("line"))
+    bad = F.col("record").isNull() | F.col(f"record.{CORRUPT_COLUMN}").isNotNull()
+    reason = F.when(bad, F.lit("malformed")).when(F.col("record.id").isNull(), F.lit("missing_id"))
+    seen = F.when(bad, F.regexp_extract("line", r'"id"\s*:\s*"([^"]*)"', 1))
+    return rows.select("record", reason.alias("reason"), seen.alias("recovered_id"), "line")
+
+
 def read_publications(spark: SparkSession, path: str, mode: str = "FAILFAST",
                       columns: list[str] | None = GRAPH_COLUMNS) -> DataFrame:
     """Scan JSON-lines publication records with the fixed schema.
 
-    ``FAILFAST`` fails the job on the first bad line, as a strict record
-    parser would. ``PERMISSIVE`` nulls unparsable fields instead; use
-    ``quarantine`` to see what was set aside. ``columns`` prunes the scan
-    (the JSON reader skips unselected fields); ``None`` keeps all 19.
+    ``FAILFAST`` fails the job on the first line that does not parse against
+    the full schema or has no id, as a strict record parser would.
+    ``PERMISSIVE`` and ``DROPMALFORMED`` leave such lines out; use
+    ``scan_with_quarantine`` to see them. ``columns``: ``None`` keeps all 19.
     """
     mode = mode.upper()
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    df = spark.read.schema(PUBLICATION).option("mode", mode).json(path)
-    if columns is not None:
-        df = df.select(*columns)
-    if mode != "FAILFAST":
-        # A line such as "{}" parses to an all-null row without being
-        # reported as corrupt; a record without an id cannot be a vertex.
-        df = df.where(F.col("id").isNotNull())
-    return df
+    rows = parse_lines(spark.read.text(path))
+    if mode == "FAILFAST":
+        stop = F.raise_error(F.concat(F.col("reason"), F.lit(" record: "), F.substring("line", 1, 200)))
+        rows = rows.where(F.when(F.col("reason").isNull(), F.lit(True)).otherwise(stop.cast("boolean")))
+    else:
+        rows = rows.where(F.col("reason").isNull())
+    names = columns if columns is not None else PUBLICATION.fieldNames()
+    return rows.select(*[F.col(f"record.{c}").alias(c) for c in names])
 
 
 def scan_with_quarantine(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Split a JSON-lines scan into (good records, quarantined lines).
 
-    The quarantine has ``reason`` ('malformed' for lines that do not parse
-    against the schema, 'missing_id' for parsed records without an id), the
-    id recovered from the raw text where it is visible, and the raw line.
-
-    The reader only converts the fields a query needs, so a bad value in an
-    unselected field would go unnoticed. Every line is therefore parsed once
-    against the full schema and the result is checkpointed; both outputs
-    read that one parse (one pass over the input, as an ingest job would).
+    The quarantine has ``reason`` ('malformed' or 'missing_id'), the id
+    recovered from the text of a malformed line where it is visible, and the
+    raw line. Both outputs read one parse that is written once (one pass over
+    the input, as an ingest job would).
     """
-    from citeweave.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
-    raw = (
-        spark.read.schema(with_corrupt_column())
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .json(path)
-        .checkpoint(eager=True)
-    )
-    bad = F.col(CORRUPT_COLUMN).isNotNull()
-    good = raw.where(~bad & F.col("id").isNotNull()).select(*GRAPH_COLUMNS)
-    quarantined = raw.where(bad | F.col("id").isNull()).select(
-        F.when(bad, F.lit("malformed")).otherwise(F.lit("missing_id")).alias("reason"),
-        F.when(bad, F.regexp_extract(F.col(CORRUPT_COLUMN), r'"id"\s*:\s*"([^"]*)"', 1)).alias("recovered_id"),
-        F.col(CORRUPT_COLUMN).alias("line"),
-    )
-    return good, quarantined
+    rows = keep(parse_lines(spark.read.text(path)), "parsed-lines")
+    return split_parsed(rows)
+
+
+def split_parsed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good records, quarantined lines) of parsed lines."""
+    good = rows.where(F.col("reason").isNull()).select(*[F.col(f"record.{c}").alias(c) for c in GRAPH_COLUMNS])
+    return good, rows.where(F.col("reason").isNotNull()).select("reason", "recovered_id", "line")
 
 
 def to_json_lines(df: DataFrame) -> DataFrame:
@@ -77,7 +81,7 @@ def write_json_lines(df: DataFrame, path: str) -> str:
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     """CSV sink with a header. ``single_file`` coalesces to one file and is
-    meant for small reports only (for example a stage rollup)."""
+    meant for small reports only (for example the influence report of a few seeds)."""
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", "true").csv(path)
     return path

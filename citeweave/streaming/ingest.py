@@ -13,37 +13,24 @@ a partitioned parquet dataset that the graph builders read directly.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from citeweave.sources.schema import CORRUPT_COLUMN, GRAPH_COLUMNS, with_corrupt_column
+from citeweave.sources.jsonl import parse_lines, split_parsed
 
 
 def publication_stream(spark: SparkSession, source_dir: str, files_per_batch: int = 100) -> DataFrame:
-    return (
-        spark.readStream.schema(with_corrupt_column())
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(source_dir)
-    )
+    """Parsed lines of the files as they land."""
+    return parse_lines(spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(source_dir))
 
 
 def _split_batch(table: str, quarantine: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Cache the full parse so the corrupt-record check covers every field
-        # (a pruned read would skip unselected fields). A lost block is
-        # re-parsed from the batch's files.
+        # One parse for both outputs; a lost block is parsed again from the batch's files.
         parsed = batch.persist()
         try:
-            bad = F.col(CORRUPT_COLUMN).isNotNull()
-            parsed.where(~bad & F.col("id").isNotNull()).select(*GRAPH_COLUMNS) \
-                .write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
-            parsed.where(bad | F.col("id").isNull()).select(
-                F.when(bad, F.lit("malformed")).otherwise(F.lit("missing_id")).alias("reason"),
-                F.when(bad, F.regexp_extract(F.col(CORRUPT_COLUMN), r'"id"\s*:\s*"([^"]*)"', 1)).alias("recovered_id"),
-                F.col(CORRUPT_COLUMN).alias("line"),
-            ).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+            good, bad = split_parsed(parsed)
+            good.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
         finally:
             parsed.unpersist()
     return write

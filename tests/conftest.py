@@ -8,8 +8,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-EVENT_DIR = tempfile.mkdtemp(prefix="citeweave-events-")
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -24,8 +22,7 @@ def spark():
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.eventLog.enabled", "true")
-        .config("spark.eventLog.dir", EVENT_DIR)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="citeweave-ckpt-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

@@ -10,7 +10,6 @@ from citeweave.plans.graph import build_journal_graph, build_publication_graph,
 from citeweave.plans.testmode import run_test_mode
 from citeweave.sources import jsonl
 from citeweave.sources.corpus import as_records
-from citeweave.sources.eventlog import event_log_path, register_task_metrics
 from citeweave.streaming.ingest import start_ingest
 
 
@@ -49,19 +48,16 @@ def test_node_link_export(spark, toy):
         sorted([(0, 1), (0, 2), (1, 2), (1, 2), (3, 3), (3, 0), (5, 0)])
 
 
-def test_test_mode_and_metrics_sink(spark, toy):
+def test_test_mode_and_csv_sink(spark, toy):
     out = tempfile.mkdtemp(prefix="citeweave-tm-")
     res = run_test_mode(toy, 2, 2, output=os.path.join(out, "reports"))
     assert res["rounds"]["publications"] > 0 and res["rounds"]["journals"] > 0
     pub = spark.read.json(os.path.join(out, "reports", "publications_report"))
     assert pub.where("seed_position = 1").count() == 3  # vertex 3 is cited by 1, 2, 2
-    assert res["stages"] is not None
-    jsonl.write_csv(res["stages"], os.path.join(out, "stages"), single_file=True)
-    files = [f for f in os.listdir(os.path.join(out, "stages")) if f.endswith(".csv")]
-    assert len(files) == 1
-    register_task_metrics(spark, event_log_path(spark))
-    n = spark.sql("select stageId, count(*) c from PerfTaskMetrics group by stageId").count()
-    assert n > 0
+    jsonl.write_csv(res["reports"]["publications"], os.path.join(out, "csv"), single_file=True)
+    assert len([f for f in os.listdir(os.path.join(out, "csv")) if f.endswith(".csv")]) == 1
+    back = spark.read.option("header", True).csv(os.path.join(out, "csv"))
+    assert back.count() == res["reports"]["publications"].count() and back.columns == res["reports"]["publications"].columns
 
 
 def test_streaming_ingest(spark, toy):
@@ -81,6 +77,8 @@ def test_streaming_ingest(spark, toy):
     assert table.select("batch").distinct().count() == 2
     bad = sorted((r.reason, r.recovered_id) for r in spark.read.parquet(os.path.join(base, "quarantine")).collect())
     assert bad == [("malformed", "x9"), ("missing_id", None)]
+    kept = {r.line for r in spark.read.parquet(os.path.join(base, "quarantine")).collect()}
+    assert kept == {'{"id": "x9", "title": "broken', "{}"}
     g = build_journal_graph(table.drop("batch"))
     assert sorted((r.src, r.dst, r.n) for r in g.edges.collect()) == [("J1", "J2", 3), ("J3", "J1", 1)]
 
@@ -96,6 +94,20 @@ def test_command_line_search(spark, toy_path, capsys, monkeypatch):
     assert sorted(r.neighbor_id for r in rows) == ["1", "2", "2"]
 
 
+def test_command_line_search_prints_every_row(spark, tmp_path, capsys, monkeypatch):
+    from citeweave import __main__ as cli
+
+    rows = [("hub", "Hub", "J", [])] + [(f"c{i:03d}", f"T{i}", "K", ["hub"]) for i in range(120)]
+    pubs = spark.createDataFrame(rows, "id string, title string, journalName string, outCitations array<string>")
+    jsonl.write_json_lines(as_records(pubs), str(tmp_path / "in"))
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    assert cli.main(["search", "--input", str(tmp_path / "in"), "--name", "Hub"]) == 0
+    assert len(capsys.readouterr().out.splitlines()) == 121
+    assert cli.main(["search", "--input", str(tmp_path / "in"), "--name", "Hub", "--show", "7"]) == 0
+    printed = capsys.readouterr().out.splitlines()
+    assert len(printed) == 9 and printed[-1] == "of 120 rows"
+
+
 def test_command_line_report_from_properties(spark, toy_path, capsys, monkeypatch):
     from citeweave import __main__ as cli
 

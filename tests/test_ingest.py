@@ -27,28 +27,39 @@ def path():
     return d
 
 
-def test_failfast_raises(spark, path):
-    with pytest.raises(Exception):
-        jsonl.read_publications(spark, path, mode="FAILFAST").collect()
+@pytest.fixture
+def one_line(tmp_path):
+    def of(*lines):
+        (tmp_path / "part.json").write_text("\n".join(lines) + "\n")
+        return str(tmp_path)
+    return of
 
 
-def test_permissive_drops_records_without_id(spark, path):
-    ids = sorted(r.id for r in jsonl.read_publications(spark, path, mode="PERMISSIVE").collect())
-    # the truncated line and {} give no id; a wrong-typed field nulls the record in permissive mode
-    assert "a1" in ids and "d4" in ids and "e5" in ids
-    assert None not in ids
+@pytest.mark.parametrize("line", ["{}", '{"id": "x", "year": "abc"}', '{"id": "x", "authors": 3}', '{"id": "x", "title"', '{"title": "T"}', "[1]", "text"])
+def test_failfast_raises_on_each(spark, one_line, line):
+    """Also for fields that nobody selects, and with a good record beside."""
+    with pytest.raises(Exception, match="record"):
+        jsonl.read_publications(spark, one_line(GOOD, line), mode="FAILFAST").collect()
+    assert [r.id for r in jsonl.read_publications(spark, one_line(GOOD, line), mode="PERMISSIVE").collect()] == ["a1"]
+
+
+def test_failfast_takes_good_lines(spark, one_line):
+    assert [r.id for r in jsonl.read_publications(spark, one_line(GOOD, "", "  ")).collect()] == ["a1"]
+
+
+def test_permissive_drops_bad_records(spark, path):
+    for mode in ("PERMISSIVE", "DROPMALFORMED"):
+        assert sorted(r.id for r in jsonl.read_publications(spark, path, mode=mode).collect()) == ["a1", "d4", "e5"]
 
 
 def test_quarantine(spark, path):
     good, bad = jsonl.scan_with_quarantine(spark, path)
-    reasons = sorted((r.reason, r.recovered_id) for r in bad.collect())
-    assert ("malformed", "b2") in reasons
-    assert ("missing_id", None) in reasons
-    assert ("malformed", "c3") in reasons
+    assert sorted((r.reason, r.recovered_id or "", r.line) for r in bad.collect()) == \
+        [("malformed", "b2", LINES[1]), ("malformed", "c3", LINES[3]), ("missing_id", "", "{}")]
     got = {r.id: r for r in good.collect()}
+    assert sorted(got) == ["a1", "d4", "e5"]
     assert got["d4"].title is None
     assert got["e5"].outCitations is None
-    assert len(good.collect()) + len(reasons) == len(LINES)
 
 
 def test_round_trip(spark, toy):

@@ -1,30 +1,10 @@
-"""Event-log task metrics, stage rollup, and physical-plan checks."""
-
-import time
-
-from citeweave.operators.metrics import stage_rollup
-from citeweave.sources.eventlog import event_log_path, task_metrics
+"""Physical-plan checks."""
 
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_task_metrics_and_rollup(spark):
-    entry.queries()["publication_summary"](spark, SF).collect()
-    path = event_log_path(spark)
-    assert path is not None
-    tm = task_metrics(spark, path)
-    for _ in range(20):  # the log is flushed by Spark's listener thread
-        if tm.count() > 0:
-            break
-        time.sleep(0.5)
-    assert tm.count() > 0
-    roll = stage_rollup(tm).collect()
-    assert roll and all(r["count"] >= 1 for r in roll)
-    assert roll == sorted(roll, key=lambda r: (-r.sum_run_time_ms, -r.sum_cpu_time_ns))
-
-
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -39,17 +19,60 @@ def test_no_python_in_plans(spark):
 
 
 def test_scan_prunes_columns(spark):
+    """Kept tables are Parquet: a question reads the columns it needs."""
     from citeweave.operators.edges import publication_edges, publication_vertices
-    from citeweave.sources.corpus import derived_corpus
+    from citeweave.plans.graph import corpus, publication_graph
 
-    pubs = derived_corpus(spark, SF)
+    pubs = corpus(spark, SF)
     plan = _plan(publication_vertices(pubs))
-    # vertices need no reference lists: the lineitem side is removed entirely
-    assert "lineitem" not in plan
-    assert "ReadSchema: struct<p_partkey:bigint,p_name:string,p_size:int>" in plan
-    assert "LessThanOrEqual(p_size,45)" in plan
+    assert "ReadSchema: struct<id:string,title:string>" in plan and "ExistingRDD" not in plan, plan
     plan = _plan(publication_edges(pubs))
-    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int>" in plan, plan
+    assert "ReadSchema: struct<id:string,outCitations:array<string>>" in plan and "ExistingRDD" not in plan, plan
+    g = publication_graph(spark, SF)
+    assert "ReadSchema: struct<dst:string>" in _plan(g.in_degrees())
+    plan = _plan(g.top(5))
+    assert "ReadSchema: struct<id:string,name:string,in_deg:bigint,out_deg:bigint,pr:double,position:bigint>" in plan
+    assert "LessThan(position,5)" in plan and "TakeOrdered" not in plan
+    for key in ("sample_by_hash", "corpus_count", "publication_journal", "dense_journal_index"):
+        assert "ExistingRDD" not in _plan(entry.queries()[key](spark, SF)), key
+
+
+def test_a_report_starts_no_job(spark):
+    """Asking a built graph runs nothing until the result is asked for, and the
+    seeds' joins run once: their exchange is used for the slot sizes too."""
+    from citeweave.plans.graph import publication_graph
+
+    g = publication_graph(spark, SF)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("quiet", "building a report")
+    try:
+        report = g.influence_report(3)
+        g.influential("red bolt 12", "either")
+        assert not tracker.getJobIdsForGroup("quiet")
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+    report.collect()
+    assert "ReusedExchange" in _plan(report)
+
+
+def test_dropped_graphs_leave_no_files(spark):
+    import glob
+
+    from citeweave.plans.graph import build_journal_graph, corpus
+
+    g = build_journal_graph(corpus(spark, SF))
+    paths = [f._kept_path.replace("file:", "") for f in (g.vertices, g.edges) if hasattr(f, "_kept_path")]
+    assert paths and all(glob.glob(f"{p}/*.parquet") for p in paths)
+    g.unpersist()
+    assert not any(glob.glob(f"{p}/*") for p in paths)
+
+
+def test_sparse_graphs_get_partitions_for_their_vertices():
+    from citeweave.operators.pagerank import layout_partitions
+
+    assert layout_partitions(1_000, 8) == 2
+    assert layout_partitions(1_000, 8, 1_000_000_000) == 500
+    assert layout_partitions(1_000_000, 400, 30_000_000) == 400
 
 
 def test_pagerank_round_moves_only_messages(spark):
@@ -101,38 +124,6 @@ def test_dense_index_has_no_data_sized_single_partition(spark):
     assert "BroadcastExchange" in plan
 
 
-def test_plain_single_file_event_log(spark):
-    """The reader takes the single-file, uncompressed layout as well."""
-    import glob
-    import io
-    import os
-    import tempfile
-
-    import zstandard
-
-    from conftest import EVENT_DIR
-
-    import time
-
-    app = spark.sparkContext.applicationId
-    spark.range(0, 1000, numPartitions=4).selectExpr("id % 7 k").groupBy("k").count().collect()
-    data = b""
-    for _ in range(20):
-        files = sorted(glob.glob(f"{EVENT_DIR}/*{app}*/events_*"))
-        assert files, "expected the rolling, compressed default layout"
-        data = b"".join(zstandard.ZstdDecompressor().stream_reader(io.BytesIO(open(f, "rb").read()),
-                                                                   read_across_frames=True).read() for f in files)
-        data = data[: data.rfind(b"\n") + 1]
-        if b'{"Event":"SparkListenerTaskEnd"' in data:
-            break
-        time.sleep(0.5)
-    out = os.path.join(tempfile.mkdtemp(prefix="citeweave-plainlog-"), app)
-    with open(out, "wb") as fh:
-        fh.write(data)
-    plain = task_metrics(spark, out).count()
-    assert plain == data.count(b'{"Event":"SparkListenerTaskEnd"') > 0
-
-
 def test_every_round_of_a_real_build_has_one_exchange(spark, monkeypatch):
     """Across all rounds of an actual build, deltas stay aligned with the
     edge layout: one exchange (the message sum) per round, never more."""

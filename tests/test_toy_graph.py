@@ -59,10 +59,11 @@ def test_neighbors(spark, pub, direction, want):
     assert {k: sorted(v) for k, v in got.items()} == want
 
 
-@pytest.mark.parametrize("max_group_rows", [1_000_000, 1])  # window path, positional path
-def test_ranked_neighbors_order(spark, pub, max_group_rows):
+@pytest.mark.parametrize("slot", [100_000, 1])
+def test_ranked_neighbors_order(spark, pub, slot, monkeypatch):
+    monkeypatch.setattr("citeweave.operators.indexing.SLOT", slot)
     seeds = spark.createDataFrame([("1",), ("3",)], "seed_id string")
-    rows = ranked_neighbors(pub.vertices, pub.edges, seeds, "either", max_group_rows=max_group_rows).collect()
+    rows = ranked_neighbors(pub.vertices, pub.edges, seeds, "either").collect()
     one = sorted((r for r in rows if r.seed_id == "1"), key=lambda r: r.rank)
     # by rank: 3 (1.893), 2 (1.023), 4 (0.847), 6 (0.487)
     assert [r.neighbor_id for r in one] == ["3", "2", "4", "6"]
