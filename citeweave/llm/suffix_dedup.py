@@ -8,18 +8,21 @@ string; its minimizer is the least hash of the 16-byte strings in it, so equal
 windows have equal minimizers, wherever they stand. Neighbouring windows with
 one minimizer are one segment, up to 84 bytes long unless its text is periodic.
 
-1. The minimizers of every document are counted; a window whose minimizer is
+1. Of equal texts the one with the smallest doc_id goes on; the others are
+   removed whole if they have a window at all, and take nothing else away.
+2. The minimizers of every document are counted; a window whose minimizer is
    in one document alone can't be repeated in another, and stays out.
-2. The other segments are dealt out by minimizer and sorted. Equal segments
-   are one; all but those of the smallest document are removed at once.
-3. The distinct segments of a task become one string, and its suffixes are
+3. The other segments are dealt out by minimizer and sorted. Equal segments
+   are one; all but those of the smallest document are removed at once. If a
+   minimizer has no other segment, that settles it.
+4. The other distinct segments of a task become one string, and its suffixes are
    sorted by the difference-cover algorithm: the triples that start at
    positions 1 and 2 modulo 3 are sorted and named, the string of names is
    sorted by recursion, the remaining suffixes are sorted by their first byte
    and the rank that follows, and both are merged. Windows that are equal are
    then neighbours: adjacent 50-byte prefixes are compared, and the smallest
    document of each class of equal windows decides.
-4. The spans go back to their documents and are cut out.
+5. The spans go back to their documents and are cut out.
 
 A task holds the distinct segments of a minimizer, not its occurrences: the
 inside of a passage that very many documents share is a few segments, however
@@ -38,10 +41,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import give_back, slices
+from citeweave.llm.common import give_back, keep, slices
 
 LENGTH, SEED = 50, 16
 #: Windows that one segment holds at most.
@@ -297,16 +300,29 @@ def removed_spans(segments: DataFrame) -> DataFrame:
     """(doc_id, version, start, length) of bytes that a smaller document has too; spans may overlap."""
     def of(batches):
         minimizer = segment = None
-        distinct, owner, waiting, size = [], [], [], 0
+        distinct, owner, waiting, size = [], [], [], 0  # of runs that are complete and have several segments
+        run, run_owner, run_waiting = [], [], []
+
+        def close_run():
+            nonlocal run, run_owner, run_waiting, size
+            if len(run) > 1:  # a minimizer's only segment has nothing to be compared with
+                waiting.extend((k + len(distinct), version, start) for k, version, start in run_waiting)
+                distinct.extend(run)
+                owner.extend(run_owner)
+                size += sum(map(len, run))
+            run, run_owner, run_waiting = [], [], []
 
         def sorted_spans():
-            masks = repeated_windows(distinct, np.array(owner))
+            nonlocal distinct, owner, waiting, size
             spans = []
-            for k, version, start in waiting:
-                mask = masks[k]
-                if mask.any():
-                    edge = np.flatnonzero(np.diff(mask.astype(np.int8), prepend=0, append=0)).tolist()
-                    spans += [(owner[k], version, start + a, b - a + LENGTH - 1) for a, b in zip(edge[::2], edge[1::2])]
+            if distinct:
+                masks = repeated_windows(distinct, np.array(owner))
+                for k, version, start in waiting:
+                    mask = masks[k]
+                    if mask.any():
+                        edge = np.flatnonzero(np.diff(mask.astype(np.int8), prepend=0, append=0)).tolist()
+                        spans += [(owner[k], version, start + a, b - a + LENGTH - 1) for a, b in zip(edge[::2], edge[1::2])]
+            distinct, owner, waiting, size = [], [], [], 0
             return spans
 
         def batch_of(spans):
@@ -316,22 +332,22 @@ def removed_spans(segments: DataFrame) -> DataFrame:
             spans = []
             for m, data, doc, version, start in zip(*(c.to_pylist() for c in batch.columns)):
                 if m != minimizer:
+                    close_run()
                     if size > SORT_BYTES:
                         spans += sorted_spans()
-                        distinct, owner, waiting, size = [], [], [], 0
                     minimizer, segment = m, None
                 if data != segment:
                     segment = data
-                    distinct.append(data)
-                    owner.append(doc)
-                    size += len(data)
-                if doc == owner[-1]:  # rows come in ascending doc_id
-                    waiting.append((len(distinct) - 1, version, start))
+                    run.append(data)
+                    run_owner.append(doc)
+                if doc == run_owner[-1]:  # rows come in ascending doc_id
+                    run_waiting.append((len(run) - 1, version, start))
                 else:
                     spans.append((doc, version, start, len(data)))
             if spans:
                 yield batch_of(spans)
-        if distinct and (spans := sorted_spans()):
+        close_run()
+        if spans := sorted_spans():
             yield batch_of(spans)
         give_back()
 
@@ -339,14 +355,16 @@ def removed_spans(segments: DataFrame) -> DataFrame:
         .mapInArrow(of, "doc_id bigint, version bigint, start bigint, length bigint")
 
 
-def cut(texts: pa.Array, version: pa.Array, spans: pa.Array) -> pa.Array:
-    """Texts without their spans: (kept, n_bytes, n_removed, n_spans)."""
+def cut(texts: pa.Array, copy: pa.Array, version: pa.Array, spans: pa.Array) -> pa.Array:
+    """Texts without their spans, copies without anything: (kept, n_bytes, n_removed, n_spans)."""
     kept, n_bytes, n_removed, n_spans = [], [], [], []
-    for text, own, found in zip(texts, version, spans):
+    for text, gone_whole, own, found in zip(texts, copy, version, spans):
         data = text.as_buffer().to_pybytes() if text.is_valid else b""
         n = len(data)
         runs = 0
-        if found.is_valid and len(found):
+        if gone_whole.as_py() and n >= LENGTH:
+            data, runs = b"", 1
+        elif found.is_valid and len(found):
             values = found.values.flatten()  # version, start, length
             mine = values[0].to_numpy() == own.as_py()
             start, length = values[1].to_numpy()[mine], values[2].to_numpy()[mine]
@@ -371,15 +389,22 @@ def suffix_dedup(docs: DataFrame, out: str = "suffix_dedup") -> DataFrame:
     density = 2 / (LENGTH - SEED + 2)
     bucket_bits = max(6, math.ceil(math.log2(max(1, total * density / BUCKET_ANCHORS))))
     id_type = docs.schema["doc_id"].dataType
-    # Both joins read the texts from one exchange.
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("version")) \
-        .repartition("doc_id")
-    listed = shared_minimizers(docs.where(f"doc_id is not null and octet_length(text) >= {LENGTH}").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"),
-                               bucket_bits).groupBy(F.col("doc_id").alias("listed_id")).agg(F.collect_list("minimizers").alias("minimizers"))
-    segments = shared_segments(texts.join(listed, F.col("doc_id") == F.col("listed_id")), bucket_bits)
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    # Of each text its first document; version tells texts of one doc_id apart.
+    contents = keep(rows.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("content")).groupBy("content").agg(F.min("doc_id").alias("first_id")), "contents")
+    firsts = keep(contents.select(F.col("first_id"), F.col("content").alias("first_content"),
+                                  F.row_number().over(Window.partitionBy("first_id").orderBy("content")).cast("bigint").alias("version")), "first-documents")
+    # All that follows reads the texts from one exchange.
+    texts = rows.withColumn("content", F.md5(F.coalesce("text", F.lit("")))).repartition("doc_id")
+    known = texts.join(firsts.hint("shuffle_hash"), (F.col("doc_id") == F.col("first_id")) & (F.col("content") == F.col("first_content")), "left") \
+        .select("doc_id", "text", "version")
+    own = known.where("version is not null")
+    listed = shared_minimizers(own, bucket_bits).groupBy(F.col("doc_id").alias("listed_id")).agg(F.collect_list("minimizers").alias("minimizers"))
+    segments = shared_segments(own.join(listed.hint("shuffle_hash"), F.col("doc_id") == F.col("listed_id")), bucket_bits)
     spans = removed_spans(segments).groupBy(F.col("doc_id").alias("span_id")) \
         .agg(F.collect_list(F.struct("version", "start", "length")).alias("spans"))
     result = F.arrow_udf(cut, "struct<kept:binary,n_bytes:bigint,n_removed:bigint,n_spans:bigint>")
-    found = texts.join(spans, F.col("doc_id") == F.col("span_id"), "left")
-    return found.select(F.col("doc_id").cast(id_type).alias("doc_id"), result("text", "version", "spans").alias(out)).unionByName(
-        docs.where("doc_id is null").select("doc_id", result("text", F.lit(0).cast("bigint"), F.lit(None).cast("array<struct<version:bigint,start:bigint,length:bigint>>")).alias(out)))
+    found = known.join(spans.hint("shuffle_hash"), F.col("doc_id") == F.col("span_id"), "left")
+    nothing = F.lit(None).cast("array<struct<version:bigint,start:bigint,length:bigint>>")
+    return found.select(F.col("doc_id").cast(id_type).alias("doc_id"), result("text", F.col("version").isNull(), F.coalesce("version", F.lit(0)), "spans").alias(out)) \
+        .unionByName(docs.where("doc_id is null").select("doc_id", result("text", F.lit(False), F.lit(0).cast("bigint"), nothing).alias(out)))
