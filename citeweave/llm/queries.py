@@ -87,6 +87,22 @@ def op6_minhash(spark, sf_dir):
     return near_dedup(table(spark, sf_dir, "documents"), width=2, similarity=80)
 
 
+SQL["op6_minhash"] = r"""
+with recursive w as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x20\x09-\x0D]+'), lambda x: x <> '') as words from documents),
+g as (select distinct doc_id, unnest(case when len(words) = 0 then cast([] as varchar[]) when len(words) = 1 then words
+        else list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) end) as shingle from w),
+n as (select doc_id, count(*) as size from g group by doc_id),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as shared from g a join g b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+l as (select x, y from p join n a on a.doc_id = x join n b on b.doc_id = y where 100 * shared >= 80 * (a.size + b.size - shared)),
+e as (select x, y from l union all select y, x from l),
+reach(doc_id, reached) as (select doc_id, doc_id from documents union select reach.doc_id, e.y from reach join e on e.x = reach.reached),
+c as (select doc_id, min(reached) as component_id from reach group by doc_id)
+select c.doc_id, coalesce(size, 0) as n_shingles, component_id, c.doc_id = component_id as kept from c left join n on n.doc_id = c.doc_id
+"""
+
+
 @query
 def op7_bm25_leaks(spark, sf_dir):
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
