@@ -13,13 +13,11 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
-from pyspark.storagelevel import StorageLevel  # noqa: E402
 
 from citeweave.operators import edges as E  # noqa: E402
-from citeweave.operators.pagerank import (_messages, edge_layout, hand_over, loop_session,  # noqa: E402
-                                          out_degrees_by_source)
+from citeweave.operators import pagerank as pm  # noqa: E402
 from citeweave.plans import graph as G  # noqa: E402
-from citeweave.session import local_session  # noqa: E402
+from citeweave.session import keep, local_session  # noqa: E402
 from citeweave.sources.corpus import derived_corpus  # noqa: E402
 
 
@@ -34,6 +32,20 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(8, extra={"spark.ui.showConsoleProgress": "false"})
     pubs = G.corpus(spark, sf)
+    # The loop's plans are those of this very build.
+    seen: dict[str, str] = {}
+
+    def watched(name):
+        original = getattr(pm, name)
+
+        def call(*args, **kwargs):
+            df = original(*args, **kwargs)
+            seen.setdefault(name, plan(df))
+            return df
+        setattr(pm, name, call)
+
+    watched("edge_layout")
+    watched("_messages")
     pg = G.publication_graph(spark, sf)
     jg = G.journal_graph(spark, sf)
     out = [f"# Physical plans ({os.path.basename(sf)}, local[8], AQE on outside the PageRank loop)\n",
@@ -41,47 +53,29 @@ def main():
            "into a broadcast join or coalesce partitions from runtime sizes.\n"]
 
     def section(title, note, df):
-        out.append(f"## {title}\n\n{note}\n\n```\n{plan(df)}\n```\n")
-
-    section("Derived corpus", "Scans read three `lineitem` and four `part` columns with the size filter pushed "
-            "down. The largest order is measured first; orders here are short, so the next line of an "
-            "order comes from a window per order (beyond the bound it would come from global positions "
-            "and an equi-join on position).",
-            derived_corpus(spark, sf))
-    vertices = E.publication_vertices(pubs).withColumn("vid", F.monotonically_increasing_id()).checkpoint()
+        out.append(f"## {title}\n\n{note}\n\n```\n{df if isinstance(df, str) else plan(df)}\n```\n")
+
+    section("Derived corpus", "The next line of an order comes from global positions and an equi-join on position, "
+            "whatever an order's size; one record for each part and order.", derived_corpus(spark, sf))
+    section("Publication vertices", "Kept tables are Parquet: the scan reads two columns.", E.publication_vertices(pubs))
+    vertices = keep(E.publication_vertices(pubs).withColumn("vid", F.monotonically_increasing_id()), "plan-keys")
     section("Citations resolved to surrogate ids", "The source id is attached per reference list before the "
             "expansion; the expanded rows take part in one join, the resolution itself. Identical "
-            "(id, list) records collapse with map-side partial de-duplication before their shuffle; "
-            "partitioning the records by id first would save one exchange but would send every copy of "
-            "a heavily repeated record to one task.",
+            "(id, list) records collapse with map-side partial de-duplication before their shuffle.",
             E.publication_edges_keyed(pubs, vertices))
     section("Journal edges", "Partial and final aggregation of (source journal, target journal).",
             E.journal_edges(pubs))
-    edges = pg.edges.select(F.xxhash64("src").alias("src"), F.xxhash64("dst").alias("dst"))
-    per_src = out_degrees_by_source(edges).checkpoint()
-    loop, views = loop_session(spark, 5), []
-    edges_l, per_src_l = hand_over(edges, loop, views), hand_over(per_src, loop, views)
     section("PageRank edge layout", "Runs in the loop's own session (AQE off, P shuffle partitions). Parallel "
             "edges are folded with map-side partial aggregation before their shuffle (copies of a pair "
             "collapse first); the folded pairs are then partitioned on the source; out-degrees are joined "
             "on the same key with a hash join built on the degree side, so the edge rows are never sorted.",
-            edge_layout(edges_l, per_src_l, None, 5))
-    layout = edge_layout(edges_l, per_src_l, None, 5).checkpoint().persist(StorageLevel.MEMORY_AND_DISK)
-    delta = edges_l.select(F.col("src").alias("id")).distinct().select("id", F.lit(0.15).alias("delta")) \
-        .repartition(5, "id").checkpoint()
+            seen["edge_layout"])
     section("One PageRank round", "Deltas and edge layout share the hash partitioning on the source: the "
             "join has no exchange on either side (the layout is read from the executors' cache). The only "
-            "shuffle is the message sum, after partial aggregation.", _messages(delta, layout, None, 1e-4, 0.85))
-    section("Batch influence report (k = 500)", "Seeds (k rows) are broadcast. The largest seed group is "
-            "measured first; here every group is small, so a window ranks them.",
-            pg.influence_report(500))
-    from citeweave.operators.neighbors import ranked_neighbors, top_k
-
-    seeds = top_k(pg.vertices, 500).select(F.col("id").alias("seed_id"))
-    section("Ranked neighbours when a seed group is huge", "Forced here with max_group_rows=0: ranks come "
-            "from global positions over a range partitioning of (seed, rank, id, tie-breaker), so a hub "
-            "seed is spread over many tasks; the seed-start table (at most k rows) is broadcast.",
-            ranked_neighbors(pg.vertices, pg.edges, seeds, "in", seeds_bound=500, max_group_rows=0))
+            "shuffle is the message sum, after partial aggregation.", seen["_messages"])
+    section("Batch influence report (k = 500)", "Seeds are a filter on the stored position. Neighbours are ranked "
+            "inside (seed, slot of 100,000 positions), so no seed is sorted by one task; the slot sizes reuse "
+            "the ranked rows' exchange.", pg.influence_report(500))
     section("Publication summary", "One pass over the attributed vertices.", pg.summary())
     section("Highest-degree vertices", "A global aggregate with partial aggregation; nothing is sorted.",
             jg.max_degree())
