@@ -41,7 +41,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.llm.common import give_back, keep, slices
@@ -391,13 +391,14 @@ def suffix_dedup(docs: DataFrame, out: str = "suffix_dedup") -> DataFrame:
     id_type = docs.schema["doc_id"].dataType
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     # Of each text its first document; version tells texts of one doc_id apart.
-    contents = keep(rows.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("content")).groupBy("content").agg(F.min("doc_id").alias("first_id")), "contents")
-    firsts = keep(contents.select(F.col("first_id"), F.col("content").alias("first_content"),
-                                  F.row_number().over(Window.partitionBy("first_id").orderBy("content")).cast("bigint").alias("version")), "first-documents")
-    # All that follows reads the texts from one exchange.
-    texts = rows.withColumn("content", F.md5(F.coalesce("text", F.lit("")))).repartition("doc_id")
-    known = texts.join(firsts.hint("shuffle_hash"), (F.col("doc_id") == F.col("first_id")) & (F.col("content") == F.col("first_content")), "left") \
-        .select("doc_id", "text", "version")
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("content")
+    contents = keep(rows.select("doc_id", digest).groupBy("content").agg(F.min("doc_id").alias("first_id")), "contents")
+    firsts = contents.groupBy("first_id").agg(F.sort_array(F.collect_list("content")).alias("contents"))
+    # All that follows reads the texts from one exchange, so every join is on doc_id alone.
+    texts = rows.select("doc_id", "text", digest).repartition("doc_id")
+    place = F.coalesce(F.array_position("contents", F.col("content")), F.lit(0))
+    known = texts.join(firsts.hint("shuffle_hash"), F.col("doc_id") == F.col("first_id"), "left") \
+        .select("doc_id", "text", F.when(place > 0, place).alias("version"))
     own = known.where("version is not null")
     listed = shared_minimizers(own, bucket_bits).groupBy(F.col("doc_id").alias("listed_id")).agg(F.collect_list("minimizers").alias("minimizers"))
     segments = shared_segments(own.join(listed.hint("shuffle_hash"), F.col("doc_id") == F.col("listed_id")), bucket_bits)
