@@ -33,7 +33,7 @@ records as (
 pubs as (
   select id, title, journalName, outCitations from records
   union all select id, title, journalName, outCitations from records where p_partkey % 100 = 3
-  union all select concat('s', cast(s_suppkey as varchar)), concat('Supplier in nation ', cast(s_nationkey as varchar)),
+  union all select concat('s', cast(s_suppkey as varchar)), concat('Supplier of region ', cast(s_nationkey % 5 as varchar)),
                    case when s_nationkey % 5 <> 0 then concat('Nation/', cast(s_nationkey as varchar)) end,
                    case when s_suppkey % 2 = 0 then [cast(s_suppkey as varchar)]
                         else cast([] as varchar[]) end

@@ -30,7 +30,8 @@ def derived_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     and the line's supplier; a next part whose key is divisible by 11 is cited
     by an id that the corpus lacks. A part without orders has one record with
     an empty list. A supplier with an even key cites the part of that
-    key, the others cite nothing; suppliers of a nation share a title. Parts whose key leaves 3 modulo
+    key, the others cite nothing; suppliers whose nation keys leave the same modulo
+    5 share a title. Parts whose key leaves 3 modulo
     100 have all their records twice.
     """
     lineitem = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -57,7 +58,7 @@ def derived_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("copy")
     suppliers = supplier.select(
         F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("id"),
-        F.concat(F.lit("Supplier in nation "), F.col("s_nationkey").cast("string")).alias("title"),
+        F.concat(F.lit("Supplier of region "), (F.col("s_nationkey") % 5).cast("string")).alias("title"),
         F.when(F.col("s_nationkey") % 5 != 0, F.concat(F.lit("Nation/"), F.col("s_nationkey").cast("string"))).alias("journalName"),
         F.when(F.col("s_suppkey") % 2 == 0, F.array(F.col("s_suppkey").cast("string")))
         .otherwise(empty).alias("outCitations"),
