@@ -50,7 +50,7 @@ LENGTH, SEED = 50, 16
 #: Windows that one segment holds at most.
 MOST_WINDOWS = 4096
 #: Minimizers that a bucket holds on average, and bytes of distinct segments sorted at once.
-BUCKET_ANCHORS, SORT_BYTES = 1_000_000, 1_500_000
+BUCKET_ANCHORS, SORT_BYTES = 1_000_000, 100_000
 #: Minimizers that a task gathers before it deals them out.
 HELD_ANCHORS = 500_000
 _BITS = 40
