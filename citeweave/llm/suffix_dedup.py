@@ -22,11 +22,16 @@ one minimizer are one segment, up to 84 bytes long unless its text is periodic.
    and the rank that follows, and both are merged. Windows that are equal are
    then neighbours: adjacent 50-byte prefixes are compared, and the smallest
    document of each class of equal windows decides.
-5. The spans go back to their documents and are cut out.
+5. A minimizer whose distinct segments are more than RUN_BYTES is not sorted in
+   one task: its distinct segments go out again, cut into their windows. Equal
+   windows are grouped by their bytes, the smallest document of each is taken by
+   partial aggregation, and windows of other documents are found by a join.
+6. The spans go back to their documents and are cut out.
 
-A task holds the distinct segments of a minimizer, not its occurrences: the
-inside of a passage that very many documents share is a few segments, however
-often it occurs.
+A task holds the distinct segments of a minimizer, not its occurrences, and of
+one minimizer RUN_BYTES at most: the inside of a passage that very many
+documents share is a few segments, however often it occurs, and the ends of such
+a passage, one segment for each document, are dealt out by window.
 
 Defined results: a null or short text loses nothing. Rows that repeat a doc_id
 are one document to the others: they take nothing from each other. A row
@@ -51,8 +56,11 @@ LENGTH, SEED = 50, 16
 MOST_WINDOWS = 4096
 #: Minimizers that a bucket holds on average, and bytes of distinct segments sorted at once.
 BUCKET_ANCHORS, SORT_BYTES = 1_000_000, 100_000
+#: Bytes of one minimizer's distinct segments that a task holds; beyond that they are dealt out by window.
+RUN_BYTES = 500_000
 #: Minimizers that a task gathers before it deals them out.
 HELD_ANCHORS = 500_000
+SPANS = "array<struct<version:bigint,start:bigint,length:bigint>>"
 _BITS = 40
 
 
@@ -297,20 +305,29 @@ def shared_segments(texts: DataFrame, bucket_bits: int) -> DataFrame:
 
 
 def removed_spans(segments: DataFrame) -> DataFrame:
-    """(doc_id, version, start, length) of bytes that a smaller document has too; spans may overlap."""
+    """(doc_id, version, start, length, segment): bytes that a smaller document has
+    too, where segment is null; else a segment that is yet to be compared by its
+    windows, since its minimizer has too many. Spans may overlap."""
     def of(batches):
-        minimizer = segment = None
+        minimizer = segment = first = None
         distinct, owner, waiting, size = [], [], [], 0  # of runs that are complete and have several segments
-        run, run_owner, run_waiting = [], [], []
+        run, run_owner, run_waiting, run_size = [], [], [], 0
+        beyond = False  # the run has more than RUN_BYTES
 
         def close_run():
-            nonlocal run, run_owner, run_waiting, size
+            nonlocal run, run_owner, run_waiting, run_size, size
             if len(run) > 1:  # a minimizer's only segment has nothing to be compared with
                 waiting.extend((k + len(distinct), version, start) for k, version, start in run_waiting)
                 distinct.extend(run)
                 owner.extend(run_owner)
                 size += sum(map(len, run))
-            run, run_owner, run_waiting = [], [], []
+            run, run_owner, run_waiting, run_size = [], [], [], 0
+
+        def given_out():
+            nonlocal run, run_owner, run_waiting, run_size
+            out = [(run_owner[k], version, start, len(run[k]), run[k]) for k, version, start in run_waiting]
+            run, run_owner, run_waiting, run_size = [], [], [], 0
+            return out
 
         def sorted_spans():
             nonlocal distinct, owner, waiting, size
@@ -321,12 +338,14 @@ def removed_spans(segments: DataFrame) -> DataFrame:
                     mask = masks[k]
                     if mask.any():
                         edge = np.flatnonzero(np.diff(mask.astype(np.int8), prepend=0, append=0)).tolist()
-                        spans += [(owner[k], version, start + a, b - a + LENGTH - 1) for a, b in zip(edge[::2], edge[1::2])]
+                        spans += [(owner[k], version, start + a, b - a + LENGTH - 1, None) for a, b in zip(edge[::2], edge[1::2])]
             distinct, owner, waiting, size = [], [], [], 0
             return spans
 
         def batch_of(spans):
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*spans)], ["doc_id", "version", "start", "length"])
+            *numbers, data = zip(*spans)
+            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in numbers), pa.array(data, pa.binary())],
+                                              ["doc_id", "version", "start", "length", "segment"])
 
         for batch in batches:
             spans = []
@@ -335,15 +354,22 @@ def removed_spans(segments: DataFrame) -> DataFrame:
                     close_run()
                     if size > SORT_BYTES:
                         spans += sorted_spans()
-                    minimizer, segment = m, None
+                    minimizer, segment, beyond = m, None, False
                 if data != segment:
-                    segment = data
-                    run.append(data)
-                    run_owner.append(doc)
-                if doc == run_owner[-1]:  # rows come in ascending doc_id
-                    run_waiting.append((len(run) - 1, version, start))
+                    segment, first = data, doc
+                    if not beyond:
+                        run.append(data)
+                        run_owner.append(doc)
+                if doc != first:  # rows come in ascending doc_id
+                    spans.append((doc, version, start, len(data), None))
+                elif beyond:
+                    spans.append((doc, version, start, len(data), data))
                 else:
-                    spans.append((doc, version, start, len(data)))
+                    run_waiting.append((len(run) - 1, version, start))
+                    run_size += len(data)
+                    if run_size > RUN_BYTES:
+                        beyond = True
+                        spans += given_out()
             if spans:
                 yield batch_of(spans)
         close_run()
@@ -352,7 +378,34 @@ def removed_spans(segments: DataFrame) -> DataFrame:
         give_back()
 
     return segments.repartition("minimizer").sortWithinPartitions("minimizer", "segment", "doc_id") \
-        .mapInArrow(of, "doc_id bigint, version bigint, start bigint, length bigint")
+        .mapInArrow(of, "doc_id bigint, version bigint, start bigint, length bigint, segment binary")
+
+
+def spans_of_windows(removed: DataFrame) -> DataFrame:
+    """(doc_id, version, start, length) of the windows of ``removed``'s segments
+    that are in a segment of a smaller document too."""
+    def of(batches):
+        for batch in batches:
+            batch = batch.filter(batch.column(4).is_valid())
+            done = 0
+            for raw, offsets in slices(batch.column(4)):
+                windows = np.diff(offsets) - LENGTH + 1
+                row = np.repeat(np.arange(len(windows)), windows)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
+                data = np.ascontiguousarray(raw[(offsets[row] + place)[:, None] + np.arange(LENGTH)])
+                ends = pa.array(np.arange(len(row) + 1, dtype=np.int32) * LENGTH)
+                window = pa.Array.from_buffers(pa.binary(), len(row), [None, ends.buffers()[1], pa.py_buffer(data)])
+                ids, versions, start = (batch.column(k).to_numpy()[done + row] for k in range(3))
+                yield pa.RecordBatch.from_arrays([window, pa.array(ids), pa.array(versions), pa.array(start + place)],
+                                                 ["window", "doc_id", "version", "start"])
+                done += len(windows)
+        give_back()
+
+    windows = removed.mapInArrow(of, "window binary, doc_id bigint, version bigint, start bigint")
+    firsts = windows.groupBy(F.col("window").alias("same")).agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")) \
+        .where("first_doc < last_doc").select("same", "first_doc")
+    return windows.join(firsts, F.col("window") == F.col("same")).where("doc_id > first_doc") \
+        .select("doc_id", "version", "start", F.lit(LENGTH).cast("bigint").alias("length"))
 
 
 def cut(texts: pa.Array, copy: pa.Array, version: pa.Array, spans: pa.Array) -> pa.Array:
@@ -402,10 +455,15 @@ def suffix_dedup(docs: DataFrame, out: str = "suffix_dedup") -> DataFrame:
     own = known.where("version is not null")
     listed = shared_minimizers(own, bucket_bits).groupBy(F.col("doc_id").alias("listed_id")).agg(F.collect_list("minimizers").alias("minimizers"))
     segments = shared_segments(own.join(listed.hint("shuffle_hash"), F.col("doc_id") == F.col("listed_id")), bucket_bits)
-    spans = removed_spans(segments).groupBy(F.col("doc_id").alias("span_id")) \
-        .agg(F.collect_list(F.struct("version", "start", "length")).alias("spans"))
+    # Read by both branches from one exchange; the filter stands before it, since one that is inferred later would make two.
+    removed = removed_spans(segments).where("doc_id is not null").repartition("doc_id")
+    span = F.struct("version", "start", "length")
+    spans = removed.groupBy(F.col("doc_id").alias("span_id")).agg(F.collect_list(F.when(F.col("segment").isNull(), span)).alias("spans"))
+    more = spans_of_windows(removed).groupBy(F.col("doc_id").alias("more_id")).agg(F.collect_list(span).alias("more_spans"))
     result = F.arrow_udf(cut, "struct<kept:binary,n_bytes:bigint,n_removed:bigint,n_spans:bigint>")
-    found = known.join(spans.hint("shuffle_hash"), F.col("doc_id") == F.col("span_id"), "left")
-    nothing = F.lit(None).cast("array<struct<version:bigint,start:bigint,length:bigint>>")
-    return found.select(F.col("doc_id").cast(id_type).alias("doc_id"), result("text", F.col("version").isNull(), F.coalesce("version", F.lit(0)), "spans").alias(out)) \
+    found = known.join(spans.hint("shuffle_hash"), F.col("doc_id") == F.col("span_id"), "left") \
+        .join(more.hint("shuffle_hash"), F.col("doc_id") == F.col("more_id"), "left")
+    every = F.concat(F.coalesce("spans", F.array().cast(SPANS)), F.coalesce("more_spans", F.array().cast(SPANS)))
+    nothing = F.lit(None).cast(SPANS)
+    return found.select(F.col("doc_id").cast(id_type).alias("doc_id"), result("text", F.col("version").isNull(), F.coalesce("version", F.lit(0)), every).alias(out)) \
         .unionByName(docs.where("doc_id is null").select("doc_id", result("text", F.lit(False), F.lit(0).cast("bigint"), nothing).alias(out)))

@@ -240,6 +240,25 @@ def test_strings(documents, odd_rows, monkeypatch):
     assert got_strings(documents(rows)) == want
 
 
+def test_strings_of_a_crowded_minimizer(documents, monkeypatch):
+    """Both ends of a passage give each document a segment of its own: no task sorts them all."""
+    r = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(40))
+    other = [" ".join(str(r.randrange(10**6)) for _ in range(12)) for _ in range(100)]
+    rows = [(i, r.choice(other)[r.randrange(30):] + passage + r.choice(other)[:r.randrange(20, 60)]) for i in range(150)]
+    rows += [(7, "x" + passage), (400, passage + "," + passage), (401, "ab" * 400), (402, "ab" * 500 + "c")]
+    want = strings_by_hand(rows)
+
+    def checked(segments, owner, limit=2500, sort=suffix.repeated_windows):
+        assert sum(map(len, segments)) <= limit
+        return sort(segments, owner)
+
+    monkeypatch.setattr(suffix, "SORT_BYTES", 100)
+    monkeypatch.setattr(suffix, "RUN_BYTES", 2000, raising=False)
+    monkeypatch.setattr(suffix, "repeated_windows", checked)
+    assert got_strings(documents(rows)) == want
+
+
 def test_strings_empty_table(documents):
     assert got_strings(documents([])) == []
 
