@@ -7,9 +7,12 @@ contracts each word's leftmost pair of least rank, until no pair is left.
 Decoding joins ids with the vocabulary and puts their bytes together by an
 ordered aggregation.
 
-The recursion keeps the rows of all its rounds, so a query runs ROUNDS rounds
-at most and words that are not done go into the next query; memory stays in
-proportion to the words, however long they are.
+The recursion keeps the rows of all its rounds, so a query starts from
+QUERY_ROWS rows at most, runs ROUNDS rounds at most, and words that are not done
+go into the next query. A round merges one pair of a word, so a word's work
+grows with its length squared: words beyond LONG_WORD bytes are merged by a heap
+of their pairs instead, in the same order. A text is decoded QUERY_ROWS ids at
+once. So DuckDB's memory has a bound, however long the texts and pieces are.
 
 Defined results: a null text counts as empty, and an empty text has no ids.
 Special tokens in a text are ordinary text. Rows are independent: repeated
@@ -19,6 +22,7 @@ rows get the same answer, and other columns are not read.
 from __future__ import annotations
 
 import base64
+import heapq
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +35,8 @@ from citeweave.llm.words import Known, encode
 ROUNDS = 32
 #: Rows of token positions that one recursive query starts from.
 QUERY_ROWS = 100_000
+#: Bytes of the longest word that goes into a query.
+LONG_WORD = 2_000
 
 ENCODE = f"""
 with recursive state(round, word, pos, tok) as (
@@ -74,11 +80,13 @@ class Bpe:
 
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         self.ranks = ranks
+        self.pairs = {}
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         rows = [(ranks[t[:k]], ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         merges = pa.table(dict(zip(("left_tok", "right_tok", "merged"), (pa.array(c, pa.int32()) for c in zip(*rows)))) if rows
                           else {c: pa.array([], pa.int32()) for c in ("left_tok", "right_tok", "merged")})
         vocab = pa.table({"id": pa.array(ranks.values(), pa.int32()), "latin": [t.decode("latin-1") for t in ranks]})
+        self.merges = merges
         self.db.register("m", merges)
         self.db.execute("create table merges as select * from m")
         self.db.register("v", vocab)
@@ -89,6 +97,9 @@ class Bpe:
         data = [w.encode() for w in words]
         out: list[bytes | None] = [None if (r := self.ranks.get(d)) is None else np.array([r], "<u4").tobytes() for d in data]
         rest = sorted((i for i, x in enumerate(out) if x is None), key=lambda i: len(data[i]))
+        while rest and len(data[rest[-1]]) > LONG_WORD:
+            i = rest.pop()
+            out[i] = self._merge_long(data[i])
         a = 0
         while a < len(rest):
             b, rows = a, 0
@@ -120,19 +131,48 @@ class Bpe:
             word, pos, tok = word[~done], pos[~done], tok[~done]
         return out
 
+    def _merge_long(self, word: bytes) -> bytes:
+        """The ids of one long word: the leftmost pair of least rank is merged until none is left."""
+        if not self.pairs:
+            left, right, merged = (c.to_numpy().astype(np.int64) for c in self.merges.columns)
+            self.pairs = dict(zip((left << 32 | right).tolist(), merged.tolist()))
+        pairs, n = self.pairs, len(word)
+        tok = self.bytes[np.frombuffer(word, np.uint8)].tolist()
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [merged << 40 | i for i in range(n - 1) if (merged := pairs.get(tok[i] << 32 | tok[i + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            best = heapq.heappop(heap)
+            merged, i = best >> 40, best & (1 << 40) - 1
+            j = after[i]
+            if tok[i] < 0 or j >= n or pairs.get(tok[i] << 32 | tok[j]) != merged:
+                continue  # one of the two has gone into another token
+            tok[i], tok[j] = merged, -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (r := pairs.get(merged << 32 | tok[k])) is not None:
+                    heapq.heappush(heap, r << 40 | i)
+            h = before[i]
+            if h >= 0 and (r := pairs.get(tok[h] << 32 | merged)) is not None:
+                heapq.heappush(heap, r << 40 | h)
+        return np.array([t for t in tok if t >= 0], "<u4").tobytes()
+
     def encode(self, raw, offsets):
         return encode(raw, offsets, self.known, self.encode_words)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The bytes of each text; counts are its numbers of ids."""
         owner = np.repeat(np.arange(len(counts)), counts)
-        self.db.register("ids", pa.table({"owner": owner, "pos": np.arange(len(ids)), "id": ids.astype(np.int32)}))
-        got = self.db.sql(DECODE).to_arrow_table()
-        self.db.unregister("ids")
-        out = [b""] * len(counts)
-        for i, text in zip(got["owner"].to_pylist(), got["latin"].to_pylist()):
-            out[i] = text.encode("latin-1")
-        return out
+        out = [[] for _ in counts]
+        for a in range(0, len(ids), QUERY_ROWS):
+            part = ids[a:a + QUERY_ROWS]
+            self.db.register("ids", pa.table({"owner": owner[a:a + QUERY_ROWS], "pos": np.arange(len(part)), "id": part.astype(np.int32)}))
+            got = self.db.sql(DECODE).to_arrow_table()
+            self.db.unregister("ids")
+            for i, text in zip(got["owner"].to_pylist(), got["latin"].to_pylist()):
+                out[i].append(text.encode("latin-1"))
+        return [b"".join(x) for x in out]
 
 
 _BPES: dict[str, Bpe] = {}

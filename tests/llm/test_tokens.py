@@ -86,6 +86,30 @@ def test_leftmost_pair_of_least_rank():
     assert ids == [[256, 256], [256, 257], [98, 256], [257, 98]]
 
 
+def test_long_pieces_and_texts(library):
+    bpe = Bpe(read_ranks(RANKS))
+    mixed = "".join(chr(97 + i * i % 23) for i in range(30_000))
+    for text in ("a" * 1_000_000, " " * 400_000 + "=" * 400_000, "é" * 50_000 + mixed):
+        raw, offsets = next(slices(pa.array([text])))
+        ids, counts = bpe.encode(raw, offsets)
+        assert np.concatenate([[0], np.cumsum(counts)]).tolist() == [0, len(ids)]
+        assert bpe.decode(ids, counts) == [text.encode()]
+        if text[0] == "é":
+            assert ids.tolist() == library.encode_ordinary(text)
+    words = [mixed[a:a + n] for a in range(0, 300, 30) for n in (2, 3, 40, 300)]
+    assert [bpe._merge_long(w.encode()) for w in words] == bpe._merge([w.encode() for w in words])
+    raw, offsets = next(slices(pa.array(["a b c d e f g h i j " * 300_000])))
+    ids, counts = bpe.encode(raw, offsets)
+    assert bpe.decode(ids, counts) == [raw.tobytes()]
+
+
+def test_long_words_merge_leftmost_pair_first():
+    ranks = {bytes([b]): b for b in range(256)} | {b"aa": 256, b"aaa": 257, b"ba": 258, b"ab": 259, b"aba": 255 + 5, b"bab": 261}
+    bpe = Bpe(ranks)
+    words = ["".join("ab"[i * k % 7 < 4] for i in range(n)).encode() for k in range(1, 7) for n in (2, 5, 17, 40)]
+    assert [bpe._merge_long(w) for w in words] == bpe._merge(words)
+
+
 # -- id files -----------------------------------------------------------------
 
 @pytest.mark.parametrize("n", [0, 1, 5, 31, 32, 33, 8192, 8193, 32768, 32769, 100_000])
