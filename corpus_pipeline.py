@@ -8,7 +8,7 @@ are. ``run`` writes every stage's result before the next one reads it.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.llm import quality
@@ -42,12 +42,34 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of the documents linked by five-word shingles the one with the smallest id
-    stays; of rows that repeat its id, the one with the least text. Rows without an id stay."""
-    kept = near_dedup(docs, width=5).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept_id")).distinct()
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    one = docs.join(kept, docs["doc_id"] == kept["__kept_id"], "left_semi").withColumn("__row", first).where("__row = 1").drop("__row")
-    return one.unionByName(docs.where("doc_id is null"))
+    """Of the rows linked by five-word shingles the one with the smallest id stays,
+    of several with that id the one with the least text. Rows are judged by their
+    own texts: unrelated texts under one id all stay, rows that repeat id and text
+    are one. Rows without an id stay."""
+    # Numbered in writing, so every reader sees the same numbers.
+    rows = keep(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-rows")
+    known = rows.where("doc_id is not null")
+    found = near_dedup(known.select(F.col("__row").alias("doc_id"), "text"), width=5) \
+        .select(F.col("doc_id").alias("__node"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("__component"))
+    # A text without a word is linked with nothing, and is one only with its own repeats.
+    ids = known.select("__row", F.col("doc_id").alias("__id"), F.md5("text").alias("__content"))
+    ids = keep(ids.join(found, ids["__row"] == found["__node"]).select(
+        "__row", "__id", "__component", F.when(F.col("__component").isNull(), F.col("__id")).alias("__alone"),
+        F.when(F.col("__component").isNull(), F.col("__content")).alias("__content")), "rows-with-components")
+    least = ids.groupBy("__component", "__alone", "__content").agg(F.min("__id").alias("__first"), F.count("*").alias("__n"))
+    least = least.select(*[F.col(c).alias(f"{c}_") for c in ("__component", "__alone", "__content", "__first")])
+    same = [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in ("__component", "__alone", "__content")]
+    firsts = keep(ids.join(least, [*same, F.col("__id") == F.col("__first_")]).select("__row", "__component", "__alone", "__content"), "first-rows")
+    # Only rows that share the smallest id are compared by their texts.
+    keys = ["__component", "__alone", "__content"]
+    single = firsts.groupBy(*keys).agg(F.min("__row").alias("__kept"), F.count("*").alias("__n"))
+    several = single.where("__n > 1").select(*[F.col(c).alias(f"{c}_") for c in keys])
+    tied = firsts.join(several, same).select("__row", *keys)
+    texts = known.select(F.col("__row").alias("__node"), F.col("text").alias("__text"))
+    chosen = tied.join(texts, F.col("__row") == F.col("__node")).groupBy(*keys).agg(F.min(F.struct("__text", "__row"))["__row"].alias("__kept"))
+    kept = single.where("__n = 1").select("__kept").unionAll(chosen.select("__kept"))
+    one = known.join(kept, F.col("__row") == F.col("__kept"), "left_semi")
+    return one.unionByName(rows.where("doc_id is null")).drop("__row")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -103,6 +103,16 @@ def test_stages_of_odd_rows(spark, documents, odd_rows, folder):
     assert sorted(clean, key=repr) == sorted([1, 2, 3, 4, 7, 8, 9, 10, None, 11, 12, 13, 14], key=repr)
 
 
+def test_near_copies_are_judged_by_row(spark, documents):
+    """Rows that repeat an id keep their texts unless the text itself is a copy."""
+    one, two, three = ("the quick brown fox jumps over the lazy dog", "quite other words stand in this second text here", "and a third text that has nothing to do with them")
+    rows = [(5, None), (5, one), (6, two), (6, three), (6, three), (2, two + "!"), (2, two), (1, two), (7, three), (7, None), (7, None), (7, ""), (None, one),
+            (8, "a b c d e f g"), (8, "A b c d e f g")]
+    got = [(r.doc_id, r.text) for r in pipeline.keep_one_of_near_copies(spark, documents(rows), "").collect()]
+    want = [(5, None), (5, one), (6, three), (1, two), (2, two + "!"), (7, None), (7, ""), (None, one), (8, "A b c d e f g")]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_entry_works_without_the_operators(tmp_path):
     """With the folder and the pipeline deleted the entry file still imports."""
     import os
