@@ -15,6 +15,8 @@ stands for the first licence id in order. Other columns are not read.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +80,17 @@ def known_texts() -> list[tuple[str, str]]:
     return out
 
 
+def whole_texts() -> list[tuple[str, str]]:
+    """(licence id, text) of the whole licences in known_licences; what follows a + in a
+    file's name tells wordings of one licence apart."""
+    folder = os.path.join(os.path.dirname(os.path.abspath(__file__)), "known_licences")
+    out = []
+    for name in sorted(os.listdir(folder)):
+        with open(os.path.join(folder, name), encoding="utf-8") as f:
+            out.append((name.removesuffix(".txt").split("+")[0], f.read()))
+    return out
+
+
 def canonical_text(text: Column) -> Column:
     """The text with every line in canonical form. It works on whole texts, not on
     arrays of lines: such expressions are compiled, and common parts run once."""
@@ -105,7 +118,7 @@ def digests(texts: DataFrame) -> DataFrame:
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
-    rows = F.array(*[F.struct(F.lit(a).alias("license"), F.lit(b).alias("text")) for a, b in known_texts()])
+    rows = F.array(*[F.struct(F.lit(a).alias("license"), F.lit(b).alias("text")) for a, b in known_texts() + whole_texts()])
     return spark.range(1).select(F.explode(rows).alias("r")).select("r.*")
 
 

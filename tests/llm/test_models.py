@@ -120,6 +120,14 @@ def test_licences(spark, documents):
     assert {r.text_license for r in licenses.license_scan(documents(rows), none).collect()} == {None}
 
 
+def test_whole_licences(spark, documents):
+    texts = licenses.whole_texts() + list(licenses.TEXTS.items())
+    assert len({t for t, _ in texts}) == 15 and {t for t, _ in texts} <= set(licenses.NAMES)
+    rows = [(i, "(c) 2021 Someone\n" + text.upper() + "\n") for i, (_, text) in enumerate(texts)]
+    got = {r.doc_id: r.text_license for r in licenses.license_scan(documents(rows), licenses.known_licences(spark)).collect()}
+    assert got == {i: name for i, (name, _) in enumerate(texts)}
+
+
 def test_licences_stay_native(spark):
     plan = QUERIES["op3_license_scan"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
