@@ -15,6 +15,7 @@ from citeweave.llm.decontaminate import find_leaks
 from citeweave.llm.exact_dedup import exact_dedup
 from citeweave.llm.line_dedup import line_dedup
 from citeweave.llm.near_dedup import near_dedup
+from citeweave.llm.periodic_runs import collapse_runs
 from citeweave.llm.rans import coded_ids
 from citeweave.llm.suffix_dedup import suffix_dedup
 
@@ -140,3 +141,39 @@ def op9_byte_bpe(spark, sf_dir):
 def op10_suffix_array(spark, sf_dir):
     cut = suffix_dedup(table(spark, sf_dir, "documents"), out="r")
     return cut.select("doc_id", "r.n_bytes", "r.n_removed", "r.n_spans", F.sha2("r.kept", 256).alias("kept_sha256"))
+
+
+def _made_periodic(doc_id, text):
+    """The texts of op13: with h = crc32(decimal doc_id) divisible by ten, g = floor(h / 10)
+    and n > 0 words, each word i >= a = g % n becomes word a + (i - a) % p with
+    p = 1 + floor((n - a) / (3 + g % 8)); every other text as it is."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words):
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        tail = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.slice(F.concat(F.slice(words, F.lit(1), a), tail), F.lit(1), n), " ")
+
+    words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
+    # A lambda's argument is evaluated once, however often it is named.
+    made = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(text))
+    return F.when(h % 10 == 0, F.get(made, F.lit(0))).otherwise(text)
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", collapse_runs(_made_periodic(F.col("doc_id"), F.col("text"))).alias("r"))
+    runs = F.col("r.runs")
+    # The greatest length, then the smallest start and period.
+    best = F.array_min(F.transform(runs, lambda x: F.struct(-x["length"], x["start"], x["period"]).alias("b")))
+    listed = F.array_join(F.transform(runs, lambda x: F.concat_ws(",", x["start"], x["length"], x["period"])), "\n")
+    length = -best["col1"]
+    return found.select(
+        "doc_id", F.size(runs).cast("bigint").alias("n_runs"), best["start"].alias("start"), length.alias("length"), best["period"].alias("period"),
+        F.floor(1000 * length / best["period"]).alias("exponent_milli"),
+        F.sha2(F.when(F.size(runs) > 0, F.concat(listed, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("r.collapsed", 256).alias("collapsed_sha256"))
