@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.llm import language, licenses, quality
+from citeweave.llm.alignment import align
 from citeweave.llm.byte_bpe import byte_bpe
 from citeweave.llm.common import id_bucket, table
 from citeweave.llm.decontaminate import find_leaks
@@ -143,6 +144,12 @@ def op10_suffix_array(spark, sf_dir):
     return cut.select("doc_id", "r.n_bytes", "r.n_removed", "r.n_spans", F.sha2("r.kept", 256).alias("kept_sha256"))
 
 
+@query
+def op12_alignment(spark, sf_dir):
+    found, _ = align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found
+
+
 def _made_periodic(doc_id, text):
     """The texts of op13: with h = crc32(decimal doc_id) divisible by ten, g = floor(h / 10)
     and n > 0 words, each word i >= a = g % n becomes word a + (i - a) % p with
