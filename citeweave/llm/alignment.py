@@ -230,8 +230,8 @@ def index(docs: DataFrame, a_path: str, b_path: str, with_groups: bool = False)
     names = [c.split()[0] for c in schema.split(", ")]
     number = [pa.int64(), pa.int32(), *[pa.int64()] * 5, pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
 
-    def batch_of(n: int, **columns):
-        return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, t) for c, t in zip(names, number)], names)
+    def batch_of(length: int, **columns):
+        return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(length, t) for c, t in zip(names, number)], names)
 
     def of(batches):
         known = _worker_units(a_path, b_path)
