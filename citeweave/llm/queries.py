@@ -12,6 +12,7 @@ from citeweave.llm import language, licenses, quality
 from citeweave.llm.alignment import align
 from citeweave.llm.byte_bpe import byte_bpe
 from citeweave.llm.common import id_bucket, table
+from citeweave.llm.cover_tree import embedding_links
 from citeweave.llm.decontaminate import find_leaks
 from citeweave.llm.exact_dedup import exact_dedup
 from citeweave.llm.line_dedup import line_dedup
@@ -144,6 +145,26 @@ def op10_suffix_array(spark, sf_dir):
     return cut.select("doc_id", "r.n_bytes", "r.n_removed", "r.n_spans", F.sha2("r.kept", 256).alias("kept_sha256"))
 
 
+@query
+def op11_cover_tree(spark, sf_dir):
+    return embedding_links(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+SQL["op11_cover_tree"] = r"""
+with recursive v as (
+  select distinct vec_id, label, cast(embedding as double[]) as e from embeddings
+  where vec_id is not null and label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l as (select a.vec_id as x, b.vec_id as y from v a join v b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
+      where list_cosine_similarity(a.e, b.e) >= 0.98),
+n as (select x, count(*) as n_links from l group by x),
+reach(vec_id, reached) as (select vec_id, vec_id from embeddings union select reach.vec_id, l.y from reach join l on l.x = reach.reached),
+c as (select vec_id, min(reached) as component_id from reach group by vec_id)
+select v.vec_id, coalesce(n_links, 0) as n_links, component_id, v.vec_id = component_id as kept
+from embeddings v join c on c.vec_id = v.vec_id left join n on n.x = v.vec_id
+"""
+
+
 @query
 def op12_alignment(spark, sf_dir):
     found, _ = align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
