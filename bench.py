@@ -22,7 +22,6 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
-from citeweave.operators.neighbors import influence_report  # noqa: E402
 from citeweave.plans import graph as G  # noqa: E402
 from citeweave.plans.catalog import QUERIES  # noqa: E402
 from citeweave.session import local_session  # noqa: E402
@@ -53,9 +52,9 @@ def steps(spark, sf_dir: str) -> tuple[dict[str, float], object, object, object]
     # Publication and journal graphs (edges, degrees, PageRank), built concurrently.
     pg, jg = timed("graphs", lambda: G.graphs(spark, sf_dir))
     timed("influence_report_publications_k500",
-          lambda: run(influence_report(pg.vertices, pg.edges, REPORT_K, "in")))
+          lambda: run(pg.influence_report(REPORT_K, "in")))
     timed("influence_report_journals_k500",
-          lambda: run(influence_report(jg.vertices, jg.edges, REPORT_K, "in")))
+          lambda: run(jg.influence_report(REPORT_K, "in")))
     for key in STEPS:
         timed(key, lambda k=key: run(QUERIES[k](spark, sf_dir)))
     return times, pubs, pg, jg

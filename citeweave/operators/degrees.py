@@ -40,6 +40,14 @@ def attach_attributes(vertices: DataFrame, edges: DataFrame, ranks: DataFrame, a
     )
 
 
+def attach_ranks(vertices: DataFrame, ranked: DataFrame) -> DataFrame:
+    """The vertices with in_deg, out_deg and pr of ``ranked`` (``PageRankResult.ranks``,
+    which has the degrees from its edge layout): one join, no look at the edges."""
+    return vertices.join(ranked.select(F.col("id").alias("_of"), "in_deg", "out_deg", "pr"), F.col("id") == F.col("_of"), "left").select(
+        *vertices.columns, F.coalesce("in_deg", F.lit(0)).cast("bigint").alias("in_deg"),
+        F.coalesce("out_deg", F.lit(0)).cast("bigint").alias("out_deg"), F.coalesce("pr", F.lit(0.0)).alias("pr"))
+
+
 def with_default_vertices(vertices: DataFrame, edges: DataFrame, default: str = "nocitation") -> DataFrame:
     """(id, name) for every edge endpoint; an endpoint without a vertex row
     gets the default attribute."""

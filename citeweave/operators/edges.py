@@ -72,18 +72,18 @@ def publication_edges(pubs: DataFrame, vertices: DataFrame | None = None) -> Dat
 
 
 def publication_edges_keyed(pubs: DataFrame, keyed_vertices: DataFrame) -> DataFrame:
-    """(src, dst, src_vid, dst_vid): resolved citations carrying both the
-    natural ids and the vertices' bigint surrogates (column ``vid`` of
+    """(src, dst, src_node, dst_node): resolved citations carrying both the
+    natural ids and the vertices' bigint surrogates (column ``node`` of
     ``keyed_vertices``). The source surrogate is attached per reference
     list, before the expansion, so the only join over the expanded rows is
     the resolution join itself."""
-    src_keys = keyed_vertices.select("id", F.col("vid").alias("src_vid"))
-    dst_keys = keyed_vertices.select(F.col("id").alias("dst"), F.col("vid").alias("dst_vid"))
+    src_keys = keyed_vertices.select("id", F.col("node").alias("src_node"))
+    dst_keys = keyed_vertices.select(F.col("id").alias("dst"), F.col("node").alias("dst_node"))
     lists = distinct_citation_lists(pubs).join(src_keys, "id")
     return (
-        lists.select(F.col("id").alias("src"), "src_vid", F.explode("outCitations").alias("cited"))
+        lists.select(F.col("id").alias("src"), "src_node", F.explode("outCitations").alias("cited"))
         .join(dst_keys, F.col("cited") == F.col("dst"), "inner")
-        .select("src", "dst", "src_vid", "dst_vid")
+        .select("src", "dst", "src_node", "dst_node")
     )
 
 
@@ -96,8 +96,9 @@ def unresolved_citations(pubs: DataFrame, vertices: DataFrame | None = None) ->
 
 def publication_journal(pubs: DataFrame) -> DataFrame:
     """(id, journalName) for records with a journal; one journal per id
-    (the smallest name if an id is filed under several)."""
-    return pubs.where(has_journal()).groupBy("id").agg(F.min("journalName").alias("journalName"))
+    (the smallest name if an id is filed under several). A record without an
+    id is no publication, so nothing can cite it."""
+    return pubs.where(F.col("id").isNotNull() & has_journal()).groupBy("id").agg(F.min("journalName").alias("journalName"))
 
 
 def journal_vertices(pubs: DataFrame) -> DataFrame:

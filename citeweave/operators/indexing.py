@@ -2,15 +2,15 @@
 
 ``dense_index`` is the DataFrame form of sort-then-zipWithIndex:
 
-  1. range-partition on the sort key plus a unique tie-breaker and sort
-     inside each partition (the sampled RangePartitioner then spreads even
-     a third of the rows sharing one key);
-  2. tag rows with ``monotonically_increasing_id`` (partition index in the
-     upper bits, row number inside the partition in the lower 33 bits) and
-     write them, so both passes see the same rows in the same places;
-  3. count rows per partition -- one row per partition, a size bounded by
-     the partition count -- and turn the counts into start offsets;
-  4. position = offset of the partition + row number inside it.
+  1. range-partition on the sort key plus a unique tie-breaker, sort inside
+     each partition (the sampled RangePartitioner then spreads even a third of
+     the rows sharing one key) and write the rows, nothing else, as Parquet;
+  2. the files' footers say how many rows each holds (a count by file reads no
+     column): one row per file, turned into start offsets;
+  3. position = offset of the file + the row's index in its file, which the
+     reader supplies.
+
+So the data is sorted and written in one job and not scanned again.
 
 ``rank_within`` ranks rows inside groups that may each hold a third of all
 rows, and ``lead_in_order`` looks at the next row of such groups; neither sorts
@@ -24,12 +24,8 @@ from pyspark.sql import functions as F
 
 from citeweave.session import keep
 
-_LOW_BITS = 33
-_LOW_MASK = (1 << _LOW_BITS) - 1
 # Positions of one slot in ``rank_within``.
 SLOT = 100_000
-# Rows that a range partition of ``dense_index`` holds on average, at most.
-ROWS_PER_PARTITION = 5_000_000
 
 
 def _as_sort(c) -> Column:
@@ -39,35 +35,31 @@ def _as_sort(c) -> Column:
 def dense_index(df: DataFrame, order: list, name: str = "idx", partitions: int | None = None) -> DataFrame:
     """Add a 0-based bigint position ``name`` following ``order`` (a list of
     column names or sort expressions; make it a total order for a
-    deterministic result)."""
-    spark = df.sparkSession
-    # One count sizes the range partitions: the session's number, more if rows ask for it.
-    n_parts = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_PER_PARTITION))
+    deterministic result). ``partitions``: range partitions and files, by default
+    the session's number of shuffle partitions."""
+    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # A unique last key: rows equal on ``order`` (copies, parallel edges) can
     # still be spread over several range partitions.
     sort_cols = [_as_sort(c) for c in order] + [F.col("_tie").asc()]
-    tagged = keep(
+    rows = keep(
         df.withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(n_parts, *sort_cols)
         .sortWithinPartitions(*sort_cols)
-        .withColumn("_mono", F.monotonically_increasing_id())
         .drop("_tie"),
         "positions",
     )
-    part = F.shiftright(F.col("_mono"), _LOW_BITS)
-    counts = tagged.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    # One row per partition: a single-partition window here is bounded by the
-    # partition count, not by the data.
+    counts = rows.groupBy(F.col("_metadata.file_name").alias("_file")).agg(F.count("*").alias("_n"))
+    # One row per file: a single-partition window here is bounded by the number
+    # of files, not by the data. Files are named by partition, then by place in it.
     # Materialised once, so every consumer of the positions reuses it.
-    offsets = keep(counts.select(
-        "_part",
-        (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-    ).select("_part", F.coalesce("_off", F.lit(0)).alias("_off")), "offsets")
-    return (
-        tagged.join(F.broadcast(offsets), part == F.col("_part"))
-        .withColumn(name, (F.col("_off") + F.col("_mono").bitwiseAND(F.lit(_LOW_MASK))).cast("bigint"))
-        .drop("_mono", "_part", "_off")
-    )
+    part = F.regexp_extract("_file", "part-([0-9]+)", 1).cast("bigint")
+    before = Window.orderBy(part, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = keep(counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")), "offsets")
+    placed = rows.select("*", F.col("_metadata.file_name").alias("_of"), F.col("_metadata.row_index").alias("_at"))
+    out = placed.join(F.broadcast(offsets), F.col("_of") == F.col("_file")) \
+        .select(*df.columns, (F.col("_off") + F.col("_at")).cast("bigint").alias(name))
+    out._kept = [rows, offsets]
+    return out
 
 
 def rank_within(df: DataFrame, group: str, position: str, order: list, name: str = "rank") -> DataFrame:

@@ -42,11 +42,22 @@ Execution plan
     table into every round. Skew in the loop is handled by the salting and
     partial aggregation above. The caller's session is never reconfigured;
     frames cross between the sessions as global temporary views.
-  * Each round's deltas are checkpointed to the reliable checkpoint folder,
-    which cuts the lineage and survives executor loss. The same job
-    observes the number of vertices still above the tolerance and the delta
-    mass, so the driver receives two numbers per round and nothing else.
-  * Ranks are the union of all rounds' deltas summed per vertex.
+  * The state is one row per vertex: its rank so far and its degrees,
+    hash-partitioned on the vertex into the same P partitions. A round's deltas
+    are checkpointed in the shared folder, which cuts the lineage and survives
+    executor loss; every ``rounds_per_fold`` rounds they are joined to the state
+    partition by partition, the new state is checkpointed, and the files of the
+    deltas and of the state before it are deleted. So the folder holds two states
+    and ``rounds_per_fold`` deltas at most, however many rounds there are, and the
+    ranks need no shuffle at the end.
+  * A round's job observes how many vertices it reached and how many of them may
+    send, so the driver receives two numbers per round and nothing else.
+  * In round one every vertex sends the same value, so its message sum needs no
+    join, and the same pass over the layout counts every vertex's in-edges;
+    out-edges are known from the layout. Degrees need no look at the edges later.
+
+Endpoints of edges with bigint keys have to be vertices; with other keys, edges
+of unknown endpoints are left out.
 """
 
 from __future__ import annotations
@@ -68,11 +79,13 @@ DEFAULT_TOL = 1e-4
 DEFAULT_RESET = 0.15
 # Upper bound on the broadcast list of hot sources.
 MAX_HOT_SOURCES = 1_000_000
+# Rounds after which their deltas are added to the state and the state is written.
+ROUNDS_PER_FOLD = 16
 
 
 @dataclass
 class PageRankResult:
-    ranks: DataFrame  # (id, pr) for every vertex
+    ranks: DataFrame  # (id, pr, in_deg, out_deg) for every vertex
     rounds: int  # rounds in which messages were sent
     vertices: int
     partitions: int = 0
@@ -108,7 +121,7 @@ def hot_sources(per_src: DataFrame, edges_per_bucket: int) -> DataFrame:
 
 
 def edge_layout(edges: DataFrame, per_src: DataFrame, hot: DataFrame | None, partitions: int) -> DataFrame:
-    """(src[, sub], dst, w) hash-partitioned on the join keys.
+    """(src[, sub], dst, m, w) hash-partitioned on the join keys.
 
     Parallel edges are folded first, with map-side partial aggregation, so
     copies of one (src, dst) pair collapse before any shuffle; the folded
@@ -120,7 +133,7 @@ def edge_layout(edges: DataFrame, per_src: DataFrame, hot: DataFrame | None, par
         laid = folded.repartition(partitions, "src")
         # Hash join built on the degree side: the edge rows are not sorted.
         return laid.join(per_src.hint("shuffle_hash"), "src").select(
-            "src", "dst", (F.col("m") / F.col("k")).alias("w"))
+            "src", "dst", "m", (F.col("m") / F.col("k")).alias("w"))
     with_sub = folded.join(F.broadcast(hot), "src", "left").select(
         "src", "dst", "m", F.pmod(F.xxhash64("dst"), F.coalesce("buckets", F.lit(1))).cast("int").alias("sub"))
     laid = with_sub.repartition(partitions, "src", "sub")
@@ -128,7 +141,7 @@ def edge_layout(edges: DataFrame, per_src: DataFrame, hot: DataFrame | None, par
     per_bucket = per_src.join(F.broadcast(hot), "src", "left").select(
         "src", "k", F.explode(F.sequence(F.lit(0), F.coalesce("buckets", F.lit(1)) - 1)).alias("sub"))
     return laid.join(per_bucket.hint("shuffle_hash"), ["src", "sub"]).select(
-        "src", "sub", "dst", (F.col("m") / F.col("k")).alias("w"))
+        "src", "sub", "dst", "m", (F.col("m") / F.col("k")).alias("w"))
 
 
 # One loop session per (caller session, partition count); its settings never
@@ -180,9 +193,40 @@ def _messages(delta: DataFrame, wedges: DataFrame, hot: DataFrame | None, tol: f
     )
 
 
+def _first_state(vertices: DataFrame, wedges: DataFrame, per_src: DataFrame, partitions: int, tol: float, reset: float, damp: float) -> DataFrame:
+    """(id, out_deg, in_deg, rank, delta) after round one. All vertices send ``reset`` or,
+    below the tolerance, none."""
+    sent = F.sum(F.lit(reset) * F.col("w")) * F.lit(damp) if reset > tol else F.lit(None).cast("double")
+    first = wedges.groupBy(F.col("dst").alias("id")).agg(F.sum("m").alias("in_deg"), sent.alias("delta"))
+    degrees = per_src.select(F.col("src").alias("id"), F.col("k").alias("out_deg"))
+    # The same hash partitioning as the edge layout, whatever partitioning the vertices come with.
+    return vertices.repartition(partitions, "id").distinct().join(first.hint("shuffle_hash"), "id", "left").join(degrees.hint("shuffle_hash"), "id", "left").select(
+        "id", F.coalesce("out_deg", F.lit(0)).cast("bigint").alias("out_deg"), F.coalesce("in_deg", F.lit(0)).cast("bigint").alias("in_deg"),
+        (F.lit(reset) + F.coalesce("delta", F.lit(0.0))).alias("rank"), "delta")
+
+
+def _folded(state: DataFrame, deltas: list[DataFrame]) -> DataFrame:
+    """The state after the rounds that gave ``deltas``; all inputs are partitioned alike, so nothing moves."""
+    rank = F.col("rank")
+    for k, delta in enumerate(deltas):
+        state = state.join(delta.select("id", F.col("delta").alias(f"d{k}")).hint("shuffle_hash"), "id", "left")
+        rank = rank + F.coalesce(f"d{k}", F.lit(0.0))
+    return state.select("id", "out_deg", "in_deg", rank.alias("rank"), F.col(f"d{len(deltas) - 1}").alias("delta"))
+
+
+def _drop_checkpoint(df: DataFrame) -> None:
+    """Delete the files of a checkpointed frame that nothing reads any more."""
+    file = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if file.isDefined():
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, reset: float = DEFAULT_RESET,
              max_rounds: int | None = None, edges_per_bucket: int = 1_000_000,
-             partitions: int | None = None, dense_ids: bool | None = None) -> PageRankResult:
+             partitions: int | None = None, dense_ids: bool | None = None,
+             rounds_per_fold: int = ROUNDS_PER_FOLD) -> PageRankResult:
     """Rank every vertex of ``vertices`` (column ``id``) over ``edges``
     (``src``, ``dst``; one row per edge, parallel rows allowed).
 
@@ -204,9 +248,9 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
         dst = index.select(F.col("id").alias("dst"), F.col("vid").alias("d"))
         long_edges = edges.join(src, "src").join(dst, "dst").select(F.col("s").alias("src"), F.col("d").alias("dst"))
         res = pagerank(index.select(F.col("vid").alias("id")), long_edges, tol, reset, max_rounds,
-                       edges_per_bucket, partitions, dense_ids=False)
+                       edges_per_bucket, partitions, dense_ids=False, rounds_per_fold=rounds_per_fold)
         back = index.select(F.col("vid").alias("id"), F.col("id").alias("key"))
-        ranks = res.ranks.join(back, "id").select(F.col("key").alias("id"), "pr")
+        ranks = res.ranks.join(back, "id").select(F.col("key").alias("id"), "pr", "in_deg", "out_deg")
         return PageRankResult(ranks, res.rounds, res.vertices, res.partitions, res.salted)
 
     vertices = vertices.select(F.col("id").cast("bigint").alias("id"))
@@ -227,62 +271,51 @@ def pagerank(vertices: DataFrame, edges: DataFrame, tol: float = DEFAULT_TOL, re
     loop = loop_session(spark, n_parts)
     views: list[str] = []
     wedges = None
+    deltas: list[DataFrame] = []
+    damp = 1.0 - reset
     try:
         # Reliable copy first (survives executor loss), then kept on the
         # executors: every round scans the whole layout, so it is read from
         # memory / local disk rather than from the shared folder each time.
-        wedges = edge_layout(hand_over(edges, loop, views), hand_over(per_src, loop, views),
-                             hand_over(hot, loop, views) if salted else None, n_parts).checkpoint(eager=True)
-        wedges = wedges.persist(StorageLevel.MEMORY_AND_DISK)
+        per_src_l = hand_over(per_src, loop, views)
         hot_l = hand_over(hot, loop, views) if salted else None
-
-        obs0 = Observation(f"pagerank-{run}-0")
-        delta = (
-            # distinct() shuffles on id into the loop's P partitions: the same
-            # hash partitioning as the edge layout.
-            hand_over(vertices, loop, views).distinct().select("id", F.lit(reset).alias("delta"))
-            .observe(obs0, F.count("*").alias("n"), F.sum("delta").alias("mass"))
-            .checkpoint(eager=True)
-        )
-        stats = obs0.get
-        n_vertices = int(stats["n"])
-        total = float(stats["mass"] or 0.0)
-        active = n_vertices if reset > tol else 0
-        history = [delta]
-        rounds = 0
-        damp = 1.0 - reset
-
-        while active > 0:
-            if max_rounds is not None and rounds >= max_rounds:
-                raise RuntimeError(f"PageRank did not converge within {max_rounds} rounds")
+        wedges = edge_layout(hand_over(edges, loop, views), per_src_l, hot_l, n_parts).checkpoint(eager=True)
+        wedges = wedges.persist(StorageLevel.MEMORY_AND_DISK)
+        seen = Observation(f"pagerank-{run}-1")
+        sends = F.count(F.when(F.col("delta") > F.lit(tol), 1)).alias("active")
+        state = _first_state(hand_over(vertices, loop, views), wedges, per_src_l, n_parts, tol, reset, damp).observe(
+            seen, F.count("*").alias("n"), F.count("delta").alias("received"), sends).checkpoint(eager=True)
+        n_vertices = int(seen.get["n"])
+
+        def fold() -> None:
+            nonlocal state, deltas
+            before, state = state, _folded(state, deltas).checkpoint(eager=True)
+            for df in [before, *deltas]:
+                _drop_checkpoint(df)
+            deltas = []
+
+        delta, rounds = state.select("id", "delta"), 0
+        while int(seen.get["received"] or 0):  # else nothing was sent: only sinks were above the tolerance
             rounds += 1
-            obs = Observation(f"pagerank-{run}-{rounds}")
-            delta = (
-                _messages(delta, wedges, hot_l, tol, damp)
-                .observe(obs, F.count(F.when(F.col("delta") > F.lit(tol), 1)).alias("active"),
-                         F.sum("delta").alias("mass"), F.count("*").alias("received"))
-                .checkpoint(eager=True)
-            )
-            stats = obs.get
-            if int(stats["received"] or 0) == 0:
-                # Only sinks were above the tolerance: nothing was sent.
-                rounds -= 1
+            if not int(seen.get["active"] or 0):
                 break
-            active = int(stats["active"] or 0)
-            total += float(stats["mass"] or 0.0)
-            history.append(delta)
-
-        stacked = history[0]
-        for frame in history[1:]:
-            stacked = stacked.unionByName(frame)
-        # Back in the caller's session. A union of the rounds has no known
-        # partitioning, so the sum per vertex is one shuffle, of partial sums.
-        stacked = hand_over(stacked, spark, views)
+            if max_rounds is not None and rounds >= max_rounds:
+                raise RuntimeError(f"PageRank did not converge within {max_rounds} rounds")
+            if len(deltas) == rounds_per_fold:
+                fold()
+                delta = state.select("id", "delta")
+            seen = Observation(f"pagerank-{run}-{rounds + 1}")
+            delta = _messages(delta, wedges, hot_l, tol, damp).observe(seen, F.count("delta").alias("received"), sends).checkpoint(eager=True)
+            deltas.append(delta)
+        if deltas:
+            fold()
+        total = float(state.agg(F.sum("rank").alias("mass")).first()["mass"] or 0.0)
+        ranks = hand_over(state, spark, views)
     finally:
         if wedges is not None:
             wedges.unpersist()
         for name in views:
             spark.catalog.dropGlobalTempView(name)
     scale = n_vertices / total if total else 0.0
-    ranks = stacked.groupBy("id").agg((F.sum("delta") * F.lit(scale)).alias("pr"))
+    ranks = ranks.select("id", (F.col("rank") * F.lit(scale)).alias("pr"), "in_deg", "out_deg")
     return PageRankResult(ranks=ranks, rounds=rounds, vertices=n_vertices, partitions=n_parts, salted=salted)

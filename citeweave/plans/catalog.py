@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from citeweave.functions.hexdec import hex_to_decimal, hex_to_decimal_string
 from citeweave.operators import degrees, edges as E, summary as S
 from citeweave.operators.indexing import dense_index
-from citeweave.operators.neighbors import influence_report, influential_by_name, neighbors, top_k, vertices_by_name
+from citeweave.operators.neighbors import top_k, vertices_by_name
 from citeweave.plans.graph import _BUILT, _key, corpus, journal_graph, publication_graph
 from citeweave.session import scratch_path
 from citeweave.sources import jsonl, sampling
@@ -270,38 +270,31 @@ def q_journal_pagerank(spark, sf_dir):
     return journal_graph(spark, sf_dir).vertices.select("id", S.rounded_pr().alias("pr"))
 
 
-def _top_seeds(g):
-    return top_k(g.vertices, TOP_K).select(F.col("id").alias("seed_id"))
-
-
 @query("neighbors_in")
 def q_neighbors_in(spark, sf_dir):
-    g = publication_graph(spark, sf_dir)
-    return neighbors(g.edges, _top_seeds(g), "in", seeds_bound=TOP_K)
+    return publication_graph(spark, sf_dir).top_neighbors(TOP_K, "in")
 
 
 @query("neighbors_out")
 def q_neighbors_out(spark, sf_dir):
-    g = publication_graph(spark, sf_dir)
-    return neighbors(g.edges, _top_seeds(g), "out", seeds_bound=TOP_K)
+    return publication_graph(spark, sf_dir).top_neighbors(TOP_K, "out")
 
 
 @query("neighbors_either")
 def q_neighbors_either(spark, sf_dir):
-    g = publication_graph(spark, sf_dir)
-    return neighbors(g.edges, _top_seeds(g), "either", seeds_bound=TOP_K)
+    return publication_graph(spark, sf_dir).top_neighbors(TOP_K, "either")
 
 
 @query("influential_publications")
 def q_influential_publications(spark, sf_dir):
     g = publication_graph(spark, sf_dir)
-    return influential_by_name(g.vertices, g.edges, top_k(g.vertices, TOP_K).select("name"), "either", names_bound=TOP_K)
+    return g.influential(g.top(TOP_K).select("name"), "either", names_bound=TOP_K)
 
 
 @query("influential_journals")
 def q_influential_journals(spark, sf_dir):
     g = journal_graph(spark, sf_dir)
-    return influential_by_name(g.vertices, g.edges, top_k(g.vertices, TOP_K).select("name"), "either", names_bound=TOP_K)
+    return g.influential(g.top(TOP_K).select("name"), "either", names_bound=TOP_K)
 
 
 @query("top_publications")
@@ -316,14 +309,22 @@ def q_top_journals(spark, sf_dir):
 
 @query("influence_report_publications")
 def q_influence_report_publications(spark, sf_dir):
-    g = publication_graph(spark, sf_dir)
-    return influence_report(g.vertices, g.edges, TOP_K, "in")
+    return publication_graph(spark, sf_dir).influence_report(TOP_K, "in")
 
 
 @query("influence_report_journals")
 def q_influence_report_journals(spark, sf_dir):
-    g = journal_graph(spark, sf_dir)
-    return influence_report(g.vertices, g.edges, TOP_K, "in")
+    return journal_graph(spark, sf_dir).influence_report(TOP_K, "in")
+
+
+@query("influence_report_csv")
+def q_influence_report_csv(spark, sf_dir):
+    """The publications' report written as CSV and read back by its schema."""
+    k = _key(spark, sf_dir, "report-csv")
+    report = publication_graph(spark, sf_dir).influence_report(TOP_K, "in")
+    if k not in _BUILT:
+        _BUILT[k] = jsonl.write_csv(report, scratch_path(spark, "report-csv"))
+    return jsonl.read_csv(spark, _BUILT[k], report.schema)
 
 
 @query("graph_links")

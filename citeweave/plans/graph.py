@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.operators import degrees, edges as E
+from citeweave.operators.adjacency import BROADCAST_SEEDS, Adjacency, Seeds, adjacency, neighbor_ids, ranked
+from citeweave.operators.indexing import dense_index
 from citeweave.operators.neighbors import with_position
 from citeweave.operators.pagerank import DEFAULT_RESET, DEFAULT_TOL, pagerank
 from citeweave.session import drop_kept, keep
@@ -29,10 +31,12 @@ from citeweave.session import drop_kept, keep
 @dataclass
 class CitationGraph:
     kind: str  # "publication" | "journal"
-    vertices: DataFrame  # (id, name, in_deg, out_deg, pr, position); position: place by rank, from 0
-    edges: DataFrame  # (src, dst, n); publication edges have n = 1 per parallel edge
+    vertices: DataFrame  # (id, name, in_deg, out_deg, pr, position, node); position: place by rank, node: place by id, both from 0
+    edges: DataFrame  # (src, dst, n, src_node, dst_node); publication edges have n = 1 per parallel edge
     rounds: int = 0
     info: dict = field(default_factory=dict)
+    adjacent: Adjacency | None = None  # the edges by position, for lookups
+    same_name: int | None = None  # most vertices that share a name
 
     # -- questions a user asks of a graph ------------------------------------
 
@@ -42,33 +46,49 @@ class CitationGraph:
 
         return top_k(self.vertices, k)
 
-    def influential(self, names, direction: str = "in") -> DataFrame:
+    def influential(self, names, direction: str = "in", names_bound: int | None = None) -> DataFrame:
         """Neighbours of the vertices carrying ``names`` (a string, a list of
-        strings or a DataFrame with a ``name`` column), ranked by PageRank.
-        ``in``: vertices citing them, ``out``: vertices they cite,
-        ``either``: both."""
-        from citeweave.operators.neighbors import influential_by_name
+        strings or a DataFrame with a ``name`` column, of ``names_bound`` rows at
+        most), ranked by PageRank. ``in``: vertices citing them, ``out``: vertices
+        they cite, ``either``: both."""
+        from citeweave.operators.neighbors import vertices_by_name
 
         spark = self.vertices.sparkSession
-        bound = None
         if isinstance(names, str):
             names = [names]
         if isinstance(names, (list, tuple)):
-            bound = len(names)
+            names_bound = len(names)
             names = spark.createDataFrame([(n,) for n in names], "name string")
-        return influential_by_name(self.vertices, self.edges, names, direction, names_bound=bound)
+        found = vertices_by_name(self.vertices, names, names_bound).select("seed_name", "seed_id", F.col("position").alias("seed_position"))
+        bound = None if names_bound is None or self.same_name is None else names_bound * self.same_name
+        return ranked(self.vertices, self._adjacent(), Seeds(found, bound), direction, "seed_name")
 
     def neighbors(self, seeds: DataFrame, direction: str = "in", seeds_bound: int | None = None) -> DataFrame:
         """(seed_id, neighbor_id, via) for a DataFrame of ``seed_id``."""
-        from citeweave.operators.neighbors import neighbors
+        rows = F.broadcast(seeds.select("seed_id")) if seeds_bound is not None and seeds_bound <= BROADCAST_SEEDS else seeds.select("seed_id")
+        found = self.vertices.select("id", F.col("position").alias("seed_position")).join(rows, F.col("id") == F.col("seed_id"))
+        return neighbor_ids(self.vertices, self._adjacent(), Seeds(found.select("seed_id", "seed_position"), seeds_bound), direction)
 
-        return neighbors(self.edges, seeds, direction, seeds_bound)
+    def top_neighbors(self, k: int, direction: str = "in") -> DataFrame:
+        """(seed_id, neighbor_id, via) for the k highest-ranked vertices."""
+        return neighbor_ids(self.vertices, self._adjacent(), self._top_seeds(k), direction)
 
     def influence_report(self, k: int, direction: str = "in") -> DataFrame:
-        """Ranked neighbours of each of the k highest-ranked vertices, in one job."""
-        from citeweave.operators.neighbors import influence_report
-
-        return influence_report(self.vertices, self.edges, k, direction)
+        """Ranked neighbours of each of the k highest-ranked vertices, in one job:
+        (seed_position, seed_id, seed_name, rank, neighbor_id, name, in_deg, out_deg, pr, via)."""
+        seeds = self._top_seeds(k, F.col("name").alias("seed_name"))
+        found = ranked(self.vertices, self._adjacent(), seeds, direction, "seed_position", "seed_name")
+        return found.select((F.col("seed_position") + 1).alias("seed_position"), "seed_id", "seed_name", "rank",
+                            "neighbor_id", "name", "in_deg", "out_deg", "pr", "via")
+
+    def _top_seeds(self, k: int, *also) -> Seeds:
+        rows = self.vertices.where(F.col("position") < k).select(F.col("id").alias("seed_id"), F.col("position").alias("seed_position"), *also)
+        return Seeds(rows, bound=k, prefix=k)
+
+    def _adjacent(self) -> Adjacency:
+        if self.adjacent is None:  # a graph that was not built here
+            self.adjacent = adjacency(self.edges, self.vertices.select("node", "position"), self.kind)
+        return self.adjacent
 
     def summary(self) -> DataFrame:
         from citeweave.operators.summary import graph_summary
@@ -96,14 +116,9 @@ class CitationGraph:
 
     def node_link(self) -> tuple[DataFrame, DataFrame]:
         """(nodes(idx, id, name), links(source, target)): vertices numbered
-        0.. in id order and edges as pairs of node numbers."""
-        from citeweave.operators.indexing import dense_index
-
-        nodes = keep(dense_index(self.vertices.select("id", "name"), ["id"], name="idx"), "nodes")
-        src = nodes.select(F.col("id").alias("src"), F.col("idx").alias("source"))
-        dst = nodes.select(F.col("id").alias("dst"), F.col("idx").alias("target"))
-        links = self.edges.join(src, "src").join(dst, "dst").select("source", "target")
-        return nodes.select("idx", "id", "name"), links
+        0.. in id order and edges as pairs of node numbers, as they are stored."""
+        return self.vertices.select(F.col("node").alias("idx"), "id", "name"), \
+            self.edges.select(F.col("src_node").alias("source"), F.col("dst_node").alias("target"))
 
     def write_node_link(self, path: str) -> str:
         """Distributed JSON write of ``node_link`` to path/nodes and path/links."""
@@ -113,13 +128,13 @@ class CitationGraph:
         return path
 
     def write(self, path: str) -> str:
-        """Save the graph as parquet (path/vertices, path/edges, path/_meta)
-        so later applications query it without rebuilding."""
+        """Save the graph as parquet (path/vertices, path/edges, path/incoming,
+        path/outgoing, path/_meta) so later applications query it without rebuilding."""
         spark = self.vertices.sparkSession
-        base = path.rstrip("/")
-        self.vertices.write.mode("overwrite").parquet(f"{base}/vertices")
-        self.edges.write.mode("overwrite").parquet(f"{base}/edges")
-        meta = spark.createDataFrame([(self.kind, self.rounds)], "kind string, rounds int")
+        base, near = path.rstrip("/"), self._adjacent()
+        for name, table in (("vertices", self.vertices), ("edges", self.edges), ("incoming", near.incoming), ("outgoing", near.outgoing)):
+            table.write.mode("overwrite").parquet(f"{base}/{name}")
+        meta = spark.createDataFrame([(self.kind, self.rounds, self.same_name)], "kind string, rounds int, same_name bigint")
         meta.coalesce(1).write.mode("overwrite").json(f"{base}/_meta")
         return path
 
@@ -127,51 +142,56 @@ class CitationGraph:
     def read(cls, spark: SparkSession, path: str) -> "CitationGraph":
         """A graph saved with ``write``."""
         base = path.rstrip("/")
-        meta = spark.read.json(f"{base}/_meta").first()
-        return cls(kind=meta["kind"], vertices=spark.read.parquet(f"{base}/vertices"),
-                   edges=spark.read.parquet(f"{base}/edges"), rounds=int(meta["rounds"]))
+        meta = spark.read.schema("kind string, rounds int, same_name bigint").json(f"{base}/_meta").first()
+        table = {name: spark.read.parquet(f"{base}/{name}") for name in ("vertices", "edges", "incoming", "outgoing")}
+        return cls(kind=meta["kind"], vertices=table["vertices"], edges=table["edges"], rounds=meta["rounds"],
+                   adjacent=Adjacency(table["incoming"], table["outgoing"]), same_name=meta["same_name"])
 
     def unpersist(self) -> None:
         """Delete the files of a built graph; it can't be asked any more."""
-        drop_kept(self.vertices, self.edges)
+        drop_kept(self.vertices, self.edges, *([self.adjacent.incoming, self.adjacent.outgoing] if self.adjacent else []))
 
 
-def _finish(kind: str, vertices: DataFrame, edges: DataFrame, ranks: DataFrame, result) -> CitationGraph:
-    """vertices (vid, id, name), edges (src, dst, n, src_vid, dst_vid), ranks
-    (id = vid, pr). Degrees and ranks are joined on the bigint vid; ids and
-    names are attached last."""
-    by_vid = edges.select(F.col("src_vid").alias("src"), F.col("dst_vid").alias("dst"))
-    attributed = degrees.attach_attributes(vertices.select(F.col("vid").alias("id"), "name", F.col("id").alias("key")), by_vid, ranks, ["key"]) \
-        .select(F.col("key").alias("id"), "name", "in_deg", "out_deg", "pr")
-    placed = with_position(keep(attributed, f"{kind}-attributes"))
-    return CitationGraph(kind=kind, vertices=keep(placed, f"{kind}-vertices"), edges=edges.select("src", "dst", "n"), rounds=result.rounds,
-                         info={"vertices": result.vertices, "partitions": result.partitions,
-                               "salted": result.salted})
+def _finish(kind: str, vertices: DataFrame, edges: DataFrame, result) -> CitationGraph:
+    """vertices (node, id, name), edges (src, dst, n, src_node, dst_node), result: ranks and
+    degrees by node. Joins are on node numbers; the edges are read for the adjacency only."""
+    ranked_rows = degrees.attach_ranks(vertices.select(F.col("node").alias("id"), "name", F.col("id").alias("key")), result.ranks)
+    attributed = keep(ranked_rows.select(F.col("key").alias("id"), "name", "in_deg", "out_deg", "pr", F.col("id").alias("node")), f"{kind}-attributes")
+    placed = with_position(attributed)
+    kept = keep(placed.select("id", "name", "in_deg", "out_deg", "pr", "position", "node"), f"{kind}-vertices")
+    drop_kept(attributed, placed)
+    # Journals are their names; titles repeat.
+    same_name = 1 if kind == "journal" else kept.groupBy("name").count().agg(F.max("count")).first()[0]
+    return CitationGraph(kind=kind, vertices=kept, edges=edges, rounds=result.rounds,
+                         info={"vertices": result.vertices, "partitions": result.partitions, "salted": result.salted},
+                         adjacent=adjacency(edges, kept.select("node", "position"), kind), same_name=same_name or 1)
 
 
 def build_publication_graph(pubs: DataFrame, tol: float = DEFAULT_TOL, reset: float = DEFAULT_RESET,
                             edges_per_bucket: int = 1_000_000) -> CitationGraph:
-    """Vertices get bigint surrogates once; citations resolve straight to
-    them, so PageRank and degrees run on fixed-width keys."""
-    vertices = keep(E.publication_vertices(pubs).withColumn("vid", F.monotonically_increasing_id()), "publication-keys")
-    edges = keep(E.publication_edges_keyed(pubs, vertices).withColumn("n", F.lit(1).cast("bigint")), "publication-edges")
+    """Vertices get their place in id order as a bigint surrogate once; citations
+    resolve straight to it, so PageRank and lookups run on fixed-width keys."""
+    vertices = dense_index(E.publication_vertices(pubs), ["id"], name="node")
+    edges = E.publication_edges_keyed(pubs, vertices).withColumn("n", F.lit(1).cast("bigint"))
     return _ranked("publication", vertices, edges, tol, reset, edges_per_bucket)
 
 
 def build_journal_graph(pubs: DataFrame, tol: float = DEFAULT_TOL, reset: float = DEFAULT_RESET,
                         edges_per_bucket: int = 1_000_000) -> CitationGraph:
     """Rank and degrees count each journal pair once; n does not weight them."""
-    vertices = keep(E.journal_vertices(pubs).withColumn("vid", F.monotonically_increasing_id()), "journal-keys")
-    src = vertices.select(F.col("id").alias("src"), F.col("vid").alias("src_vid"))
-    dst = vertices.select(F.col("id").alias("dst"), F.col("vid").alias("dst_vid"))
-    edges = keep(E.journal_edges(pubs).join(src, "src").join(dst, "dst").select("src", "dst", "n", "src_vid", "dst_vid"), "journal-edges")
-    return _ranked("journal", vertices, edges, tol, reset, edges_per_bucket)
+    vertices = dense_index(E.journal_vertices(pubs), ["id"], name="node")
+    src = vertices.select(F.col("id").alias("src"), F.col("node").alias("src_node"))
+    dst = vertices.select(F.col("id").alias("dst"), F.col("node").alias("dst_node"))
+    return _ranked("journal", vertices, E.journal_edges(pubs).join(src, "src").join(dst, "dst"), tol, reset, edges_per_bucket)
 
 
 def _ranked(kind: str, vertices: DataFrame, edges: DataFrame, tol: float, reset: float, edges_per_bucket: int) -> CitationGraph:
-    result = pagerank(vertices.select(F.col("vid").alias("id")), edges.select(F.col("src_vid").alias("src"), F.col("dst_vid").alias("dst")),
+    edges = keep(edges.select("src", "dst", "n", "src_node", "dst_node"), f"{kind}-edges")
+    result = pagerank(vertices.select(F.col("node").alias("id")), edges.select(F.col("src_node").alias("src"), F.col("dst_node").alias("dst")),
                       tol=tol, reset=reset, edges_per_bucket=edges_per_bucket, dense_ids=False)
-    return _finish(kind, vertices, edges, result.ranks, result)
+    graph = _finish(kind, vertices, edges, result)
+    drop_kept(vertices)
+    return graph
 
 
 def build_graphs(pubs: DataFrame, tol: float = DEFAULT_TOL, reset: float = DEFAULT_RESET,

@@ -195,6 +195,7 @@ from (select src id from pe union select dst from pe) x left join pv on pv.id =
         "top_publications": p + f"select * from {_top('pg')} t",
         "top_journals": j + f"select * from {_top('jg')} t",
         "influence_report_publications": p.rstrip("\n") + _report("pg", "pe"),
+        "influence_report_csv": p.rstrip("\n") + _report("pg", "pe"),
         "influence_report_journals": j.rstrip("\n") + _report("jg", "je"),
         "graph_links": pb + """, idx as (select id, (row_number() over (order by id) - 1)::bigint idx from pv)
 select a.idx source, b.idx target from pe join idx a on a.id = pe.src join idx b on b.id = pe.dst""",

@@ -56,7 +56,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+def keep(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the checkpoint folder and read it back.
 
     The lineage is cut, a lost executor costs nothing that was written, and
@@ -64,15 +64,17 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     files.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*(partition_by or [])).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._kept_path = path
     return out
 
 
 def drop_kept(*frames: DataFrame) -> None:
-    """Delete the files of frames that ``keep`` gave; others are left alone."""
+    """Delete the files of frames that ``keep`` gave, and of those that a frame
+    names in ``_kept``; others are left alone."""
     for df in frames:
+        drop_kept(*getattr(df, "_kept", []))
         path = getattr(df, "_kept_path", None)
         if path is not None:
             target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from citeweave.session import keep
 from citeweave.sources.schema import CORRUPT_COLUMN, GRAPH_COLUMNS, PUBLICATION, with_corrupt_column
@@ -55,11 +56,16 @@ def scan_with_quarantine(spark: SparkSession, path: str) -> tuple[DataFrame, Dat
 
     The quarantine has ``reason`` ('malformed' or 'missing_id'), the id
     recovered from the text of a malformed line where it is visible, and the
-    raw line. Both outputs read one parse that is written once (one pass over
-    the input, as an ingest job would).
+    raw line. Every line is parsed once and goes to one of two partitions of one
+    output: good records with the columns of the graphs, the others with their line.
     """
-    rows = keep(parse_lines(spark.read.text(path)), "parsed-lines")
-    return split_parsed(rows)
+    good, bad = F.col("reason").isNull(), F.col("reason").isNotNull()
+    rows = parse_lines(spark.read.text(path)).select(
+        *[F.when(good, F.col(f"record.{c}")).alias(c) for c in GRAPH_COLUMNS],
+        "reason", "recovered_id", F.when(bad, F.col("line")).alias("line"), bad.alias("quarantined"))
+    kept = keep(rows, "parsed-lines", partition_by=["quarantined"])
+    return kept.where(~F.col("quarantined")).select(*GRAPH_COLUMNS), \
+        kept.where("quarantined").select("reason", "recovered_id", "line")
 
 
 def split_parsed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -79,9 +85,21 @@ def write_json_lines(df: DataFrame, path: str) -> str:
     return path
 
 
+#: How values are set apart, so that a table reads back as it was written: quotes are doubled,
+#: an empty string is quoted and a null is not.
+CSV_FORM = {"header": "true", "escape": '"', "emptyValue": '""', "nullValue": "", "lineSep": "\n",
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     """CSV sink with a header. ``single_file`` coalesces to one file and is
     meant for small reports only (for example the influence report of a few seeds)."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", "true").csv(path)
+    out.write.mode("overwrite").options(**CSV_FORM).csv(path)
     return path
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What ``write_csv`` wrote, in ``schema``; a value that does not fit it fails the job."""
+    options = {k: v for k, v in CSV_FORM.items() if k not in ("emptyValue", "lineSep")}
+    return spark.read.schema(schema).options(mode="FAILFAST", multiLine="true", emptyValue="", **options).csv(path)

@@ -55,6 +55,94 @@ def test_a_report_starts_no_job(spark):
     assert "ReusedExchange" in _plan(report)
 
 
+def test_lookups_prune_row_groups_and_move_no_edges(spark):
+    """Questions about the top vertices are a range on a sorted bigint column of
+    the adjacency; the edges are scanned, two columns of them, and not shuffled."""
+    from citeweave.plans.graph import publication_graph
+
+    g = publication_graph(spark, SF)
+    for df in (g.top_neighbors(5, "either"), g.influence_report(5, "either")):
+        plan = _plan(df)
+        assert plan.count("LessThan(seed,5)") >= 2, plan
+        assert "ReadSchema: struct<seed:bigint,neighbor:bigint>" in plan and "src:string" not in plan
+    best = g.top(1).first()
+    seeds = spark.createDataFrame([(best.id,)], "seed_id string")
+    for df in (g.neighbors(seeds, "in", seeds_bound=1), g.influential([best.name], "in")):
+        assert df.collect()
+        plan = _plan(df).split("Initial Plan")[0]
+        scan = plan.index("ReadSchema: struct<seed:bigint,neighbor:bigint>")
+        above = plan[:scan].splitlines()[::-1]
+        depth = [len(x) - len(x.lstrip(" :+-*")) for x in above]
+        path, least = [], depth[0] + 1
+        for line, d in zip(above, depth):  # the scan's ancestors
+            if d < least:
+                path.append(line)
+                least = d
+        join = next(i for i, line in enumerate(path) if "Join" in line)
+        assert "BroadcastHashJoin" in path[join] and not any("Exchange" in line for line in path[:join]), path[:join + 1]
+
+
+def test_node_link_is_a_projection(spark):
+    from citeweave.plans.graph import publication_graph
+
+    for df in publication_graph(spark, SF).node_link():
+        plan = _plan(df)
+        assert "Exchange" not in plan and "Join" not in plan and "Sort" not in plan, plan
+
+
+def test_no_edges_are_aggregated_after_pagerank(spark, monkeypatch):
+    """Degrees come with the ranks; the two stored edge tables are sorted by seed."""
+    import citeweave.plans.graph as pg
+    from citeweave.operators import degrees
+
+    def never(*args):
+        raise AssertionError("edges aggregated again")
+
+    monkeypatch.setattr(degrees, "in_degrees", never)
+    monkeypatch.setattr(degrees, "out_degrees", never)
+    g = pg.build_journal_graph(pg.corpus(spark, SF))
+    monkeypatch.undo()
+    by_id = {r.id: (r.in_deg, r.out_deg) for r in g.vertices.collect()}
+    ins = {r.id: r.in_deg for r in degrees.in_degrees(g.edges).collect()}
+    outs = {r.id: r.out_deg for r in degrees.out_degrees(g.edges).collect()}
+    assert by_id == {k: (ins.get(k, 0), outs.get(k, 0)) for k in by_id}
+    places = {r.node: r.position for r in g.vertices.collect()}
+    pairs = sorted((places[r.src_node], places[r.dst_node]) for r in g.edges.collect())
+    assert sorted((r.neighbor, r.seed) for r in g.adjacent.incoming.collect()) == pairs
+    assert sorted((r.seed, r.neighbor) for r in g.adjacent.outgoing.collect()) == pairs
+
+
+def test_pagerank_keeps_few_states(spark, monkeypatch):
+    """At no time more than ``rounds_per_fold`` deltas and two states are in the
+    checkpoint folder, however many rounds there are; results do not depend on it."""
+    import citeweave.operators.pagerank as pm
+
+    edges = spark.createDataFrame([(i, (i * 7 + k) % 60) for i in range(60) for k in range(1, 3)], "src bigint, dst bigint")
+    vertices = edges.select(edges["src"].alias("id")).distinct()
+    plain = pm.pagerank(vertices, edges, rounds_per_fold=1000)
+    written, dropped, most = [0], [0], [0]
+    original, drop = pm._messages, pm._drop_checkpoint
+
+    def messages(*args):
+        written[0] += 1
+        most[0] = max(most[0], written[0] - dropped[0])
+        return original(*args)
+
+    def dropping(df):
+        file = df._jdf.queryExecution().logical().rdd().getCheckpointFile().get()
+        drop(df)
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+        dropped[0] += 1
+
+    monkeypatch.setattr(pm, "_messages", messages)
+    monkeypatch.setattr(pm, "_drop_checkpoint", dropping)
+    folded = pm.pagerank(vertices, edges, rounds_per_fold=3)
+    assert folded.rounds == plain.rounds > 9 and most[0] <= 4
+    a, b = ({r.id: (r.pr, r.in_deg, r.out_deg) for r in x.ranks.collect()} for x in (plain, folded))
+    assert a.keys() == b.keys() and all(abs(a[k][0] - b[k][0]) < 1e-12 and a[k][1:] == b[k][1:] for k in a)
+
+
 def test_dropped_graphs_leave_no_files(spark):
     import glob
 
@@ -122,6 +210,23 @@ def test_dense_index_has_no_data_sized_single_partition(spark):
     assert "SinglePartition" not in plan
     assert "Window" not in plan
     assert "BroadcastExchange" in plan
+    assert "_metadata" in plan and "Aggregate" not in plan  # positions come with the read
+
+
+def test_quarantine_keeps_no_line_of_good_records(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from citeweave.sources.jsonl import scan_with_quarantine
+
+    path = str(tmp_path / "lines")
+    spark.createDataFrame([('{"id":"a","title":"t","unused":1,"journalName":"j","outCitations":["b"]}',), ('{"id":"b"',), ("{}",)], "value string").write.text(path)
+    good, bad = scan_with_quarantine(spark, path)
+    assert [tuple(r) for r in good.collect()] == [("a", "t", "j", ["b"])]
+    assert sorted(tuple(r) for r in bad.collect()) == [("malformed", "", '{"id":"b"'), ("missing_id", None, "{}")]
+    assert "PartitionFilters: [isnotnull(quarantined" in _plan(good)
+    files = good.select(F.input_file_name().alias("f")).first().f
+    stored = spark.read.parquet(files.rsplit("/", 1)[0])
+    assert stored.where("line is not null").count() == 0 and "record" not in stored.columns
 
 
 def test_every_round_of_a_real_build_has_one_exchange(spark, monkeypatch):
