@@ -46,6 +46,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -309,7 +310,7 @@ def removed_spans(segments: DataFrame) -> DataFrame:
     too, where segment is null; else a segment that is yet to be compared by its
     windows, since its minimizer has too many. Spans may overlap."""
     def of(batches):
-        minimizer = segment = first = None
+        minimizer = segment = None
         distinct, owner, waiting, size = [], [], [], 0  # of runs that are complete and have several segments
         run, run_owner, run_waiting, run_size = [], [], [], 0
         beyond = False  # the run has more than RUN_BYTES
@@ -347,7 +348,32 @@ def removed_spans(segments: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in numbers), pa.array(data, pa.binary())],
                                               ["doc_id", "version", "start", "length", "segment"])
 
+        last = None  # minimizer, segment and its first document where the batch before ended
         for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            # Whole columns at a time: copies of a segment, and minimizers with a single segment. Only
+            # what has to be compared goes on row by row.
+            minimizers, texts = batch.column(0).to_numpy(), batch.column(1)
+            docs = batch.column(2).to_numpy()
+            new_run, new = np.ones(n, bool), np.ones(n, bool)
+            new_run[1:] = minimizers[1:] != minimizers[:-1]
+            new[1:] = new_run[1:] | pc.not_equal(texts.slice(1), texts.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            if last is not None and last[0] == minimizers[0]:
+                new_run[0], new[0] = False, last[1] != texts[0].as_py()
+            at = np.maximum.accumulate(np.where(new, np.arange(n), -1))
+            firsts = np.where(at >= 0, docs[at], docs[0] if last is None else last[2])
+            last = int(minimizers[-1]), texts[n - 1].as_py(), int(firsts[-1])
+            whole = np.flatnonzero(docs != firsts)  # rows come in ascending doc_id
+            if len(whole):
+                length = pc.binary_length(texts).to_numpy()[whole].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(docs[whole]), batch.column(3).take(pa.array(whole)), batch.column(4).take(pa.array(whole)),
+                                                  pa.array(length), pa.nulls(len(whole), pa.binary())], ["doc_id", "version", "start", "length", "segment"])
+            run_of = np.cumsum(new_run) - new_run[0]
+            alone = np.bincount(run_of, new) == 1
+            alone[[0, -1]] = False  # may go on in another batch
+            batch = batch.take(pa.array(np.flatnonzero((docs == firsts) & ~alone[run_of])))
             spans = []
             for m, data, doc, version, start in zip(*(c.to_pylist() for c in batch.columns)):
                 if m != minimizer:
@@ -356,13 +382,11 @@ def removed_spans(segments: DataFrame) -> DataFrame:
                         spans += sorted_spans()
                     minimizer, segment, beyond = m, None, False
                 if data != segment:
-                    segment, first = data, doc
+                    segment = data
                     if not beyond:
                         run.append(data)
                         run_owner.append(doc)
-                if doc != first:  # rows come in ascending doc_id
-                    spans.append((doc, version, start, len(data), None))
-                elif beyond:
+                if beyond:
                     spans.append((doc, version, start, len(data), data))
                 else:
                     run_waiting.append((len(run) - 1, version, start))
