@@ -1,10 +1,14 @@
 """License scans by canonical digest lookup, in DataFrame operations only.
 
 Lines are brought to a canonical form: lower case, equivalent spellings made
-one, copyright lines emptied, everything but letters and digits one space.
-The canonical lines together are a text's canonical form. Its sha256, and that
-of each line, is joined by hash with the digests of known licence texts and
-notices, which went through the same form.
+one, copyright statements emptied, everything but letters and digits one space. A
+line is a copyright statement if it begins with the sign, or with the word or "(c)"
+before another of them, a year, "by" or a bracket, so that lines of a licence's
+body, wherever they are wrapped, are not. The canonical lines together, without
+"All rights reserved", are a text's canonical form. Its sha256, that of the form
+without a first line that is a licence's title, if more follows, and that of each
+line are joined by hash with the digests of known licence texts and notices, which
+went through the same form. The text with its title goes first.
 
 Defined results: a null or empty text has the digest of the empty string, no
 licence and no licence lines; nor does a text whose canonical form is empty.
@@ -32,8 +36,11 @@ SPELLINGS = [
     ("recognised", "recognized"), ("utilisation", "utilization"), ("whilst", "while"), ("wilful", "willful"),
     ("https://", "http://"), ("&", " and "),
 ]
-#: A line that is only a copyright statement.
-COPYRIGHT_LINE = r"^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*"
+#: Those of several words, once more for joined lines: a line may have ended inside them.
+JOINED = list(dict.fromkeys((a.replace("-", " "), b) for a, b in SPELLINGS if a.replace("-", " ").count(" ") == 1 and a[0].isalpha()))
+#: A line that is only a copyright statement, after lower case and spellings.
+COPYRIGHT_LINE = r"^[^a-z0-9\n©(]*(©|(copyright|\(c\))[^a-z0-9\n]*(\(c\)|©|[0-9]{4}|by[^a-z0-9\n]|copyright|[<\[{]))[^\n]*"
+RIGHTS = "all rights reserved"
 #: Everything between words, but for the end of a line.
 BETWEEN = r"[^\p{L}\p{N}\n]+"
 
@@ -71,6 +78,16 @@ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH RE
 }
 
 
+def titles() -> list[str]:
+    """Canonical first lines that name a licence: its names with and without "the", and with its id."""
+    out = set()
+    for licence, names in NAMES.items():
+        for name in (*names, licence):
+            plain = name.removeprefix("the ")
+            out |= {x for base in (name, plain) for x in (base, f"{base} {licence}", f"{base} license")}
+    return sorted({" ".join("".join(c if c.isalnum() else " " for c in x.lower()).split()) for x in out})
+
+
 def known_texts() -> list[tuple[str, str]]:
     """(licence id, text), each text once."""
     out = list(TEXTS.items())
@@ -102,9 +119,22 @@ def canonical_text(text: Column) -> Column:
 
 
 def line_digests(canonical: Column) -> Column:
-    """sha256 of each line that is not empty, and of all of them together."""
-    lines = F.filter(F.transform(F.split(canonical, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
-    return F.struct(F.transform(lines, lambda x: F.sha2(x, 256)).alias("lines"), F.sha2(F.array_join(lines, " "), 256).alias("whole"))
+    """sha256 of each line that is not empty, of all of them together, and of those after a title."""
+    lines = F.filter(F.transform(F.split(canonical, "\n", -1), lambda x: F.trim(x)), lambda x: (x != "") & (x != RIGHTS))
+
+    def joined(lines):
+        out = F.array_join(lines, " ")
+        for spelling, same in JOINED:
+            out = F.replace(out, F.lit(spelling), F.lit(same))
+        return F.sha2(out, 256)
+
+    def of(lines):
+        named = (F.size(lines) > 1) & F.get(lines, F.lit(0)).isin(*titles())
+        return F.struct(F.transform(lines, lambda x: F.sha2(x, 256)).alias("lines"), joined(lines).alias("whole"),
+                        F.when(named, joined(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))))).alias("untitled"))
+
+    # A lambda's argument is evaluated once, however often it is named.
+    return F.get(F.transform(F.array(lines), of), F.lit(0))
 
 
 EMPTY = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"  # sha256 of nothing
@@ -133,10 +163,11 @@ def license_scan(docs: DataFrame, known: DataFrame) -> DataFrame:
         .groupBy("doc_id").agg(F.array_join(F.sort_array(F.collect_set("license")), ",").alias("line_licenses"),
                                F.count("*").alias("n_license_lines"))
     )
-    whole = forms.select("doc_id", F.col("whole").alias("text_sha256"))
-    looked = whole.join(known.withColumnRenamed("license", "text_license"), F.col("digest") == F.col("text_sha256"), "left")
+    whole = forms.select("doc_id", F.col("whole").alias("text_sha256"), "untitled")
+    looked = whole.join(known, F.col("digest") == F.col("text_sha256"), "left") \
+        .join(known.select(F.col("digest").alias("of"), F.col("license").alias("titled")), F.col("of") == F.col("untitled"), "left")
     return looked.join(found, "doc_id", "left").select(
-        "doc_id", "text_sha256", "text_license", F.coalesce("line_licenses", F.lit("")).alias("line_licenses"),
+        "doc_id", "text_sha256", F.coalesce("license", "titled").alias("text_license"), F.coalesce("line_licenses", F.lit("")).alias("line_licenses"),
         F.coalesce("n_license_lines", F.lit(0)).alias("n_license_lines"))
 
 
@@ -148,24 +179,31 @@ def oracle_sql() -> str:
     form = "lower(line)"
     for spelling, same in SPELLINGS:
         form = f"replace({form}, {quoted(spelling)}, {quoted(same)})"
-    form = f"(select case when regexp_matches(x, {quoted(COPYRIGHT_LINE)}) then '' else trim(regexp_replace(x, {quoted(BETWEEN)}, ' ', 'g')) end from (select {form} as x))"
-    values = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in known_texts())
+    form = f"(select case when y = {quoted(RIGHTS)} then '' else y end from (select case when regexp_matches(x, {quoted(COPYRIGHT_LINE)}) then '' else trim(regexp_replace(x, {quoted(BETWEEN)}, ' ', 'g')) end as y from (select {form} as x)))"
+    values = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in known_texts() + whole_texts())
+    title = f"({', '.join(map(quoted, titles()))})"
+    whole, untitled = "string_agg(form, ' ' order by pos)", "string_agg(form, ' ' order by pos) filter (not title)"
+    for spelling, same in JOINED:
+        whole, untitled = (f"replace({x}, {quoted(spelling)}, {quoted(same)})" for x in (whole, untitled))
     return rf"""
 with raw(license, text) as (values {values}),
 klines as (select row_number() over () as k, license, string_split(text, chr(10)) as parts from raw),
 kline as (select k, license, unnest(range(len(parts))) as pos, unnest(parts) as line from klines),
 kform as (select k, license, pos, {form} as form from kline),
 known as (select digest, min(license) as license from (
-    select k, any_value(license) as license, sha256(string_agg(form, ' ' order by pos)) as digest
+    select k, any_value(license) as license, sha256({whole}) as digest
     from kform where form <> '' group by k) group by digest),
 parts as (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents),
 line as (select doc_id, unnest(range(len(parts))) as pos, unnest(parts) as line from parts),
 form as (select doc_id, pos, {form} as form from line),
-whole as (select doc_id, sha256(coalesce(string_agg(form, ' ' order by pos) filter (form <> ''), '')) as text_sha256
-          from form group by doc_id),
+solid as (select *, form in {title} and pos = min(pos) over (partition by doc_id) and count(*) over (partition by doc_id) > 1 as title
+          from form where form <> ''),
+body as (select doc_id, {whole} as body, case when bool_or(title) then sha256({untitled}) end as untitled from solid group by doc_id),
+whole as (select documents.doc_id, sha256(coalesce(body, '')) as text_sha256, untitled
+          from documents left join body on documents.doc_id = body.doc_id),
 found as (select doc_id, string_agg(distinct license, ',' order by license) as line_licenses, count(*) as n_license_lines
           from form join known on digest = sha256(form) where form <> '' group by doc_id)
-select whole.doc_id, text_sha256, license as text_license, coalesce(line_licenses, '') as line_licenses,
+select whole.doc_id, text_sha256, coalesce(known.license, titled.license) as text_license, coalesce(line_licenses, '') as line_licenses,
        coalesce(n_license_lines, 0) as n_license_lines
-from whole left join known on digest = text_sha256 left join found on found.doc_id = whole.doc_id
+from whole left join known on digest = text_sha256 left join known titled on titled.digest = untitled left join found on found.doc_id = whole.doc_id
 """

@@ -1,6 +1,7 @@
 """Quality, language, licences and decontamination: held-out accuracy, brute force, odd rows."""
 
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -128,6 +129,45 @@ def test_whole_licences(spark, documents):
     assert got == {i: name for i, (name, _) in enumerate(texts)}
 
 
+def wrapped(text, width, prefix=""):
+    """Paragraphs filled anew; those with a copyright statement line by line, the statement itself as it is."""
+    out = []
+    for paragraph in re.split(r"\n\s*\n", text):
+        lines = paragraph.split("\n")
+        statement = [bool(re.match(r"\W*(copyright|©|\(c\))\W*(\(c\)|©|\d{4}|[<\[{])", line.lower())) for line in lines]
+        if not any(statement):
+            lines, statement = [" ".join(lines)], [False]
+        for line, whole in zip(lines, statement):
+            out += [line] if whole else textwrap.wrap(line, width, break_long_words=False, break_on_hyphens=False) or [""]
+        out.append("")
+    return "\n".join((prefix + line).rstrip() for line in out)
+
+
+def test_licences_in_any_wrapping(spark, documents):
+    texts = licenses.whole_texts() + list(licenses.TEXTS.items())
+    rows, expected = [], {}
+    for licence, text in texts:
+        name = licenses.NAMES[licence][0].removeprefix("the ")
+        heads = ["", "Copyright (c) 2021 Some Body\n\n", "Copyright 2019-2021 Some Body\nAll rights reserved.\n\n", f"{name}\n\n© Some Body\n\n",
+                 f"{name.upper()} ({licence})\n\nCopyright (c) 2020, Some Body. All rights reserved.\n\n"]
+        for width in (60, 72, 80, 100):
+            for head in heads:
+                for prefix in ("", "# ", " * "):
+                    body = wrapped(head + text, width, prefix)
+                    rows.append((len(rows), body))
+                    expected[len(rows) - 1] = licence
+    got = {r.doc_id: r.text_license for r in licenses.license_scan(documents(rows), licenses.known_licences(spark)).collect()}
+    missed = {(expected[k], rows[k][1][:60]) for k in expected if got[k] != expected[k]}
+    assert not missed, sorted(missed)[:10]
+
+
+def test_titles_alone_and_bodies_that_look_like_statements(spark, documents):
+    mit = licenses.TEXTS["MIT"]
+    rows = [(1, "MIT License"), (2, "ISC License\n" + mit), (3, mit + "\n(c) the end"), (4, mit + "\ncopyright owners beware"), (5, mit + "\n(c) 2020 x"), (6, "All rights reserved.\n" + mit)]
+    got = {r.doc_id: r.text_license for r in licenses.license_scan(documents(rows), licenses.known_licences(spark)).collect()}
+    assert got == {1: None, 2: "MIT", 3: None, 4: None, 5: "MIT", 6: "MIT"}
+
+
 def test_licences_stay_native(spark):
     plan = QUERIES["op3_license_scan"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
