@@ -1,3 +1,3 @@
 """Inputs and outputs: the publication record schema, JSON-lines scan and
-quarantine, sampling, event-log task metrics, sinks, and the corpus derived
+quarantine, sampling, sinks, and the corpus derived
 from the test tables."""
