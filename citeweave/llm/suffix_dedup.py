@@ -59,6 +59,8 @@ MOST_WINDOWS = 4096
 BUCKET_ANCHORS, SORT_BYTES = 1_000_000, 100_000
 #: Bytes of one minimizer's distinct segments that a task holds; beyond that they are dealt out by window.
 RUN_BYTES = 500_000
+#: Bytes of segments that are cut into windows at once; each gives some twenty windows.
+WINDOW_SLICE = 200_000
 #: Minimizers that a task gathers before it deals them out.
 HELD_ANCHORS = 500_000
 SPANS = "array<struct<version:bigint,start:bigint,length:bigint>>"
@@ -412,11 +414,11 @@ def spans_of_windows(removed: DataFrame) -> DataFrame:
         for batch in batches:
             batch = batch.filter(batch.column(4).is_valid())
             done = 0
-            for raw, offsets in slices(batch.column(4)):
+            for raw, offsets in slices(batch.column(4), WINDOW_SLICE):
                 windows = np.diff(offsets) - LENGTH + 1
                 row = np.repeat(np.arange(len(windows)), windows)
                 place = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-                data = np.ascontiguousarray(raw[(offsets[row] + place)[:, None] + np.arange(LENGTH)])
+                data = np.lib.stride_tricks.sliding_window_view(raw, LENGTH)[offsets[row] + place]  # a copy of LENGTH bytes a row, no more
                 ends = pa.array(np.arange(len(row) + 1, dtype=np.int32) * LENGTH)
                 window = pa.Array.from_buffers(pa.binary(), len(row), [None, ends.buffers()[1], pa.py_buffer(data)])
                 ids, versions, start = (batch.column(k).to_numpy()[done + row] for k in range(3))
