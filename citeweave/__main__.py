@@ -93,7 +93,8 @@ def main(argv: list[str] | None = None) -> int:
         s = sub.add_parser(name)
         s.add_argument("--input", help="JSON-lines records (path or glob)")
         s.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE", "DROPMALFORMED"])
-        s.add_argument("--sample", type=float, default=None, help="fraction of records to keep (by key hash)")
+        s.add_argument("--sample", type=float, default=None, help="fraction of records to keep (by key hash, or by chance with --bernoulli)")
+        s.add_argument("--bernoulli", action="store_true", help="sample rows by chance, with a fixed seed")
         s.add_argument("--partitions", type=int, default=None, help="repartition the records after loading")
         s.add_argument("--output", default=None)
         s.add_argument("--show", type=int, default=None, help="print at most so many rows")
@@ -104,25 +105,32 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--direction", default="in", choices=["in", "out", "either"])
     r.add_argument("--print", action="store_true", help="print the report rows")
     r.add_argument("--csv", default=None, help="write each report as CSV below this folder")
+    r.add_argument("--save", default=None, help="save the graphs below this folder, for searches")
     q = sub.choices["search"]
+    q.add_argument("--graph-path", default=None, help="search a graph that report --save wrote (its folder), without building one")
     q.add_argument("--graph", default="publication", choices=["publication", "journal"])
     q.add_argument("--direction", default="in", choices=["in", "out", "either"])
     q.add_argument("--name", action="append", required=True)
     args = p.parse_args(argv)
     if args.cmd == "report" and args.properties:
         _apply_properties(args, read_properties(args.properties))
-    if not args.input:
-        p.error("--input (or file.path in --properties) is required")
+    saved = getattr(args, "graph_path", None)
+    if not args.input and not saved:
+        p.error("--input (or file.path in --properties, or --graph-path) is required")
 
-    from citeweave.plans.graph import build_journal_graph, build_publication_graph, load_corpus
+    from citeweave.plans.graph import CitationGraph, build_journal_graph, build_publication_graph, load_corpus
 
     spark = _session()
-    pubs = load_corpus(spark, args.input, mode=args.mode, sample=args.sample, partitions=args.partitions)
+    pubs = None if saved else load_corpus(spark, args.input, mode=args.mode, sample=args.sample, by_hash=not args.bernoulli,
+                                          partitions=args.partitions)
     if args.cmd == "report":
         from citeweave.plans.testmode import run_test_mode
         from citeweave.sources.jsonl import write_csv
 
         res = run_test_mode(pubs, args.publications, args.journals, args.direction, output=args.output)
+        if args.save:
+            for kind, graph in res["graphs"].items():
+                graph.write(f"{args.save.rstrip('/')}/{kind}")
         print(json.dumps({"seconds": res["seconds"], "rounds": res["rounds"]}))
         if args.print:
             for kind, report in res["reports"].items():
@@ -133,7 +141,8 @@ def main(argv: list[str] | None = None) -> int:
                 write_csv(report, f"{args.csv.rstrip('/')}/{kind}_report")
     else:
         build = build_publication_graph if args.graph == "publication" else build_journal_graph
-        result = build(pubs).influential(args.name, args.direction)
+        graph = CitationGraph.read(spark, saved) if saved else build(pubs)
+        result = graph.influential(args.name, args.direction)
         if args.output:
             result.write.mode("overwrite").json(args.output)
         else:

@@ -13,24 +13,20 @@ import time
 from pyspark.sql import DataFrame
 
 from citeweave.plans.graph import build_graphs, build_journal_graph, build_publication_graph
+from citeweave.session import keep
 
 
 def run_test_mode(pubs: DataFrame, publications_k: int = 5, journals_k: int = 5, direction: str = "in",
                   output: str | None = None) -> dict:
-    """Returns {"seconds": {...}, "rounds": {...}, "reports": {...}}.
+    """Returns {"seconds": {...}, "rounds": {...}, "reports": {...}, "graphs": {...}}.
 
-    Both graphs are built concurrently when both are asked for. With
-    ``output``, each report is written as JSON under output/<name>;
-    otherwise it is computed with a no-op write, never collected.
+    Both graphs are built concurrently when both are asked for. Each report is
+    computed once, into a table in the shared folder, and never collected; whoever
+    prints it or writes it elsewhere reads that table. With ``output``, it is
+    written as JSON under output/<name>.
     """
     seconds, rounds, reports = {}, {}, {}
 
-    def sink(name: str, df: DataFrame) -> None:
-        if output:
-            df.write.mode("overwrite").json(f"{output.rstrip('/')}/{name}")
-        else:
-            df.write.format("noop").mode("overwrite").save()
-
     t = time.perf_counter()
     if publications_k and journals_k:
         built = dict(zip(("publications", "journals"), build_graphs(pubs)))
@@ -47,10 +43,10 @@ def run_test_mode(pubs: DataFrame, publications_k: int = 5, journals_k: int = 5,
             continue
         graph = built[kind]
         rounds[kind] = graph.rounds
-        report = graph.influence_report(k, direction)
         t = time.perf_counter()
-        sink(f"{kind}_report", report)
+        reports[kind] = keep(graph.influence_report(k, direction), f"{kind}-report")
         seconds[f"{kind}_report"] = time.perf_counter() - t
-        reports[kind] = report
+        if output:
+            reports[kind].write.mode("overwrite").json(f"{output.rstrip('/')}/{kind}_report")
 
-    return {"seconds": seconds, "rounds": rounds, "reports": reports}
+    return {"seconds": seconds, "rounds": rounds, "reports": reports, "graphs": built}

@@ -101,5 +101,6 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """What ``write_csv`` wrote, in ``schema``; a value that does not fit it fails the job."""
-    options = {k: v for k, v in CSV_FORM.items() if k not in ("emptyValue", "lineSep")}
+    # A missing field is null by itself; were "" named as null, quoted empty strings would be too.
+    options = {k: v for k, v in CSV_FORM.items() if k not in ("emptyValue", "lineSep")} | {"nullValue": "\0"}
     return spark.read.schema(schema).options(mode="FAILFAST", multiLine="true", emptyValue="", **options).csv(path)

@@ -146,3 +146,37 @@ def test_graph_write_and_read(spark, toy):
     assert back.kind == "publication" and back.rounds == g.rounds
     assert sorted(map(tuple, back.vertices.collect())) == sorted(map(tuple, g.vertices.collect()))
     assert [r.neighbor_id for r in back.influential("C", "in").orderBy("rank").collect()] == ["1", "2", "2"]
+
+
+def test_search_on_a_saved_graph(spark, toy_path, tmp_path, capsys, monkeypatch):
+    """``report --save`` keeps the graphs; ``search --graph-path`` asks one of them and builds nothing."""
+    import citeweave.plans.graph as pg
+    from citeweave import __main__ as cli
+
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    assert cli.main(["report", "--input", toy_path, "--publications", "2", "--journals", "0", "--sample", "1.0", "--bernoulli",
+                     "--save", str(tmp_path), "--csv", str(tmp_path / "csv")]) == 0
+    assert set(json.loads(capsys.readouterr().out.splitlines()[0])["rounds"]) == {"publications"}
+
+    def never(*args, **kwargs):
+        raise AssertionError("a graph was built")
+
+    monkeypatch.setattr(pg, "build_publication_graph", never)
+    assert cli.main(["search", "--graph-path", str(tmp_path / "publications"), "--name", "C"]) == 0
+    printed = capsys.readouterr().out.splitlines()
+    assert [line.split("\t")[3] for line in printed[1:]] == ["1", "2", "2"]
+    from citeweave.sources.jsonl import read_csv
+
+    report = pg.CitationGraph.read(spark, str(tmp_path / "publications")).influence_report(2)
+    again = read_csv(spark, str(tmp_path / "csv" / "publications_report"), report.schema)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, report.collect()))
+
+
+def test_csv_keeps_values_apart(spark, tmp_path):
+    from citeweave.sources.jsonl import read_csv, write_csv
+
+    rows = [("a", 1, 0.5), ("", 2, None), (None, 3, 1e-9), ('say "x", \\ y', 4, 2.0), (" two\nlines ", None, 1.0)]
+    df = spark.createDataFrame(rows, "s string, n bigint, x double")
+    again = read_csv(spark, write_csv(df, str(tmp_path / "c")), df.schema)
+    key = repr
+    assert sorted(map(tuple, again.collect()), key=key) == sorted(rows, key=key) and again.schema == df.schema
