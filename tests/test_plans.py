@@ -119,7 +119,7 @@ def test_pagerank_keeps_few_states(spark, monkeypatch):
 
     edges = spark.createDataFrame([(i, (i * 7 + k) % 60) for i in range(60) for k in range(1, 3)], "src bigint, dst bigint")
     vertices = edges.select(edges["src"].alias("id")).distinct()
-    plain = pm.pagerank(vertices, edges, rounds_per_fold=1000)
+    plain = pm.pagerank(vertices, edges, tol=0.02, rounds_per_fold=1000)
     written, dropped, most = [0], [0], [0]
     original, drop = pm._messages, pm._drop_checkpoint
 
@@ -137,7 +137,7 @@ def test_pagerank_keeps_few_states(spark, monkeypatch):
 
     monkeypatch.setattr(pm, "_messages", messages)
     monkeypatch.setattr(pm, "_drop_checkpoint", dropping)
-    folded = pm.pagerank(vertices, edges, rounds_per_fold=3)
+    folded = pm.pagerank(vertices, edges, tol=0.02, rounds_per_fold=3)
     assert folded.rounds == plain.rounds > 9 and most[0] <= 4
     a, b = ({r.id: (r.pr, r.in_deg, r.out_deg) for r in x.ranks.collect()} for x in (plain, folded))
     assert a.keys() == b.keys() and all(abs(a[k][0] - b[k][0]) < 1e-12 and a[k][1:] == b[k][1:] for k in a)
@@ -222,7 +222,7 @@ def test_quarantine_keeps_no_line_of_good_records(spark, tmp_path):
     spark.createDataFrame([('{"id":"a","title":"t","unused":1,"journalName":"j","outCitations":["b"]}',), ('{"id":"b"',), ("{}",)], "value string").write.text(path)
     good, bad = scan_with_quarantine(spark, path)
     assert [tuple(r) for r in good.collect()] == [("a", "t", "j", ["b"])]
-    assert sorted(tuple(r) for r in bad.collect()) == [("malformed", "", '{"id":"b"'), ("missing_id", None, "{}")]
+    assert sorted(tuple(r) for r in bad.collect()) == [("malformed", "b", '{"id":"b"'), ("missing_id", None, "{}")]
     assert "PartitionFilters: [isnotnull(quarantined" in _plan(good)
     files = good.select(F.input_file_name().alias("f")).first().f
     stored = spark.read.parquet(files.rsplit("/", 1)[0])

@@ -12,10 +12,9 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from citeweave.operators import edges as E  # noqa: E402
 from citeweave.operators import pagerank as pm  # noqa: E402
+from citeweave.operators.indexing import dense_index  # noqa: E402
 from citeweave.plans import graph as G  # noqa: E402
 from citeweave.session import keep, local_session  # noqa: E402
 from citeweave.sources.corpus import derived_corpus  # noqa: E402
@@ -46,6 +45,8 @@ def main():
 
     watched("edge_layout")
     watched("_messages")
+    watched("_first_state")
+    watched("_folded")
     pg = G.publication_graph(spark, sf)
     jg = G.journal_graph(spark, sf)
     out = [f"# Physical plans ({os.path.basename(sf)}, local[8], AQE on outside the PageRank loop)\n",
@@ -58,7 +59,7 @@ def main():
     section("Derived corpus", "The next line of an order comes from global positions and an equi-join on position, "
             "whatever an order's size; one record for each part and order.", derived_corpus(spark, sf))
     section("Publication vertices", "Kept tables are Parquet: the scan reads two columns.", E.publication_vertices(pubs))
-    vertices = keep(E.publication_vertices(pubs).withColumn("vid", F.monotonically_increasing_id()), "plan-keys")
+    vertices = keep(dense_index(E.publication_vertices(pubs), ["id"], name="node"), "plan-keys")
     section("Citations resolved to surrogate ids", "The source id is attached per reference list before the "
             "expansion; the expanded rows take part in one join, the resolution itself. Identical "
             "(id, list) records collapse with map-side partial de-duplication before their shuffle.",
@@ -73,6 +74,14 @@ def main():
     section("One PageRank round", "Deltas and edge layout share the hash partitioning on the source: the "
             "join has no exchange on either side (the layout is read from the executors' cache). The only "
             "shuffle is the message sum, after partial aggregation.", seen["_messages"])
+    section("First state", "Round one needs no join: every vertex sends the same value. The same sum counts "
+            "in-edges; out-edges come from the layout.", seen["_first_state"])
+    section("A fold", "Deltas of many rounds are joined to the state partition by partition; no exchange.", seen["_folded"])
+    section("Neighbours of the five highest-ranked vertices", "A range on the sorted seed column, two bigint columns "
+            "scanned, no edge shuffled.", pg.top_neighbors(5, "either"))
+    section("Influential neighbours by name", "Names times the most vertices sharing one bound the seeds, so they are "
+            "broadcast.", pg.influential(["some title"], "in"))
+    section("Node-link export", "A projection of stored node numbers.", pg.node_link()[1])
     section("Batch influence report (k = 500)", "Seeds are a filter on the stored position. Neighbours are ranked "
             "inside (seed, slot of 100,000 positions), so no seed is sorted by one task; the slot sizes reuse "
             "the ranked rows' exchange.", pg.influence_report(500))
