@@ -78,7 +78,7 @@ def test_hub_target_split_in_graph_build_and_journal_path(spark, skew_conf):
     from pyspark.sql import functions as F
 
     pubs, _ = corpus_with_hub(spark)
-    vertices = E.publication_vertices(pubs).withColumn("vid", F.monotonically_increasing_id()).checkpoint()
+    vertices = E.publication_vertices(pubs).withColumn("node", F.monotonically_increasing_id()).checkpoint()
     keyed = E.publication_edges_keyed(pubs, vertices)
     n_keyed = keyed.count()
     assert n_keyed == E.publication_edges(pubs).count()
