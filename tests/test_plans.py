@@ -245,5 +245,6 @@ def test_every_round_of_a_real_build_has_one_exchange(spark, monkeypatch):
 
     monkeypatch.setattr(pm, "_messages", watched)
     g = build_publication_graph(corpus(spark, SF))
-    assert g.rounds > 10 and len(plans) in (g.rounds, g.rounds + 1)  # + a round that sent nothing
+    # Round one is part of the first state and needs no join; a last round may send nothing.
+    assert g.rounds > 10 and len(plans) + 1 in (g.rounds, g.rounds + 1)
     assert all(p.count("Exchange") == 1 for p in plans), [p.count("Exchange") for p in plans]
