@@ -57,7 +57,7 @@ def _corpus_json(spark: SparkSession, sf_dir: str) -> str:
 
 def _damaged_json(spark: SparkSession, sf_dir: str) -> str:
     """The corpus as JSON lines with rule-based damage: truncated lines and
-    empty objects, written once."""
+    empty objects, written once, a gzip file for each task."""
     k = _key(spark, sf_dir, "damaged-json")
     if k not in _BUILT:
         recs = as_records(corpus(spark, sf_dir))
@@ -69,7 +69,7 @@ def _damaged_json(spark: SparkSession, sf_dir: str) -> str:
             .otherwise(F.col("value"))
         )
         out = scratch_path(spark, "damaged-json")
-        recs.select(line.alias("value"), "id").select(text.alias("value")).write.mode("overwrite").text(out)
+        recs.select(line.alias("value"), "id").select(text.alias("value")).write.mode("overwrite").option("compression", "gzip").text(out)
         _BUILT[k] = out
     return _BUILT[k]
 

@@ -25,14 +25,11 @@ def publication_stream(spark: SparkSession, source_dir: str, files_per_batch: in
 
 def _split_batch(table: str, quarantine: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        # One parse for both outputs; a lost block is parsed again from the batch's files.
-        parsed = batch.persist()
-        try:
-            good, bad = split_parsed(parsed)
-            good.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
-            bad.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
-        finally:
-            parsed.unpersist()
+        # Each output parses the batch's lines itself: parsed records with their lines, kept for
+        # both, would be several times the input, on disk once a batch is larger than the memory.
+        good, bad = split_parsed(batch)
+        good.write.mode("overwrite").option("compression", "zstd").parquet(f"{table}/batch={batch_id}")
+        bad.write.mode("overwrite").option("compression", "zstd").parquet(f"{quarantine}/batch={batch_id}")
     return write
 
 

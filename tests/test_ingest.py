@@ -70,3 +70,26 @@ def test_round_trip(spark, toy):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, toy.collect()))
     full = jsonl.read_publications(spark, out, columns=None)
     assert len(full.columns) == 19
+
+
+def test_batch_is_not_kept_between_its_outputs(spark, tmp_path, monkeypatch):
+    """Parsed records of a batch are several times its files: they are not persisted."""
+    from citeweave.sources.jsonl import parse_lines
+    from citeweave.streaming.ingest import _split_batch
+
+    batch = parse_lines(spark.createDataFrame([('{"id":"a","outCitations":["b"]}',), ('{"id":"b"',), ("{}",)], "value string"))
+
+    def never(*_, **__):
+        raise AssertionError("a batch was persisted")
+
+    monkeypatch.setattr(type(batch), "persist", never)
+    _split_batch(str(tmp_path / "table"), str(tmp_path / "quarantine"))(batch, 0)
+    assert [(r.id, r.outCitations) for r in spark.read.parquet(str(tmp_path / "table")).collect()] == [("a", ["b"])]
+    assert sorted(r.reason for r in spark.read.parquet(str(tmp_path / "quarantine")).collect()) == ["malformed", "missing_id"]
+
+
+def test_damaged_lines_are_written_compressed(spark):
+    from citeweave.plans.catalog import _damaged_json
+
+    files = spark.read.text(_damaged_json(spark, "/root/testdata/sf0.001")).inputFiles()
+    assert files and all(f.endswith(".gz") for f in files)
