@@ -26,6 +26,10 @@ from citeweave.session import keep
 
 # Positions of one slot in ``rank_within``.
 SLOT = 100_000
+# Rows that a window sorts as one group; ``lead_in_groups`` takes larger ones by position.
+WINDOW_ROWS = 100_000
+# Sums of groups that ``large_groups`` looks at before it counts any group.
+GROUP_SUMS = 1 << 16
 
 
 def _as_sort(c) -> Column:
@@ -102,3 +106,29 @@ def lead_in_order(df: DataFrame, group: str, order: list, value: str, name: str)
         *df.columns,
         F.when(F.col("_next_group").eqNullSafe(F.col(group)), F.col("_next_value")).alias(name),
     )
+
+
+def large_groups(df: DataFrame, group: str, rows: int = WINDOW_ROWS) -> DataFrame | None:
+    """The values of ``group`` with more than ``rows`` rows, as kept rows, or None if there are
+    none. At most one for each ``rows`` rows of the input."""
+    # No group is larger than the sum that it is part of, and the sums are few.
+    part = F.pmod(F.xxhash64(group), F.lit(GROUP_SUMS))
+    sums = keep(df.groupBy(part.alias("_sum")).count().where(F.col("count") > rows).select("_sum"), "group-sums")
+    if sums.isEmpty():
+        return None
+    found = keep(df.withColumn("_sum", part).join(F.broadcast(sums), "_sum", "left_semi")
+                 .groupBy(group).count().where(F.col("count") > rows).select(group), "large-groups")
+    return None if found.isEmpty() else found
+
+
+def lead_in_groups(df: DataFrame, group: str, order: list, value: str, name: str, large: DataFrame | None) -> DataFrame:
+    """``lead_in_order`` for groups that are small but for those in ``large`` (see
+    ``large_groups``): the small ones take one shuffle, whose partitioning on
+    ``group`` the caller can go on with, and only the large ones go by position."""
+    window = Window.partitionBy(group).orderBy(*[_as_sort(c) for c in order])
+    if large is None:
+        return df.withColumn(name, F.lead(value).over(window))
+    is_large = F.col(group).eqNullSafe(F.col("_large"))
+    large = F.broadcast(large.select(F.col(group).alias("_large")))
+    small = df.join(large, is_large, "left_anti").withColumn(name, F.lead(value).over(window))
+    return small.unionByName(lead_in_order(df.join(large, is_large, "left_semi"), group, order, value, name))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.operators.indexing import lead_in_order
+from citeweave.operators.indexing import WINDOW_ROWS, large_groups, lead_in_groups
 
 from citeweave.sources.schema import PUBLICATION
 
@@ -22,7 +22,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def derived_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derived_corpus(spark: SparkSession, sf_dir: str, window_rows: int = WINDOW_ROWS) -> DataFrame:
     """(id, title, journalName, outCitations) from every part, supplier and
     line item.
 
@@ -33,19 +33,35 @@ def derived_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, the others cite nothing; suppliers whose nation keys leave the same modulo
     5 share a title. Parts whose key leaves 3 modulo
     100 have all their records twice.
+
+    The line items are shuffled by order, which serves both the next line and the
+    lists, and the lists once more by part. Orders of more than ``window_rows``
+    lines get their next lines by position and their lists by a shuffle of their own.
     """
     lineitem = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
 
-    cites = lead_in_order(lineitem, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], "l_partkey", "nxt")
-    cited = F.when(F.col("nxt") % 11 == 0, F.concat(F.lit("x"), F.col("nxt").cast("string"))).otherwise(F.col("nxt").cast("string"))
-    supplied = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
+    cites = lead_in_groups(lineitem, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], "l_partkey", "nxt",
+                           large_groups(lineitem, "l_orderkey", window_rows))
     # One record for each part and order: no list grows with a part's orders.
-    lists = cites.groupBy(F.col("l_partkey").alias("pk"), "l_orderkey").agg(
-        F.sort_array(F.collect_list(F.when(F.col("nxt").isNotNull(), F.struct("l_linenumber", cited.alias("c"))))).alias("next"),
-        F.sort_array(F.collect_list(F.struct("l_linenumber", supplied.alias("c")))).alias("supp"),
-    ).select("pk", F.concat(F.transform("next", lambda x: x["c"]), F.transform("supp", lambda x: x["c"])).alias("oc"))
+    lines = cites.groupBy("l_orderkey", F.col("l_partkey").alias("pk")).agg(F.collect_list(F.struct("l_linenumber", "nxt", "l_suppkey")).alias("lines"))
+
+    def cited(x: Column) -> Column:
+        return F.when(x["nxt"] % 11 == 0, F.concat(F.lit("x"), x["nxt"].cast("string"))).otherwise(x["nxt"].cast("string"))
+
+    def supplied(x: Column) -> Column:
+        return F.concat(F.lit("s"), x["l_suppkey"].cast("string"))
+
+    def in_line_order(rows: Column, of) -> Column:
+        pairs = F.sort_array(F.transform(rows, lambda x: F.struct(x["l_linenumber"].alias("at"), of(x).alias("c"))))
+        return F.transform(pairs, lambda p: p["c"])
+
+    # Most lists have one line and need no sorting.
+    line = F.col("lines")[0]
+    single = F.when(line["nxt"].isNull(), F.array(supplied(line))).otherwise(F.array(cited(line), supplied(line)))
+    several = F.concat(in_line_order(F.filter("lines", lambda x: x["nxt"].isNotNull()), cited), in_line_order(F.col("lines"), supplied))
+    lists = lines.select("pk", F.when(F.size("lines") == 1, single).otherwise(several).alias("oc"))
     empty: Column = F.array().cast("array<string>")
     records = part.join(lists, F.col("pk") == F.col("p_partkey"), "left").select(
         F.col("p_partkey").cast("string").alias("id"),

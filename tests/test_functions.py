@@ -107,3 +107,35 @@ def test_dense_index_spreads_identical_rows(spark):
     assert got == list(range(9000))
     per_part = idx.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert max(r["count"] for r in per_part) < 3000
+
+
+def test_lead_in_groups_takes_large_groups_by_position(spark):
+    from citeweave.operators.indexing import large_groups, lead_in_groups
+
+    rnd = random.Random(4)
+    rows = [(None if i % 7 == 0 else 0 if i % 3 == 0 else rnd.randint(1, 300), rnd.randint(1, 9), rnd.randint(1, 50)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "g bigint, o int, v bigint")
+    assert large_groups(df, "g") is None and large_groups(df, "g", 2000) is None
+    large = large_groups(df, "g", 100)
+    assert {r.g for r in large.collect()} == {None, 0}
+
+    def found(lead):
+        return sorted((tuple(r) for r in lead.select("g", "o", "v", "nxt").collect()), key=lambda t: tuple((x is None, x or 0) for x in t))
+
+    want = found(df.withColumn("nxt", F.lead("v").over(Window.partitionBy("g").orderBy("o", "v"))))
+    assert found(lead_in_groups(df, "g", ["o", "v"], "v", "nxt", large)) == want
+    assert found(lead_in_groups(df, "g", ["o", "v"], "v", "nxt", None)) == want
+
+
+def test_corpus_shuffles_line_items_twice(spark):
+    """Once by order, for next lines and lists, and once by part; orders beyond the window's
+    rows give the same records."""
+    from citeweave.sources.corpus import derived_corpus
+
+    def records(df):
+        return sorted((r.id, r.title, r.journalName or "", tuple(r.outCitations)) for r in df.collect())
+
+    plain = derived_corpus(spark, "/root/testdata/sf0.001")
+    shuffles = plain._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange hashpartitioning")
+    assert shuffles <= 3  # the third is of the parts
+    assert records(plain) == records(derived_corpus(spark, "/root/testdata/sf0.001", window_rows=3))
