@@ -93,14 +93,15 @@ class PageRankResult:
 
 
 def layout_partitions(n_edges: int, cores: int, n_vertices: int = 0, min_rows_per_task: int = 50_000,
-                      rows_per_partition: int = 2_000_000) -> int:
+                      rows_per_partition: int = 2_000_000, edges_per_partition: int = 16_000_000) -> int:
     """Partitions of the edge layout: use every core once each task gets at
     least ``min_rows_per_task`` rows, and beyond that keep partitions near
-    ``rows_per_partition`` (about 50 MB of fixed-width rows). The rows are
-    edges or vertices, whichever are more: a sparse graph's deltas must fit too."""
-    rows = max(n_edges, n_vertices)
-    by_cores = min(cores, -(-rows // min_rows_per_task))
-    by_size = -(-rows // rows_per_partition)
+    ``rows_per_partition`` vertices (about 50 MB of fixed-width rows) and
+    ``edges_per_partition`` edges. Every partition sends a row for each vertex it
+    cites, so a round's shuffle grows with the partitions until it has a row for
+    each edge: partitions are for memory only once there is one for each core."""
+    by_cores = min(cores, -(-max(n_edges, n_vertices) // min_rows_per_task))
+    by_size = max(-(-n_edges // edges_per_partition), -(-n_vertices // rows_per_partition))
     # At least two: with one partition Spark plans the layout as a single
     # partition, and every other round's deltas no longer line up with it.
     return max(min(2, cores), by_cores, by_size)

@@ -35,7 +35,7 @@ class CitationGraph:
     edges: DataFrame  # (src, dst, n, src_node, dst_node); publication edges have n = 1 per parallel edge
     rounds: int = 0
     info: dict = field(default_factory=dict)
-    adjacent: Adjacency | None = None  # the edges by position, for lookups
+    lookups: Adjacency | None = None  # ``adjacent``, once it is written
     same_name: int | None = None  # most vertices that share a name
 
     # -- questions a user asks of a graph ------------------------------------
@@ -61,23 +61,23 @@ class CitationGraph:
             names = spark.createDataFrame([(n,) for n in names], "name string")
         found = vertices_by_name(self.vertices, names, names_bound).select("seed_name", "seed_id", F.col("position").alias("seed_position"))
         bound = None if names_bound is None or self.same_name is None else names_bound * self.same_name
-        return ranked(self.vertices, self._adjacent(), Seeds(found, bound), direction, "seed_name")
+        return ranked(self.vertices, self.adjacent, Seeds(found, bound), direction, "seed_name")
 
     def neighbors(self, seeds: DataFrame, direction: str = "in", seeds_bound: int | None = None) -> DataFrame:
         """(seed_id, neighbor_id, via) for a DataFrame of ``seed_id``."""
         rows = F.broadcast(seeds.select("seed_id")) if seeds_bound is not None and seeds_bound <= BROADCAST_SEEDS else seeds.select("seed_id")
         found = self.vertices.select("id", F.col("position").alias("seed_position")).join(rows, F.col("id") == F.col("seed_id"))
-        return neighbor_ids(self.vertices, self._adjacent(), Seeds(found.select("seed_id", "seed_position"), seeds_bound), direction)
+        return neighbor_ids(self.vertices, self.adjacent, Seeds(found.select("seed_id", "seed_position"), seeds_bound), direction)
 
     def top_neighbors(self, k: int, direction: str = "in") -> DataFrame:
         """(seed_id, neighbor_id, via) for the k highest-ranked vertices."""
-        return neighbor_ids(self.vertices, self._adjacent(), self._top_seeds(k), direction)
+        return neighbor_ids(self.vertices, self.adjacent, self._top_seeds(k), direction)
 
     def influence_report(self, k: int, direction: str = "in") -> DataFrame:
         """Ranked neighbours of each of the k highest-ranked vertices, in one job:
         (seed_position, seed_id, seed_name, rank, neighbor_id, name, in_deg, out_deg, pr, via)."""
         seeds = self._top_seeds(k, F.col("name").alias("seed_name"))
-        found = ranked(self.vertices, self._adjacent(), seeds, direction, "seed_position", "seed_name")
+        found = ranked(self.vertices, self.adjacent, seeds, direction, "seed_position", "seed_name")
         return found.select((F.col("seed_position") + 1).alias("seed_position"), "seed_id", "seed_name", "rank",
                             "neighbor_id", "name", "in_deg", "out_deg", "pr", "via")
 
@@ -85,10 +85,12 @@ class CitationGraph:
         rows = self.vertices.where(F.col("position") < k).select(F.col("id").alias("seed_id"), F.col("position").alias("seed_position"), *also)
         return Seeds(rows, bound=k, prefix=k)
 
-    def _adjacent(self) -> Adjacency:
-        if self.adjacent is None:  # a graph that was not built here
-            self.adjacent = adjacency(self.edges, self.vertices.select("node", "position"), self.kind)
-        return self.adjacent
+    @property
+    def adjacent(self) -> Adjacency:
+        """The edges by position, for lookups; written when they are first asked for."""
+        if self.lookups is None:
+            self.lookups = adjacency(self.edges, self.vertices.select("node", "position"), self.kind)
+        return self.lookups
 
     def summary(self) -> DataFrame:
         from citeweave.operators.summary import graph_summary
@@ -131,7 +133,7 @@ class CitationGraph:
         """Save the graph as parquet (path/vertices, path/edges, path/incoming,
         path/outgoing, path/_meta) so later applications query it without rebuilding."""
         spark = self.vertices.sparkSession
-        base, near = path.rstrip("/"), self._adjacent()
+        base, near = path.rstrip("/"), self.adjacent
         for name, table in (("vertices", self.vertices), ("edges", self.edges), ("incoming", near.incoming), ("outgoing", near.outgoing)):
             table.write.mode("overwrite").parquet(f"{base}/{name}")
         meta = spark.createDataFrame([(self.kind, self.rounds, self.same_name)], "kind string, rounds int, same_name bigint")
@@ -145,16 +147,16 @@ class CitationGraph:
         meta = spark.read.schema("kind string, rounds int, same_name bigint").json(f"{base}/_meta").first()
         table = {name: spark.read.parquet(f"{base}/{name}") for name in ("vertices", "edges", "incoming", "outgoing")}
         return cls(kind=meta["kind"], vertices=table["vertices"], edges=table["edges"], rounds=meta["rounds"],
-                   adjacent=Adjacency(table["incoming"], table["outgoing"]), same_name=meta["same_name"])
+                   lookups=Adjacency(table["incoming"], table["outgoing"]), same_name=meta["same_name"])
 
     def unpersist(self) -> None:
         """Delete the files of a built graph; it can't be asked any more."""
-        drop_kept(self.vertices, self.edges, *([self.adjacent.incoming, self.adjacent.outgoing] if self.adjacent else []))
+        drop_kept(self.vertices, self.edges, *([self.lookups.incoming, self.lookups.outgoing] if self.lookups else []))
 
 
 def _finish(kind: str, vertices: DataFrame, edges: DataFrame, result) -> CitationGraph:
     """vertices (node, id, name), edges (src, dst, n, src_node, dst_node), result: ranks and
-    degrees by node. Joins are on node numbers; the edges are read for the adjacency only."""
+    degrees by node. Joins are on node numbers; the edges are not read."""
     ranked_rows = degrees.attach_ranks(vertices.select(F.col("node").alias("id"), "name", F.col("id").alias("key")), result.ranks)
     attributed = keep(ranked_rows.select(F.col("key").alias("id"), "name", "in_deg", "out_deg", "pr", F.col("id").alias("node")), f"{kind}-attributes")
     placed = with_position(attributed)
@@ -164,7 +166,7 @@ def _finish(kind: str, vertices: DataFrame, edges: DataFrame, result) -> Citatio
     same_name = 1 if kind == "journal" else kept.groupBy("name").count().agg(F.max("count")).first()[0]
     return CitationGraph(kind=kind, vertices=kept, edges=edges, rounds=result.rounds,
                          info={"vertices": result.vertices, "partitions": result.partitions, "salted": result.salted},
-                         adjacent=adjacency(edges, kept.select("node", "position"), kind), same_name=same_name or 1)
+                         same_name=same_name or 1)
 
 
 def build_publication_graph(pubs: DataFrame, tol: float = DEFAULT_TOL, reset: float = DEFAULT_RESET,

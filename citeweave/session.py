@@ -64,7 +64,7 @@ def keep(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Dat
     files.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.partitionBy(*(partition_by or [])).parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*(partition_by or [])).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._kept_path = path
     return out

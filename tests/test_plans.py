@@ -248,3 +248,20 @@ def test_every_round_of_a_real_build_has_one_exchange(spark, monkeypatch):
     # Round one is part of the first state and needs no join; a last round may send nothing.
     assert g.rounds > 10 and len(plans) + 1 in (g.rounds, g.rounds + 1)
     assert all(p.count("Exchange") == 1 for p in plans), [p.count("Exchange") for p in plans]
+
+
+def test_edges_by_position_are_written_when_asked_for(spark):
+    from citeweave.plans.graph import build_publication_graph, corpus
+
+    g = build_publication_graph(corpus(spark, SF))
+    assert g.lookups is None and g.vertices.count() and g.node_link()[1].count() and g.lookups is None
+    assert g.top_neighbors(2).count() and g.lookups is not None
+    g.unpersist()
+
+
+def test_layout_has_no_more_partitions_than_cores_until_memory_needs_them():
+    """A round's shuffle has a row for each partition and vertex that it cites."""
+    from citeweave.operators.pagerank import layout_partitions
+
+    assert layout_partitions(68_000_000, 12, 1_260_000) == 12
+    assert layout_partitions(410_000_000, 12, 7_560_000) == 26
