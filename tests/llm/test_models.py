@@ -244,3 +244,35 @@ def test_utf8_of_slices():
     assert raw.tobytes().decode() == "éabc" and offsets.tolist() == [0, 0, 2, 2, 5]
     assert [o.tolist() for _, o in slices(x, 2)] == [[0, 1, 1], [0, 2, 2], [0, 3]]
     assert list(slices(pa.array([], pa.string()))) == []
+
+
+def test_quality_counts_every_label(spark):
+    """The share of worse labels is met to the row over more labels than a sample of 3,000 held,
+    and the model doesn't depend on how the rows are dealt."""
+    rng = np.random.default_rng(8)
+    texts = ["".join(rng.choice(list("abcdef ."), 30)) for _ in range(5000)]
+    better = rng.random(5000) < np.array([0.2 + 0.02 * t.count("a") for t in texts])
+    docs = spark.createDataFrame(list(zip(range(5000), texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(b)) for i, b in enumerate(better)], "doc_id bigint, quality int")
+    model = quality.train(docs.repartition(3), labels)
+    assert (model.scores(quality.features(*utf8(pa.array(texts)))) < quality.CUT).sum() == (~better).sum()
+    again = quality.train(docs.repartition(7), labels.repartition(2))
+    assert (model.weights == again.weights).all() and model.cut == again.cut
+    local = quality.fit(quality.features(*utf8(pa.array(texts))), better, (~better).mean())
+    assert (model.weights == local.weights).all() and model.cut == local.cut
+
+
+def test_quality_fit_is_of_all_pairs():
+    """The gradient at the end of the fit, over written-out pairs, is near zero."""
+    rng = np.random.default_rng(9)
+    better = rng.random(300) < 0.4
+    x = rng.normal(better[:, None] * np.array([1.0, -0.5, 0, 0]), 1, (300, 4)).astype(np.float32)
+    model = quality.fit(x, better, (~better).mean())
+    w, spread = model.weights * (x.std(0) + 1e-3), x.std(0) + 1e-3
+    d = ((x[better][:, None] - x[~better][None]) / spread).reshape(-1, 4)
+    assert np.abs(((1 / (1 + np.exp(d @ w)))[:, None] * d).mean(0) - quality.RIDGE * w).max() < 0.01
+
+
+def test_quality_vectors_read_back():
+    texts = pa.array(["", "a", "e " * 3000, None, "Zürich\n", "x" * 255, "x" * 256])
+    assert (quality.unpacked(quality.packed(*utf8(texts))) == quality.features(*utf8(texts))).all()
