@@ -234,6 +234,7 @@ def read_ids(spark, path: str) -> DataFrame:
                 values = pa.Array.from_buffers(pa.binary(), len(counts), [None, places.buffers()[1], pa.py_buffer(ids.astype("<u4"))])
                 yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(start + ends - counts), pa.array(counts), values],
                                                  ["doc_id", "start", "n_tokens", "ids"])
+                give_back()
 
     return files.join(F.broadcast(starts), "file").select((F.col("before") + F.col("file_start")).alias("start"), "data") \
         .mapInArrow(documents, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
