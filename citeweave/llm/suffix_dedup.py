@@ -4,9 +4,9 @@ Texts are UTF-8 bytes. A byte goes if a 50-byte string covers it that also
 starts in a document with a smaller doc_id.
 
 What has to meet in one task is decided by minimizers. A window is a 50-byte
-string; its minimizer is the least hash of the 16-byte strings in it, so equal
+string; its minimizer is the least hash of the 24-byte strings in it, so equal
 windows have equal minimizers, wherever they stand. Neighbouring windows with
-one minimizer are one segment, up to 84 bytes long unless its text is periodic.
+one minimizer are one segment, up to 76 bytes long unless its text is periodic.
 
 1. Of equal texts the one with the smallest doc_id goes on; the others are
    removed whole if they have a window at all, and take nothing else away.
@@ -15,23 +15,27 @@ one minimizer are one segment, up to 84 bytes long unless its text is periodic.
 3. The other segments are dealt out by minimizer and sorted. Equal segments
    are one; all but those of the smallest document are removed at once. If a
    minimizer has no other segment, that settles it.
-4. The other distinct segments of a task become one string, and its suffixes are
+4. Of the other distinct segments those windows stay whose hash two documents
+   have; neighbours among them are one piece. Equal pieces are one, as segments
+   are: at the end of a passage all have the same piece, whatever follows it.
+5. The distinct pieces of a task become one string, and its suffixes are
    sorted by the difference-cover algorithm: the triples that start at
    positions 1 and 2 modulo 3 are sorted and named, the string of names is
    sorted by recursion, the remaining suffixes are sorted by their first byte
    and the rank that follows, and both are merged. Windows that are equal are
    then neighbours: adjacent 50-byte prefixes are compared, and the smallest
    document of each class of equal windows decides.
-5. A minimizer whose distinct segments are more than RUN_BYTES is not sorted in
-   one task: its distinct segments go out again, cut into their windows. Equal
-   windows are grouped by their bytes, the smallest document of each is taken by
-   partial aggregation, and windows of other documents are found by a join.
-6. The spans go back to their documents and are cut out.
+6. A minimizer whose distinct pieces are more than RUN_BYTES, or whose distinct
+   segments are more than HELD_BYTES, is not settled in one task: they go out
+   again, cut into their windows. Equal windows are grouped by their bytes, the
+   smallest document of each is taken by partial aggregation, and windows of
+   other documents are found by a join.
+7. The spans go back to their documents and are cut out.
 
 A task holds the distinct segments of a minimizer, not its occurrences, and of
-one minimizer RUN_BYTES at most: the inside of a passage that very many
+one minimizer HELD_BYTES at most: the inside of a passage that very many
 documents share is a few segments, however often it occurs, and the ends of such
-a passage, one segment for each document, are dealt out by window.
+a passage, one segment for each document, are a few pieces.
 
 Defined results: a null or short text loses nothing. Rows that repeat a doc_id
 are one document to the others: they take nothing from each other. A row
@@ -50,15 +54,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import give_back, keep, slices
+from citeweave.llm.common import give_back, keep, slices, utf8
 
-LENGTH, SEED = 50, 16
+LENGTH, SEED = 50, 24
 #: Windows that one segment holds at most.
 MOST_WINDOWS = 4096
-#: Minimizers that a bucket holds on average, and bytes of distinct segments sorted at once.
+#: Minimizers that a bucket holds on average, and bytes of distinct pieces sorted at once.
 BUCKET_ANCHORS, SORT_BYTES = 1_000_000, 100_000
-#: Bytes of one minimizer's distinct segments that a task holds; beyond that they are dealt out by window.
-RUN_BYTES = 500_000
+#: Bytes of segments that are compared by their windows' hashes at once, if no minimizer has more.
+GATHERED_BYTES = 1_000_000
+#: Bytes of one minimizer's distinct segments, and of its distinct pieces, that a task holds; beyond that they are dealt out by window.
+HELD_BYTES, RUN_BYTES = 2_000_000, 500_000
 #: Bytes of segments that are cut into windows at once; each gives some twenty windows.
 WINDOW_SLICE = 200_000
 #: Minimizers that a task gathers before it deals them out.
@@ -67,6 +73,22 @@ SPANS = "array<struct<version:bigint,start:bigint,length:bigint>>"
 _BITS = 40
 
 
+def _each(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """count[i] numbers from first[i] on, for each i in turn, and their i."""
+    of = np.repeat(np.arange(len(count)), count)
+    return np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + first[of], of
+
+
+def _order(key: np.ndarray, bits: int) -> np.ndarray:
+    """The stable order of values from 0 to below 2**bits."""
+    place = len(key).bit_length()
+    if bits + place > 64:
+        return np.argsort(key, kind="stable")
+    both = key.astype(np.uint64) << np.uint64(place) | np.arange(len(key), dtype=np.uint64)  # sorting values is faster than sorting places
+    both.sort()
+    return (both & np.uint64((1 << place) - 1)).astype(np.int64)
+
+
 # -- the suffix array ---------------------------------------------------------
 
 def _names(columns: list[np.ndarray]) -> np.ndarray:
@@ -76,7 +98,7 @@ def _names(columns: list[np.ndarray]) -> np.ndarray:
         key = columns[0]
         for c, size in zip(columns[1:], sizes[1:]):
             key = key * size + c
-        order = np.argsort(key, kind="stable")
+        order = _order(key, math.prod(sizes).bit_length())
         new = np.append(True, key[order][1:] != key[order][:-1])
     else:
         order = np.lexsort(columns[::-1])
@@ -154,17 +176,46 @@ def repeated_windows(segments: list[bytes], owner: np.ndarray) -> list[np.ndarra
 
 # -- minimizers and segments --------------------------------------------------
 
-def _window_minimizers(raw: np.ndarray) -> np.ndarray:
-    """The minimizer of the window that starts at each byte; len(raw) >= LENGTH."""
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of two."""
+    h = (a ^ (b << np.uint64(21)) ^ (b >> np.uint64(43))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0x9E3779B97F4A7C15)
+    return h
+
+
+def _hashes(raw: np.ndarray) -> np.ndarray:
+    """Hashes of the 8-byte strings."""
     x = raw.astype(np.uint64)
     for k in (1, 2, 4):
         x = x[:-k] | (x[k:] << np.uint64(8 * k))
     x *= np.uint64(0x9E3779B97F4A7C15)
     x ^= x >> np.uint64(32)
     x *= np.uint64(0xD6E8FEB86659FD93)
-    h = (x[:-8] ^ (x[8:] << np.uint64(21)) ^ (x[8:] >> np.uint64(43))) * np.uint64(0xC2B2AE3D27D4EB4F)
-    h ^= h >> np.uint64(29)
+    return x
+
+
+def _spread(h: np.ndarray) -> np.ndarray:
+    """Minima of hashes are small; these have all first bits alike often, one to one."""
+    h = h * np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
     h *= np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    return h
+
+
+def _window_hashes(raw: np.ndarray) -> np.ndarray:
+    """A hash of the window that starts at each byte; len(raw) >= LENGTH."""
+    h = _hashes(raw)
+    h = _joined(h[:-8], h[8:])
+    h = _joined(h[:-16], h[16:])
+    return _joined(h[:32 - LENGTH], h[LENGTH - 32:])
+
+
+def _window_minimizers(raw: np.ndarray) -> np.ndarray:
+    """The minimizer of the window that starts at each byte; len(raw) >= LENGTH."""
+    h = _hashes(raw)
+    h = _joined(_joined(h[:-16], h[8:-8]), h[16:])
     span, width = 1, LENGTH - SEED + 1
     while 2 * span <= width:
         h = np.minimum(h[:-span], h[span:])
@@ -180,8 +231,7 @@ def _windows(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     h = _window_minimizers(raw)
     count = np.maximum(np.diff(offsets) - LENGTH + 1, 0)
-    text = np.repeat(np.arange(len(count)), count)
-    start = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count) + offsets[text]
+    start, text = _each(offsets[:-1], count)
     return h[start], start, text
 
 
@@ -198,8 +248,9 @@ def _values(data: bytes, n: int) -> np.ndarray:
 
 def shared_minimizers(texts: DataFrame, bucket_bits: int) -> DataFrame:
     """(doc_id, minimizers): of each document those that another one has too, by
-    their first bucket_bits + 40 bits; several rows a document."""
-    shift = np.uint64(64 - bucket_bits - _BITS)
+    the first bucket_bits + 40 bits once they are spread; several rows a document."""
+    bits = bucket_bits + _BITS
+    shift = np.uint64(64 - bits)
 
     def dealt(batches):
         hashes, docs, held = [], [], 0
@@ -207,7 +258,8 @@ def shared_minimizers(texts: DataFrame, bucket_bits: int) -> DataFrame:
         def rows():
             nonlocal hashes, docs, held
             h, d = np.concatenate(hashes), np.concatenate(docs)
-            order = np.lexsort((d, h))
+            rest = max(0, bits + len(h).bit_length() - 64)  # by these last bits rows need not be in order
+            order = _order(h >> np.uint64(rest), bits - rest)
             h, d = h[order], d[order]
             once = np.append(True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])) if len(h) else np.zeros(0, bool)
             h, d = h[once], d[once]
@@ -224,7 +276,7 @@ def shared_minimizers(texts: DataFrame, bucket_bits: int) -> DataFrame:
             for raw, offsets in slices(batch.column(1)):
                 h, _, text = _windows(raw, offsets)
                 new = np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1])) if len(h) else np.zeros(0, bool)
-                hashes.append(h[new] >> shift)
+                hashes.append(_spread(h[new]) >> shift)
                 docs.append(ids[done + text[new]])
                 done += len(offsets) - 1
                 held += len(hashes[-1])
@@ -240,10 +292,11 @@ def shared_minimizers(texts: DataFrame, bucket_bits: int) -> DataFrame:
         def rows():
             h = np.concatenate([_values(x, 5) for x, _ in parts])
             d = np.concatenate([_values(x, 8) for _, x in parts]).view(np.int64)
-            order = np.lexsort((d, h))
+            order = _order(h, _BITS)
             h, d = h[order], d[order]
-            edge = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-            several = d[edge] != d[np.append(edge[1:], len(d)) - 1]
+            new = np.append(True, h[1:] != h[:-1])
+            edge = np.flatnonzero(new)
+            several = np.logical_or.reduceat(np.append(False, d[1:] != d[:-1]) & ~new, edge)
             stays = np.repeat(several, np.diff(np.append(edge, len(d))))
             h, d = h[stays] | np.uint64(bucket << _BITS), d[stays]
             order = np.argsort(d, kind="stable")
@@ -279,14 +332,17 @@ def shared_segments(texts: DataFrame, bucket_bits: int) -> DataFrame:
             listed = batch.column(3).to_pylist()
             for raw, offsets in slices(batch.column(1)):
                 h, start, text = _windows(raw, offsets)
-                h = h >> shift
                 n = len(offsets) - 1
-                shared = np.zeros(len(h), bool)
-                edges = np.searchsorted(text, np.arange(n + 1))
-                for i in range(n):
-                    if listed[done + i]:
-                        own = np.frombuffer(b"".join(listed[done + i]), "<u8")
-                        shared[edges[i]:edges[i + 1]] = np.isin(h[edges[i]:edges[i + 1]], own)
+                # Minimizers of a document that are in its list; text and minimizer are looked up as one hash. Should
+                # two of those be equal by chance, a segment too many goes on.
+                new = np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1])) if len(h) else np.zeros(0, bool)
+                head = np.flatnonzero(new)
+                own = [b"".join(x) if x else b"" for x in listed[done:done + n]]
+                of = np.repeat(np.arange(n), [len(x) // 8 for x in own])
+                known = _joined(np.frombuffer(b"".join(own), "<u8").astype(np.uint64), of.astype(np.uint64))
+                m = _spread(h[head]) >> shift
+                found = pc.is_in(pa.array(_joined(m, text[head].astype(np.uint64))), pa.array(known)).to_numpy(zero_copy_only=False)
+                shared = np.repeat(found, np.diff(np.append(head, len(h))))
                 h, start, text = h[shared], start[shared], text[shared]
                 if len(h):
                     new = np.append(True, (h[1:] != h[:-1]) | (start[1:] != start[:-1] + 1) | (text[1:] != text[:-1]))
@@ -297,7 +353,7 @@ def shared_segments(texts: DataFrame, bucket_bits: int) -> DataFrame:
                     b = start[np.append(first[1:], len(h)) - 1] + LENGTH
                     data = raw.tobytes()
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[first].view(np.int64)), pa.array([data[x:y] for x, y in zip(a.tolist(), b.tolist())], pa.binary()),
+                        [pa.array((_spread(h[first]) >> shift).view(np.int64)), pa.array([data[x:y] for x, y in zip(a.tolist(), b.tolist())], pa.binary()),
                          pa.array(ids[done + t]), pa.array(versions[done + t]), pa.array(a - offsets[t])],
                         ["minimizer", "segment", "doc_id", "version", "start"])
                 done += n
@@ -307,56 +363,112 @@ def shared_segments(texts: DataFrame, bucket_bits: int) -> DataFrame:
         of, "minimizer bigint, segment binary, doc_id bigint, version bigint, start bigint")
 
 
+def repeated_spans(minimizers: np.ndarray, segments: pa.Array, docs: np.ndarray, compare=repeated_windows, sort_bytes: int = SORT_BYTES,
+                   run_bytes: int = RUN_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+    """(row, start, length, piece) from rows in the order of minimizer, segment and
+    doc_id, where each segment has rows of one document: what is in a smaller
+    document too, where piece is None; else a piece that is yet to be compared by its
+    windows, since its minimizer has more than run_bytes."""
+    new = np.ones(len(docs), bool)
+    new[1:] = (minimizers[1:] != minimizers[:-1]) | pc.not_equal(segments.slice(1), segments.slice(0, len(docs) - 1)).to_numpy(zero_copy_only=False)
+    first = np.flatnonzero(new)
+    rows, owner, run = np.diff(np.append(first, len(docs))), docs[first], minimizers[first]
+    raw, offsets = utf8(segments.take(pa.array(first)))
+    start, segment = _each(offsets[:-1], np.diff(offsets) - LENGTH + 1)
+    # Windows whose hash two documents have, by as many of its bits as leave room for the window's number.
+    h = _window_hashes(raw)[start]
+    bits = 64 - len(h).bit_length()
+    h >>= np.uint64(64 - bits)
+    order = _order(h, bits)
+    edge = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1]))
+    of = owner[segment[order]]
+    several = np.minimum.reduceat(of, edge) < np.maximum.reduceat(of, edge)
+    stays = np.zeros(len(h), bool)
+    stays[order] = np.repeat(several, np.diff(np.append(edge, len(h))))
+    at = np.flatnonzero(stays)
+    if not len(at):
+        return at, at, at, []
+    begins = np.flatnonzero(np.append(True, (at[1:] != at[:-1] + 1) | (segment[at[1:]] != segment[at[:-1]])))
+    begin, windows = start[at[begins]], np.diff(np.append(begins, len(at)))
+    segment = segment[at[begins]]
+    # Equal pieces are one.
+    data, number = raw.tobytes(), {}
+    piece = np.array([number.setdefault(data[a:b], len(number)) for a, b in zip(begin.tolist(), (begin + windows + LENGTH - 1).tolist())])
+    distinct = list(number)
+    size = np.array([len(x) for x in distinct])
+    smallest = np.full(len(distinct), np.iinfo(np.int64).max)
+    np.minimum.at(smallest, piece, owner[segment])
+    whole = owner[segment] > smallest[piece]
+    # Pieces of a minimizer are neighbours, since rows come by minimizer.
+    own_run = np.zeros(len(distinct), np.int64)
+    own_run[piece] = run[segment]
+    edge = np.flatnonzero(np.append(True, own_run[1:] != own_run[:-1]))
+    count, total = np.diff(np.append(edge, len(distinct))), np.add.reduceat(size, edge)
+    beyond = np.repeat((total > run_bytes) & (count > 1), count)
+    total[(count == 1) | (total > run_bytes)] = 0  # an only piece has nothing to be compared with
+    chunk = np.repeat(np.where(total > 0, (np.cumsum(total) - total) // sort_bytes, -1), count)
+    to_sort = np.flatnonzero(chunk >= 0)
+    masks = []
+    for group in np.split(to_sort, np.flatnonzero(np.diff(chunk[to_sort])) + 1) if len(to_sort) else []:
+        for mask in compare([distinct[k] for k in group], smallest[group]):
+            masks += [mask, [False]]
+    # Spans of the pieces that were sorted.
+    flat = np.concatenate([[False], *masks]).astype(np.int8)
+    a, b = np.flatnonzero(np.diff(flat) == 1), np.flatnonzero(np.diff(flat) == -1)
+    ends = np.cumsum(size[to_sort] - LENGTH + 2)
+    mine = np.searchsorted(ends, a, "right")
+    a, length = a - (ends - size[to_sort] + LENGTH - 2)[mine], b - a + LENGTH - 1
+    found = np.bincount(to_sort[mine], minlength=len(distinct))
+    # Those of all pieces, then of all rows.
+    each, of = _each((np.cumsum(found) - found)[piece], np.where(whole, 0, found[piece]))
+    gone, given = np.flatnonzero(whole), np.flatnonzero(beyond[piece] & ~whole)
+    of, inside, length = np.concatenate([of, gone, given]), np.concatenate([a[each], 0 * gone, 0 * given]), \
+        np.concatenate([length[each], size[piece[gone]], size[piece[given]]])
+    inside += (begin - offsets[segment])[of]
+    texts = [None] * (len(of) - len(given)) + [distinct[k] for k in piece[given]]
+    row, of_span = _each(first[segment[of]], rows[segment[of]])
+    return row, inside[of_span], length[of_span], [texts[k] for k in of_span] if len(given) else [None] * len(row)
+
+
 def removed_spans(segments: DataFrame) -> DataFrame:
     """(doc_id, version, start, length, segment): bytes that a smaller document has
-    too, where segment is null; else a segment that is yet to be compared by its
+    too, where segment is null; else a piece that is yet to be compared by its
     windows, since its minimizer has too many. Spans may overlap."""
+    names = ["doc_id", "version", "start", "length", "segment"]
+
     def of(batches):
-        minimizer = segment = None
-        distinct, owner, waiting, size = [], [], [], 0  # of runs that are complete and have several segments
-        run, run_owner, run_waiting, run_size = [], [], [], 0
-        beyond = False  # the run has more than RUN_BYTES
-
-        def close_run():
-            nonlocal run, run_owner, run_waiting, run_size, size
-            if len(run) > 1:  # a minimizer's only segment has nothing to be compared with
-                waiting.extend((k + len(distinct), version, start) for k, version, start in run_waiting)
-                distinct.extend(run)
-                owner.extend(run_owner)
-                size += sum(map(len, run))
-            run, run_owner, run_waiting, run_size = [], [], [], 0
-
-        def given_out():
-            nonlocal run, run_owner, run_waiting, run_size
-            out = [(run_owner[k], version, start, len(run[k]), run[k]) for k, version, start in run_waiting]
-            run, run_owner, run_waiting, run_size = [], [], [], 0
-            return out
-
-        def sorted_spans():
-            nonlocal distinct, owner, waiting, size
-            spans = []
-            if distinct:
-                masks = repeated_windows(distinct, np.array(owner))
-                for k, version, start in waiting:
-                    mask = masks[k]
-                    if mask.any():
-                        edge = np.flatnonzero(np.diff(mask.astype(np.int8), prepend=0, append=0)).tolist()
-                        spans += [(owner[k], version, start + a, b - a + LENGTH - 1, None) for a, b in zip(edge[::2], edge[1::2])]
-            distinct, owner, waiting, size = [], [], [], 0
-            return spans
-
-        def batch_of(spans):
-            *numbers, data = zip(*spans)
-            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in numbers), pa.array(data, pa.binary())],
-                                              ["doc_id", "version", "start", "length", "segment"])
+        held, held_bytes = [], 0  # rows of minimizers that may go on
+        beyond = None  # a minimizer that has more than HELD_BYTES
+
+        def given_out(rows):
+            length = pc.binary_length(rows.column(1)).cast(pa.int64())
+            return pa.RecordBatch.from_arrays([rows.column(2), rows.column(3), rows.column(4), length, rows.column(1)], names)
+
+        def settled(last):
+            nonlocal held, held_bytes, beyond
+            rows = pa.concat_batches(held)
+            minimizers = rows.column(0).to_numpy()
+            done = len(minimizers) if last else int(np.argmax(minimizers == minimizers[-1]))
+            held = [rows.slice(done)]
+            if done:
+                rows = rows.slice(0, done)
+                row, start, length, pieces = repeated_spans(
+                    minimizers[:done], rows.column(1), rows.column(2).to_numpy(), repeated_windows, SORT_BYTES, RUN_BYTES)
+                if len(row):
+                    docs, versions, starts = (rows.column(k).to_numpy()[row] for k in (2, 3, 4))
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in (docs, versions, starts + start, length)), pa.array(pieces, pa.binary())], names)
+            held_bytes = sum(pc.sum(pc.binary_length(x.column(1))).as_py() or 0 for x in held)
+            if held_bytes > HELD_BYTES:
+                beyond = int(minimizers[-1])
+                yield given_out(held[0])
+                held, held_bytes = [], 0
 
         last = None  # minimizer, segment and its first document where the batch before ended
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            # Whole columns at a time: copies of a segment, and minimizers with a single segment. Only
-            # what has to be compared goes on row by row.
+            # Whole columns at a time: copies of a segment, and minimizers with a single segment.
             minimizers, texts = batch.column(0).to_numpy(), batch.column(1)
             docs = batch.column(2).to_numpy()
             new_run, new = np.ones(n, bool), np.ones(n, bool)
@@ -371,36 +483,25 @@ def removed_spans(segments: DataFrame) -> DataFrame:
             if len(whole):
                 length = pc.binary_length(texts).to_numpy()[whole].astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(docs[whole]), batch.column(3).take(pa.array(whole)), batch.column(4).take(pa.array(whole)),
-                                                  pa.array(length), pa.nulls(len(whole), pa.binary())], ["doc_id", "version", "start", "length", "segment"])
+                                                  pa.array(length), pa.nulls(len(whole), pa.binary())], names)
             run_of = np.cumsum(new_run) - new_run[0]
             alone = np.bincount(run_of, new) == 1
             alone[[0, -1]] = False  # may go on in another batch
-            batch = batch.take(pa.array(np.flatnonzero((docs == firsts) & ~alone[run_of])))
-            spans = []
-            for m, data, doc, version, start in zip(*(c.to_pylist() for c in batch.columns)):
-                if m != minimizer:
-                    close_run()
-                    if size > SORT_BYTES:
-                        spans += sorted_spans()
-                    minimizer, segment, beyond = m, None, False
-                if data != segment:
-                    segment = data
-                    if not beyond:
-                        run.append(data)
-                        run_owner.append(doc)
-                if beyond:
-                    spans.append((doc, version, start, len(data), data))
-                else:
-                    run_waiting.append((len(run) - 1, version, start))
-                    run_size += len(data)
-                    if run_size > RUN_BYTES:
-                        beyond = True
-                        spans += given_out()
-            if spans:
-                yield batch_of(spans)
-        close_run()
-        if spans := sorted_spans():
-            yield batch_of(spans)
+            stays = (docs == firsts) & ~alone[run_of]
+            if beyond is not None:
+                more = minimizers == beyond
+                if (more & stays).any():
+                    yield given_out(batch.take(pa.array(np.flatnonzero(more & stays))))
+                if not more[-1]:
+                    beyond = None
+                stays &= ~more
+            if stays.any():
+                held.append(batch.take(pa.array(np.flatnonzero(stays))))
+                held_bytes += pc.sum(pc.binary_length(held[-1].column(1))).as_py()
+                if held_bytes > GATHERED_BYTES:
+                    yield from settled(False)
+        if held:
+            yield from settled(True)
         give_back()
 
     return segments.repartition("minimizer").sortWithinPartitions("minimizer", "segment", "doc_id") \

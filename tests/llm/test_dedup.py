@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -259,6 +260,92 @@ def test_strings_of_a_crowded_minimizer(documents, monkeypatch):
     assert got_strings(documents(rows)) == want
 
 
+def seeds_only(n):
+    """Texts that share 36-byte strings, and no 50-byte string."""
+    r = random.Random(6)
+    common = ["".join(r.choice("abcdefgh ") for _ in range(36)) for _ in range(8)]
+    return ["".join(r.choice(common) + f"<{i}.{k}>" for k in range(20)) for i in range(n)]
+
+
+def test_strings_of_shared_seeds_are_not_sorted(documents, monkeypatch):
+    """A minimizer that many documents have in other surroundings gives the suffix array nothing to do."""
+    texts = seeds_only(200)
+    rows = list(enumerate(texts)) + [(500, texts[3][100:400]), (501, "x" + texts[3][100:400] + "y")]
+    want = strings_by_hand(rows)
+    assert sum(x[3] for x in want) >= 600
+
+    def checked(segments, owner, limit=5000, sort=suffix.repeated_windows):
+        assert sum(map(len, segments)) <= limit
+        return sort(segments, owner)
+
+    monkeypatch.setattr(suffix, "repeated_windows", checked)
+    assert got_strings(documents(rows)) == want
+
+
+def test_minimizers_fill_buckets_evenly(documents):
+    """No task has much more than its share of the minimizers, however many buckets there are."""
+    seen = []
+
+    class Texts:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, f, schema):
+            seen.append(f)
+            return self
+
+        repartition = sortWithinPartitions = select
+
+    suffix.shared_minimizers(Texts(), 6)
+    r = random.Random(7)
+    texts = pa.array(["".join(r.choice("abcdefghijklmnop ") for _ in range(4000)) for _ in range(50)])
+    size = Counter()
+    for batch in seen[0]([pa.RecordBatch.from_arrays([pa.array(range(50), pa.int64()), texts], ["doc_id", "text"])]):
+        for bucket, docs in zip(batch.column("bucket").to_pylist(), batch.column("docs").to_pylist()):
+            size[bucket] += len(docs) // 8
+    assert len(size) == 64 and max(size.values()) < 2 * sum(size.values()) / 64
+
+
+@pytest.mark.parametrize("limits", [(1, 10**6, 10**6, 1), (300, 2500, 150, 100), (10**6, 10**6, 0, 10**6)])
+def test_strings_under_any_limits(documents, odd_rows, monkeypatch, limits):
+    """Rows gathered in small lots, minimizers and pieces beyond the bounds: equal results."""
+    for name, value in zip(("GATHERED_BYTES", "HELD_BYTES", "RUN_BYTES", "SORT_BYTES"), limits):
+        monkeypatch.setattr(suffix, name, value)
+    r = random.Random(8)
+    texts = seeds_only(40)
+    rows = [x for x in odd_rows if len(x[1] or "") < 10_000] + list(enumerate(texts, 100))
+    for i in range(60):
+        a = r.randrange(300)
+        rows.append((200 + i // 2, str(r.random()) * r.randrange(3) + texts[i % 7][a:a + r.randrange(40, 250)] + r.choice(["", "tail", texts[i % 5][:90]])))
+    rows += [(-3, texts[39]), (400, "ab" * 600), (401, "ab" * 700 + "c"), (402, texts[5] + texts[5])]
+    assert got_strings(documents(rows)) == strings_by_hand(rows)
+
+
+def test_repeated_spans_by_hand():
+    r = random.Random(9)
+    for _ in range(60):
+        base = "".join(r.choice("ab") for _ in range(130)).encode()
+        rows = set()
+        for doc in range(r.randrange(2, 12)):
+            for _ in range(r.randrange(1, 4)):
+                a = r.randrange(70)
+                x = base[a:a + r.randrange(50, 100)]
+                rows.add((x if len(x) >= 50 else base, doc))
+        first = {x: min(d for y, d in rows if y == x) for x, _ in rows}
+        rows = sorted((x, d) for x, d in rows if first[x] == d for _ in range(r.randrange(1, 3)))
+        owner = {}
+        for x, d in rows:
+            for k in range(len(x) - 49):
+                owner[x[k:k + 50]] = min(d, owner.get(x[k:k + 50], d))
+        want = {(i, k) for i, (x, d) in enumerate(rows) for k in range(len(x) - 49) if owner[x[k:k + 50]] < d}
+        for run_bytes in (10**6, 0):
+            spans = list(zip(*suffix.repeated_spans(np.ones(len(rows), np.int64), pa.array([x for x, _ in rows], pa.binary()), np.array([d for _, d in rows]), run_bytes=run_bytes)))
+            got = {(i, k) for i, a, n, piece in spans if piece is None for k in range(a, a + n - 49)}
+            left = {(i, k) for i, a, n, piece in spans if piece is not None for k in range(a, a + n - 49)}
+            assert all(rows[i][0][a:a + n] == piece for i, a, n, piece in spans if piece is not None)
+            assert got == want if run_bytes else got <= want <= got | left
+
+
 def test_strings_empty_table(documents):
     assert got_strings(documents([])) == []
 
